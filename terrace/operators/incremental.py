@@ -81,15 +81,15 @@ class KeyedTable:
     def read(self) -> DataFrame:
         return self._stored().drop(self.bucket_column)
 
-    def _write(self, df: DataFrame, overwrite: bool) -> None:
+    def _write(self, df: DataFrame, mode: str, replace: str = "dynamic") -> None:
         # Rebalancing gathers each bucket and splits the large ones; sorting inside a file
         # lets later date filters skip row groups.
         (
             df.hint("rebalance", self.bucket_column)
             .sortWithinPartitions(self.bucket_column, *self.cluster_by)
             .write.partitionBy(self.bucket_column)
-            .option("partitionOverwriteMode", "dynamic")
-            .mode("overwrite" if overwrite else "append")
+            .option("partitionOverwriteMode", replace)
+            .mode(mode)
             .parquet(self.path)
         )
 
@@ -103,15 +103,15 @@ class KeyedTable:
         bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
         with staged(changes.withColumn(self.bucket_column, bucket), "changes") as incoming:
             if not self.exists():
-                self._write(incoming, overwrite=True)
+                self._write(incoming, "overwrite", replace="static")
                 return
             replaced = self._buckets_holding(incoming)
             in_replaced = F.col(self.bucket_column).isin(replaced)
             if replaced:
                 kept = self._stored().where(in_replaced)
                 arriving = incoming.where(in_replaced)
-                self._write(merge_frames(kept, arriving, self.key), overwrite=True)
-            self._write(incoming.where(~in_replaced) if replaced else incoming, overwrite=False)
+                self._write(merge_frames(kept, arriving, self.key), "overwrite")
+            self._write(incoming.where(~in_replaced) if replaced else incoming, "append")
 
     def _buckets_holding(self, incoming: DataFrame) -> list[int]:
         """Buckets of known keys: reads one column of the buckets the changes fall in.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -25,21 +25,22 @@ class QualityGateError(ValueError):
 class Expectation:
     check: str
     column: str
-    violated: Column
+    # Called when a plan is built, so expectations can be declared without a session.
+    violated: Callable[[], Column]
 
 
 def expect_not_null(column: str) -> Expectation:
-    return Expectation("not_null", column, F.col(column).isNull())
+    return Expectation("not_null", column, lambda: F.col(column).isNull())
 
 
 def expect_between(column: str, low: float, high: float) -> Expectation:
     """Inclusive bounds; NULL is not judged, NaN is out of range."""
-    return Expectation("between", column, ~F.col(column).between(low, high))
+    return Expectation("between", column, lambda: ~F.col(column).between(low, high))
 
 
 def evaluate(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
     """One row per expectation, all counted in a single pass over ``df``."""
-    tallies = [F.count_if(e.violated).alias(f"u{i}") for i, e in enumerate(expectations)]
+    tallies = [F.count_if(e.violated()).alias(f"u{i}") for i, e in enumerate(expectations)]
     counted = df.agg(F.count(F.lit(1)).alias("rows"), *tallies)
     reports = [
         F.struct(
