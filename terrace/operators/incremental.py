@@ -100,30 +100,34 @@ class KeyedTable:
         """
         if newest_first:
             changes = latest_version(changes, [self.key], newest_first)
-        bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-        with staged(changes.withColumn(self.bucket_column, bucket), "changes") as incoming:
-            if not self.exists():
-                self._write(incoming, "overwrite", replace="static")
-                return
-            replaced = self._buckets_holding(incoming)
-            in_replaced = F.col(self.bucket_column).isin(replaced)
-            if replaced:
-                kept = self._stored().where(in_replaced)
-                arriving = incoming.where(in_replaced)
-                self._write(merge_frames(kept, arriving, self.key), "overwrite")
-            self._write(incoming.where(~in_replaced) if replaced else incoming, "append")
-
-    def _buckets_holding(self, incoming: DataFrame) -> list[int]:
-        """Buckets of known keys: reads one column of the buckets the changes fall in.
-
-        At most ``buckets`` integers reach the driver, whatever the table holds.
-        """
+        with staged(changes, "changes") as incoming:
+            self.upsert_stored(incoming)
+
+    def upsert_stored(self, changes: DataFrame) -> None:
+        """Upsert rows that are unique by key and cheap to read more than once."""
         b = self.bucket_column
-        arriving = [r[0] for r in incoming.select(b).distinct().collect()]
+        bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+        incoming = changes.withColumn(b, bucket)
+        if not self.exists():
+            self._write(incoming, "overwrite", replace="static")
+            return
+        # Bucket numbers only: at most ``buckets`` integers reach the driver.
+        arriving = {r[0] for r in incoming.select(b).distinct().collect()}
+        replaced = self._buckets_holding(incoming, arriving)
+        if replaced:
+            in_replaced = F.col(b).isin(sorted(replaced))
+            kept = self._stored().where(in_replaced)
+            self._write(merge_frames(kept, incoming.where(in_replaced), self.key), "overwrite")
+        if untouched := arriving - replaced:
+            self._write(incoming.where(F.col(b).isin(sorted(untouched))), "append")
+
+    def _buckets_holding(self, incoming: DataFrame, arriving: set[int]) -> set[int]:
+        """Buckets in which an incoming key is already stored. Reads the key column of the
+        arriving buckets, nothing else."""
         hit = (
             self._stored()
-            .where(F.col(b).isin(arriving))
-            .select(b, self.key)
+            .where(F.col(self.bucket_column).isin(sorted(arriving)))
+            .select(self.bucket_column, self.key)
             .join(incoming.select(self.key), self.key, "left_semi")
         )
-        return [r[0] for r in hit.select(b).distinct().collect()]
+        return {r[0] for r in hit.select(self.bucket_column).distinct().collect()}

@@ -23,6 +23,18 @@ def referential_filter(
     return df.join(_keys_of(parent, parent_key or key, key), key, "left_semi")
 
 
+def flag_known(
+    df: DataFrame,
+    parent: DataFrame,
+    key: str,
+    flag: str,
+    parent_key: str | None = None,
+) -> DataFrame:
+    """Every row, with a column telling whether its key exists in the parent."""
+    known = _keys_of(parent, parent_key or key, key).distinct().withColumn(flag, F.lit(True))
+    return df.join(known, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+
+
 def orphans(
     child: DataFrame,
     parent: DataFrame,

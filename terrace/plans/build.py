@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from terrace.functions.columns import instant
 from terrace.layout import Layout
 from terrace.operators.incremental import KeyedTable, changes_since
-from terrace.operators.joins import orphans, referential_filter
+from terrace.operators.joins import flag_known
 from terrace.plans import models
 from terrace.plans.silver import clean
 from terrace.schemas import DRIVERS, INGESTION_COLUMN, ORDERS, TELEMETRY, VEHICLES, Entity
@@ -22,6 +22,8 @@ from terrace.sources.versioned import is_published, publish, read_current, read_
 from terrace.staging import staged
 from terrace.streaming.ingest import read_raw
 
+_KNOWN = "_vehicle_known"
+
 _PROGRESS_SCHEMA = T.StructType(
     [
         T.StructField("processed_to", T.StringType()),
@@ -121,13 +123,15 @@ def build_fact_telemetry(spark: SparkSession, layout: Layout, full: bool = False
         pending = read_version(spark, pending_path, progress.pending_version)
         candidates = fresh.unionByName(pending)
 
-    with staged(models.latest_telemetry(candidates), "telemetry") as latest:
-        newest = _newest(latest)
+    latest = models.latest_telemetry(candidates)
+    with staged(flag_known(latest, vehicles, "vehicle_id", _KNOWN), "telemetry") as judged:
+        newest = _newest(judged)
         if newest is None:
             return []
-        known = referential_filter(latest, vehicles, "vehicle_id")
-        fact.upsert(models.fact_telemetry(models.telemetry_columns(known)))
-        pending_version = publish(orphans(latest, vehicles, "vehicle_id"), pending_path)
+        known = judged.where(F.col(_KNOWN))
+        fact.upsert_stored(models.fact_telemetry(models.telemetry_columns(known)))
+        unknown = judged.where(~F.col(_KNOWN)).select(*TELEMETRY.raw_schema.names)
+        pending_version = publish(unknown, pending_path)
         late_days = [] if progress is None else _days_up_to(known, progress.processed_to)
     if progress is not None:
         newest = max(newest, progress.processed_to)
@@ -154,7 +158,7 @@ def build_fact_orders(spark: SparkSession, layout: Layout, full: bool = False) -
         newest = _newest(staged_orders)
         if newest is None:
             return
-        fact.upsert(staged_orders)
+        fact.upsert_stored(staged_orders)
     write_progress(spark, progress_path, Progress(newest, None))
 
 
