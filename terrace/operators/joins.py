@@ -20,7 +20,8 @@ def referential_filter(
     parent_key: str | None = None,
 ) -> DataFrame:
     """Rows whose key exists in the parent. A semi-join: the parent adds neither rows nor columns."""
-    return df.join(_keys_of(parent, parent_key or key, key), key, "left_semi")
+    known = _keys_of(parent, parent_key or key, key)
+    return df.join(known, key, "left_semi").select(*df.columns)
 
 
 def flag_known(
@@ -32,7 +33,8 @@ def flag_known(
 ) -> DataFrame:
     """Every row, with a column telling whether its key exists in the parent."""
     known = _keys_of(parent, parent_key or key, key).distinct().withColumn(flag, F.lit(True))
-    return df.join(known, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    flagged = df.join(known, key, "left")
+    return flagged.select(*df.columns, F.coalesce(flag, F.lit(False)).alias(flag))
 
 
 def orphans(
@@ -43,7 +45,8 @@ def orphans(
 ) -> DataFrame:
     """Rows with a non-null key that the parent lacks."""
     known = _keys_of(parent, parent_key or key, key)
-    return child.where(F.col(key).isNotNull()).join(known, key, "left_anti")
+    keyed = child.where(F.col(key).isNotNull())
+    return keyed.join(known, key, "left_anti").select(*child.columns)
 
 
 def orphan_counts(

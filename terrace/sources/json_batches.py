@@ -59,8 +59,12 @@ def read_json_batches(
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(parsed records, quarantined records)."""
+    first = next(c for c in df.columns if c != CORRUPT_COLUMN)
+    # Always true. Spark refuses to parse JSON for the corrupt column alone, so a plain
+    # count of either side has to touch a data column as well.
+    parsed = F.length(F.coalesce(F.col(first).cast("string"), F.lit(""))) >= 0
     bad = F.col(CORRUPT_COLUMN).isNotNull()
-    return df.where(~bad).drop(CORRUPT_COLUMN), df.where(bad)
+    return df.where(~bad & parsed).drop(CORRUPT_COLUMN), df.where(bad & parsed)
 
 
 def with_source_day(df: DataFrame) -> DataFrame:

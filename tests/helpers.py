@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import json
+from pathlib import Path
+
+from terrace.schemas import DRIVERS, ORDERS, TELEMETRY, VEHICLES
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().toString()
+
+
+def executed_plan(df) -> str:
+    """The final plan after adaptive execution has run."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows(df) -> list[tuple]:
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple(map(str, r)))
+
+
+def write_text(path, text: str) -> str:
+    path = Path(path)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+    return str(path)
+
+
+def write_array(path, records, indent=None) -> str:
+    return write_text(path, json.dumps(records, indent=indent))
+
+
+def feed(spark, entity, records):
+    """A bronze DataFrame; records leave out the columns that are null."""
+    data = [tuple(r.get(c) for c in entity.columns) for r in records]
+    return spark.createDataFrame(data, entity.bronze_schema)
+
+
+def vehicle(vehicle_id, capacity="1500", status="ACTIVE", vehicle_type="Van"):
+    return dict(
+        vehicle_id=vehicle_id, vehicle_type=vehicle_type, capacity_kg=capacity, status=status
+    )
+
+
+def driver(driver_id, status="AVAILABLE", name="A Name", license_type="Class A"):
+    return dict(driver_id=driver_id, name=name, license_type=license_type, status=status)
+
+
+def event(event_id, vehicle_id, temp="5.0", ts="2024-01-01T10:00:00.123456+00:00", **more):
+    base = dict(
+        event_id=event_id,
+        vehicle_id=vehicle_id,
+        timestamp=ts,
+        latitude="-22.75",
+        longitude="-43.25",
+        delivery_status="IN_TRANSIT",
+        cargo_temp_c=temp,
+        speed_kmh="40.5",
+    )
+    return base | more
+
+
+def order(order_id, product="Crate", weight="10.5", created="2024-01-01T09:00:00+00:00", **more):
+    base = dict(
+        order_id=order_id,
+        product_name=product,
+        weight_kg=weight,
+        destination_lat="-22.5",
+        destination_lon="-43.5",
+        status="READY_FOR_DISPATCH",
+        created_at=created,
+    )
+    return base | more
+
+
+def vehicles(spark, *records):
+    return feed(spark, VEHICLES, records)
+
+
+def drivers(spark, *records):
+    return feed(spark, DRIVERS, records)
+
+
+def telemetry(spark, *records):
+    return feed(spark, TELEMETRY, records)
+
+
+def orders(spark, *records):
+    return feed(spark, ORDERS, records)

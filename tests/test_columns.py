@@ -1,0 +1,126 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from terrace.functions.columns import (
+    as_float,
+    as_int,
+    as_timestamp,
+    band,
+    batch_stamp,
+    day_stamp,
+    normkey,
+    prior_day,
+    stamp,
+    stored_key,
+    with_stored_keys,
+    within_day,
+)
+from tests.helpers import plan, rows
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("v")).first()[0]
+
+
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [("1500", 1500), ("1500.9", 1500), ("-3.9", -3), ("abc", None), (None, None), ("9e99", None)],
+)
+def test_bad_integers_become_null(spark, text, value):
+    assert one(spark, as_int(F.lit(text).cast("string"))) == value
+
+
+@pytest.mark.parametrize("text", ["abc", "", None, "12,5"])
+def test_bad_floats_become_null(spark, text):
+    assert one(spark, as_float(F.lit(text).cast("string"))) is None
+
+
+def test_floats_are_32_bit(spark):
+    assert one(spark, as_float(F.lit("8.1")) > F.lit(8.1)) is True
+
+
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ("2024-01-01T10:00:00.123456+02:00", "2024-01-01 08:00:00.123456"),
+        ("2024-01-01T10:00:00Z", "2024-01-01 10:00:00"),
+        ("2024-01-01T10:00:00", "2024-01-01 10:00:00"),
+        ("garbage", None),
+        (None, None),
+    ],
+)
+def test_timestamps(spark, text, value):
+    assert one(spark, as_timestamp(F.lit(text).cast("string")).cast("string")) == value
+
+
+@pytest.mark.parametrize(
+    ("value", "label"),
+    [
+        (None, "NORMAL"),
+        (float("nan"), "CRITICAL_HIGH"),
+        (1.99, "CRITICAL_LOW"),
+        (2.0, "NORMAL"),
+        (8.0, "NORMAL"),
+        (8.01, "CRITICAL_HIGH"),
+    ],
+)
+def test_band_bounds_are_strict(spark, value, label):
+    assert one(spark, band(F.lit(value).cast("float"))) == label
+
+
+def test_band_limits_are_parameters(spark):
+    assert one(spark, band(F.lit(12.0), high=12.0)) == "NORMAL"
+    assert one(spark, band(F.lit(12.01), high=12.0)) == "CRITICAL_HIGH"
+
+
+def test_normkey(spark):
+    assert one(spark, normkey(F.lit("  v-10 "))) == "V-10"
+
+
+def test_stamp_is_one_injectable_instant(spark):
+    at = stamp(datetime(2024, 1, 2, 3, 4, 5)).cast("string")
+    assert one(spark, at) == "2024-01-02 03:04:05"
+    assert spark.range(1000).select(stamp().alias("t")).distinct().count() == 1
+
+
+def test_stored_key_is_used_when_present(spark):
+    df = spark.createDataFrame([(" v1 ",)], "vehicle_id string")
+    keyed = with_stored_keys(df, "vehicle_id", "absent")
+    assert keyed.columns == ["vehicle_id", "vehicle_id_key"]
+    assert keyed.select(stored_key(keyed, "vehicle_id")).first()[0] == "V1"
+    assert df.select(stored_key(df, "vehicle_id")).first()[0] == "V1"
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_day_is_half_open(spark, kind):
+    texts = [
+        "2024-01-14 23:59:59.999999",
+        "2024-01-15 00:00:00",
+        "2024-01-15 10:00:00",
+        "2024-01-15 23:59:59.999999",
+        "2024-01-16 00:00:00",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn(
+        "at", F.col("t").cast(kind)
+    )
+    assert rows(df.where(within_day(df, "at", date(2024, 1, 15))).select("t")) == [
+        (t,) for t in texts[1:4]
+    ]
+
+
+def test_day_range_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1).select(F.lit("2024-01-15 01:00:00").cast("timestamp_ntz").alias("at")).write.parquet(path)
+    df = spark.read.parquet(path)
+    text = plan(df.where(within_day(df, "at", date(2024, 1, 15))))
+    assert "GreaterThanOrEqual(at" in text and "LessThan(at" in text
+
+
+def test_date_texts():
+    assert prior_day(date(2024, 3, 1)) == date(2024, 2, 29)
+    assert day_stamp(date(2024, 3, 1)) == "20240301"
+    assert batch_stamp(datetime(2024, 3, 1, 4, 5, 6)) == "20240301_040506"

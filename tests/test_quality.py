@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import pytest
+
+from terrace.operators.quality import (
+    QualityGateError,
+    TableTests,
+    duplicate_keys,
+    evaluate,
+    expect_between,
+    expect_not_null,
+    gate,
+    require_passed,
+    run_tests,
+)
+from terrace.plans.gates import telemetry_gate
+from tests.helpers import event, plan, rows, telemetry
+
+CHECKS = [expect_not_null("v"), expect_between("v", -50.0, 100.0)]
+
+
+def values(spark, *vs):
+    return spark.createDataFrame([(v,) for v in vs], "v double")
+
+
+def test_expectations_count_violations(spark):
+    df = values(spark, None, float("nan"), -50.0, -50.01, 100.0, 100.01, 0.0)
+    assert rows(evaluate(df, CHECKS)) == [
+        ("between", "v", 7, 3, False),
+        ("not_null", "v", 7, 1, False),
+    ]
+
+
+def test_all_expectations_share_one_pass(spark, tmp_path):
+    path = str(tmp_path / "t")
+    values(spark, 1.0).write.parquet(path)
+    text = plan(evaluate(spark.read.parquet(path), CHECKS))
+    assert text[text.index("== Physical Plan ==") :].count("FileScan") == 1
+
+
+def test_empty_input_passes(spark):
+    assert all(r["passed"] for r in gate(values(spark), CHECKS, "empty"))
+
+
+def test_gate_raises_with_a_report(spark):
+    with pytest.raises(QualityGateError, match=r"between\(v\): 1") as caught:
+        gate(values(spark, 1.0, 101.0), CHECKS, "unit")
+    assert [r["unexpected"] for r in caught.value.report] == [0, 1]
+
+
+@pytest.mark.parametrize(
+    ("record", "passes"),
+    [
+        (event("E", "V"), True),
+        (event("E", "V", temp="-50"), True),
+        (event("E", "V", temp="100"), True),
+        (event("E", "V", temp=None), True),
+        (event("E", "V", temp="-50.01"), False),
+        (event("E", "V", temp="100.01"), False),
+        (event("E", "V", temp="NaN"), False),
+        (event("E", "V", latitude=None), False),
+        (event("E", "V", longitude=None), False),
+        (event("E", "V", latitude="north"), False),
+    ],
+)
+def test_telemetry_gate(spark, record, passes):
+    bronze = telemetry(spark, event("OK", "V"), record)
+    if passes:
+        assert len(telemetry_gate(bronze)) == 3
+    else:
+        with pytest.raises(QualityGateError):
+            telemetry_gate(bronze)
+
+
+def test_duplicate_keys_ignore_nulls(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "k string")
+    assert rows(duplicate_keys(df, "k")) == [("a", 2)]
+
+
+def test_declared_tests(spark):
+    tables = {
+        "parent": spark.createDataFrame([("p", 1), ("q", None)], "id string, n int"),
+        "child": spark.createDataFrame(
+            [("1", "p"), ("1", "x"), ("2", "x"), (None, None), (None, "p")], "id string, fk string"
+        ),
+    }
+    declared = {
+        "parent": TableTests(unique=("id",), not_null=("id", "n")),
+        "child": TableTests(
+            unique=("id", "fk"), not_null=("fk",), relationships={"fk": ("parent", "id")}
+        ),
+    }
+    results = run_tests(tables, declared)
+    assert rows(results) == [
+        ("child", "fk", "not_null", 1, False),
+        ("child", "fk", "relationships", 2, False),
+        ("child", "fk", "unique", 2, False),
+        ("child", "id", "unique", 1, False),
+        ("parent", "id", "not_null", 0, True),
+        ("parent", "id", "unique", 0, True),
+        ("parent", "n", "not_null", 1, False),
+    ]
+    with pytest.raises(QualityGateError, match=r"relationships\(child.fk\): 2"):
+        require_passed(results)
+
+
+def test_only_null_checks(spark):
+    results = run_tests({"t": values(spark, None)}, {"t": TableTests(not_null=("v",))})
+    assert rows(results) == [("t", "v", "not_null", 1, False)]
+
+
+def test_empty_tables_pass(spark):
+    tables = {"t": values(spark)}
+    declared = {"t": TableTests(unique=("v",), not_null=("v",), relationships={"v": ("t", "v")})}
+    assert all(r["passed"] for r in require_passed(run_tests(tables, declared)))
