@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrace.functions.columns import WATERMARK_DEFAULT, instant
 from terrace.operators.dedup import latest_version
@@ -57,36 +58,50 @@ class KeyedTable:
         key: str,
         buckets: int,
         cluster_by: Sequence[str] = (),
+        broadcast_keys: int = 500_000,
+        schema: T.StructType | None = None,
     ):
         self.spark = spark
         self.path = path
         self.key = key
         self.buckets = buckets
         self.cluster_by = list(cluster_by)
+        self.broadcast_keys = broadcast_keys
+        # With a schema the table can be read before it holds rows, and without a footer scan.
+        self.schema = schema
         # The column name carries the bucket count: opening a table with another one fails.
         self.bucket_column = f"bucket_of_{buckets}"
 
-    def exists(self) -> bool:
-        return exists(self.spark, f"{self.path}/_SUCCESS")
+    def _layouts(self) -> set[str]:
+        names = children(self.spark, self.path)
+        return {m.group(1) for n in names if (m := _BUCKET_PATTERN.match(n))}
 
-    def _check_buckets(self) -> None:
-        found = {m.group(1) for n in children(self.spark, self.path) if (m := _BUCKET_PATTERN.match(n))}
-        if found - {self.bucket_column}:
-            raise ValueError(f"{self.path} is laid out as {found}, not {self.bucket_column}")
+    def exists(self) -> bool:
+        """Whether rows were ever written; an upsert of nothing does not make a table."""
+        return exists(self.spark, f"{self.path}/_SUCCESS") and bool(self._layouts())
 
     def _stored(self) -> DataFrame:
-        self._check_buckets()
-        return self.spark.read.parquet(self.path)
+        if other := self._layouts() - {self.bucket_column}:
+            raise ValueError(f"{self.path} is laid out as {other}, not {self.bucket_column}")
+        reader = self.spark.read
+        if self.schema is not None:
+            bucket = T.StructField(self.bucket_column, T.IntegerType())
+            reader = reader.schema(T.StructType([*self.schema.fields, bucket]))
+        return reader.parquet(self.path)
 
     def read(self) -> DataFrame:
+        if self.schema is not None and not self.exists():
+            return self.spark.createDataFrame([], self.schema)
         return self._stored().drop(self.bucket_column)
 
+    def _gathered(self, df: DataFrame) -> DataFrame:
+        """One shuffle that brings each bucket together and splits the large ones."""
+        return df.hint("rebalance", self.bucket_column)
+
     def _write(self, df: DataFrame, mode: str, replace: str = "dynamic") -> None:
-        # Rebalancing gathers each bucket and splits the large ones; sorting inside a file
-        # lets later date filters skip row groups.
+        # Sorted files let later date filters skip row groups.
         (
-            df.hint("rebalance", self.bucket_column)
-            .sortWithinPartitions(self.bucket_column, *self.cluster_by)
+            df.sortWithinPartitions(self.bucket_column, *self.cluster_by)
             .write.partitionBy(self.bucket_column)
             .option("partitionOverwriteMode", replace)
             .mode(mode)
@@ -109,7 +124,7 @@ class KeyedTable:
         bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
         incoming = changes.withColumn(b, bucket)
         if not self.exists():
-            self._write(incoming, "overwrite", replace="static")
+            self._write(self._gathered(incoming), "overwrite", replace="static")
             return
         # Bucket numbers only: at most ``buckets`` integers reach the driver.
         arriving = {r[0] for r in incoming.select(b).distinct().collect()}
@@ -117,9 +132,25 @@ class KeyedTable:
         if replaced:
             in_replaced = F.col(b).isin(sorted(replaced))
             kept = self._stored().where(in_replaced)
-            self._write(merge_frames(kept, incoming.where(in_replaced), self.key), "overwrite")
+            self._write(self._merged(kept, incoming.where(in_replaced)), "overwrite")
         if untouched := arriving - replaced:
-            self._write(incoming.where(F.col(b).isin(sorted(untouched))), "append")
+            self._write(self._gathered(incoming.where(F.col(b).isin(sorted(untouched)))), "append")
+
+    def compact(self) -> None:
+        """Gather every bucket's rows into few files again."""
+        self._write(self._gathered(self._stored()), "overwrite")
+
+    def _merged(self, kept: DataFrame, arriving: DataFrame) -> DataFrame:
+        """``kept`` without the arriving keys, plus ``arriving``.
+
+        Few keys (counted, so the bound is known) are broadcast: stored rows then go from
+        file to file without a shuffle, since each scan task already reads few buckets.
+        Many keys make it a shuffled anti-join, gathered by bucket before the write.
+        """
+        if arriving.count() > self.broadcast_keys:
+            return self._gathered(merge_frames(kept, arriving, self.key))
+        others = kept.join(F.broadcast(arriving.select(self.key)), self.key, "left_anti")
+        return others.unionByName(self._gathered(arriving))
 
     def _buckets_holding(self, incoming: DataFrame, arriving: set[int]) -> set[int]:
         """Buckets in which an incoming key is already stored. Reads the key column of the

@@ -93,9 +93,19 @@ def build_dimensions(spark: SparkSession, layout: Layout) -> None:
 
 
 def fact_table(spark: SparkSession, layout: Layout, name: str) -> KeyedTable:
-    key = {"fact_telemetry": TELEMETRY.key, "fact_orders": ORDERS.key}[name]
+    entity = {"fact_telemetry": TELEMETRY, "fact_orders": ORDERS}[name]
+    raw = spark.createDataFrame([], entity.raw_schema)
+    if entity is TELEMETRY:
+        fact = models.fact_telemetry(models.telemetry_columns(raw))
+    else:
+        fact = models.fact_orders(models.stg_orders(raw))
     return KeyedTable(
-        spark, layout.gold(name), key, layout.fact_buckets, cluster_by=[INGESTION_COLUMN]
+        spark,
+        layout.gold(name),
+        entity.key,
+        layout.fact_buckets,
+        cluster_by=[INGESTION_COLUMN],
+        schema=fact.schema,
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +14,11 @@ from terrace.plans.models import GOLD_TESTS
 from terrace.plans.silver import with_types
 from terrace.schemas import TELEMETRY
 from terrace.sources.json_batches import read_json_batches, split_corrupt
+from terrace.sources.versioned import is_published, publish, read_current
+
+# Files this much older than the last pass are judged again: clocks of the driver and of the
+# file system may differ.
+GATE_OVERLAP = timedelta(hours=1)
 
 TELEMETRY_EXPECTATIONS = (
     expect_not_null("latitude"),
@@ -44,5 +49,20 @@ def gate_bronze(
     return telemetry_gate(parsed)
 
 
+def gate_new_bronze(spark: SparkSession, layout: Layout) -> list[dict]:
+    """Gate what landed since the last pass. Landed files do not change, so this judges as
+    the whole folder would; a failing file stays in scope until it is gone."""
+    state = layout.state("gate_passed")
+    started = datetime.now(timezone.utc).replace(tzinfo=None)
+    since = None
+    if is_published(spark, state):
+        passed = datetime.fromisoformat(read_current(spark, state).first()["passed_at"])
+        since = passed - GATE_OVERLAP
+    report = gate_bronze(spark, layout, since)
+    row = spark.createDataFrame([(started.isoformat(sep=" "),)], "passed_at string")
+    publish(row.coalesce(1), state)
+    return report
+
+
 def gold_tests(tables: Mapping[str, DataFrame]) -> DataFrame:
     return run_tests(tables, GOLD_TESTS)

@@ -66,3 +66,8 @@ def temperature_alerts(
         )
         .orderBy(F.desc_nulls_last("total_alerts"), "vehicle_id")
     )
+
+
+def as_records(metric: DataFrame) -> DataFrame:
+    """One JSON object per row, for callers that serve or store records as text."""
+    return metric.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from terrace.layout import Layout
 from terrace.operators.quality import require_passed
 from terrace.plans import build
-from terrace.plans.gates import gate_bronze, gold_tests
+from terrace.plans.gates import gate_bronze, gate_new_bronze, gold_tests
 from terrace.schemas import FEEDS, MASTERS
 from terrace.session import configure
 from terrace.sources.json_batches import land_batch, land_daily_snapshot
@@ -60,19 +60,18 @@ def run_pipeline(
     spark: SparkSession,
     layout: Layout,
     run_ts: datetime,
-    gate_since: datetime | None = None,
     full: bool = False,
 ) -> RunReport:
     """Gate, clean, build, test. A failed gate or test raises and stops what comes after.
 
     ``run_ts`` (UTC) stamps every row of the run and must move forward from run to run.
-    ``gate_since`` limits the gate to files landed since the last pass; by default it judges
-    all landed telemetry. ``full`` merges all raw rows again instead of the new ones.
+    ``full`` judges all landed files and merges all raw rows again, instead of the new ones;
+    the tables come out the same.
     """
     configure(spark)
     _check_run_time(spark, layout, run_ts)
     report = RunReport(run_ts)
-    report.gate = gate_bronze(spark, layout, gate_since)
+    report.gate = gate_bronze(spark, layout) if full else gate_new_bronze(spark, layout)
     for entity in MASTERS:
         build.build_master(spark, layout, entity, run_ts)
     ingest_feeds(spark, layout, run_ts)

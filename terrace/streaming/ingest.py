@@ -16,6 +16,10 @@ from terrace.sources.json_batches import reader_options, with_corrupt_column
 
 QUALITY_COLUMN = "quality"
 DAY_COLUMN = "ingestion_day"
+# The file source ignores files this much older than the newest one. Its own default of a
+# week would silently skip a batch that arrives late with an old file time.
+MAX_FILE_AGE = "3650d"
+
 ACCEPTED = "ok"
 QUARANTINED = "corrupt"
 
@@ -35,9 +39,10 @@ def read_stream(
     entity: Entity,
     multi_line: bool = False,
     max_files_per_trigger: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
     reader = spark.readStream.schema(with_corrupt_column(entity.bronze_schema)).options(
-        **reader_options(multi_line)
+        **reader_options(multi_line), maxFileAge=max_file_age
     )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

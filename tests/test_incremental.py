@@ -86,6 +86,40 @@ def test_empty_changes(spark, tmp_path):
     assert rows(table.read()) == [("a", 1, "x")]
 
 
+def test_first_load_without_rows(spark, tmp_path):
+    schema = frame(spark).schema
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 4, schema=schema)
+    assert table.read().count() == 0
+    table.upsert(frame(spark))
+    assert not table.exists() and rows(table.read()) == []
+    table.upsert(frame(spark, ("a", 1, "x")))
+    assert table.exists() and rows(table.read()) == [("a", 1, "x")]
+
+
+def test_many_keys_are_shuffled_few_are_broadcast(spark, tmp_path):
+    """Both ways of replacing rows give the same table."""
+    for name, limit in (("few", 500_000), ("many", 0)):
+        table = KeyedTable(spark, str(tmp_path / name), "k", 4, ["t"], broadcast_keys=limit)
+        table.upsert(frame(spark, *[(f"k{i}", 1, "x") for i in range(40)]))
+        kept, arriving = table._stored(), frame(spark, ("k3", 2, "y"))
+        text = plan(table._merged(kept, arriving.withColumn(table.bucket_column, F.lit(0))))
+        physical = text[text.index("== Physical Plan ==") :]
+        assert ("BroadcastHashJoin" in physical) or name == "many"
+        table.upsert(frame(spark, *[(f"k{i}", 2, "y") for i in range(30, 50)]))
+        assert table.read().count() == 50
+        assert table.read().where("t = 2").count() == 20
+
+
+def test_compaction_keeps_the_rows(spark, tmp_path):
+    table = keyed(spark, tmp_path, buckets=2)
+    for n in range(4):
+        table.upsert(frame(spark, *[(f"k{n}-{i}", n, "x") for i in range(5)]))
+    before, files = rows(table.read()), len(list(Path(table.path).rglob("*.parquet")))
+    table.compact()
+    assert rows(table.read()) == before
+    assert len(list(Path(table.path).rglob("*.parquet"))) < files
+
+
 def test_changes_may_read_the_target(spark, tmp_path):
     table = keyed(spark, tmp_path)
     table.upsert(frame(spark, ("a", 1, "x"), ("b", 1, "x")))
