@@ -24,13 +24,6 @@ from terrace.streaming.ingest import read_raw
 
 _KNOWN = "_vehicle_known"
 
-_PROGRESS_SCHEMA = T.StructType(
-    [
-        T.StructField("processed_to", T.StringType()),
-        T.StructField("pending_version", T.StringType()),
-    ]
-)
-
 
 @dataclass(frozen=True)
 class Progress:
@@ -48,8 +41,11 @@ def read_progress(spark: SparkSession, path: str) -> Progress | None:
 
 
 def write_progress(spark: SparkSession, path: str, progress: Progress) -> None:
-    row = (progress.processed_to.isoformat(sep=" "), progress.pending_version)
-    publish(spark.createDataFrame([row], _PROGRESS_SCHEMA).coalesce(1), path)
+    row = spark.range(0, 1, 1, 1).select(
+        F.lit(progress.processed_to.isoformat(sep=" ")).alias("processed_to"),
+        F.lit(progress.pending_version).cast("string").alias("pending_version"),
+    )
+    publish(row, path)
 
 
 def _days_up_to(df: DataFrame, last: datetime) -> list[date]:

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from terrace.functions.columns import GATE_TEMPERATURE_HIGH, GATE_TEMPERATURE_LOW
 from terrace.layout import Layout
@@ -59,8 +60,8 @@ def gate_new_bronze(spark: SparkSession, layout: Layout) -> list[dict]:
         passed = datetime.fromisoformat(read_current(spark, state).first()["passed_at"])
         since = passed - GATE_OVERLAP
     report = gate_bronze(spark, layout, since)
-    row = spark.createDataFrame([(started.isoformat(sep=" "),)], "passed_at string")
-    publish(row.coalesce(1), state)
+    row = spark.range(0, 1, 1, 1).select(F.lit(started.isoformat(sep=" ")).alias("passed_at"))
+    publish(row, state)
     return report
 
 

@@ -206,6 +206,23 @@ _EXPECTATIONS = """
     FROM events
 """
 
+_GATE_REPORT = """
+    WITH counted AS (
+        SELECT count(*) AS n,
+               count(*) FILTER (l_returnflag = 'R') AS no_latitude,
+               count(*) FILTER (l_returnflag = 'A') AS no_longitude,
+               count(*) FILTER (l_returnflag = 'N' AND l_quantity * 4 > 100) AS too_hot
+        FROM lineitem
+    )
+    SELECT 'not_null' AS "check", 'latitude' AS "column", CAST(n AS BIGINT) AS evaluated,
+           CAST(no_latitude AS BIGINT) AS unexpected, no_latitude = 0 AS passed
+    FROM counted
+    UNION ALL
+    SELECT 'not_null', 'longitude', n, no_longitude, no_longitude = 0 FROM counted
+    UNION ALL
+    SELECT 'between', 'cargo_temp_c', n, too_hot, too_hot = 0 FROM counted
+"""
+
 _BACKUP = f"""
     SELECT 'fact_orders' AS table_name, DATE '1998-01-01' AS day, CAST(count(*) AS BIGINT) AS n
     FROM ({_STG_ORDERS}) WHERE CAST(ingestion_date AS DATE) = DATE '1998-01-01' HAVING count(*) > 0
@@ -250,6 +267,10 @@ ORACLES: dict[str, str] = {
                round(avg(value), 2) AS alert_avg_temperature
         FROM events WHERE value > 12.0 GROUP BY user_id ORDER BY total_alerts DESC, vehicle_id
     """,
+    "alert_records": """
+        SELECT to_json({'vehicle_id': user_id, 'total_alerts': count(*)})::VARCHAR AS record
+        FROM events WHERE value > 100.0 GROUP BY user_id
+    """,
     "temperature_band": f"""
         SELECT event_id, value, {_BAND.format(c="value")} AS temperature_alert_status FROM events
     """,
@@ -310,6 +331,7 @@ ORACLES: dict[str, str] = {
         GROUP BY l_orderkey HAVING count(*) > 1
     """,
     "expectations": _EXPECTATIONS,
+    "telemetry_gate_report": _GATE_REPORT,
     "gold_tests": _GOLD_TESTS,
     "clean_vehicles_newest_day": """
         SELECT 'V-' || s_suppkey AS vehicle_id, s_name AS vehicle_type,

@@ -25,9 +25,16 @@ from terrace.operators.incremental import KeyedTable, changes_since, watermark
 from terrace.plans import metrics, models
 from terrace.plans.backup import export_tables
 from terrace.plans.build import build_fact_orders, build_fact_telemetry, build_master, fact_table
+from terrace.plans.gates import TELEMETRY_EXPECTATIONS
 from terrace.plans.gates import gold_tests as run_gold_tests
 from terrace.plans.pipeline import land_batches, land_masters
-from terrace.plans.silver import clean_drivers, clean_orders, clean_telemetry, clean_vehicles
+from terrace.plans.silver import (
+    clean_drivers,
+    clean_orders,
+    clean_telemetry,
+    clean_vehicles,
+    with_types,
+)
 from terrace.schemas import DRIVERS, ORDERS, TELEMETRY, VEHICLES, Entity
 from terrace.sources.json_batches import (
     land_batch,
@@ -141,6 +148,15 @@ def temperature_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def alert_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alerts as JSON text, with a limit of its own."""
+    alerts = metrics.temperature_alerts(
+        table(spark, sf_dir, "events"), 100.0, vehicle_column="user_id", temperature_column="value"
+    )
+    return metrics.as_records(alerts.drop("alert_avg_temperature"))
+
+
 # --- projections, casts, predicates ---------------------------------------------------
 
 
@@ -291,6 +307,26 @@ def expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def telemetry_gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze gate's checks on landed text: a null, an unreadable and an extreme value."""
+    feed = inputs.telemetry(spark, sf_dir)
+    hit = F.col("delivery_status")
+    spoiled = feed.withColumns(
+        {
+            "latitude": F.when(hit != "R", F.col("latitude")),
+            "longitude": F.when(hit == "A", F.lit("east")).otherwise(F.col("longitude").cast("string")),
+            "cargo_temp_c": F.when(hit == "N", F.col("cargo_temp_c") * 4).otherwise(
+                F.col("cargo_temp_c")
+            ),
+        }
+    )
+    landed = _landed(spark, spoiled, TELEMETRY)
+    return quality.evaluate(
+        with_types(landed, floats=("latitude", "longitude", "cargo_temp_c")), TELEMETRY_EXPECTATIONS
+    )
+
+
 @query
 def gold_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The declared tests on tables that break some of them."""

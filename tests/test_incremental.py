@@ -167,7 +167,7 @@ batches = st.lists(
 )
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(loads=batches)
 def test_upsert_is_a_dictionary_update_and_idempotent(spark, loads):
     table = KeyedTable(spark, new_folder(spark, "prop"), "k", 3)
