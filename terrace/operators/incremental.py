@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +10,10 @@ from pyspark.sql import types as T
 
 from terrace.functions.columns import WATERMARK_DEFAULT, instant
 from terrace.operators.dedup import latest_version
-from terrace.sources.paths import children, exists
+from terrace.sources.paths import exists, first_child
 from terrace.staging import staged
 
-_BUCKET_PATTERN = re.compile(r"(bucket_of_\d+)=")
+_BUCKET_PREFIX = "bucket_of_"
 
 
 def watermark(target: DataFrame, column: str, default: str = WATERMARK_DEFAULT) -> DataFrame:
@@ -70,19 +69,21 @@ class KeyedTable:
         # With a schema the table can be read before it holds rows, and without a footer scan.
         self.schema = schema
         # The column name carries the bucket count: opening a table with another one fails.
-        self.bucket_column = f"bucket_of_{buckets}"
+        self.bucket_column = f"{_BUCKET_PREFIX}{buckets}"
 
-    def _layouts(self) -> set[str]:
-        names = children(self.spark, self.path)
-        return {m.group(1) for n in names if (m := _BUCKET_PATTERN.match(n))}
+    def _layout(self) -> str | None:
+        """The bucket column the stored folders are named after."""
+        folder = first_child(self.spark, self.path, _BUCKET_PREFIX)
+        return folder.partition("=")[0] if folder else None
 
     def exists(self) -> bool:
         """Whether rows were ever written; an upsert of nothing does not make a table."""
-        return exists(self.spark, f"{self.path}/_SUCCESS") and bool(self._layouts())
+        return exists(self.spark, f"{self.path}/_SUCCESS") and self._layout() is not None
 
     def _stored(self) -> DataFrame:
-        if other := self._layouts() - {self.bucket_column}:
-            raise ValueError(f"{self.path} is laid out as {other}, not {self.bucket_column}")
+        layout = self._layout()
+        if layout != self.bucket_column:
+            raise ValueError(f"{self.path} is laid out as {layout}, not {self.bucket_column}")
         reader = self.spark.read
         if self.schema is not None:
             bucket = T.StructField(self.bucket_column, T.IntegerType())

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Collection
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +13,7 @@ from terrace.functions.columns import with_stored_keys
 from terrace.layout import Layout
 from terrace.operators.snapshots import export
 from terrace.plans.build import gold_readers
+from terrace.together import run_together
 
 
 @dataclass(frozen=True)
@@ -32,20 +34,23 @@ class BackupError(RuntimeError):
 
 
 def export_tables(
-    tables: dict[str, tuple[Callable[[], DataFrame], str]], day: date
+    spark: SparkSession, tables: dict[str, tuple[Callable[[], DataFrame], str]], day: date
 ) -> list[ExportResult]:
     """Export each table; one that fails does not stop the others, but the call then raises.
 
     ``tables`` maps a name to (open the table, target path). A table without rows for the
     day is reported as skipped.
     """
-    results = []
-    for name, (open_table, path) in tables.items():
+
+    def export_one(name: str, open_table: Callable[[], DataFrame], path: str) -> ExportResult:
         try:
             rows = export(open_table(), path, day)
-            results.append(ExportResult(name, path, day, rows, "exported" if rows else "skipped"))
+            return ExportResult(name, path, day, rows, "exported" if rows else "skipped")
         except Exception as error:  # noqa: BLE001 - isolated here, raised below
-            results.append(ExportResult(name, path, day, 0, "failed", str(error)))
+            return ExportResult(name, path, day, 0, "failed", str(error))
+
+    actions = [partial(export_one, name, *target) for name, target in tables.items()]
+    results = run_together(spark, actions)
     if any(r.status == "failed" for r in results):
         raise BackupError(results)
     return results
@@ -84,4 +89,4 @@ def run_backup(
         ),
         "dim_drivers": (gold["dim_drivers"], layout.snapshots("dim_drivers")),
     }
-    return export_tables({name: targets[name] for name in targets if name in only}, day)
+    return export_tables(spark, {name: targets[name] for name in targets if name in only}, day)

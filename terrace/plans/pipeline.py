@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,7 +16,8 @@ from terrace.plans.gates import gate_bronze, gate_new_bronze, gold_tests
 from terrace.schemas import FEEDS, MASTERS
 from terrace.session import configure
 from terrace.sources.json_batches import land_batch, land_daily_snapshot
-from terrace.streaming.ingest import ingest_available
+from terrace.streaming.ingest import start_ingest
+from terrace.together import run_together
 
 
 @dataclass
@@ -44,8 +46,8 @@ def _check_run_time(spark: SparkSession, layout: Layout, run_ts: datetime) -> No
 
 
 def ingest_feeds(spark: SparkSession, layout: Layout, run_ts: datetime | None = None) -> None:
-    for entity in FEEDS:
-        ingest_available(
+    started = [
+        start_ingest(
             spark,
             layout.bronze(entity.name),
             layout.raw(entity.name),
@@ -54,6 +56,10 @@ def ingest_feeds(spark: SparkSession, layout: Layout, run_ts: datetime | None =
             run_ts=run_ts,
             multi_line=layout.multi_line,
         )
+        for entity in FEEDS
+    ]
+    for stream in started:
+        stream.awaitTermination()
 
 
 def run_pipeline(
@@ -72,11 +78,15 @@ def run_pipeline(
     _check_run_time(spark, layout, run_ts)
     report = RunReport(run_ts)
     report.gate = gate_bronze(spark, layout) if full else gate_new_bronze(spark, layout)
-    for entity in MASTERS:
-        build.build_master(spark, layout, entity, run_ts)
-    ingest_feeds(spark, layout, run_ts)
-    build.build_dimensions(spark, layout)
-    report.late_days = build.build_fact_telemetry(spark, layout, full)
-    build.build_fact_orders(spark, layout, full)
+    masters = [partial(build.build_master, spark, layout, e, run_ts) for e in MASTERS]
+    run_together(spark, [*masters, partial(ingest_feeds, spark, layout, run_ts)])
+    _, report.late_days, _ = run_together(
+        spark,
+        [
+            partial(build.build_dimensions, spark, layout),
+            partial(build.build_fact_telemetry, spark, layout, full),
+            partial(build.build_fact_orders, spark, layout, full),
+        ],
+    )
     report.tests = require_passed(gold_tests(build.gold_tables(spark, layout)))
     return report

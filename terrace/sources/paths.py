@@ -23,6 +23,18 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def first_child(spark: SparkSession, path: str, prefix: str) -> str | None:
+    """One name below ``path`` that starts with ``prefix``, without walking the others."""
+    fs, target = _locate(spark, path)
+    if not fs.exists(target):
+        return None
+    for status in fs.listStatus(target):
+        name = status.getPath().getName()
+        if name.startswith(prefix):
+            return name
+    return None
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _locate(spark, path)
     fs.delete(target, True)

@@ -573,7 +573,8 @@ def backup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dim_vehicles": lambda: models.dim_vehicles(models.stg_vehicles(known)),
         "dim_drivers": lambda: models.dim_drivers(models.stg_drivers(drivers)),
     }
-    results = export_tables({n: (open_it, f"{root}/{n}") for n, open_it in tables.items()}, day)
+    targets = {n: (open_it, f"{root}/{n}") for n, open_it in tables.items()}
+    results = export_tables(spark, targets, day)
     exported = None
     for result in results:
         if result.status != "exported":

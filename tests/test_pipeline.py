@@ -16,6 +16,7 @@ from terrace.plans.pipeline import ingest_feeds, land_batches, land_masters, run
 from terrace.plans.views import register_views
 from terrace.schemas import VEHICLES
 from terrace.sources.paths import delete
+from terrace.together import run_together
 from tests.helpers import (
     driver,
     drivers,
@@ -259,7 +260,7 @@ def test_one_failing_table_does_not_stop_the_others(spark, tmp_path):
         "fine": (lambda: spark.range(3), str(tmp_path / "fine")),
     }
     with pytest.raises(BackupError, match="broken: no such table") as caught:
-        export_tables(tables, DAY1.date())
+        export_tables(spark, tables, DAY1.date())
     assert [(r.table, r.status, r.rows) for r in caught.value.results] == [
         ("broken", "failed", 0),
         ("fine", "exported", 3),
@@ -281,3 +282,15 @@ def test_models_as_sql_views(spark, layout):
     )
     assert rows(got) == [(1500, 1), (3000, 1)]
     assert spark.sql("select event_id from stg_telemetry").count() == 2
+
+
+def test_actions_side_by_side(spark):
+    assert run_together(spark, [lambda n=n: spark.range(n).count() for n in range(6)]) == [*range(6)]
+    done = []
+
+    def fail():
+        raise RuntimeError("first")
+
+    with pytest.raises(RuntimeError, match="first"):
+        run_together(spark, [fail, lambda: done.append(spark.range(5).count())])
+    assert done == [5]
