@@ -127,38 +127,40 @@ class KeyedTable:
         if not self.exists():
             self._write(self._gathered(incoming), "overwrite", replace="static")
             return
-        # Bucket numbers only: at most ``buckets`` integers reach the driver.
-        arriving = {r[0] for r in incoming.select(b).distinct().collect()}
-        replaced = self._buckets_holding(incoming, arriving)
+        # Row counts by bucket: at most ``buckets`` rows reach the driver.
+        arriving = {r[0]: r[1] for r in incoming.groupBy(b).count().collect()}
+        replaced = self._buckets_holding(incoming, sorted(arriving))
         if replaced:
             in_replaced = F.col(b).isin(sorted(replaced))
             kept = self._stored().where(in_replaced)
-            self._write(self._merged(kept, incoming.where(in_replaced)), "overwrite")
-        if untouched := arriving - replaced:
+            keys = sum(arriving[bucket] for bucket in replaced)
+            merged = self._merged(kept, incoming.where(in_replaced), keys)
+            self._write(merged, "overwrite")
+        if untouched := arriving.keys() - replaced:
             self._write(self._gathered(incoming.where(F.col(b).isin(sorted(untouched)))), "append")
 
     def compact(self) -> None:
         """Gather every bucket's rows into few files again."""
         self._write(self._gathered(self._stored()), "overwrite")
 
-    def _merged(self, kept: DataFrame, arriving: DataFrame) -> DataFrame:
+    def _merged(self, kept: DataFrame, arriving: DataFrame, keys: int) -> DataFrame:
         """``kept`` without the arriving keys, plus ``arriving``.
 
-        Few keys (counted, so the bound is known) are broadcast: stored rows then go from
+        Few keys (they are counted, so the bound is known) are broadcast: stored rows then go from
         file to file without a shuffle, since each scan task already reads few buckets.
         Many keys make it a shuffled anti-join, gathered by bucket before the write.
         """
-        if arriving.count() > self.broadcast_keys:
+        if keys > self.broadcast_keys:
             return self._gathered(merge_frames(kept, arriving, self.key))
         others = kept.join(F.broadcast(arriving.select(self.key)), self.key, "left_anti")
         return others.unionByName(self._gathered(arriving))
 
-    def _buckets_holding(self, incoming: DataFrame, arriving: set[int]) -> set[int]:
+    def _buckets_holding(self, incoming: DataFrame, arriving: list[int]) -> set[int]:
         """Buckets in which an incoming key is already stored. Reads the key column of the
         arriving buckets, nothing else."""
         hit = (
             self._stored()
-            .where(F.col(self.bucket_column).isin(sorted(arriving)))
+            .where(F.col(self.bucket_column).isin(arriving))
             .select(self.bucket_column, self.key)
             .join(incoming.select(self.key), self.key, "left_semi")
         )

@@ -102,7 +102,7 @@ def test_many_keys_are_shuffled_few_are_broadcast(spark, tmp_path):
         table = KeyedTable(spark, str(tmp_path / name), "k", 4, ["t"], broadcast_keys=limit)
         table.upsert(frame(spark, *[(f"k{i}", 1, "x") for i in range(40)]))
         kept, arriving = table._stored(), frame(spark, ("k3", 2, "y"))
-        text = plan(table._merged(kept, arriving.withColumn(table.bucket_column, F.lit(0))))
+        text = plan(table._merged(kept, arriving.withColumn(table.bucket_column, F.lit(0)), 1))
         physical = text[text.index("== Physical Plan ==") :]
         assert ("BroadcastHashJoin" in physical) or name == "many"
         table.upsert(frame(spark, *[(f"k{i}", 2, "y") for i in range(30, 50)]))
