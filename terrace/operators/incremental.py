@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -119,17 +119,21 @@ class KeyedTable:
         with staged(changes, "changes") as incoming:
             self.upsert_stored(incoming)
 
-    def upsert_stored(self, changes: DataFrame) -> None:
-        """Upsert rows that are unique by key and cheap to read more than once."""
+    def upsert_stored(self, changes: DataFrame, note: Column | None = None) -> list:
+        """Upsert rows that are unique by key and cheap to read more than once.
+
+        Returns the distinct values of ``note`` over the rows being replaced, as they were
+        before. It must have few values (days, say): they come to the driver.
+        """
         b = self.bucket_column
         bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
         incoming = changes.withColumn(b, bucket)
         if not self.exists():
             self._write(self._gathered(incoming), "overwrite", replace="static")
-            return
+            return []
         # Row counts by bucket: at most ``buckets`` rows reach the driver.
         arriving = {r[0]: r[1] for r in incoming.groupBy(b).count().collect()}
-        replaced = self._buckets_holding(incoming, sorted(arriving))
+        replaced, noted = self._stored_versions(incoming, sorted(arriving), note)
         if replaced:
             in_replaced = F.col(b).isin(sorted(replaced))
             kept = self._stored().where(in_replaced)
@@ -138,6 +142,7 @@ class KeyedTable:
             self._write(merged, "overwrite")
         if untouched := arriving.keys() - replaced:
             self._write(self._gathered(incoming.where(F.col(b).isin(sorted(untouched)))), "append")
+        return sorted(noted)
 
     def compact(self) -> None:
         """Gather every bucket's rows into few files again."""
@@ -155,13 +160,19 @@ class KeyedTable:
         others = kept.join(F.broadcast(arriving.select(self.key)), self.key, "left_anti")
         return others.unionByName(self._gathered(arriving))
 
-    def _buckets_holding(self, incoming: DataFrame, arriving: list[int]) -> set[int]:
-        """Buckets in which an incoming key is already stored. Reads the key column of the
-        arriving buckets, nothing else."""
+    def _stored_versions(
+        self, incoming: DataFrame, arriving: list[int], note: Column | None
+    ) -> tuple[set[int], list]:
+        """Buckets in which an incoming key is already stored, and the notes of those rows.
+
+        Reads the key (and the note's columns) of the arriving buckets, nothing else.
+        """
+        noted = F.lit(None) if note is None else note
         hit = (
             self._stored()
             .where(F.col(self.bucket_column).isin(arriving))
-            .select(self.bucket_column, self.key)
+            .select(F.col(self.bucket_column).alias("bucket"), self.key, noted.alias("note"))
             .join(incoming.select(self.key), self.key, "left_semi")
         )
-        return {r[0] for r in hit.select(self.bucket_column).distinct().collect()}
+        found = hit.agg(F.collect_set("bucket"), F.collect_set("note")).first()
+        return set(found[0]), found[1]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions.columns import within_day
 from terrace.schemas import INGESTION_COLUMN
-from terrace.sources.paths import exists
+from terrace.sources.paths import delete, exists
 
 INCREMENT_PARTITION = "ingestion_day"
 SNAPSHOT_PARTITION = "snapshot_date"
@@ -59,6 +60,27 @@ def export_increment(
     return _write_day(df.where(within_day(df, column, day)), path, partition, day)
 
 
+def refresh_increments(
+    df: DataFrame,
+    path: str,
+    days: Collection[date],
+    column: str = INGESTION_COLUMN,
+    partition: str = INCREMENT_PARTITION,
+) -> None:
+    """Bring several days of a history in line with the table as it is now.
+
+    One write replaces the days that still hold rows; days that lost their last row go.
+    """
+    if not days:
+        return
+    spark = df.sparkSession
+    dated = df.withColumn(partition, F.to_date(column)).where(F.col(partition).isin(*days))
+    write_partitioned(dated, path, partition)
+    held = {row[0] for row in dated.select(partition).distinct().collect()}
+    for day in set(days) - held:
+        delete(spark, f"{path}/{partition}={day.isoformat()}")
+
+
 def export_snapshot(
     df: DataFrame, path: str, day: date, partition: str = SNAPSHOT_PARTITION
 ) -> int:

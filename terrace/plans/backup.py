@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 from datetime import date
 from functools import partial
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrace.functions.columns import with_stored_keys
 from terrace.layout import Layout
-from terrace.operators.snapshots import export
+from terrace.operators.snapshots import export, refresh_increments
 from terrace.plans.build import gold_readers
 from terrace.together import run_together
 
@@ -56,28 +56,17 @@ def export_tables(
     return results
 
 
-FACTS = ("fact_orders", "fact_telemetry")
-DIMENSIONS = ("dim_vehicles", "dim_drivers")
-
-
-def run_backup(
-    spark: SparkSession,
-    layout: Layout,
-    day: date,
-    only: Collection[str] = (*FACTS, *DIMENSIONS),
-) -> list[ExportResult]:
-    """Facts as increments of ``day``, dimensions as snapshots dated ``day``.
-
-    Repeating a day replaces it; ``only=FACTS`` repeats an earlier day that gained late rows
-    and leaves its dimension snapshots as they were. Normalised keys are stored alongside,
-    so that metrics filter at the scan.
-    """
+def _sources(
+    spark: SparkSession, layout: Layout
+) -> dict[str, tuple[Callable[[], DataFrame], str]]:
+    """Table -> (open it, cold path). Normalised keys are stored alongside, so that metrics
+    filter at the scan."""
     gold = gold_readers(spark, layout)
 
     def keyed(name: str, *columns: str) -> Callable[[], DataFrame]:
         return lambda: with_stored_keys(gold[name](), *columns)
 
-    targets = {
+    return {
         "fact_orders": (gold["fact_orders"], layout.history("orders")),
         "fact_telemetry": (
             keyed("fact_telemetry", "vehicle_id", "delivery_status"),
@@ -89,4 +78,20 @@ def run_backup(
         ),
         "dim_drivers": (gold["dim_drivers"], layout.snapshots("dim_drivers")),
     }
-    return export_tables(spark, {name: targets[name] for name in targets if name in only}, day)
+
+
+def run_backup(spark: SparkSession, layout: Layout, day: date) -> list[ExportResult]:
+    """Facts as increments of ``day``, dimensions as snapshots dated ``day``. Repeating a day
+    replaces it."""
+    return export_tables(spark, _sources(spark, layout), day)
+
+
+def refresh_history(
+    spark: SparkSession, layout: Layout, changed_days: Mapping[str, Collection[date]]
+) -> None:
+    """Bring exported days in line with the facts after corrections and late rows, as listed
+    by a run's report. Every event is then in the history once, in its newest version."""
+    sources = _sources(spark, layout)
+    for name, days in changed_days.items():
+        open_table, path = sources[name]
+        refresh_increments(open_table(), path, days)

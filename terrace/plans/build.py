@@ -113,8 +113,8 @@ def build_fact_telemetry(spark: SparkSession, layout: Layout, full: bool = False
     vehicle was unknown so far, which count as soon as their vehicle appears. Progress is
     published last and names its pending version, so an interrupted run is simply redone.
 
-    Returns the earlier ingestion days that gained late rows; their cold exports are worth
-    repeating.
+    Returns the ingestion days whose stored rows changed: days that lost a row to a newer
+    version and days that gained a late one. Their cold increments are out of date.
     """
     fact = fact_table(spark, layout, "fact_telemetry")
     progress_path = layout.state("fact_telemetry_progress")
@@ -135,21 +135,24 @@ def build_fact_telemetry(spark: SparkSession, layout: Layout, full: bool = False
         if newest is None:
             return []
         known = judged.where(F.col(_KNOWN))
-        fact.upsert_stored(models.fact_telemetry(models.telemetry_columns(known)))
+        rows = models.fact_telemetry(models.telemetry_columns(known))
+        changed = fact.upsert_stored(rows, note=F.to_date(INGESTION_COLUMN))
         unknown = judged.where(~F.col(_KNOWN)).select(*TELEMETRY.raw_schema.names)
         pending_version = publish(unknown, pending_path)
-        late_days = [] if progress is None else _days_up_to(known, progress.processed_to)
+        if progress is not None:
+            changed += _days_up_to(known, progress.processed_to)
     if progress is not None:
         newest = max(newest, progress.processed_to)
     write_progress(spark, progress_path, Progress(newest, pending_version))
-    return late_days
+    return sorted(set(changed))
 
 
-def build_fact_orders(spark: SparkSession, layout: Layout, full: bool = False) -> None:
+def build_fact_orders(spark: SparkSession, layout: Layout, full: bool = False) -> list[date]:
     """Fold raw orders newer than the fact's watermark into the fact.
 
     Filtering before the dedup gives the rows filtering after it would: the version column
     is the watermark column, so a key's newest row passes exactly when any of its rows does.
+    Returns the ingestion days that lost a row to a newer version.
     """
     fact = fact_table(spark, layout, "fact_orders")
     progress_path = layout.state("fact_orders_progress")
@@ -163,9 +166,10 @@ def build_fact_orders(spark: SparkSession, layout: Layout, full: bool = False) -
     with staged(models.fact_orders(models.stg_orders(changes)), "orders") as staged_orders:
         newest = _newest(staged_orders)
         if newest is None:
-            return
-        fact.upsert_stored(staged_orders)
+            return []
+        changed = fact.upsert_stored(staged_orders, note=F.to_date(INGESTION_COLUMN))
     write_progress(spark, progress_path, Progress(newest, None))
+    return changed
 
 
 def gold_readers(spark: SparkSession, layout: Layout) -> dict[str, Callable[[], DataFrame]]:

@@ -25,7 +25,8 @@ class RunReport:
     run_ts: datetime
     gate: list[dict] = field(default_factory=list)
     tests: list[dict] = field(default_factory=list)
-    late_days: list[date] = field(default_factory=list)
+    # Fact -> days before this run whose stored rows changed.
+    changed_days: dict[str, list[date]] = field(default_factory=dict)
 
 
 def land_masters(layout: Layout, masters: Mapping[str, DataFrame], day: date) -> None:
@@ -80,7 +81,7 @@ def run_pipeline(
     report.gate = gate_bronze(spark, layout) if full else gate_new_bronze(spark, layout)
     masters = [partial(build.build_master, spark, layout, e, run_ts) for e in MASTERS]
     run_together(spark, [*masters, partial(ingest_feeds, spark, layout, run_ts)])
-    _, report.late_days, _ = run_together(
+    _, telemetry_days, order_days = run_together(
         spark,
         [
             partial(build.build_dimensions, spark, layout),
@@ -88,5 +89,7 @@ def run_pipeline(
             partial(build.build_fact_orders, spark, layout, full),
         ],
     )
+    for fact, days in (("fact_telemetry", telemetry_days), ("fact_orders", order_days)):
+        report.changed_days[fact] = [day for day in days if day < run_ts.date()]
     report.tests = require_passed(gold_tests(build.gold_tables(spark, layout)))
     return report

@@ -7,16 +7,19 @@ _FLEET_EVENTS = """
 """
 
 
-def _fleet(customers: str, where: str = "", reading: str = "e.value") -> str:
+def _fleet(customers: str, status: str | None = None, reading: str = "value") -> str:
+    kept = "" if status is None else f"WHERE trim(upper(event_type)) = trim(upper('{status}'))"
     return f"""
-        SELECT trim(upper(c.c_name)) AS vehicle_id,
-               c.c_acctbal AS capacity_kg,
-               CAST(count(e.ts) AS BIGINT) AS total_telemetry_events,
-               round(avg({reading}), 2) AS avg_cargo_temperature
-        FROM ({_FLEET_EVENTS}) e
-        JOIN ({customers}) c ON trim(upper(e.vehicle)) = trim(upper(c.c_name))
-        {where}
-        GROUP BY trim(upper(c.c_name)), c.c_acctbal
+        WITH readings AS (
+            SELECT trim(upper(vehicle)) AS vehicle_id, ts, {reading} AS reading
+            FROM ({_FLEET_EVENTS}) {kept}
+        ), fleet AS (
+            SELECT trim(upper(c_name)) AS vehicle_id, c_acctbal AS capacity_kg FROM ({customers})
+        )
+        SELECT vehicle_id, capacity_kg, count(ts) AS total_telemetry_events,
+               round(avg(reading), 2) AS avg_cargo_temperature
+        FROM readings JOIN fleet USING (vehicle_id)
+        GROUP BY ALL
         ORDER BY total_telemetry_events DESC, vehicle_id, capacity_kg
     """
 
@@ -250,17 +253,15 @@ _KEYED_UPSERT = """
 
 ORACLES: dict[str, str] = {
     "fleet_metrics": _fleet("SELECT * FROM customer"),
-    "fleet_metrics_status": _fleet(
-        "SELECT * FROM customer", "WHERE trim(upper(e.event_type)) = trim(upper(' Error '))"
-    ),
+    "fleet_metrics_status": _fleet("SELECT * FROM customer", status=" Error "),
     "fleet_metrics_all_snapshots": _fleet(
         "SELECT * FROM customer UNION ALL SELECT * FROM customer",
-        reading="CAST(round(e.value * 100) AS BIGINT)",
+        reading="CAST(round(value * 100) AS BIGINT)",
     ),
     "fleet_metrics_cold": _fleet(
         "SELECT * FROM customer",
-        "WHERE trim(upper(e.event_type)) = 'VIEW'",
-        reading="CAST(round(e.value * 100) AS BIGINT)",
+        status="view",
+        reading="CAST(round(value * 100) AS BIGINT)",
     ),
     "temperature_alerts": """
         SELECT user_id AS vehicle_id, CAST(count(*) AS BIGINT) AS total_alerts,

@@ -10,7 +10,7 @@ from terrace.layout import Layout
 from terrace.operators.quality import QualityGateError
 from terrace.operators.snapshots import read_history, read_snapshots
 from terrace.plans import build
-from terrace.plans.backup import FACTS, BackupError, export_tables, run_backup
+from terrace.plans.backup import BackupError, export_tables, refresh_history, run_backup
 from terrace.plans.metrics import as_records, fleet_metrics, temperature_alerts
 from terrace.plans.pipeline import ingest_feeds, land_batches, land_masters, run_pipeline
 from terrace.plans.views import register_views
@@ -100,7 +100,7 @@ def test_corrections_replace_and_late_vehicles_release_events(spark, layout):
         dispatches=[order("O-2", product="Pallet")],
     )
     report = run_pipeline(spark, layout, DAY2)
-    assert report.late_days == [DAY1.date()]
+    assert report.changed_days == {"fact_telemetry": [DAY1.date()], "fact_orders": [DAY1.date()]}
     fact = build.fact_table(spark, layout, "fact_telemetry").read()
     assert rows(fact.select("event_id", "vehicle_id", "temperature_alert_status")) == [
         ("E-1", "V-2", "CRITICAL_LOW"),
@@ -221,8 +221,8 @@ def test_backup_and_metrics(spark, layout):
             ("dim_vehicles", 2, "exported"),
             ("dim_drivers", 1, "exported"),
         ]
-    skipped = run_backup(spark, layout, date(2020, 1, 1), only=FACTS)
-    assert [(r.rows, r.status) for r in skipped] == [(0, "skipped"), (0, "skipped")]
+    older = run_backup(spark, layout, date(2020, 1, 1))
+    assert [(r.rows, r.status) for r in older][:2] == [(0, "skipped"), (0, "skipped")]
 
     history = read_history(spark, layout.history("telemetry"))
     fleet = read_snapshots(spark, layout.snapshots("dim_vehicles"), as_of=DAY1.date())
@@ -237,20 +237,48 @@ def test_backup_and_metrics(spark, layout):
     ]
 
 
-def test_late_day_can_be_exported_again(spark, layout):
+def test_history_follows_corrections_and_late_rows(spark, layout):
     first_load(spark, layout)
     run_pipeline(spark, layout, DAY1)
     run_backup(spark, layout, DAY1.date())
-    land(spark, layout, DAY2, fleet=[vehicle("V-9")])
+    land(
+        spark,
+        layout,
+        DAY2,
+        fleet=[vehicle("V-9")],
+        events=[event("E-1", "V-2"), event("E-3", "V-2")],
+        dispatches=[order("O-1"), order("O-2")],
+    )
     report = run_pipeline(spark, layout, DAY2)
-    for day in report.late_days:
-        run_backup(spark, layout, day, only=FACTS)
-    history = read_history(spark, layout.history("telemetry"))
-    assert sorted(r["event_id"] for r in history.collect()) == ["E-1", "E-2", "E-3"]
+    run_backup(spark, layout, DAY2.date())
+    telemetry_history = read_history(spark, layout.history("telemetry"))
+    assert telemetry_history.count() == 4
+    refresh_history(spark, layout, report.changed_days)
+    telemetry_history = read_history(spark, layout.history("telemetry"))
+    assert rows(telemetry_history.select("event_id", "ingestion_day")) == [
+        ("E-1", DAY2.date()),
+        ("E-2", DAY1.date()),
+        ("E-3", DAY2.date()),
+    ]
+    # Both orders moved on, so their first day holds nothing any more.
+    order_history = read_history(spark, layout.history("orders"))
+    assert rows(order_history.select("order_id", "ingestion_day")) == [
+        ("O-1", DAY2.date()),
+        ("O-2", DAY2.date()),
+    ]
     dims = read_snapshots(spark, layout.snapshots("dim_vehicles"), as_of=DAY1.date())
     assert dims.count() == 2
 
 
+def test_facts_of_a_departed_vehicle_stay_and_fail_the_reference_test(spark, layout):
+    first_load(spark, layout)
+    run_pipeline(spark, layout, DAY1)
+    land_masters(layout, {"vehicles": vehicles(spark, vehicle("V-1"))}, DAY1.date())
+    with pytest.raises(QualityGateError, match=r"relationships\(fact_telemetry.vehicle_id\): 1"):
+        run_pipeline(spark, layout, DAY2)
+    assert ids(spark, layout) == ["E-1", "E-3"]
+
+
 def test_one_failing_table_does_not_stop_the_others(spark, tmp_path):
     def broken():
         raise RuntimeError("no such table")
