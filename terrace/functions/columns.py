@@ -81,6 +81,16 @@ def band(
     )
 
 
+def round_scaled(c: Column | str, digits: int = 2) -> Column:
+    """Scale, round half away from zero, scale back: the rounding of the metric results.
+
+    ``F.round`` goes by the decimal text instead and differs next to ties: 1.005 becomes
+    1.01 there and 1.0 here, 29.044999999999998 becomes 29.04 there and 29.05 here.
+    """
+    scale = F.lit(float(10**digits))
+    return F.round(_col(c) * scale) / scale
+
+
 def instant(value: date | datetime | str, like: T.DataType) -> Column:
     """A literal of the column's own time type, so the comparison is pushed to the scan."""
     text = value if isinstance(value, str) else value.isoformat()

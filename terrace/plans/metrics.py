@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.functions.columns import ALERT_TEMPERATURE, normkey, stored_key
+from terrace.functions.columns import ALERT_TEMPERATURE, normkey, round_scaled, stored_key
 
 
 def fleet_metrics(
@@ -44,7 +44,7 @@ def fleet_metrics(
         .groupBy("vehicle_id", "capacity_kg")
         .agg(
             F.sum("events").alias("total_telemetry_events"),
-            F.round(mean, 2).alias("avg_cargo_temperature"),
+            round_scaled(mean).alias("avg_cargo_temperature"),
         )
         .orderBy(F.desc_nulls_last("total_telemetry_events"), "vehicle_id", "capacity_kg")
     )
@@ -62,7 +62,7 @@ def temperature_alerts(
         .groupBy(F.col(vehicle_column).alias("vehicle_id"))
         .agg(
             F.count(F.lit(1)).alias("total_alerts"),
-            F.round(F.avg(temperature_column), 2).alias("alert_avg_temperature"),
+            round_scaled(F.avg(temperature_column)).alias("alert_avg_temperature"),
         )
         .orderBy(F.desc_nulls_last("total_alerts"), "vehicle_id")
     )

@@ -16,6 +16,7 @@ from terrace.functions.columns import (
     instant,
     normkey,
     prior_day,
+    round_scaled,
     with_stored_keys,
 )
 from terrace.layout import Layout
@@ -197,7 +198,7 @@ def key_normalisation(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.initcap("event_type"), F.lit(" "))
     )
     return events.groupBy(normkey(spelled).alias("status_key")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 2).alias("avg_value")
+        F.count(F.lit(1)).alias("n"), round_scaled(F.avg("value")).alias("avg_value")
     )
 
 

@@ -14,6 +14,7 @@ from terrace.functions.columns import (
     day_stamp,
     normkey,
     prior_day,
+    round_scaled,
     stamp,
     stored_key,
     with_stored_keys,
@@ -77,6 +78,22 @@ def test_band_limits_are_parameters(spark):
     assert one(spark, band(F.lit(12.01), high=12.0)) == "CRITICAL_HIGH"
 
 
+@pytest.mark.parametrize(
+    ("value", "rounded"),
+    [
+        (1.005, 1.0),
+        (29.044999999999998, 29.05),
+        (4563.525, 4563.52),
+        (0.125, 0.13),
+        (-0.125, -0.13),
+        (7.0, 7.0),
+        (None, None),
+    ],
+)
+def test_rounding_of_the_scaled_value(spark, value, rounded):
+    assert one(spark, round_scaled(F.lit(value).cast("double"))) == rounded
+
+
 def test_normkey(spark):
     assert one(spark, normkey(F.lit("  v-10 "))) == "V-10"
 
