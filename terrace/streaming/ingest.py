@@ -40,12 +40,17 @@ def read_stream(
     multi_line: bool = False,
     max_files_per_trigger: int | None = None,
     max_file_age: str = MAX_FILE_AGE,
+    archive: str | None = None,
 ) -> DataFrame:
+    """``archive`` moves files there once their batch is safe, so that the folder to list stays
+    small over the years."""
     reader = spark.readStream.schema(with_corrupt_column(entity.bronze_schema)).options(
         **reader_options(multi_line), maxFileAge=max_file_age
     )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.json(path)
 
 
@@ -85,11 +90,14 @@ def start_ingest(
     multi_line: bool = False,
     max_files_per_trigger: int | None = None,
     suppression: ResendSuppression | None = None,
+    archive: str | None = None,
 ) -> StreamingQuery:
     """Append new bronze files to the raw table. Without ``every`` the query takes what is
     there and stops; with it (say ``"10 minutes"``) the query runs at that cadence."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    rows = read_stream(spark, source, entity, multi_line, max_files_per_trigger)
+    rows = read_stream(
+        spark, source, entity, multi_line, max_files_per_trigger, archive=archive
+    )
     return (
         clean_stream(rows, entity, run_ts, suppression)
         .writeStream.format("parquet")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,3 +127,15 @@ def test_resends_are_kept_unless_suppressed(spark, layout):
         ("E-2", "V-1"),
         ("E-3", "V-1"),
     ]
+
+
+def test_taken_files_move_to_the_archive(spark, layout, tmp_path):
+    archive = tmp_path / "archive"
+    bronze = Path(layout.bronze("telemetry"))
+    for hour in range(3):
+        land(spark, layout, datetime(2024, 1, 1, hour), event(f"E-{hour}", "V-1"))
+        ingest(spark, layout, datetime(2024, 1, 2, hour), archive=str(archive))
+    kept = {f.parent.name for f in bronze.rglob("*.json")}
+    moved = {f.parent.name for f in archive.rglob("*.json")}
+    assert moved and not moved & kept and len(moved | kept) == 3
+    assert raw(spark, layout).count() == 3
