@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from terrace.functions.columns import ALERT_TEMPERATURE, normkey, round_scaled, stored_key
 
 
+def _ranked(metric: DataFrame, measure: str, *keys: str) -> DataFrame:
+    """Sorted by the measure, greatest first, in a total order.
+
+    A global sort samples its input before sorting it. Rebalancing first lets the sample read
+    finished rows; otherwise the join and aggregate below would run twice.
+    """
+    return metric.hint("rebalance").orderBy(F.desc_nulls_last(measure), *keys)
+
+
 def fleet_metrics(
     facts: DataFrame,
     vehicles: DataFrame,
@@ -39,15 +48,15 @@ def fleet_metrics(
         F.col(capacity_column).alias("capacity_kg"),
     )
     mean = F.try_divide(F.sum("temp_sum"), F.sum("temp_count"))
-    return (
+    metric = (
         per_vehicle.join(fleet, "vehicle_id")
         .groupBy("vehicle_id", "capacity_kg")
         .agg(
             F.sum("events").alias("total_telemetry_events"),
             round_scaled(mean).alias("avg_cargo_temperature"),
         )
-        .orderBy(F.desc_nulls_last("total_telemetry_events"), "vehicle_id", "capacity_kg")
     )
+    return _ranked(metric, "total_telemetry_events", "vehicle_id", "capacity_kg")
 
 
 def temperature_alerts(
@@ -57,15 +66,15 @@ def temperature_alerts(
     temperature_column: str = "cargo_temp_c",
 ) -> DataFrame:
     """Readings above the limit per vehicle, most first."""
-    return (
+    metric = (
         facts.where(F.col(temperature_column) > F.lit(limit))
         .groupBy(F.col(vehicle_column).alias("vehicle_id"))
         .agg(
             F.count(F.lit(1)).alias("total_alerts"),
             round_scaled(F.avg(temperature_column)).alias("alert_avg_temperature"),
         )
-        .orderBy(F.desc_nulls_last("total_alerts"), "vehicle_id")
     )
+    return _ranked(metric, "total_alerts", "vehicle_id")
 
 
 def as_records(metric: DataFrame) -> DataFrame:

@@ -125,3 +125,10 @@ def test_alert_limit_reaches_the_scan(spark, tmp_path):
     text = plan(temperature_alerts(spark.read.parquet(str(tmp_path / "f"))))
     assert "GreaterThan(cargo_temp_c,12.0)" in text
     assert "ReadSchema: struct<vehicle_id:string,cargo_temp_c:float>" in text
+
+
+def test_sort_samples_finished_rows(spark):
+    text = plan(temperature_alerts(facts(spark)))
+    physical = text[text.index("== Physical Plan ==") :]
+    sort, rebalance = physical.index("rangepartitioning"), physical.index("REBALANCE_PARTITIONS")
+    assert sort < rebalance < physical.index("HashAggregate")
