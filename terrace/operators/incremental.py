@@ -14,6 +14,8 @@ from terrace.sources.paths import exists, first_child
 from terrace.staging import staged
 
 _BUCKET_PREFIX = "bucket_of_"
+# What a key costs in a broadcast table besides its own bytes, on the safe side.
+_KEY_OVERHEAD_BYTES = 64
 
 
 def watermark(target: DataFrame, column: str, default: str = WATERMARK_DEFAULT) -> DataFrame:
@@ -57,7 +59,7 @@ class KeyedTable:
         key: str,
         buckets: int,
         cluster_by: Sequence[str] = (),
-        broadcast_keys: int = 500_000,
+        broadcast_bytes: int = 64 << 20,
         schema: T.StructType | None = None,
     ):
         self.spark = spark
@@ -65,7 +67,7 @@ class KeyedTable:
         self.key = key
         self.buckets = buckets
         self.cluster_by = list(cluster_by)
-        self.broadcast_keys = broadcast_keys
+        self.broadcast_bytes = broadcast_bytes
         # With a schema the table can be read before it holds rows, and without a footer scan.
         self.schema = schema
         # The column name carries the bucket count: opening a table with another one fails.
@@ -131,14 +133,16 @@ class KeyedTable:
         if not self.exists():
             self._write(self._gathered(incoming), "overwrite", replace="static")
             return []
-        # Row counts by bucket: at most ``buckets`` rows reach the driver.
-        arriving = {r[0]: r[1] for r in incoming.groupBy(b).count().collect()}
+        # Key sizes by bucket: at most ``buckets`` rows reach the driver.
+        key_bytes = F.octet_length(F.coalesce(F.col(self.key).cast("string"), F.lit("")))
+        sizes = incoming.groupBy(b).agg(F.sum(key_bytes + _KEY_OVERHEAD_BYTES))
+        arriving = {r[0]: r[1] for r in sizes.collect()}
         replaced, noted = self._stored_versions(incoming, sorted(arriving), note)
         if replaced:
             in_replaced = F.col(b).isin(sorted(replaced))
             kept = self._stored().where(in_replaced)
-            keys = sum(arriving[bucket] for bucket in replaced)
-            merged = self._merged(kept, incoming.where(in_replaced), keys)
+            size = sum(arriving[bucket] for bucket in replaced)
+            merged = self._merged(kept, incoming.where(in_replaced), size)
             self._write(merged, "overwrite")
         if untouched := arriving.keys() - replaced:
             self._write(self._gathered(incoming.where(F.col(b).isin(sorted(untouched)))), "append")
@@ -148,14 +152,14 @@ class KeyedTable:
         """Gather every bucket's rows into few files again."""
         self._write(self._gathered(self._stored()), "overwrite")
 
-    def _merged(self, kept: DataFrame, arriving: DataFrame, keys: int) -> DataFrame:
+    def _merged(self, kept: DataFrame, arriving: DataFrame, size: int) -> DataFrame:
         """``kept`` without the arriving keys, plus ``arriving``.
 
-        Few keys (they are counted, so the bound is known) are broadcast: stored rows then go from
+        Few keys (``size`` is their measured bytes) are broadcast: stored rows then go from
         file to file without a shuffle, since each scan task already reads few buckets.
         Many keys make it a shuffled anti-join, gathered by bucket before the write.
         """
-        if keys > self.broadcast_keys:
+        if size > self.broadcast_bytes:
             return self._gathered(merge_frames(kept, arriving, self.key))
         others = kept.join(F.broadcast(arriving.select(self.key)), self.key, "left_anti")
         return others.unionByName(self._gathered(arriving))

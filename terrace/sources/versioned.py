@@ -20,12 +20,15 @@ def versions(spark: SparkSession, path: str) -> list[str]:
 
 
 def publish(df: DataFrame, path: str, keep: int = 2) -> str:
-    """Write ``df`` as the newest version and expire all but the ``keep`` newest."""
+    """Write ``df`` as the newest version and expire what is older than the ``keep`` newest,
+    unfinished leftovers of dead runs included."""
     spark = df.sparkSession
     version = f"{_PREFIX}{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
     df.write.parquet(f"{path}/{version}")
-    for old in versions(spark, path)[:-keep]:
-        delete(spark, f"{path}/{old}")
+    oldest_kept = versions(spark, path)[-keep:][0]
+    for name in children(spark, path):
+        if name.startswith(_PREFIX) and name < oldest_kept:
+            delete(spark, f"{path}/{name}")
     return version
 
 

@@ -98,8 +98,8 @@ def test_first_load_without_rows(spark, tmp_path):
 
 def test_many_keys_are_shuffled_few_are_broadcast(spark, tmp_path):
     """Both ways of replacing rows give the same table."""
-    for name, limit in (("few", 500_000), ("many", 0)):
-        table = KeyedTable(spark, str(tmp_path / name), "k", 4, ["t"], broadcast_keys=limit)
+    for name, limit in (("few", 1 << 20), ("many", 0)):
+        table = KeyedTable(spark, str(tmp_path / name), "k", 4, ["t"], broadcast_bytes=limit)
         table.upsert(frame(spark, *[(f"k{i}", 1, "x") for i in range(40)]))
         kept, arriving = table._stored(), frame(spark, ("k3", 2, "y"))
         text = plan(table._merged(kept, arriving.withColumn(table.bucket_column, F.lit(0)), 1))

@@ -139,6 +139,13 @@ def test_unfinished_version_is_not_read(spark, tmp_path):
     assert read_current(spark, path).count() == 3
 
 
+def test_leftovers_of_dead_builds_expire(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    write_text(tmp_path / "dim" / "version_00000000000000000001_dead" / "part-0.parquet", "junk")
+    publish(spark.range(3), path)
+    assert [f.name for f in (tmp_path / "dim").iterdir()] == versions(spark, path)
+
+
 def test_table_can_be_rebuilt_from_itself(spark, tmp_path):
     path = str(tmp_path / "dim")
     publish(spark.range(3), path)
