@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from terrace.functions.columns import instant
 from terrace.layout import Layout
 from terrace.operators.incremental import KeyedTable, changes_since
-from terrace.operators.joins import flag_known
+from terrace.operators.joins import flag_known, orphans, referential_filter
 from terrace.plans import models
 from terrace.plans.silver import clean
 from terrace.schemas import DRIVERS, INGESTION_COLUMN, ORDERS, TELEMETRY, VEHICLES, Entity
 from terrace.sources.json_batches import read_json_batches, split_corrupt, with_source_day
+from terrace.sources.paths import children, delete, exists
 from terrace.sources.versioned import is_published, publish, read_current, read_version
 from terrace.staging import staged
 from terrace.streaming.ingest import read_raw
@@ -27,31 +28,33 @@ _KNOWN = "_vehicle_known"
 
 @dataclass(frozen=True)
 class Progress:
-    """How far raw has been folded into a fact, and which pending rows belong to that point."""
+    """How far raw has been folded into a fact and, for telemetry, what goes with that point:
+    the folder of pending rows and the version of the known vehicles."""
 
     processed_to: datetime
-    pending_version: str | None
+    pending: str | None = None
+    known: str | None = None
 
 
 def read_progress(spark: SparkSession, path: str) -> Progress | None:
     if not is_published(spark, path):
         return None
     row = read_current(spark, path).first()
-    return Progress(datetime.fromisoformat(row["processed_to"]), row["pending_version"])
+    return Progress(datetime.fromisoformat(row["processed_to"]), row["pending"], row["known"])
 
 
 def write_progress(spark: SparkSession, path: str, progress: Progress) -> None:
     row = spark.range(0, 1, 1, 1).select(
         F.lit(progress.processed_to.isoformat(sep=" ")).alias("processed_to"),
-        F.lit(progress.pending_version).cast("string").alias("pending_version"),
+        F.lit(progress.pending).cast("string").alias("pending"),
+        F.lit(progress.known).cast("string").alias("known"),
     )
     publish(row, path)
 
 
-def _days_up_to(df: DataFrame, last: datetime) -> list[date]:
-    """Distinct ingestion days not after ``last``: a handful of dates, never rows."""
-    seen = df.where(F.col(INGESTION_COLUMN) <= instant(last, T.TimestampType()))
-    days = seen.select(F.to_date(INGESTION_COLUMN).alias("day")).distinct().orderBy("day")
+def _days(df: DataFrame) -> list[date]:
+    """Distinct ingestion days: a handful of dates, never rows."""
+    days = df.select(F.to_date(INGESTION_COLUMN).alias("day")).distinct()
     return [row["day"] for row in days.collect()]
 
 
@@ -108,43 +111,87 @@ def fact_table(spark: SparkSession, layout: Layout, name: str) -> KeyedTable:
 def build_fact_telemetry(spark: SparkSession, layout: Layout, full: bool = False) -> list[date]:
     """Fold raw telemetry into the fact.
 
-    The full form merges every raw row again. The default gives the same fact from the
-    rows that arrived since the last run plus the *pending* ones: latest versions whose
-    vehicle was unknown so far, which count as soon as their vehicle appears. Progress is
-    published last and names its pending version, so an interrupted run is simply redone.
+    The full form merges every raw row again. The default gives the same fact from the rows
+    that arrived since the last run. Latest versions naming an unknown vehicle are set aside
+    as *pending* and looked at again only when vehicles appear that were not known before.
+    Progress is published last and names what belongs to it, so an interrupted run is redone.
 
     Returns the ingestion days whose stored rows changed: days that lost a row to a newer
     version and days that gained a late one. Their cold increments are out of date.
     """
     fact = fact_table(spark, layout, "fact_telemetry")
     progress_path = layout.state("fact_telemetry_progress")
-    pending_path = layout.state("fact_telemetry_pending")
-    vehicles = read_current(spark, layout.raw(VEHICLES.name))
+    pending_root = layout.state("fact_telemetry_pending")
+    known_path = layout.state("fact_telemetry_vehicles")
+    vehicles = read_current(spark, layout.raw(VEHICLES.name)).select("vehicle_id")
 
     progress = None if full or not fact.exists() else read_progress(spark, progress_path)
-    if progress is None:
-        candidates = read_raw(spark, layout.raw(TELEMETRY.name), TELEMETRY)
-    else:
-        fresh = read_raw(spark, layout.raw(TELEMETRY.name), TELEMETRY, progress.processed_to)
-        pending = read_version(spark, pending_path, progress.pending_version)
-        candidates = fresh.unionByName(pending)
-
-    latest = models.latest_telemetry(candidates)
-    with staged(flag_known(latest, vehicles, "vehicle_id", _KNOWN), "telemetry") as judged:
+    since = progress.processed_to if progress else None
+    fresh = read_raw(spark, layout.raw(TELEMETRY.name), TELEMETRY, since)
+    latest = models.latest_telemetry(fresh)
+    with ExitStack() as tables:
+        judged = tables.enter_context(
+            staged(flag_known(latest, vehicles, "vehicle_id", _KNOWN), "telemetry")
+        )
         newest = _newest(judged)
-        if newest is None:
+        if progress is None and newest is None:
             return []
-        known = judged.where(F.col(_KNOWN))
-        rows = models.fact_telemetry(models.telemetry_columns(known))
-        changed = fact.upsert_stored(rows, note=F.to_date(INGESTION_COLUMN))
-        unknown = judged.where(~F.col(_KNOWN)).select(*TELEMETRY.raw_schema.names)
-        pending_version = publish(unknown, pending_path)
+        accepted = judged.where(F.col(_KNOWN)).drop(_KNOWN)
+        late_days: list[date] = []
         if progress is not None:
-            changed += _days_up_to(known, progress.processed_to)
-    if progress is not None:
-        newest = max(newest, progress.processed_to)
-    write_progress(spark, progress_path, Progress(newest, pending_version))
-    return sorted(set(changed))
+            appeared = orphans(vehicles, read_version(spark, known_path, progress.known), "vehicle_id")
+            pending = f"{pending_root}/{progress.pending}"
+            if exists(spark, f"{pending}/_SUCCESS") and not appeared.isEmpty():
+                set_aside = spark.read.schema(TELEMETRY.raw_schema).parquet(pending)
+                released = tables.enter_context(
+                    _released(set_aside, appeared, vehicles, judged, fact)
+                )
+                late_days = _days(released)
+                accepted = accepted.unionByName(released)
+        rows = models.fact_telemetry(models.telemetry_columns(accepted))
+        changed = fact.upsert_stored(rows, note=F.to_date(INGESTION_COLUMN))
+        # A full merge starts a pending folder of its own; the old one goes with its progress.
+        pending_name = progress.pending if progress else uuid.uuid4().hex
+        unknown = judged.where(~F.col(_KNOWN)).drop(_KNOWN)
+        unknown.write.mode("append").parquet(f"{pending_root}/{pending_name}")
+    known = publish(vehicles, known_path, protect=progress.known if progress else None)
+    reached = max(t for t in (newest, since) if t is not None)
+    write_progress(spark, progress_path, Progress(reached, pending_name, known))
+    for name in children(spark, pending_root):
+        if name != pending_name:
+            delete(spark, f"{pending_root}/{name}")
+    return sorted({*changed, *late_days})
+
+
+@contextmanager
+def _released(
+    pending: DataFrame,
+    appeared: DataFrame,
+    vehicles: DataFrame,
+    fresh: DataFrame,
+    fact: KeyedTable,
+) -> Iterator[DataFrame]:
+    """Pending rows that count now that their vehicle has appeared.
+
+    A row counts if it is its event's newest version: of the pending ones, not overtaken by
+    the fresh rows, and newer than what the fact holds. The fact is met by inner join, so
+    that the few rows in question can be broadcast and the fact is not shuffled.
+    """
+    key = TELEMETRY.key
+    events = referential_filter(pending, appeared, "vehicle_id").select(key).distinct()
+    newest = models.latest_telemetry(referential_filter(pending, events, key))
+    waiting = referential_filter(newest, vehicles, "vehicle_id").join(
+        fresh.select(key), key, "left_anti"
+    )
+    with staged(waiting.select(*TELEMETRY.raw_schema.names), "released") as candidates:
+        merged = fact.read().select(key, F.col(INGESTION_COLUMN).alias("merged_at"))
+        overtaken = (
+            merged.join(candidates.select(key, INGESTION_COLUMN), key)
+            .where(F.col("merged_at") >= F.col(INGESTION_COLUMN))
+            .select(key)
+        )
+        with staged(candidates.join(overtaken, key, "left_anti"), "late") as late:
+            yield late.select(*TELEMETRY.raw_schema.names)
 
 
 def build_fact_orders(spark: SparkSession, layout: Layout, full: bool = False) -> list[date]:
@@ -168,7 +215,7 @@ def build_fact_orders(spark: SparkSession, layout: Layout, full: bool = False) -
         if newest is None:
             return []
         changed = fact.upsert_stored(staged_orders, note=F.to_date(INGESTION_COLUMN))
-    write_progress(spark, progress_path, Progress(newest, None))
+    write_progress(spark, progress_path, Progress(newest))
     return changed
 
 

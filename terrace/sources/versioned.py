@@ -19,15 +19,15 @@ def versions(spark: SparkSession, path: str) -> list[str]:
     return [n for n in names if exists(spark, f"{path}/{n}/_SUCCESS")]
 
 
-def publish(df: DataFrame, path: str, keep: int = 2) -> str:
+def publish(df: DataFrame, path: str, keep: int = 2, protect: str | None = None) -> str:
     """Write ``df`` as the newest version and expire what is older than the ``keep`` newest,
-    unfinished leftovers of dead runs included."""
+    unfinished leftovers of dead runs included. A version named by ``protect`` stays."""
     spark = df.sparkSession
     version = f"{_PREFIX}{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
     df.write.parquet(f"{path}/{version}")
     oldest_kept = versions(spark, path)[-keep:][0]
     for name in children(spark, path):
-        if name.startswith(_PREFIX) and name < oldest_kept:
+        if name.startswith(_PREFIX) and name < oldest_kept and name != protect:
             delete(spark, f"{path}/{name}")
     return version
 
