@@ -4,24 +4,98 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import exact_dedup
+from terrace.llm import exact_dedup, mixing, sharding, token_counts, warc
+from terrace.staging import new_folder
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path(TOKENIZER),
+        cache=new_folder(spark, "token-cache"),
+    )
+
+
+def op5_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_table(_table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(_table(spark, sf_dir, "documents"))
 
 
+def op9_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    equal = {shard: 1.0 for shard in range(8)}
+    return sharding.shard_documents(_table(spark, sf_dir, "documents"), equal)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc_round_trip": op2_warc_round_trip,
+    "op4_token_counts": op4_token_counts,
+    "op5_fair_mix": op5_fair_mix,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_rendezvous_shards": op9_rendezvous_shards,
 }
 
 LLM_ORACLES: dict[str, str] = {
+    "op2_warc_round_trip": r"""
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages
+        ), g AS (
+            SELECT page_id, strlen(payload) AS payload_bytes,
+                   array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+                       (('0x' || substr(h, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::BIGINT, 1)), '') AS payload_digest,
+                   min(page_id) OVER (PARTITION BY payload) AS first_id
+            FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to, true AS complete
+        FROM g
+    """,
+    "op5_fair_mix": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+                   coalesce('0' || source, '1') AS src,
+                   md5('17|' || coalesce(doc_id::VARCHAR, '\N') || '|' || md5(coalesce(text, ''))) AS k
+            FROM documents
+        ), s AS (
+            SELECT src, sum(size)::BIGINT AS source_size,
+                   [3.0, 1.0, 2.0][1 + ((row_number() OVER (ORDER BY src) - 1) % 3)]::DOUBLE AS w
+            FROM d GROUP BY src
+        ), c AS (SELECT *, source_size * 2.0::DOUBLE AS cap, source_size * 2.0::DOUBLE / w AS e FROM s),
+        l AS (
+            SELECT *, (sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE AS budget,
+                   coalesce(sum(cap) OVER (ORDER BY e, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used,
+                   sum(w) OVER (ORDER BY e, src ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open
+            FROM c
+        ), f AS (
+            SELECT src, (budget - used) / open AS level FROM l
+            WHERE (budget - used) / open <= e ORDER BY e, src LIMIT 1
+        ), t AS (SELECT src, source_size, least(cap, w * level) AS target FROM c, (SELECT level FROM f)),
+        q AS (
+            SELECT d.*, source_size, target, floor(target)::BIGINT AS goal,
+                   coalesce(sum(size) OVER (PARTITION BY src ORDER BY k, doc_id, size
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+            FROM d JOIN t USING (src)
+        )
+        SELECT doc_id, size, source_size, target,
+               greatest(0, least(size, goal - start)) + greatest(0, least(size, goal - source_size - start)) AS taken
+        FROM q
+    """,
     "op8_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content,
@@ -34,4 +108,31 @@ LLM_ORACLES: dict[str, str] = {
         )
         SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(content) AS text_sha256 FROM g
     """,
+    "op9_rendezvous_shards": r"""
+        WITH d AS (
+            SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size,
+                   md5(coalesce(doc_id::VARCHAR, '\N') || '|' || md5(coalesce(text, ''))) AS k,
+                   regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS bytes,
+                   list_transform(range(9), lambda s: -1.0::DOUBLE / ln((
+                       ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '\N') || '|' || s), 1, 13))::BIGINT + 0.5::DOUBLE
+                   ) / 4503599627370496.0::DOUBLE)) AS score
+            FROM documents
+        ), crc_table AS (
+            SELECT list(r ORDER BY b) AS table_of FROM (
+                SELECT b, list_reduce(list_prepend(b, range(8)), lambda r, i:
+                    CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END) AS r
+                FROM (SELECT unnest(range(256)) AS b))
+        ), n AS (
+            SELECT doc_id, size, k,
+                   xor(list_reduce(list_prepend(4294967295, list_transform(bytes, lambda x: ('0x' || x)::BIGINT)),
+                       lambda r, b: xor(r >> 8, table_of[1 + (xor(r, b) & 255)])), 4294967295) AS text_crc32,
+                   list_position(score[1:8], list_max(score[1:8])) - 1 AS shard,
+                   list_position(score, list_max(score)) - 1 AS grown_shard
+            FROM d, crc_table
+        )
+        SELECT doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
+               row_number() OVER (PARTITION BY shard ORDER BY k, doc_id) - 1 AS slot,
+               grown_shard::INTEGER AS grown_shard
+        FROM n
+    """,
 }
