@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import exact_dedup, mixing, sharding, token_counts, warc
+from terrace.llm import exact_dedup, language_id, mixing, sharding, token_counts, warc
 from terrace.staging import new_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -33,6 +33,11 @@ def op5_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(_table(spark, sf_dir, "documents"))
 
 
+def op6_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return language_id.predict(documents, language_id.fit(documents))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(_table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_round_trip": op2_warc_round_trip,
     "op4_token_counts": op4_token_counts,
     "op5_fair_mix": op5_fair_mix,
+    "op6_compression_language": op6_compression_language,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_rendezvous_shards": op9_rendezvous_shards,
 }
