@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import exact_dedup, language_id, mixing, sharding, token_counts, warc
+from terrace.llm import exact_dedup, language_id, mixing, order_minhash, sharding, token_counts, vector_forest, warc
 from terrace.staging import new_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -38,6 +38,10 @@ def op6_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(documents, language_id.fit(documents))
 
 
+def op7_vector_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_forest.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(_table(spark, sf_dir, "documents"))
 
@@ -47,13 +51,19 @@ def op9_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), equal)
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_classes(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_round_trip": op2_warc_round_trip,
     "op4_token_counts": op4_token_counts,
     "op5_fair_mix": op5_fair_mix,
     "op6_compression_language": op6_compression_language,
+    "op7_vector_forest": op7_vector_forest,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_rendezvous_shards": op9_rendezvous_shards,
+    "op10_order_minhash": op10_order_minhash,
 }
 
 LLM_ORACLES: dict[str, str] = {
