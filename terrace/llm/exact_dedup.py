@@ -62,11 +62,12 @@ def _repeated(hashes: DataFrame) -> DataFrame:
     return hashes.groupBy("hash").count().where("count > 1").select("hash")
 
 
-def _copies(rows: DataFrame, repeated: DataFrame, salts: int) -> DataFrame:
+def _copies(rows: DataFrame, repeated: DataFrame, salts: int, scratch: Scratch) -> DataFrame:
     """Rows that share their hash with another, with the winner of their content. ``is_best``
     marks the row that stays, and rows that agree with it in id and text."""
     some = rows.join(repeated, "hash", "left_semi").withColumn("digest", F.sha2("content", 256))
-    best = winners(some, salts)
+    # Written, so that both sides of the join are plain shuffles, which Spark can split.
+    best = scratch.keep(winners(some, salts), "winners")
     met = some.join(best, ["digest", "content"])
     return met.withColumn("is_best", _better() == F.col("best"))
 
@@ -89,7 +90,7 @@ def copy_groups(
             "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
             F.lit(True).alias("kept"), "digest",
         )
-        met = _copies(rows.drop("row"), repeated, salts).drop("content", "points")
+        met = _copies(rows.drop("row"), repeated, salts, scratch).drop("content", "points")
         copies = met.select(
             "id", F.bitwise_not("best.inverse").alias("keep_id"), "group_size",
             (F.col("is_best") & _first_of("digest", "id", "is_best")).alias("kept"), "digest",
@@ -108,6 +109,6 @@ def survivors(
         rows = _rows(df, id_col, text_col)
         repeated = scratch.keep(_repeated(rows.select("hash")), "repeated")
         single = rows.join(repeated, "hash", "left_anti").select("row")
-        best = _copies(rows, repeated, salts).where("is_best")
+        best = _copies(rows, repeated, salts, scratch).where("is_best")
         one = best.withColumn("first", _first_of("digest", "content")).where("first").select("row")
         return scratch.result(single.unionByName(one).select("row.*"), "survivors")
