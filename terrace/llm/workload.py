@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import exact_dedup, language_id, mixing, order_minhash, sharding, token_counts, vector_forest, warc
+from terrace.llm import exact_dedup, language_id, mixing, order_minhash, packing, sharding, token_counts, vector_forest, warc
 from terrace.staging import new_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -21,6 +21,11 @@ def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op3_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return packing.piece_table(documents, public_tokenizers.path(TOKENIZER))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(
         _table(spark, sf_dir, "documents"),
@@ -57,6 +62,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_round_trip": op2_warc_round_trip,
+    "op3_lexical_packing": op3_lexical_packing,
     "op4_token_counts": op4_token_counts,
     "op5_fair_mix": op5_fair_mix,
     "op6_compression_language": op6_compression_language,
