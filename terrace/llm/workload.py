@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from terrace.llm import exact_dedup, language_id, mixing, order_minhash, packing, sharding, token_counts, vector_forest, warc
+from terrace.llm import exact_dedup, language_id, mixing, order_minhash, packing, secret_scan, sharding, token_counts, vector_forest, warc
 from terrace.staging import new_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -17,6 +18,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    # A quarter of the findings has no label and is judged by the forest alone.
+    labelled = ~language_id.held_out(F.col("doc_id"))
+    return secret_scan.scan(documents, F.when(labelled, secret_scan.known_formats()))
+
+
 def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -61,6 +69,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_forest": op1_secret_forest,
     "op2_warc_round_trip": op2_warc_round_trip,
     "op3_lexical_packing": op3_lexical_packing,
     "op4_token_counts": op4_token_counts,
