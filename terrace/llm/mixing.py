@@ -81,12 +81,14 @@ def queue(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    also: Sequence[str] = (),
 ) -> DataFrame:
-    """Per row: doc_id, _order, size, source_size, target, start (the source's words
+    """Per row: the columns ``also``, doc_id, _order, size, source_size, target, start (the source's words
     queued before), weight and taken, the words the mix takes over all epochs."""
     text = df[text_col]
     rows = scratch.keep(
         df.select(
+            *[df[c] for c in also],
             df[id_col].cast("long").alias("doc_id"),
             _source_key(df[source_col]).alias("_source"),
             words(text).alias("size"),
@@ -115,3 +117,27 @@ def mix_table(df: DataFrame, **options) -> DataFrame:
         rows = queue(df, scratch, **options)
         out = rows.select("doc_id", "size", "source_size", "target", "taken")
         return scratch.result(out, "mix")
+
+
+def mixed(df: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The mix: every row as often as it is taken, with all its columns. The last copy of a
+    document on the budget's edge holds its first words, with single spaces between them."""
+    columns = df.columns
+    with Scratch(df.sparkSession) as scratch:
+        row = F.struct("*").alias("_row")
+        named = df.select(row, F.monotonically_increasing_id().alias("_uid"))
+        numbered = scratch.keep(named, "numbered")
+        queued = queue(numbered.select("_row.*", "_uid"), scratch, text_col=text_col, also=["_uid"], **options)
+        taken = queued.where("taken > 0").select("_uid", "size", "taken")
+        met = numbered.join(taken, "_uid")
+        times = F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))
+        copies = met.select("_row", "size", "taken", F.explode(times).alias("copy"))
+        room = F.least(F.col("size"), F.col("taken") - F.col("size") * (F.col("copy") - 1)).cast("int")
+        text = F.col("_row")[text_col]
+        cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, room), " ")
+        whole = room == F.col("size")
+        out = [
+            F.when(whole, text).otherwise(cut).alias(c) if c == text_col else F.col("_row")[c].alias(c)
+            for c in columns
+        ]
+        return scratch.result(copies.select(*out), "mixed")

@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from terrace.llm import language_id, mixing
+from tests.llm.helpers import docs
+from tests.llm.test_exact_dedup import brute as copies
+from tests.llm.test_mixing import brute as mix
+from tests.llm.test_order_minhash import brute as near
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    """A hundred of the given documents, with odd ones and copies."""
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows = [r for r in rows if len(r[1].split()) < 400][:100]
+    rows += [(1000 + i, r[1] + " \n", r[2], r[3]) for i, r in enumerate(rows[:8])]
+    rows += [(2000 + i, r[1].replace("the", "", 1), r[2], r[3]) for i, r in enumerate(rows[:8])]
+    rows += [(3000, None, "en", "src0"), (3001, "", None, None), (3002, "12 34", "en", "src1"), (None, rows[50][1] + " and more of the with and", None, None)]
+    return docs(spark, rows).withColumn("kept", F.lit("clash"))
+
+
+def test_stages_match_brute_force(spark, corpus):
+    done = []
+    now = corpus
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, "")
+        assert now.columns == corpus.columns
+        done.append([(r.doc_id, r.text, r.lang, r.source) for r in now.collect()])
+    identified, exact, similar, mixed = done
+
+    model = language_id.fit(corpus)
+    want = [r for r in map(tuple, corpus.select("doc_id", "text", "lang", "source").collect()) if not language_id.identify(model, r[1])[3]]
+    assert Counter(identified) == Counter(want) and len(want) > 100
+
+    kept = sorted(str(r[0]) for r in copies([r[:2] for r in identified]) if r[3])
+    assert sorted(str(r[0]) for r in exact) == kept
+
+    roots = near([r[:2] for r in exact])
+    groups = defaultdict(list)
+    for row, root in zip(exact, roots, strict=True):
+        groups[root].append(row)
+    least = [min(g, key=lambda r: (r[0] is None, r[0] or 0)) for g in groups.values()]
+    assert Counter(similar) == Counter(least)
+
+    words = Counter()
+    for doc_id, text, _, _ in mixed:
+        words[doc_id] += len(re.findall(mixing.WORD, text))
+    assert words == Counter({r[0]: r[4] for r in mix(similar) if r[4]})
+    texts = {r[0]: r[1] for r in similar}
+    assert all(t == texts[i] or texts[i].split()[: len(t.split())] == t.split() for i, t, *_ in mixed)
+
+
+def test_run_packs_what_the_stages_kept(spark, corpus, tmp_path):
+    corpus.write.parquet(str(tmp_path / "documents.parquet"))
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    now = corpus
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, "")
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = Counter()
+    for r in now.collect():
+        want.update([*library.encode(r.text, add_special_tokens=False).ids, 1])
+    got = Counter()
+    for p in pieces:
+        got.update(np.frombuffer(p.ids, "<u4").tolist())
+    assert got == want
+    windows = defaultdict(int)
+    for p in pieces:
+        windows[p.sequence_id] += p.length
+    assert sum(windows.values()) == sum(want.values())
+
+
+def test_empty_documents(spark, tmp_path):
+    docs(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
