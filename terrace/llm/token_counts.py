@@ -89,7 +89,9 @@ def count_tokens(
             found.select("content_digest", F.lit(key).alias("tokenizer_digest"), "n_tokens").write.mode(
                 "append"
             ).option("compression", "zstd").parquet(cache)
-        counted = digests.join(read_cache(df, cache, key), "content_digest")
+        # Written, so that Spark can split the join where many rows share a digest.
+        counts = scratch.keep(read_cache(df, cache, key), "counts")
+        counted = digests.join(counts, "content_digest")
         out = counted.select(
             "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
         )
