@@ -280,27 +280,33 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return pairs.join(right, "b").join(left, "a").mapInArrow(run, "a long, b long")
 
 
-def _classes(rows: DataFrame, scratch: Scratch, k: int, sketches: int, threshold: float) -> DataFrame:
-    """Per row of ``rows`` (uid, doc_id, text and others): class_id, class_size, kept, others."""
+def _classes(
+    rows: DataFrame, scratch: Scratch, k: int, sketches: int, threshold: float
+) -> tuple[DataFrame, DataFrame, int]:
+    """Of ``rows`` (uid, doc_id, text and others): uid and the others; uid, doc_id, class_id,
+    class_size and kept; and how many they are."""
     done = scratch.keep(_sketched(rows, k, sketches), "sketches")
+    n = done.count()
     words = done.where("digest IS NOT NULL")
-    one = scratch.keep(words.groupBy("digest").agg(F.min("uid").alias("rep")), "distinct")
+    one = scratch.keep(words.groupBy("digest").agg(F.min("uid").alias("rep")), "distinct", n)
     texts = words.select("uid", "keys").join(one.select(F.col("rep").alias("uid")), "uid", "left_semi")
-    pairs = scratch.keep(_candidates(texts), "candidates")
+    pairs = scratch.keep(_candidates(texts), "candidates", n)
     edges = scratch.keep(_verified(pairs, words, threshold), "similar")
     roots = components(edges, scratch).withColumnRenamed("node", "rep")
     of_digest = one.join(roots, "rep", "left").select("digest", F.coalesce("root", "rep").alias("root"))
+    of_digest = scratch.keep(of_digest, "roots", n)
     narrow = done.select("uid", "doc_id", "digest")
     alone = narrow.where("digest IS NULL").withColumn("root", F.col("uid"))
-    member = scratch.keep(
-        narrow.join(scratch.keep(of_digest, "roots"), "digest").unionByName(alone).drop("digest"), "members"
-    )
+    member = narrow.join(of_digest, "digest").unionByName(alone).drop("digest")
+    member = scratch.keep(member, "members", n)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("first")
-    by_root = scratch.keep(member.groupBy("root").agg(first, F.count(F.lit(1)).alias("class_size")), "by-root")
+    by_root = member.groupBy("root").agg(first, F.count(F.lit(1)).alias("class_size"))
+    by_root = scratch.keep(by_root, "by-root", n)
     met = member.join(by_root, "root").select(
-        "uid", F.col("first.doc_id").alias("class_id"), "class_size", (F.col("first.uid") == F.col("uid")).alias("kept")
-    )
-    return done.drop("digest", "words", "keys").join(met, "uid")
+        "uid", "doc_id", F.col("first.doc_id").alias("class_id"), "class_size",
+        (F.col("first.uid") == F.col("uid")).alias("kept"),
+    )
+    return done.drop("digest", "words", "keys", "doc_id"), met, n
 
 
 def near_classes(
@@ -315,8 +321,8 @@ def near_classes(
     rows = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].alias("text"))
     with Scratch(df.sparkSession) as scratch:
         numbered = rows.withColumn("uid", F.monotonically_increasing_id())
-        found = _classes(numbered, scratch, k, sketches, threshold)
-        return scratch.result(found.select("doc_id", "class_id", "class_size", "kept"), "near-classes")
+        _, found, n = _classes(numbered, scratch, k, sketches, threshold)
+        return scratch.result(found.drop("uid"), "near-classes", n)
 
 
 def survivors(
@@ -333,5 +339,6 @@ def survivors(
     )
     with Scratch(df.sparkSession) as scratch:
         numbered = rows.withColumn("uid", F.monotonically_increasing_id())
-        found = _classes(numbered, scratch, k, sketches, threshold)
-        return scratch.result(found.where("kept").select("row.*"), "near-survivors")
+        full, found, _ = _classes(numbered, scratch, k, sketches, threshold)
+        kept = full.join(found.where("kept").select("uid"), "uid", "left_semi")
+        return scratch.result(kept.select("row.*"), "near-survivors")

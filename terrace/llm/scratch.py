@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
 from terrace.sources.paths import delete
 from terrace.staging import new_folder
 
+# Narrow rows of a file, and the tasks that write a small table.
+FILE_ROWS = 200_000
+LEAST_FILES = 8
+
 
 class Scratch:
     """Tables written once and read many times, so that a lost executor costs a re-read and
@@ -29,13 +35,19 @@ class Scratch:
         self._folders.append(path)
         return path
 
-    def keep(self, df: DataFrame, label: str) -> DataFrame:
-        """``df``, written and read again."""
-        return _written(df, self.folder(label))
+    def keep(self, df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+        """``df``, written and read again; in few files if about ``rows`` narrow rows are known."""
+        return _written(_in_files(df, rows), self.folder(label))
 
-    def result(self, df: DataFrame, label: str) -> DataFrame:
+    def result(self, df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
         """A table that outlives the block: it belongs to the caller."""
-        return _written(df, new_folder(self.spark, label))
+        return _written(_in_files(df, rows), new_folder(self.spark, label))
+
+
+def _in_files(df: DataFrame, rows: int | None) -> DataFrame:
+    if rows is None:
+        return df
+    return df.coalesce(max(LEAST_FILES, math.ceil(rows / FILE_ROWS)))
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
