@@ -11,9 +11,10 @@ class Layout:
     # Key buckets of the gold facts. Fixed for the life of a table: choose it so that one
     # bucket stays a few GB (64 suits about 0.3 TB, 16384 suits about 100 TB).
     fact_buckets: int = 64
-    # Line mode reads JSON lines and one-line arrays and splits large files. Set True only
-    # for arrays that are pretty-printed over several lines.
-    multi_line: bool = False
+    # Bronze files a run takes at a time; None takes all that are there.
+    max_files_per_trigger: int | None = None
+    # Move taken bronze files to ``archive``, so that the folder to list stays small.
+    archive_taken: bool = False
 
     def bronze(self, name: str) -> str:
         return f"{self.root}/bronze/{name}"
@@ -30,5 +31,15 @@ class Layout:
     def snapshots(self, name: str) -> str:
         return f"{self.root}/cold/gold/{name}_snapshots"
 
+    def admitted(self, name: str) -> str:
+        """Where bronze files go that passed their gate; ingestion takes them from there."""
+        return f"{self.root}/admitted/{name}"
+
+    def archive(self, name: str) -> str:
+        return f"{self.root}/archive/{name}"
+
+    def quarantine(self, name: str) -> str:
+        return f"{self.root}/quarantine/{name}"
+
     def state(self, name: str) -> str:
         return f"{self.root}/state/{name}"

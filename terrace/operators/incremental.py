@@ -124,19 +124,23 @@ class KeyedTable:
     def upsert_stored(self, changes: DataFrame, note: Column | None = None) -> list:
         """Upsert rows that are unique by key and cheap to read more than once.
 
-        Returns the distinct values of ``note`` over the rows being replaced, as they were
+        Rows without key are refused, since a second run would not find them again. Returns
+        the distinct values of ``note`` over the rows being replaced, as they were
         before. It must have few values (days, say): they come to the driver.
         """
         b = self.bucket_column
         bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
         incoming = changes.withColumn(b, bucket)
+        # Key sizes by bucket: at most ``buckets`` rows reach the driver.
+        key_bytes = F.octet_length(F.coalesce(F.col(self.key).cast("string"), F.lit("")))
+        missing = F.count_if(F.col(self.key).isNull())
+        sizes = incoming.groupBy(b).agg(F.sum(key_bytes + _KEY_OVERHEAD_BYTES), missing).collect()
+        if any(r[2] for r in sizes):
+            raise ValueError(f"rows without {self.key} cannot be upserted")
+        arriving = {r[0]: r[1] for r in sizes}
         if not self.exists():
             self._write(self._gathered(incoming), "overwrite", replace="static")
             return []
-        # Key sizes by bucket: at most ``buckets`` rows reach the driver.
-        key_bytes = F.octet_length(F.coalesce(F.col(self.key).cast("string"), F.lit("")))
-        sizes = incoming.groupBy(b).agg(F.sum(key_bytes + _KEY_OVERHEAD_BYTES))
-        arriving = {r[0]: r[1] for r in sizes.collect()}
         replaced, noted = self._stored_versions(incoming, sorted(arriving), note)
         if replaced:
             in_replaced = F.col(b).isin(sorted(replaced))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +27,16 @@ class Expectation:
     column: str
     # Called when a plan is built, so expectations can be declared without a session.
     violated: Callable[[], Column]
+    # Violations that still pass.
+    at_most: int = 0
+
+    def where(self, condition: Callable[[], Column]) -> Expectation:
+        """The same expectation, of the rows that meet the condition only."""
+        return replace(self, violated=lambda: condition() & self.violated())
+
+
+def expect_null(column: str, at_most: int = 0) -> Expectation:
+    return Expectation("null", column, lambda: F.col(column).isNotNull(), at_most)
 
 
 def expect_not_null(column: str) -> Expectation:
@@ -48,7 +58,7 @@ def evaluate(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
             F.lit(e.column).alias("column"),
             F.col("rows").alias("evaluated"),
             F.col(f"u{i}").alias("unexpected"),
-            (F.col(f"u{i}") == 0).alias("passed"),
+            (F.col(f"u{i}") <= e.at_most).alias("passed"),
         )
         for i, e in enumerate(expectations)
     ]

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Collection
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions.columns import within_day
 from terrace.schemas import INGESTION_COLUMN
-from terrace.sources.paths import delete, exists
+from terrace.sources.paths import children, delete
 
 INCREMENT_PARTITION = "ingestion_day"
 SNAPSHOT_PARTITION = "snapshot_date"
@@ -32,7 +34,11 @@ def write_partitioned(df: DataFrame, path: str, partition: str) -> None:
 
 
 def _write_day(df: DataFrame, path: str, partition: str, day: date) -> int:
-    """Write one day's rows; an empty day writes nothing. Returns the day's stored rows."""
+    """Write one day's rows; an empty day has no partition. Returns the day's stored rows."""
+    spark, folder = df.sparkSession, f"{path}/{partition}={day.isoformat()}"
+    if df.isEmpty():
+        delete(spark, folder)
+        return 0
     dated = df.withColumn(partition, F.lit(day.isoformat()))
     (
         # One partition value only, so the rows are spread evenly instead of by value.
@@ -42,10 +48,7 @@ def _write_day(df: DataFrame, path: str, partition: str, day: date) -> int:
         .mode("overwrite")
         .parquet(path)
     )
-    spark = df.sparkSession
-    folder = f"{path}/{partition}={day.isoformat()}"
-    if not exists(spark, folder):
-        return 0
+    # Counted from the files' footers.
     return spark.read.schema(df.schema).parquet(folder).count()
 
 
@@ -74,7 +77,9 @@ def refresh_increments(
     if not days:
         return
     spark = df.sparkSession
-    dated = df.withColumn(partition, F.to_date(column)).where(F.col(partition).isin(*days))
+    # Ranges, which reach the scan, where a function of the column would not.
+    wanted = reduce(or_, [within_day(df, column, day) for day in sorted(days)])
+    dated = df.where(wanted).withColumn(partition, F.to_date(column))
     write_partitioned(dated, path, partition)
     held = {row[0] for row in dated.select(partition).distinct().collect()}
     for day in set(days) - held:
@@ -117,8 +122,13 @@ def read_snapshots(
     as_of: date | None,
     partition: str = SNAPSHOT_PARTITION,
 ) -> DataFrame:
-    """One snapshot. ``as_of=None`` reads every snapshot, which multiplies joined rows."""
+    """The newest snapshot that is not after ``as_of``; raises if there is none. ``None``
+    reads every snapshot, which multiplies joined rows."""
     df = spark.read.parquet(root)
     if as_of is None:
         return df
-    return df.where(F.col(partition) == F.lit(as_of))
+    folders = [name.partition("=") for name in children(spark, root)]
+    taken = [value for name, _, value in folders if name == partition and value <= as_of.isoformat()]
+    if not taken:
+        raise ValueError(f"{root}: no snapshot of {as_of} or before")
+    return df.where(F.col(partition) == F.lit(date.fromisoformat(max(taken))))

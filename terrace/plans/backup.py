@@ -13,8 +13,12 @@ from terrace.functions.columns import with_stored_keys
 from terrace.layout import Layout
 from terrace.operators.snapshots import export, refresh_increments
 from terrace.plans.build import gold_readers
+from terrace.sources.versioned import is_published, publish, read_current
 from terrace.together import run_together
 
+_CHANGED = "changed_days"
+_CHANGED_SCHEMA = "fact string, day date"
+
 
 @dataclass(frozen=True)
 class ExportResult:
@@ -82,16 +86,41 @@ def _sources(
 
 def run_backup(spark: SparkSession, layout: Layout, day: date) -> list[ExportResult]:
     """Facts as increments of ``day``, dimensions as snapshots dated ``day``. Repeating a day
-    replaces it."""
-    return export_tables(spark, _sources(spark, layout), day)
+    replaces it. Exported days that runs have changed since are brought in line, so that
+    every event is in the history once, in its newest version."""
+    results = export_tables(spark, _sources(spark, layout), day)
+    refresh_history(spark, layout, read_changed_days(spark, layout))
+    if is_published(spark, layout.state(_CHANGED)):
+        publish(spark.createDataFrame([], _CHANGED_SCHEMA), layout.state(_CHANGED))
+    return results
+
+
+def read_changed_days(spark: SparkSession, layout: Layout) -> dict[str, list[date]]:
+    """Fact -> days that runs changed since the last backup: dates, never rows."""
+    out: dict[str, list[date]] = {}
+    if is_published(spark, layout.state(_CHANGED)):
+        for row in read_current(spark, layout.state(_CHANGED)).distinct().collect():
+            out.setdefault(row["fact"], []).append(row["day"])
+    return out
+
+
+def add_changed_days(
+    spark: SparkSession, layout: Layout, changed_days: Mapping[str, Collection[date]]
+) -> None:
+    """Remember the days a run changed until the next backup has refreshed them."""
+    known = read_changed_days(spark, layout)
+    both = {(fact, day) for days in (known, changed_days) for fact in days for day in days[fact]}
+    if both - {(fact, day) for fact in known for day in known[fact]}:
+        publish(spark.createDataFrame(sorted(both), _CHANGED_SCHEMA), layout.state(_CHANGED))
 
 
 def refresh_history(
     spark: SparkSession, layout: Layout, changed_days: Mapping[str, Collection[date]]
 ) -> None:
-    """Bring exported days in line with the facts after corrections and late rows, as listed
-    by a run's report. Every event is then in the history once, in its newest version."""
-    sources = _sources(spark, layout)
+    """Bring exported days in line with the facts after corrections and late rows."""
+    sources = _sources(spark, layout) if any(changed_days.values()) else {}
     for name, days in changed_days.items():
+        if not days:
+            continue
         open_table, path = sources[name]
         refresh_increments(open_table(), path, days)

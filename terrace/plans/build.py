@@ -16,8 +16,13 @@ from terrace.operators.incremental import KeyedTable, changes_since
 from terrace.operators.joins import flag_known, orphans, referential_filter
 from terrace.plans import models
 from terrace.plans.silver import clean
-from terrace.schemas import DRIVERS, INGESTION_COLUMN, ORDERS, TELEMETRY, VEHICLES, Entity
-from terrace.sources.json_batches import read_json_batches, split_corrupt, with_source_day
+from terrace.schemas import CORRUPT_COLUMN, DRIVERS, INGESTION_COLUMN, ORDERS, TELEMETRY, VEHICLES, Entity
+from terrace.sources.json_batches import (
+    SOURCE_DAY_COLUMN,
+    read_json_batches,
+    split_corrupt,
+    with_source_day,
+)
 from terrace.sources.paths import children, delete, exists
 from terrace.sources.versioned import is_published, publish, read_current, read_version
 from terrace.staging import staged
@@ -69,14 +74,17 @@ def _newest(df: DataFrame) -> datetime | None:
 def build_master(
     spark: SparkSession, layout: Layout, entity: Entity, run_ts: datetime | None = None
 ) -> bool:
-    """Rebuild one raw master from all daily extracts; an empty extract changes nothing."""
+    """Rebuild one raw master from all daily extracts. Records that do not parse go to the
+    master's quarantine; extracts without a readable record change nothing."""
     landed = read_json_batches(
-        spark, layout.bronze(entity.name), entity.bronze_schema, multi_line=layout.multi_line
+        spark, layout.bronze(entity.name), entity.bronze_schema, with_path=True
     )
-    dated = with_source_day(landed)
-    if dated.isEmpty():
+    parsed, bad = split_corrupt(with_source_day(landed))
+    quarantine = layout.quarantine(entity.name)
+    if not bad.isEmpty() or is_published(spark, quarantine):
+        publish(bad.select(CORRUPT_COLUMN, SOURCE_DAY_COLUMN), quarantine)
+    if parsed.isEmpty():
         return False
-    parsed, _ = split_corrupt(dated)
     publish(clean(parsed, entity, run_ts), layout.raw(entity.name))
     return True
 

@@ -3,66 +3,95 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions.columns import GATE_TEMPERATURE_HIGH, GATE_TEMPERATURE_LOW
 from terrace.layout import Layout
-from terrace.operators.quality import expect_between, expect_not_null, gate, run_tests
+from terrace.operators.quality import (
+    expect_between,
+    expect_not_null,
+    expect_null,
+    gate,
+    run_tests,
+)
 from terrace.plans.models import GOLD_TESTS
-from terrace.plans.silver import with_types
-from terrace.schemas import TELEMETRY
-from terrace.sources.json_batches import read_json_batches, split_corrupt
-from terrace.sources.versioned import is_published, publish, read_current
+from terrace.schemas import CORRUPT_COLUMN, TELEMETRY
+from terrace.sources.json_batches import read_json_batches
+from terrace.sources.paths import files_below, make_folder, move
 
-# Files this much older than the last pass are judged again: clocks of the driver and of the
-# file system may differ.
-GATE_OVERLAP = timedelta(hours=1)
+JUDGED = ("latitude", "longitude", "cargo_temp_c")
+# Null where the text is a number or missing.
+UNREADABLE_TEMPERATURE = "unreadable_cargo_temp_c"
 
 TELEMETRY_EXPECTATIONS = (
     expect_not_null("latitude"),
     expect_not_null("longitude"),
     expect_between("cargo_temp_c", GATE_TEMPERATURE_LOW, GATE_TEMPERATURE_HIGH),
+    expect_null(UNREADABLE_TEMPERATURE),
 )
 
 
-def telemetry_gate(bronze: DataFrame) -> list[dict]:
-    """Judge bronze telemetry in one pass; raises on any violation, passes empty input."""
-    numeric = with_types(bronze, floats=("latitude", "longitude", "cargo_temp_c"))
-    return gate(numeric, TELEMETRY_EXPECTATIONS, TELEMETRY.name)
+def judged(bronze: DataFrame) -> DataFrame:
+    """Bronze telemetry as the gate judges it: 64-bit numbers, and the text that is none."""
+    text = F.col("cargo_temp_c").cast("string")
+    unreadable = F.when(text.try_cast("double").isNull(), text)
+    doubles = {c: F.col(c).try_cast("double") for c in JUDGED}
+    return bronze.withColumn(UNREADABLE_TEMPERATURE, unreadable).withColumns(doubles)
+
+
+def telemetry_gate(bronze: DataFrame, max_corrupt: int = 0) -> list[dict]:
+    """Judge bronze telemetry in one pass; raises on any violation and on more than
+    ``max_corrupt`` records that do not parse, passes empty input. Unparsed records are
+    counted but their missing values are not."""
+    if CORRUPT_COLUMN not in bronze.columns:
+        return gate(judged(bronze), TELEMETRY_EXPECTATIONS, TELEMETRY.name)
+    parsed = [e.where(F.col(CORRUPT_COLUMN).isNull) for e in TELEMETRY_EXPECTATIONS]
+    checks = [*parsed, expect_null(CORRUPT_COLUMN, at_most=max_corrupt)]
+    return gate(judged(bronze), checks, TELEMETRY.name)
+
 
+def gate_bronze(spark: SparkSession, layout: Layout, max_corrupt: int = 0) -> list[dict]:
+    """Gate all landed files, admitted or not."""
+    found = _landed(spark, layout) + files_below(spark, layout.admitted(TELEMETRY.name))
+    return _judge(spark, layout, found, max_corrupt)
 
-def gate_bronze(
-    spark: SparkSession, layout: Layout, modified_after: datetime | None = None
+
+def gate_and_admit(
+    spark: SparkSession, layout: Layout, full: bool = False, max_corrupt: int = 0
 ) -> list[dict]:
-    """Gate the landed files, or those landed since the last pass. Unparseable records are
-    the quarantine's concern and are not judged here."""
+    """Judge the files that are not admitted yet, by name, and admit exactly these.
+
+    Ingestion reads admitted files only, so what landed after the listing waits for the next
+    run, and a failing file stays in scope until it is gone. ``full`` judges admitted files
+    again as well. A run that dies half way has admitted files that had passed.
+    """
+    new = _landed(spark, layout)
+    target = layout.admitted(TELEMETRY.name)
+    earlier = files_below(spark, target) if full else []
+    report = _judge(spark, layout, new + earlier, max_corrupt)
+    make_folder(spark, target)
+    for file in new:
+        move(spark, file, f"{target}/{_inner_name(layout, file)}")
+    return report
+
+
+def _landed(spark: SparkSession, layout: Layout) -> list[str]:
+    return files_below(spark, layout.bronze(TELEMETRY.name))
+
+
+def _inner_name(layout: Layout, file: str) -> str:
+    """A file's name below the bronze folder."""
+    return file.split(f"/bronze/{TELEMETRY.name}/", 1)[1]
+
+
+def _judge(spark: SparkSession, layout: Layout, files: list[str], max_corrupt: int) -> list[dict]:
+    # With nothing to judge the folder itself is read, which must at least be there.
     bronze = read_json_batches(
-        spark,
-        layout.bronze(TELEMETRY.name),
-        TELEMETRY.bronze_schema,
-        multi_line=layout.multi_line,
-        modified_after=modified_after,
+        spark, files or layout.bronze(TELEMETRY.name), TELEMETRY.bronze_schema
     )
-    parsed, _ = split_corrupt(bronze)
-    return telemetry_gate(parsed)
-
-
-def gate_new_bronze(spark: SparkSession, layout: Layout) -> list[dict]:
-    """Gate what landed since the last pass. Landed files do not change, so this judges as
-    the whole folder would; a failing file stays in scope until it is gone."""
-    state = layout.state("gate_passed")
-    started = datetime.now(timezone.utc).replace(tzinfo=None)
-    since = None
-    if is_published(spark, state):
-        passed = datetime.fromisoformat(read_current(spark, state).first()["passed_at"])
-        since = passed - GATE_OVERLAP
-    report = gate_bronze(spark, layout, since)
-    row = spark.range(0, 1, 1, 1).select(F.lit(started.isoformat(sep=" ")).alias("passed_at"))
-    publish(row, state)
-    return report
+    return telemetry_gate(bronze, max_corrupt)
 
 
 def gold_tests(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -8,15 +8,18 @@ from datetime import date, datetime
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from terrace.layout import Layout
 from terrace.operators.quality import require_passed
 from terrace.plans import build
-from terrace.plans.gates import gate_bronze, gate_new_bronze, gold_tests
-from terrace.schemas import FEEDS, MASTERS
+from terrace.plans.backup import add_changed_days
+from terrace.plans.gates import gate_and_admit, gold_tests
+from terrace.schemas import FEEDS, INGESTION_COLUMN, MASTERS, TELEMETRY
 from terrace.session import configure
 from terrace.sources.json_batches import land_batch, land_daily_snapshot
-from terrace.streaming.ingest import start_ingest
+from terrace.sources.versioned import is_published, read_current
+from terrace.streaming.ingest import DAY_COLUMN, read_quarantine, start_ingest
 from terrace.together import run_together
 
 
@@ -25,6 +28,8 @@ class RunReport:
     run_ts: datetime
     gate: list[dict] = field(default_factory=list)
     tests: list[dict] = field(default_factory=list)
+    # Table -> records that did not parse: all of a master's extracts, this run's of a feed.
+    quarantined: dict[str, int] = field(default_factory=dict)
     # Fact -> days before this run whose stored rows changed.
     changed_days: dict[str, list[date]] = field(default_factory=dict)
 
@@ -50,12 +55,13 @@ def ingest_feeds(spark: SparkSession, layout: Layout, run_ts: datetime | None =
     started = [
         start_ingest(
             spark,
-            layout.bronze(entity.name),
+            layout.admitted(entity.name) if entity is TELEMETRY else layout.bronze(entity.name),
             layout.raw(entity.name),
             layout.state(f"ingest_{entity.name}"),
             entity,
             run_ts=run_ts,
-            multi_line=layout.multi_line,
+            max_files_per_trigger=layout.max_files_per_trigger,
+            archive=layout.archive(entity.name) if layout.archive_taken else None,
         )
         for entity in FEEDS
     ]
@@ -63,24 +69,40 @@ def ingest_feeds(spark: SparkSession, layout: Layout, run_ts: datetime | None =
         stream.awaitTermination()
 
 
+def _quarantined(spark: SparkSession, layout: Layout, run_ts: datetime) -> dict[str, int]:
+    counts = {}
+    for entity in MASTERS:
+        path = layout.quarantine(entity.name)
+        counts[entity.name] = read_current(spark, path).count() if is_published(spark, path) else 0
+    instant = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp")
+    for entity in FEEDS:
+        rows = read_quarantine(spark, layout.raw(entity.name), entity)
+        own = (F.col(DAY_COLUMN) == F.lit(run_ts.date())) & (F.col(INGESTION_COLUMN) == instant)
+        counts[entity.name] = rows.where(own).count()
+    return counts
+
+
 def run_pipeline(
     spark: SparkSession,
     layout: Layout,
     run_ts: datetime,
     full: bool = False,
+    max_corrupt: int = 0,
 ) -> RunReport:
     """Gate, clean, build, test. A failed gate or test raises and stops what comes after.
 
     ``run_ts`` (UTC) stamps every row of the run and must move forward from run to run.
     ``full`` judges all landed files and merges all raw rows again, instead of the new ones;
-    the tables come out the same.
+    the tables come out the same. More than ``max_corrupt`` telemetry records that do not parse
+    fail the gate.
     """
     configure(spark)
     _check_run_time(spark, layout, run_ts)
     report = RunReport(run_ts)
-    report.gate = gate_bronze(spark, layout) if full else gate_new_bronze(spark, layout)
+    report.gate = gate_and_admit(spark, layout, full, max_corrupt)
     masters = [partial(build.build_master, spark, layout, e, run_ts) for e in MASTERS]
     run_together(spark, [*masters, partial(ingest_feeds, spark, layout, run_ts)])
+    report.quarantined = _quarantined(spark, layout, run_ts)
     _, telemetry_days, order_days = run_together(
         spark,
         [
@@ -91,5 +113,6 @@ def run_pipeline(
     )
     for fact, days in (("fact_telemetry", telemetry_days), ("fact_orders", order_days)):
         report.changed_days[fact] = [day for day in days if day < run_ts.date()]
+    add_changed_days(spark, layout, report.changed_days)
     report.tests = require_passed(gold_tests(build.gold_tables(spark, layout)))
     return report

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,8 @@ from terrace.schemas import CORRUPT_COLUMN
 from terrace.sources.guards import require_rows
 
 SOURCE_DAY_COLUMN = "_source_day"
+# File and place of a record, as "path#number".
+SOURCE_PATH_COLUMN = "_source_path"
 # Daily master extracts carry their day in the path: <name>_YYYYMMDD
 SOURCE_DAY_PATTERN = r"_(\d{8})(?=[/.])"
 
@@ -22,55 +24,86 @@ def with_corrupt_column(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
 
 
-def reader_options(multi_line: bool) -> dict[str, object]:
-    return {
-        "multiLine": multi_line,
-        "recursiveFileLookup": True,
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": CORRUPT_COLUMN,
-    }
+def files_as_text(reader, path: str | list[str]) -> DataFrame:
+    """One row per file below ``path``, of a batch or stream reader."""
+    return reader.text(path, wholetext=True, recursiveFileLookup=True)
+
+
+def records(files: DataFrame, schema: T.StructType) -> DataFrame:
+    """Every record of the files, plus the text of records that do not parse.
+
+    Decided per file: a file whose text is one array, on one line or over several, is parsed
+    as a whole; in any other each line is a record or an array of records. An array that
+    does not parse is read by its lines, so that what can be read is kept and the rest is
+    quarantined. A file must fit into a task's memory.
+    """
+    full = with_corrupt_column(schema)
+    lines = F.filter(F.split("value", r"\r?\n"), lambda line: F.trim(line) != "")
+    listed = files.select("value", "_metadata.file_path", lines.alias("lines"))
+    opens = F.size(F.filter("lines", _is_array)) == 1
+    whole = F.when(_is_array(F.get("lines", F.lit(0))) & opens, _array("value", schema))
+    none = F.lit(None).cast("string")
+
+    def marked(items: Column) -> Column:
+        return F.transform(items, lambda item: _with_corrupt(item, schema, none))
+
+    def of_line(line: Column) -> Column:
+        # A separator after a record belongs to the array around it; a bracket alone is no record.
+        one = F.from_json(F.regexp_replace(line, r",\s*$", ""), full, {"columnNameOfCorruptRecord": CORRUPT_COLUMN})
+        kept = F.array(_with_corrupt(one, schema, F.when(one[CORRUPT_COLUMN].isNotNull(), line)))
+        bad = F.array(_with_corrupt(F.lit(None).cast(schema), schema, line))
+        return F.when(_is_array(line), F.coalesce(marked(_array(line, schema)), bad)).otherwise(kept)
+
+    by_line = F.flatten(F.transform("lines", of_line))
+    items = F.coalesce(marked(whole), by_line)
+    each = listed.select(F.posexplode(items).alias("n", "r"), "file_path")
+    place = F.concat("file_path", F.lit("#"), F.col("n").cast("string"))
+    return each.select("r.*", place.alias(SOURCE_PATH_COLUMN))
+
+
+def _is_array(line: Column) -> Column:
+    return F.ltrim(line).startswith("[")
+
+
+def _array(text: Column | str, schema: T.StructType) -> Column:
+    """The records of an array, null if it does not parse."""
+    return F.from_json(text, T.ArrayType(schema))
+
+
+def _with_corrupt(item: Column, schema: T.StructType, corrupt: Column) -> Column:
+    fields = [item[name].alias(name) for name in schema.names]
+    return F.struct(*fields, corrupt.alias(CORRUPT_COLUMN))
 
 
 def read_json_batches(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType,
-    multi_line: bool = False,
     required: bool = True,
-    modified_after: datetime | None = None,
+    with_path: bool = False,
 ) -> DataFrame:
-    """Every record below ``path``, plus the text of records that do not parse.
-
-    Line mode takes JSON lines and arrays written on one line, and splits large files.
-    ``multi_line`` takes arrays spanning lines, one array per file. A missing path raises
-    unless ``required`` is False, which gives an empty table of the declared schema.
-    """
-    full = with_corrupt_column(schema)
-    reader = spark.read.schema(full).options(**reader_options(multi_line))
-    if modified_after is not None:
-        reader = reader.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S"))
+    """``records`` of every file below ``path``. A missing path raises unless ``required`` is
+    False, which gives an empty table. ``with_path`` adds each record's file and place."""
     try:
-        return reader.json(path)
+        found = records(files_as_text(spark.read, path), schema)
     except AnalysisException as error:
         if required or error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], full)
+        full = with_corrupt_column(schema).add(SOURCE_PATH_COLUMN, T.StringType())
+        found = spark.createDataFrame([], full)
+    return found if with_path else found.drop(SOURCE_PATH_COLUMN)
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(parsed records, quarantined records)."""
-    first = next(c for c in df.columns if c != CORRUPT_COLUMN)
-    # Always true. Spark refuses to parse JSON for the corrupt column alone, so a plain
-    # count of either side has to touch a data column as well.
-    parsed = F.length(F.coalesce(F.col(first).cast("string"), F.lit(""))) >= 0
     bad = F.col(CORRUPT_COLUMN).isNotNull()
-    return df.where(~bad & parsed).drop(CORRUPT_COLUMN), df.where(bad & parsed)
+    return df.where(~bad).drop(CORRUPT_COLUMN), df.where(bad)
 
 
 def with_source_day(df: DataFrame) -> DataFrame:
-    """Tag each record with the day of the daily extract it came from."""
-    day = F.regexp_extract(F.col("_metadata.file_path"), SOURCE_DAY_PATTERN, 1)
-    return df.withColumn(SOURCE_DAY_COLUMN, day)
+    """Replaces each record's file by the day of the daily extract that the file belongs to."""
+    day = F.regexp_extract(SOURCE_PATH_COLUMN, SOURCE_DAY_PATTERN, 1)
+    return df.withColumn(SOURCE_DAY_COLUMN, day).drop(SOURCE_PATH_COLUMN)
 
 
 def _land(df: DataFrame, path: str, mode: str, label: str, max_records_per_file: int) -> str:
@@ -83,7 +116,7 @@ def land_daily_snapshot(
     df: DataFrame,
     prefix: str,
     day: date,
-    max_records_per_file: int = 1_000_000,
+    max_records_per_file: int = 100_000,
 ) -> str:
     """One full master extract per day; landing the same day again replaces it."""
     name = prefix.rstrip("/").rsplit("/", 1)[-1]
@@ -95,7 +128,7 @@ def land_batch(
     df: DataFrame,
     prefix: str,
     batch_ts: datetime,
-    max_records_per_file: int = 1_000_000,
+    max_records_per_file: int = 100_000,
 ) -> str:
     """One new, immutable batch; a second batch with the same stamp is refused."""
     path = f"{prefix}/batch_{batch_stamp(batch_ts)}"

@@ -28,13 +28,43 @@ def first_child(spark: SparkSession, path: str, prefix: str) -> str | None:
     fs, target = _locate(spark, path)
     if not fs.exists(target):
         return None
-    for status in fs.listStatus(target):
-        name = status.getPath().getName()
+    entries = fs.listStatusIterator(target)
+    while entries.hasNext():
+        name = entries.next().getPath().getName()
         if name.startswith(prefix):
             return name
     return None
 
 
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Data files at any depth, without the hidden ones (a run's new files, not a history)."""
+    fs, target = _locate(spark, path)
+    if not fs.exists(target):
+        return []
+    found, walk = [], fs.listFiles(target, True)
+    root = fs.makeQualified(target).toString().rstrip("/")
+    while walk.hasNext():
+        name = walk.next().getPath().toString()
+        inner = name.removeprefix(root).strip("/")
+        if not any(part.startswith(("_", ".")) for part in inner.split("/")):
+            found.append(name)
+    return sorted(found)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _locate(spark, path)
+    fs.mkdirs(target)
+
+
+def move(spark: SparkSession, file: str, target: str) -> None:
+    """Rename a file, making the folders it needs."""
+    fs, source = _locate(spark, file)
+    _, goal = _locate(spark, target)
+    fs.mkdirs(goal.getParent())
+    if not fs.rename(source, goal):
+        raise OSError(f"{file} could not be moved to {target}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _locate(spark, path)
     fs.delete(target, True)

@@ -12,13 +12,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from terrace.plans.silver import typed_and_stamped
 from terrace.schemas import CORRUPT_COLUMN, INGESTION_COLUMN, Entity
-from terrace.sources.json_batches import reader_options, with_corrupt_column
+from terrace.sources.json_batches import SOURCE_PATH_COLUMN, files_as_text, records
 
 QUALITY_COLUMN = "quality"
 DAY_COLUMN = "ingestion_day"
 # The file source ignores files this much older than the newest one. Its own default of a
-# week would silently skip a batch that arrives late with an old file time.
-MAX_FILE_AGE = "3650d"
+# week would silently skip a batch that arrives late with an old file time, and one wrong clock
+# all that follow, so by default no file is too old.
+MAX_FILE_AGE = "36500d"
 
 ACCEPTED = "ok"
 QUARANTINED = "corrupt"
@@ -27,7 +28,8 @@ QUARANTINED = "corrupt"
 @dataclass(frozen=True)
 class ResendSuppression:
     """Drop repeats of a key within a delay of event time. The first arrival wins and a
-    correction sent inside the delay is lost, so this is off unless asked for."""
+    correction sent inside the delay is lost, and so are rows later than the delay, so this is
+    off unless asked for. Records that do not parse are no repeats of each other."""
 
     time_column: str
     delay: str
@@ -37,21 +39,18 @@ def read_stream(
     spark: SparkSession,
     path: str,
     entity: Entity,
-    multi_line: bool = False,
     max_files_per_trigger: int | None = None,
     max_file_age: str = MAX_FILE_AGE,
     archive: str | None = None,
 ) -> DataFrame:
     """``archive`` moves files there once their batch is safe, so that the folder to list stays
     small over the years."""
-    reader = spark.readStream.schema(with_corrupt_column(entity.bronze_schema)).options(
-        **reader_options(multi_line), maxFileAge=max_file_age
-    )
+    reader = spark.readStream.option("maxFileAge", max_file_age)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.json(path)
+    return records(files_as_text(reader, path), entity.bronze_schema)
 
 
 def clean_stream(
@@ -70,8 +69,12 @@ def clean_stream(
     if suppression is not None:
         rows = rows.withWatermark(
             suppression.time_column, suppression.delay
-        ).dropDuplicatesWithinWatermark([entity.key])
-    return rows.withColumns(
+        )
+        place = F.when(corrupt, F.col(SOURCE_PATH_COLUMN))
+        rows = rows.withColumn(SOURCE_PATH_COLUMN, place).dropDuplicatesWithinWatermark(
+            [entity.key, SOURCE_PATH_COLUMN]
+        )
+    return rows.drop(SOURCE_PATH_COLUMN).withColumns(
         {
             QUALITY_COLUMN: F.when(corrupt, QUARANTINED).otherwise(ACCEPTED),
             DAY_COLUMN: F.to_date(INGESTION_COLUMN),
@@ -87,17 +90,15 @@ def start_ingest(
     entity: Entity,
     run_ts: datetime | None = None,
     every: str | None = None,
-    multi_line: bool = False,
     max_files_per_trigger: int | None = None,
     suppression: ResendSuppression | None = None,
     archive: str | None = None,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> StreamingQuery:
     """Append new bronze files to the raw table. Without ``every`` the query takes what is
     there and stops; with it (say ``"10 minutes"``) the query runs at that cadence."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    rows = read_stream(
-        spark, source, entity, multi_line, max_files_per_trigger, archive=archive
-    )
+    rows = read_stream(spark, source, entity, max_files_per_trigger, max_file_age, archive)
     return (
         clean_stream(rows, entity, run_ts, suppression)
         .writeStream.format("parquet")

@@ -224,6 +224,8 @@ _GATE_REPORT = """
     SELECT 'not_null', 'longitude', n, no_longitude, no_longitude = 0 FROM counted
     UNION ALL
     SELECT 'between', 'cargo_temp_c', n, too_hot, too_hot = 0 FROM counted
+    UNION ALL
+    SELECT 'null', 'unreadable_cargo_temp_c', n, 0, true FROM counted
 """
 
 _BACKUP = f"""
@@ -402,6 +404,7 @@ ORACLES: dict[str, str] = {
     """,
     "backup": _BACKUP,
     "json_roundtrip": "SELECT * FROM orders",
+    "json_arrays_multiline": "SELECT * FROM orders",
     "stream_ingest": f"""
         SELECT *, CASE WHEN "timestamp" < TIMESTAMP '1998-01-01'
                        THEN TIMESTAMP '2024-01-01 12:00:00'

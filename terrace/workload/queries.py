@@ -26,7 +26,7 @@ from terrace.operators.incremental import KeyedTable, changes_since, watermark
 from terrace.plans import metrics, models
 from terrace.plans.backup import export_tables
 from terrace.plans.build import build_fact_orders, build_fact_telemetry, build_master, fact_table
-from terrace.plans.gates import TELEMETRY_EXPECTATIONS
+from terrace.plans.gates import TELEMETRY_EXPECTATIONS, judged
 from terrace.plans.gates import gold_tests as run_gold_tests
 from terrace.plans.pipeline import land_batches, land_masters
 from terrace.plans.silver import (
@@ -34,7 +34,6 @@ from terrace.plans.silver import (
     clean_orders,
     clean_telemetry,
     clean_vehicles,
-    with_types,
 )
 from terrace.schemas import DRIVERS, ORDERS, TELEMETRY, VEHICLES, Entity
 from terrace.sources.json_batches import (
@@ -323,9 +322,7 @@ def telemetry_gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     landed = _landed(spark, spoiled, TELEMETRY)
-    return quality.evaluate(
-        with_types(landed, floats=("latitude", "longitude", "cargo_temp_c")), TELEMETRY_EXPECTATIONS
-    )
+    return quality.evaluate(judged(landed), TELEMETRY_EXPECTATIONS)
 
 
 @query
@@ -370,7 +367,9 @@ def clean_vehicles_newest_day(spark: SparkSession, sf_dir: str) -> DataFrame:
         "capacity_kg", F.col("capacity_kg") + 1000
     )
     land_daily_snapshot(newer, prefix, SECOND_DAY)
-    landed = with_source_day(read_json_batches(spark, prefix, VEHICLES.bronze_schema))
+    landed = with_source_day(
+        read_json_batches(spark, prefix, VEHICLES.bronze_schema, with_path=True)
+    )
     parsed, _ = split_corrupt(landed)
     return _unstamped(clean_vehicles(parsed))
 
@@ -602,6 +601,21 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed
 
 
+@query
+def json_arrays_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as arrays printed over several lines, one array per file."""
+    path = new_folder(spark, "orders_arrays")
+    orders = table(spark, sf_dir, "orders")
+    files = F.ceil(F.lit(orders.count() / 5_000)).cast("int")
+    grouped = orders.groupBy(F.pmod(F.xxhash64("o_orderkey"), files)).agg(
+        F.collect_list(F.struct(*orders.columns)).alias("records")
+    )
+    text = grouped.select(F.to_json("records", {"pretty": "true"}).alias("value"))
+    text.write.option("maxRecordsPerFile", 1).text(path)
+    parsed, _ = split_corrupt(read_json_batches(spark, path, orders.schema))
+    return parsed
+
+
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches through the file stream, the second picked up by a second run."""

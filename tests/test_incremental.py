@@ -79,6 +79,17 @@ def test_repeated_keys_in_one_batch_keep_the_newest(spark, tmp_path):
     assert rows(table.read()) == [("a", 3, "z")]
 
 
+def test_rows_without_key_are_refused(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 4, cluster_by=["t"])
+    with pytest.raises(ValueError, match="without k"):
+        table.upsert(frame(spark, ("a", 1, "x"), (None, 1, "y")))
+    assert not table.exists()
+    table.upsert(frame(spark, ("a", 1, "x")))
+    with pytest.raises(ValueError, match="without k"):
+        table.upsert(frame(spark, (None, 1, "y")))
+    assert rows(table.read().select("k")) == [("a",)]
+
+
 def test_empty_changes(spark, tmp_path):
     table = keyed(spark, tmp_path)
     table.upsert(frame(spark, ("a", 1, "x")))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import os
 import random
 from datetime import date, datetime, timedelta
@@ -11,7 +12,8 @@ from terrace.layout import Layout
 from terrace.operators.quality import QualityGateError
 from terrace.operators.snapshots import read_history, read_snapshots
 from terrace.plans import build
-from terrace.plans.backup import BackupError, export_tables, refresh_history, run_backup
+from terrace.plans.backup import BackupError, export_tables, read_changed_days, run_backup
+from terrace.plans.gates import gate_and_admit
 from terrace.plans.metrics import as_records, fleet_metrics, temperature_alerts
 from terrace.plans.pipeline import ingest_feeds, land_batches, land_masters, run_pipeline
 from terrace.plans.views import register_views
@@ -70,7 +72,7 @@ def ids(spark, layout, name="fact_telemetry"):
 def test_run_builds_and_tests_gold(spark, layout):
     first_load(spark, layout)
     report = run_pipeline(spark, layout, DAY1)
-    assert len(report.gate) == 3 and len(report.tests) == 12
+    assert len(report.gate) == 5 and len(report.tests) == 12
     assert all(r["passed"] for r in report.gate + report.tests)
     tables = gold(spark, layout)
     assert tables["dim_vehicles"] == [("V-1", "Van", 1500, "ACTIVE"), ("V-2", "Van", 3000, "ACTIVE")]
@@ -137,6 +139,35 @@ def test_failed_gate_stops_the_run_until_the_file_is_gone(spark, layout):
     assert ids(spark, layout) == ["E-1", "E-3"]
 
 
+def test_gate_judges_what_is_ingested_whatever_its_file_time(spark, layout):
+    first_load(spark, layout)
+    run_pipeline(spark, layout, DAY1)
+    land(spark, layout, DAY2, events=[event("E-9", "V-1", temp="999")])
+    for file in Path(layout.bronze("telemetry")).rglob("part-*"):
+        os.utime(file, (1, 1))
+    with pytest.raises(QualityGateError, match="cargo_temp_c"):
+        run_pipeline(spark, layout, DAY2)
+    assert "E-9" not in ids(spark, layout)
+    land_file = Path(layout.bronze("telemetry")) / "late.json"
+    delete(spark, f"{layout.bronze('telemetry')}/batch_20240102_120000")
+    land_file.write_text(json.dumps([event("E-10", "V-1")], indent=2))
+    os.utime(land_file, (10**9, 10**9))
+    run_pipeline(spark, layout, DAY2)
+    assert "E-10" in ids(spark, layout) and not land_file.exists()
+
+
+def test_unreadable_master_keeps_the_old_one_and_shows(spark, layout):
+    first_load(spark, layout)
+    run_pipeline(spark, layout, DAY1)
+    before = gold(spark, layout)["dim_vehicles"]
+    delete(spark, layout.bronze("vehicles"))
+    (Path(layout.bronze("vehicles"))).mkdir(parents=True)
+    (Path(layout.bronze("vehicles")) / "vehicles_20240102.json").write_text('[{"vehicle_id": ')
+    report = run_pipeline(spark, layout, DAY2)
+    assert gold(spark, layout)["dim_vehicles"] == before
+    assert report.quarantined["vehicles"] == 1 and report.quarantined["telemetry"] == 0
+
+
 def test_failed_table_test_raises(spark, layout):
     land(
         spark,
@@ -199,6 +230,7 @@ def test_incremental_equals_full(spark, tmp_path, seed):
             land_masters(layout, {"vehicles": extract}, DAY1.date())
             land(spark, layout, run_ts, events=events, dispatches=dispatches)
             build.build_master(spark, layout, VEHICLES, run_ts)
+            gate_and_admit(spark, layout)
             ingest_feeds(spark, layout, run_ts)
             build.build_fact_telemetry(spark, layout, full=layout is stores[1])
             build.build_fact_orders(spark, layout, full=layout is stores[1])
@@ -246,11 +278,9 @@ def test_history_follows_corrections_and_late_rows(spark, layout):
         events=[event("E-1", "V-2"), event("E-3", "V-2")],
         dispatches=[order("O-1"), order("O-2")],
     )
-    report = run_pipeline(spark, layout, DAY2)
+    run_pipeline(spark, layout, DAY2)
     run_backup(spark, layout, DAY2.date())
-    telemetry_history = read_history(spark, layout.history("telemetry"))
-    assert telemetry_history.count() == 4
-    refresh_history(spark, layout, report.changed_days)
+    assert read_changed_days(spark, layout) == {}
     telemetry_history = read_history(spark, layout.history("telemetry"))
     assert rows(telemetry_history.select("event_id", "ingestion_day")) == [
         ("E-1", DAY2.date()),

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from terrace.operators.quality import (
     QualityGateError,
@@ -61,17 +62,29 @@ def test_gate_raises_with_a_report(spark):
         (event("E", "V", latitude=None), False),
         (event("E", "V", longitude=None), False),
         (event("E", "V", latitude="north"), False),
+        (event("E", "V", temp="100.000001"), False),
+        (event("E", "V", temp="hot"), False),
     ],
 )
 def test_telemetry_gate(spark, record, passes):
     bronze = telemetry(spark, event("OK", "V"), record)
     if passes:
-        assert len(telemetry_gate(bronze)) == 3
+        assert len(telemetry_gate(bronze)) == 4
     else:
         with pytest.raises(QualityGateError):
             telemetry_gate(bronze)
 
 
+def test_gate_counts_records_that_do_not_parse(spark):
+    good = telemetry(spark, event("OK", "V")).withColumn("_corrupt_record", F.lit(None).cast("string"))
+    cut = telemetry(spark, {}).withColumn("_corrupt_record", F.lit("[{"))
+    bronze = good.unionByName(cut)
+    with pytest.raises(QualityGateError, match="null\\(_corrupt_record\\): 1"):
+        telemetry_gate(bronze)
+    report = {(r["check"], r["column"]): r["unexpected"] for r in telemetry_gate(bronze, max_corrupt=1)}
+    assert report["not_null", "latitude"] == 0 and report["null", "_corrupt_record"] == 1
+
+
 def test_duplicate_keys_ignore_nulls(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "k string")
     assert rows(duplicate_keys(df, "k")) == [("a", 2)]

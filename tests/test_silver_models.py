@@ -49,7 +49,9 @@ def test_newest_daily_extract_wins(spark, tmp_path):
     prefix = str(tmp_path / "vehicles")
     land_daily_snapshot(vehicles(spark, vehicle("V-1", "9000"), vehicle("V-2")), prefix, date(2024, 1, 1))
     land_daily_snapshot(vehicles(spark, vehicle("V-1", "3000")), prefix, date(2024, 1, 2))
-    landed = with_source_day(read_json_batches(spark, prefix, VEHICLES.bronze_schema))
+    landed = with_source_day(
+        read_json_batches(spark, prefix, VEHICLES.bronze_schema, with_path=True)
+    )
     cleaned = clean_vehicles(split_corrupt(landed)[0])
     assert rows(cleaned.select("vehicle_id", "capacity_kg")) == [("V-1", 3000), ("V-2", 1500)]
 

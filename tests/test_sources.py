@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import json
-from datetime import date, datetime, timedelta, timezone
+from datetime import date, datetime
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -48,21 +48,30 @@ def test_only_an_empty_array(spark, tmp_path):
     assert not has_rows(good) and not has_rows(bad)
 
 
-def test_pretty_printed_arrays_need_multi_line(spark, tmp_path):
-    write_array(tmp_path / "b" / "one.json", [vehicle("V-1"), vehicle("V-2")], indent=2)
-    good, bad = read(spark, tmp_path / "b", multi_line=True)
-    assert good.count() == 2 and bad.count() == 0
-    _, bad_in_line_mode = read(spark, tmp_path / "b")
-    assert bad_in_line_mode.count() > 0
+def test_each_file_is_read_in_its_own_form(spark, tmp_path):
+    def lines(*ids):
+        return [json.dumps(vehicle(v)) for v in ids]
+
+    folder = tmp_path / "b"
+    write_array(folder / "pretty.json", [vehicle("P-1"), vehicle("P}2,{")], indent=2)
+    write_text(folder / "line_each.json", "[\n" + ",\n".join(lines("E-1", "E-2")) + "\n]\n")
+    write_text(folder / "arrays.json", "\n".join(f"[{', '.join(lines(*p))}]" for p in (["A-1"], ["A-2", "A-3"])))
+    write_text(folder / "lines.json", "\r\n".join(lines("L-1", "L-2")))
+    write_text(folder / "empty.json", "")
+    good, bad = read(spark, folder)
+    found = sorted(r["vehicle_id"] for r in good.collect())
+    assert found == ["A-1", "A-2", "A-3", "E-1", "E-2", "L-1", "L-2", "P-1", "P}2,{"]
+    assert bad.count() == 0
 
 
-@pytest.mark.parametrize("multi_line", [True, False])
-def test_truncated_file_goes_to_quarantine(spark, tmp_path, multi_line):
+def test_records_that_do_not_parse_are_quarantined_alone(spark, tmp_path):
     write_array(tmp_path / "b" / "one.json", [vehicle("V-1")])
     write_text(tmp_path / "b" / "cut.json", '[{"vehicle_id":"V-2"},{"vehicle_id"')
-    good, bad = read(spark, tmp_path / "b", multi_line=multi_line)
-    assert [r["vehicle_id"] for r in good.collect()] == ["V-1"]
-    assert [r["_corrupt_record"] for r in bad.collect()] == ['[{"vehicle_id":"V-2"},{"vehicle_id"']
+    write_text(tmp_path / "b" / "mixed.json", '{"vehicle_id":"V-3"}\nnoise\n{"vehicle_id":"V-4"}\nnoise')
+    good, bad = read(spark, tmp_path / "b")
+    assert sorted(r["vehicle_id"] for r in good.collect()) == ["V-1", "V-3", "V-4"]
+    found = sorted(r["_corrupt_record"] for r in bad.collect())
+    assert found == ['[{"vehicle_id":"V-2"},{"vehicle_id"', "noise", "noise"]
 
 
 def test_extra_fields_are_ignored_and_missing_ones_null(spark, tmp_path):
@@ -78,20 +87,14 @@ def test_missing_path(spark, tmp_path):
     assert good.columns == list(VEHICLES.columns) and good.count() == 0
 
 
-def test_files_landed_since(spark, tmp_path):
-    write_array(tmp_path / "b" / "one.json", [vehicle("V-1")])
-    now = datetime.now(timezone.utc).replace(tzinfo=None)
-    past, future = now - timedelta(hours=1), now + timedelta(hours=1)
-    assert read(spark, tmp_path / "b", modified_after=past)[0].count() == 1
-    assert read(spark, tmp_path / "b", modified_after=future)[0].count() == 0
-
-
 def test_daily_snapshot_replaces_the_same_day_only(spark, tmp_path):
     prefix = str(tmp_path / "vehicles")
     land_daily_snapshot(vehicles(spark, vehicle("V-1")), prefix, date(2024, 1, 1))
     land_daily_snapshot(vehicles(spark, vehicle("V-2")), prefix, date(2024, 1, 2))
     land_daily_snapshot(vehicles(spark, vehicle("V-3")), prefix, date(2024, 1, 2))
-    dated = with_source_day(read_json_batches(spark, prefix, VEHICLES.bronze_schema))
+    dated = with_source_day(
+        read_json_batches(spark, prefix, VEHICLES.bronze_schema, with_path=True)
+    )
     assert rows(dated.select("vehicle_id", SOURCE_DAY_COLUMN)) == [
         ("V-1", "20240101"),
         ("V-3", "20240102"),
@@ -100,7 +103,9 @@ def test_daily_snapshot_replaces_the_same_day_only(spark, tmp_path):
 
 def test_day_of_a_single_file_extract(spark, tmp_path):
     write_array(tmp_path / "vehicles" / "vehicles_20240105.json", [vehicle("V-1")])
-    landed = read_json_batches(spark, str(tmp_path / "vehicles"), VEHICLES.bronze_schema)
+    landed = read_json_batches(
+        spark, str(tmp_path / "vehicles"), VEHICLES.bronze_schema, with_path=True
+    )
     assert with_source_day(landed).first()[SOURCE_DAY_COLUMN] == "20240105"
 
 
