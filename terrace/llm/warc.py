@@ -4,7 +4,7 @@ Writing is one Spark job over built-in expressions. A page whose payload occurs
 smaller page id becomes a revisit record without body, any other a response whose body is
 sent in chunked transfer framing. Blocks longer than ``segment_bytes`` are cut into a first
 record and continuation records. No archive exceeds ``archive_records`` records, so a reader
-task holds a bounded amount.
+task holds a bounded amount. Archives are gzip files as a whole, or plain.
 
 Reading cuts archives into records by their declared lengths. Records of one origin are
 grouped by origin identifier, ordered by segment number, checked against the declared total
@@ -87,9 +87,11 @@ def _header(name: str, value: Column) -> Column:
 def write_archives(
     pages: DataFrame,
     folder: str,
+    scratch: Scratch,
     segment_bytes: int = 32 * 1024,
     chunk_bytes: int = 8 * 1024,
     archive_records: int = 512,
+    compression: str = "gzip",
     captured: str = "1970-01-01T00:00:00Z",
     id_col: str = "page_id",
     url_col: str = "url",
@@ -104,7 +106,9 @@ def write_archives(
     )
     known = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url")
     first = rows.groupBy("digest").agg(F.min(known).alias("first"), F.count(F.lit(1)).alias("n"))
-    met = rows.join(first.where("n > 1").drop("n"), "digest", "left")
+    # Written, so that its size is known: payloads are shuffled only where it is large.
+    repeated = scratch.keep(first.where("n > 1").drop("n"), "repeated")
+    met = rows.join(repeated, "digest", "left")
     again = F.col("first").isNotNull() & ~F.col("first.page_id").eqNullSafe(F.col("page_id"))
     head = F.lit(HTTP_HEAD).cast("binary")
     records = met.select(
@@ -141,7 +145,7 @@ def write_archives(
     ]
     text = parts.select(F.concat(*lines, _as_text(piece)).alias("value"))
     writer = text.write.option("lineSep", RECORD_END).option("maxRecordsPerFile", archive_records)
-    writer.mode("errorifexists").text(folder)
+    writer.mode("errorifexists").option("compression", compression).text(folder)
 
 
 def parse(data: bytes, path: str) -> Iterator[dict]:
@@ -270,7 +274,7 @@ def round_trip(pages: DataFrame, **options) -> DataFrame:
     spark = pages.sparkSession
     with Scratch(spark) as scratch:
         folder = scratch.folder("archives")
-        write_archives(pages, folder, **options)
+        write_archives(pages, folder, scratch, **options)
         records = scratch.keep(read_records(spark, folder), "records")
         decoded = decode(reassemble(records)).drop("payload")
         sound = F.col("payload_digest").isNull() | F.col("payload_digest").eqNullSafe(F.col("digest"))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace.llm import warc
+from terrace.llm.scratch import Scratch
 from tests.llm.helpers import table
 
 
@@ -48,8 +49,10 @@ def test_round_trip(spark, sizes):
 
 
 def test_records_are_well_formed(spark, tmp_path):
-    warc.write_archives(pages(spark, ROWS[:8]), str(tmp_path / "w"), segment_bytes=1000, chunk_bytes=64)
+    with Scratch(spark) as scratch:
+        warc.write_archives(pages(spark, ROWS[:8]), str(tmp_path / "w"), scratch, 1000, 64, compression="none")
     files = sorted((tmp_path / "w").glob("part-*"))
+    assert all(f.read_bytes()[:8] == b"WARC/1.1" for f in files if f.stat().st_size)
     records = [r for f in files for r in warc.parse(f.read_bytes(), str(f))]
     assert sum(r["type"] != "continuation" for r in records) == 8
     long = [r for r in records if r["segment"]]
