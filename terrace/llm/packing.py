@@ -37,7 +37,7 @@ CELLS = 1 << 16
 PIECE_COST = 64
 # Whole windows are numbered from here, windows of shards below.
 WHOLE_WINDOWS = 1 << 62
-PIECES = "doc_id long, start long, doc_tokens long, cell int, ids binary"
+PIECES = "doc_id long, start long, doc_tokens long, cell int, ids binary, counts binary"
 PACKED = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -55,10 +55,17 @@ def signature(ids: np.ndarray) -> int:
 
 
 def cut(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> DataFrame:
-    """PIECES of (doc_id, text): whole windows without a cell, and tails with theirs."""
+    """PIECES of (doc_id, text): whole windows without a cell, tails with theirs, and a row per
+    task with nothing but ``counts``, in how many of its pieces each token id occurs."""
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+    names = ["doc_id", "start", "doc_tokens", "cell", "ids", "counts"]
+
+    def rows(*columns: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoders.load(tokenizer)
+        counts = np.zeros(end_id + 1, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -66,37 +73,32 @@ def cut(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> DataFrame:
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 for doc_id, found in zip(part.column("doc_id").to_pylist(), encode(texts), strict=True):
                     ids = np.append(found, end_id).astype("<u4")
+                    top = int(ids.max()) + 1
+                    if top > len(counts):
+                        counts = np.concatenate([counts, np.zeros(top - len(counts), np.int64)])
                     for start in range(0, len(ids), window):
                         piece = ids[start : start + window]
+                        counts[np.unique(piece)] += 1
                         cell = signature(piece) if len(piece) < window else None
                         for column, value in zip(out, (doc_id, start, len(ids), cell, piece.tobytes()), strict=True):
                             column.append(value)
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, kind) for c, kind in zip(out, kinds, strict=True)],
-                    names=["doc_id", "start", "doc_tokens", "cell", "ids"],
-                )
+                yield rows(*out, [None] * len(out[0]))
+        yield rows([None], [None], [None], [None], [None], [counts.tobytes()])
 
     return docs.mapInArrow(run, PIECES)
 
 
 def term_counts(pieces: DataFrame) -> DataFrame:
-    """(term, n): in how many pieces each token id occurs. A task sends a term once."""
+    """(term, n): in how many pieces each token id occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(0, np.int64)
         for batch in batches:
-            for data in batch.column("ids"):
-                terms = np.unique(np.frombuffer(data.as_py(), "<u4"))
-                if len(terms) and terms[-1] >= len(counts):
-                    counts = np.concatenate([counts, np.zeros(int(terms[-1]) + 1 - len(counts), np.int64)])
-                counts[terms] += 1
-        terms = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(terms, pa.int64()), pa.array(counts[terms], pa.int64())], names=["term", "n"]
-        )
+            for data in batch.column("counts"):
+                counts = np.frombuffer(data.as_py(), np.int64)
+                terms = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(counts[terms])], names=["term", "n"])
 
-    per_task = pieces.select("ids").mapInArrow(run, "term long, n long")
+    per_task = pieces.select("counts").where("counts IS NOT NULL").mapInArrow(run, "term long, n long")
     return per_task.groupBy("term").agg(F.sum("n").alias("n"))
 
 
@@ -235,7 +237,7 @@ def pack(
     idf = np.log1p((units - seen + 0.5) / (seen + 0.5))
     tails = assign_shards(pieces.where("cell IS NOT NULL"), shard_tokens)
     packed = tails.groupBy("shard").applyInArrow(_pack_shard(idf, mean, window, query_terms, k1, b), PACKED)
-    whole = pieces.where("cell IS NULL").select(
+    whole = pieces.where("cell IS NULL AND ids IS NOT NULL").select(
         "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("length"), "ids", "doc_tokens",
         (F.monotonically_increasing_id() + F.lit(WHOLE_WINDOWS)).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
