@@ -15,30 +15,50 @@ from pyspark.sql import functions as F
 
 from terrace.llm import exact_dedup, language_id, mixing, order_minhash, packing
 from terrace.llm.scratch import Scratch
+from terrace.sources.paths import delete
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 TOKENIZER = "byte_bpe_50k.json"
 
+# Tables that stages have returned. The pipeline writes each of them before it calls the next
+# stage, which can therefore delete it.
+_returned: list[str] = []
+
+
+def _drop_returned(spark: SparkSession) -> None:
+    while _returned:
+        delete(spark, _returned.pop())
+
+
+def _returning(result: DataFrame) -> DataFrame:
+    """Remember the folders of a table that an operator has written for its caller."""
+    _returned.extend({file.rsplit("/", 1)[0] for file in result.inputFiles()})
+    return result
+
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is not clear go."""
+    _drop_returned(spark)
     return language_id.identified(docs, language_id.fit(docs))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
-    return exact_dedup.survivors(docs)
+    _drop_returned(spark)
+    return _returning(exact_dedup.survivors(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of similar texts stays."""
-    return order_minhash.survivors(docs)
+    _drop_returned(spark)
+    return _returning(order_minhash.survivors(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; a cut one has its own number of characters."""
-    mixed = mixing.mixed(docs)
+    _drop_returned(spark)
+    mixed = _returning(mixing.mixed(docs))
     if "n_chars" in docs.columns:
         mixed = mixed.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return mixed.select(*docs.columns)
@@ -46,6 +66,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of windows of 2048 ids, with the ids."""
+    _drop_returned(spark)
     with Scratch(spark) as scratch:
         packed = packing.pack(docs, public_tokenizers.path(TOKENIZER), scratch)
         return scratch.result(packed, "sequences")

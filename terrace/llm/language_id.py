@@ -31,6 +31,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrace.llm.scratch import bound_batches
+
 UNKNOWN = "und"
 # ASCII letters and all bytes of other characters stay, the rest become spaces.
 LETTERS_ONLY = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -72,22 +74,22 @@ def fit(
     stretches a language come to the driver."""
     place = F.xxhash64(df[id_col].cast("string"), F.lit("sample"))
     usable = df[lang_col].isNotNull() & df[text_col].isNotNull() & df[id_col].isNotNull()
-    training = df.where(usable & ~held_out(df[id_col]))
-    by_place = Window.partitionBy("lang").orderBy("place")
-    first = (
-        training.select(df[lang_col].alias("lang"), place.alias("place"))
-        .withColumn("rank", F.row_number().over(by_place))
-        .where(F.col("rank") <= sample_docs)
-    )
-    until = first.groupBy("lang").agg(F.max("place").alias("until"))
-    text = df[text_col]
-    start = F.pmod(F.xxhash64(df[id_col].cast("string"), F.lit("stretch")), F.greatest(F.char_length(text) - stretch, F.lit(0)) + 1)
-    stretches = training.select(
-        df[lang_col].alias("lang"), place.alias("place"),
-        F.substring(text, (start + 1).cast("int"), F.lit(stretch)).alias("piece"),
+    training = df.where(usable & ~held_out(df[id_col])).select(
+        df[lang_col].alias("lang"), df[text_col].alias("text"), place.alias("place"),
+        F.xxhash64(df[id_col].cast("string"), F.lit("stretch")).alias("spot"),
     )
-    sample = stretches.join(until, "lang").where(F.col("place") <= F.col("until"))
-    ranked = sample.withColumn("rank", F.row_number().over(by_place.orderBy("place", "piece")))
+    # Of a language's documents about four times the sample pass by their hash alone, so the
+    # ranking sees few rows, however many the language has.
+    counts = training.groupBy("lang").count()
+    share = F.col("place") / F.lit(2.0**64) + 0.5
+    # One row per language, fewer than the model that comes to the driver.
+    met = training.join(F.broadcast(counts), "lang")
+    few = met.where(share * F.col("count") < 4 * sample_docs)
+    room = F.greatest(F.char_length("text") - stretch, F.lit(0)) + 1
+    start = (F.pmod("spot", room) + 1).cast("int")
+    pieces_of = few.select("lang", "place", F.substring("text", start, F.lit(stretch)).alias("piece"))
+    by_place = Window.partitionBy("lang").orderBy("place", "piece")
+    ranked = pieces_of.withColumn("rank", F.row_number().over(by_place))
     rows = ranked.where(F.col("rank") <= sample_docs).select("lang", "rank", "piece").collect()
     pieces: dict[str, list[tuple[int, str]]] = {}
     for row in rows:
@@ -139,6 +141,7 @@ def predict(
     df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Per row: doc_id, held_out, lang_pred, score, margin, rejected."""
+    bound_batches(df.sparkSession)
     rows = df.select(
         df[id_col].cast("long").alias("doc_id"),
         held_out(df[id_col]).alias("held_out"),
@@ -161,6 +164,7 @@ def predict(
 
 def identified(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows that are not rejected, with all their columns."""
+    bound_batches(df.sparkSession)
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,16 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from terrace.sources.paths import delete
 from terrace.staging import new_folder
 
+# Rows that Spark hands to a Python function at a time. Its own default of ten thousand texts
+# takes tens of MB outside the heap, several times over.
+BATCH_ROWS = 512
 # Narrow rows of a file, and the tasks that write a small table.
 FILE_ROWS = 200_000
 LEAST_FILES = 8
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Small batches of rows for the Python functions of this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 class Scratch:
     """Tables written once and read many times, so that a lost executor costs a re-read and
     not a recomputation. On leaving the block all are deleted but those given to ``result``."""
 
     def __init__(self, spark: SparkSession):
+        bound_batches(spark)
         self.spark = spark
         self._folders: list[str] = []
 

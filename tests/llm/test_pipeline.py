@@ -28,11 +28,16 @@ def corpus(spark):
     return docs(spark, rows).withColumn("kept", F.lit("clash"))
 
 
-def test_stages_match_brute_force(spark, corpus):
+def written(spark, df, path):
+    df.write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+def test_stages_match_brute_force(spark, corpus, tmp_path):
     done = []
     now = corpus
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        now = stage(spark, now, "")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = written(spark, stage(spark, now, ""), tmp_path / name)
         assert now.columns == corpus.columns
         done.append([(r.doc_id, r.text, r.lang, r.source) for r in now.collect()])
     identified, exact, similar, mixed = done
@@ -63,8 +68,8 @@ def test_run_packs_what_the_stages_kept(spark, corpus, tmp_path):
     corpus.write.parquet(str(tmp_path / "documents.parquet"))
     pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
     now = corpus
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        now = stage(spark, now, "")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = written(spark, stage(spark, now, ""), tmp_path / name)
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     want = Counter()
     for r in now.collect():
