@@ -6,9 +6,10 @@ functions samples the ``2`` least labelled k-mers and keeps them in text order:
 get the same sketch with a probability that falls with their edit distance, also where the
 same words stand in another order. Texts that share a sketch are candidates.
 
-A group of candidates, however large, is not compared pair by pair: each member is compared
-with the least one, and since a text is in as many groups as it has sketches, members that
-the least one of one group misses meet in others. Candidates are verified by a banded
+A group of candidates is first compared with its least member, which settles large groups of
+copies in one pass. Of the other members, all pairs that are not in one component by then are
+compared: in small groups as rows of pairs, in larger ones block against block, where a pair
+whose words alone differ too much needs no alignment. Candidates are verified by a banded
 alignment of their whole word sequences: similarity is one minus the edit distance, in words,
 over the longer length. Classes are the components of verified pairs. Texts with equal words
 are one class from the start and are sketched into groups once.
@@ -41,6 +42,10 @@ from terrace.llm.scratch import Scratch
 WORDS_ONLY = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 # Bytes of text whose words are hashed, and sketched, at a time.
 CHUNK_BYTES = 1 << 20
+# Groups of more members are compared in blocks of about so many members and bytes of words.
+SMALL, BLOCK, BLOCK_BYTES = 16, 1024, 4 << 20
+# Numbers that stand for a text's words when pairs of a block are sifted.
+BUCKETS = 256
 
 _RANDOM = np.random.default_rng(20240131)
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -256,12 +261,103 @@ def _sketched(rows: DataFrame, k: int, sketches: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _candidates(texts: DataFrame) -> DataFrame:
-    """(a, b): every text with the least text of each of its groups."""
-    keys = texts.select("uid", F.explode("keys").alias("key"))
-    groups = keys.groupBy("key").agg(F.min("uid").alias("a"), F.count(F.lit(1)).alias("n"))
-    met = keys.join(groups.where("n > 1"), "key").where("uid <> a")
-    return met.select("a", F.col("uid").alias("b")).distinct()
+def _groups(texts: DataFrame) -> DataFrame:
+    """(key, uid, size, centre): the texts of every key that several have, with the least of them."""
+    keys = texts.select("uid", "size", F.explode("keys").alias("key"))
+    shared = keys.groupBy("key").agg(F.min("uid").alias("centre"), F.count(F.lit(1)).alias("n"))
+    return keys.join(shared.where("n > 1").drop("n"), "key")
+
+
+def _open(groups: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, uid, root, size, n, bytes) of the groups whose members, without the centre, are not
+    all in one component yet."""
+    rest = groups.where("uid <> centre").drop("centre")
+    met = rest.join(roots.withColumnRenamed("node", "uid"), "uid", "left")
+    met = met.withColumn("root", F.coalesce("root", "uid"))
+    apart = met.groupBy("key").agg(
+        F.min("root").alias("one"), F.max("root").alias("other"), F.count(F.lit(1)).alias("n"),
+        F.sum("size").alias("bytes"),
+    )
+    return met.join(apart.where("one <> other").drop("one", "other"), "key")
+
+
+def _pairs_apart(members: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): all pairs of a group that are in two components and near enough in length."""
+    right = members.select("key", F.col("uid").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"))
+    longer, shorter = F.greatest("size", "size_b"), F.least("size", "size_b")
+    near = longer - shorter <= longer * (1 - threshold) + 1e-6
+    met = members.join(right, "key").where((F.col("uid") < F.col("b")) & (F.col("root") != F.col("root_b")) & near)
+    return met.select(F.col("uid").alias("a"), "b").distinct()
+
+
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """(key, i, j, block, uid, root): every member once for each pair of blocks that its own is in."""
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES))
+    own = F.pmod(F.xxhash64("uid"), blocks).cast("int")
+    dealt = members.select("key", "uid", "root", own.alias("block"), blocks.cast("int").alias("blocks"))
+    every = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return every.select(
+        "key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "uid", "root"
+    )
+
+
+def _block_links(threshold: float, sketches: int):
+    """Links of one block with another, or with itself, that join two components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("uid")
+        words = [np.frombuffer(x.as_py(), np.uint32) for x in table.column("words")]
+        uid, block = table.column("uid").to_numpy(), table.column("block").to_numpy()
+        keys = np.array([k.as_py()[:sketches] for k in table.column("keys")], np.int64)
+        here, i, j = (table.column(c)[0].as_py() for c in ("key", "i", "j"))
+        label = np.unique(table.column("root").to_numpy(), return_inverse=True)[1]
+        sizes = np.array([len(w) for w in words])
+        # At least the longer text's words, less those that both have, are edited.
+        bags = np.zeros((len(words), BUCKETS), np.uint16 if sizes.max() < 1 << 16 else np.uint32)
+        for at, own in enumerate(words):
+            bags[at] = np.bincount(own % BUCKETS, minlength=BUCKETS)
+        a, b = [], []
+        for x in range(len(words)):
+            others = np.arange(x + 1, len(words))
+            if i != j:
+                others = others[block[others] != block[x]]
+            others = others[label[others] != label[x]]
+            longer = np.maximum(sizes[others], sizes[x])
+            limit = ((1 - threshold) * longer + 1e-9).astype(np.int64)
+            near = longer - np.minimum(sizes[others], sizes[x]) <= limit
+            others, longer, limit = others[near], longer[near], limit[near]
+            # A pair is compared in the group of the first sketch that both share.
+            first = np.flatnonzero(keys[x] == here)
+            if len(first) and len(others):
+                new = ~(keys[others, : first[0]] == keys[x, : first[0]]).any(axis=1)
+                others, longer, limit = others[new], longer[new], limit[new]
+            both = np.minimum(bags[others], bags[x]).sum(axis=1, dtype=np.int64)
+            for y in others[longer - both <= limit]:
+                if label[y] != label[x] and similar(words[x], words[y], threshold):
+                    a.append(uid[x])
+                    b.append(uid[y])
+                    label[label == label[y]] = label[x]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _similar_pairs(texts: DataFrame, scratch: Scratch, sketches: int, threshold: float, n: int) -> DataFrame:
+    """(a, b): similar pairs of ``texts`` (uid, words, keys). Their components are those of all
+    similar pairs that share a key."""
+    slim = texts.select("uid", "keys", F.octet_length("words").alias("size"))
+    groups = scratch.keep(_groups(slim), "groups")
+    pairs = groups.where("uid <> centre").select(F.col("centre").alias("a"), F.col("uid").alias("b")).distinct()
+    pairs = scratch.keep(pairs, "candidates", n)
+    found = scratch.keep(_verified(pairs, texts, threshold), "similar")
+    rest = scratch.keep(_open(groups, components(found, scratch)), "open-groups")
+    if rest.isEmpty():
+        return found
+    small = scratch.keep(_pairs_apart(rest.where(F.col("n") <= SMALL), threshold), "candidates")
+    more = scratch.keep(_verified(small, texts, threshold), "similar")
+    large = _in_blocks(rest.where(F.col("n") > SMALL)).join(texts.select("uid", "words", "keys"), "uid")
+    linked = large.groupBy("key", "i", "j").applyInArrow(_block_links(threshold, sketches), "a long, b long")
+    return found.unionByName(more).unionByName(scratch.keep(linked, "similar"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -289,9 +385,8 @@ def _classes(
     n = done.count()
     words = done.where("digest IS NOT NULL")
     one = scratch.keep(words.groupBy("digest").agg(F.min("uid").alias("rep")), "distinct", n)
-    texts = words.select("uid", "keys").join(one.select(F.col("rep").alias("uid")), "uid", "left_semi")
-    pairs = scratch.keep(_candidates(texts), "candidates", n)
-    edges = scratch.keep(_verified(pairs, words, threshold), "similar")
+    texts = words.select("uid", "words", "keys").join(one.select(F.col("rep").alias("uid")), "uid", "left_semi")
+    edges = _similar_pairs(texts, scratch, sketches, threshold, n)
     roots = components(edges, scratch).withColumnRenamed("node", "rep")
     of_digest = one.join(roots, "rep", "left").select("digest", F.coalesce("root", "rep").alias("root"))
     of_digest = scratch.keep(of_digest, "roots", n)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -129,6 +130,30 @@ def test_classes_match_brute_force(spark):
     assert all(want[i] == want[got[i]] for i in range(len(rows)))
 
 
+def template_texts(seed, strangers):
+    """Texts of 150 template and 50 own words; the last two differ in every third own word."""
+    rng = random.Random(seed)
+    template, own = words(rng, 150), words(rng, 50)
+    other = [words(rng, 1)[0] if i % 3 == 0 else w for i, w in enumerate(own)]
+    texts = [template + words(rng, 50) for _ in range(strangers)] + [template + own, template + other]
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("strangers", [1, 10, 60])
+def test_pairs_under_a_shared_template_are_found(spark, strangers):
+    rows = template_texts(3, strangers)
+    got = classes(docs(spark, rows).repartition(3))
+    assert got[strangers + 1] == strangers and len(set(got.values())) == strangers + 1
+
+
+def test_blocks_find_what_brute_force_finds(spark, monkeypatch):
+    monkeypatch.setattr(omh, "BLOCK", 7)
+    rows = [(i, t) for i, (_, t) in enumerate(template_texts(4, 30) + corpus()[-80:])]
+    got = classes(docs(spark, rows).repartition(3))
+    want = brute(rows)
+    assert all(got[i] == want[i] for i in range(len(rows)))
+
+
 ODD = [
     (1, None), (2, ""), (3, " \n"), (4, "!!!"), (5, "!!! "), (6, "One two, three."), (7, "one TWO three"),
     (8, "a"), (9, "a " * 30_000), (10, "a " * 30_000 + "b"), (11, "same text here again now"),
