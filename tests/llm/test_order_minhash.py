@@ -154,6 +154,38 @@ def test_blocks_find_what_brute_force_finds(spark, monkeypatch):
     assert all(got[i] == want[i] for i in range(len(rows)))
 
 
+@settings(max_examples=500, deadline=None)
+@given(
+    st.lists(st.integers(0, 30), min_size=1, max_size=59),
+    st.lists(st.tuples(st.integers(0, 58), st.integers(0, 30), st.integers(0, 2)), max_size=14),
+    st.dictionaries(st.integers(0, 30), st.integers(0, 99)),
+)
+def test_similar_short_texts_share_a_rare_word(a, edits, ranks):
+    b = list(a)
+    for place, word, kind in edits:
+        b[place : place + (kind > 0)] = [word] if kind < 2 else []
+    if b and distance(a, b) <= omh.allowed_edits(max(len(a), len(b)), 0.8):
+        assert len(b) < omh.shortest_long(0.8)
+        keys = [set(omh.rare_word_keys(np.array(x, np.uint32), ranks, 0.8)) for x in (a, b)]
+        assert keys[0] & keys[1]
+
+
+def test_short_texts_match_brute_force(spark):
+    rng = random.Random(8)
+    common = words(rng, 12)
+    rows = []
+    for n in [*range(5, 13), 20, 30, 45, 59]:
+        for _ in range(4):
+            text = [rng.choice(common) if rng.random() < 0.4 else w for w in words(rng, n)]
+            middle = [*text[: n // 2], words(rng, 1)[0], *text[n // 2 + 1 :]]
+            spread = [words(rng, 1)[0] if i % 5 == 2 and i // 5 < n // 5 else w for i, w in enumerate(text)]
+            rows += [text, middle, spread]
+    rows = [(i, " ".join(r)) for i, r in enumerate(rows)]
+    got = classes(docs(spark, rows).repartition(3))
+    want = brute(rows)
+    assert all(got[i] == want[i] for i in range(len(rows)))
+
+
 ODD = [
     (1, None), (2, ""), (3, " \n"), (4, "!!!"), (5, "!!! "), (6, "One two, three."), (7, "one TWO three"),
     (8, "a"), (9, "a " * 30_000), (10, "a " * 30_000 + "b"), (11, "same text here again now"),
