@@ -10,9 +10,9 @@ Labelled findings train a random forest on
 * how often labelled findings of the same path and beside the same words were secrets.
 
 Dictionary and transitions are counted over all documents: a word is in the dictionary if it
-has 3 to 12 letters and is in at least one of ``1 / RARE`` documents, so the dictionary
-cannot outgrow the distinct words of ``1 / RARE`` documents. Transitions have 28 * 28 rows.
-The forest is fitted on at most ``sample`` labelled findings, those with the least digest.
+has 3 to 24 letters and is in ``ENOUGH`` documents, or where there are few in at least one of
+``1 / RARE``. Transitions have 28 * 28 rows. The forest is fitted on at most ``sample`` labelled
+findings, those with the least digest; rates count all labelled findings.
 Everything runs as built-in expressions and Spark's own machine learning.
 
 Defined results: null and empty texts have no findings; a run of any length is one finding;
@@ -40,14 +40,18 @@ UP_TO_RUN = rf"(?s)\G.*?{RUN}"
 # looked for.
 BESIDE = 64
 # Letters of a dictionary word, and characters of a finding that are looked up together.
-LETTERS = (3, 12)
+LETTERS = (3, 24)
 CHUNK = 1024
 RARE = 0.001
+# So many documents with a word are enough, however many there are.
+ENOUGH = 20
 SYMBOLS = "abcdefghijklmnopqrstuvwxyz0#"
 # Bits for a transition that the corpus never makes.
 UNSEEN = 16.0
 # A neighbouring word or path counts as this many findings of the average rate besides its own.
 PRIOR = 4.0
+# Rows of a table of words or rates that is broadcast.
+FEW = 10_000
 FEATURES = ["length", "digits", "changes", "surprise", "coverage", "path_rate", "before_rate", "after_rate"]
 
 
@@ -85,7 +89,7 @@ def dictionary(df: DataFrame, text_col: str = "text") -> DataFrame:
     counted = found.where(F.char_length("word").between(*LETTERS)).groupBy("word").agg(
         F.count(F.lit(1)).alias("documents")
     )
-    least = F.greatest(F.lit(df.count() * RARE), F.lit(2))
+    least = min(max(df.count() * RARE, 2), ENOUGH)
     return counted.where(F.col("documents") >= least)
 
 
@@ -118,6 +122,11 @@ def transitions(words: DataFrame) -> list[float]:
     return bits
 
 
+def _measured(table: DataFrame) -> DataFrame:
+    """Broadcast in a join if it is measured to be small, else sorted and merged."""
+    return table.hint("broadcast" if table.limit(FEW + 1).count() <= FEW else "merge")
+
+
 def coverage(candidates: DataFrame, words: DataFrame) -> DataFrame:
     """(key, coverage) by the digest of a candidate: the share of its characters that
     dictionary words cover, at each place the longest one."""
@@ -141,7 +150,7 @@ def coverage(candidates: DataFrame, words: DataFrame) -> DataFrame:
     pieces = ahead.where(F.char_length("letters") >= least).select(
         "key", "size", "at", F.explode(F.sequence(F.lit(least), F.char_length("letters"))).alias("n"), "letters"
     )
-    met = pieces.select("key", "size", "at", "n", F.left("letters", F.col("n")).alias("word")).join(words.select("word"), "word")
+    met = pieces.select("key", "size", "at", "n", F.left("letters", F.col("n")).alias("word")).join(_measured(words.select("word")), "word")
     longest = met.groupBy("key", "size", "at").agg(F.max("n").alias("n"))
     covered = longest.select("key", "size", F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("place"))
     counted = covered.distinct().groupBy("key", "size").agg(F.count(F.lit(1)).alias("n"))
@@ -173,6 +182,7 @@ def with_rates(rows: DataFrame, labelled: DataFrame) -> DataFrame:
     mean = labelled.agg(F.avg("label")).first()[0]
     for name, column in (("path_rate", "path"), ("before_rate", "before"), ("after_rate", "after")):
         known = labelled.groupBy(F.col(column).alias("key")).agg(F.sum("label").alias("s"), F.count(F.lit(1)).alias("n"))
+        known = _measured(known)
         rate = (F.coalesce("s", F.lit(0.0)) + PRIOR * mean) / (F.coalesce("n", F.lit(0)) + PRIOR)
         rows = rows.join(known, F.col(column).eqNullSafe(F.col("key")), "left").withColumn(name, rate).drop("key", "s", "n")
     return rows
@@ -200,7 +210,8 @@ def scan(
             described(found, words, transitions(words)).withColumn("label", label.cast("double")), "described"
         )
         named = F.xxhash64("doc_id", "start", "candidate")
-        chosen = known.where("label IS NOT NULL").orderBy(named, "doc_id", "start", "candidate").limit(sample)
+        labelled = known.where("label IS NOT NULL")
+        chosen = labelled.orderBy(named, "doc_id", "start", "candidate").limit(sample)
         chosen = scratch.keep(chosen, "labelled")
         out = ["doc_id", "start", F.col("length").cast("long").alias("length"), "candidate", "before", "after",
                "path", F.col("label").cast("boolean").alias("label"), "score", "is_secret"]
@@ -210,12 +221,16 @@ def scan(
         assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
         # A finding's own label is kept out of its rates: two halves supply each other's.
         half = F.pmod(named, F.lit(2)) == 0
-        one, two = chosen.where(half), chosen.where(~half)
-        rated = with_rates(one, two).unionByName(with_rates(two, one)) if _both(one, two) else with_rates(chosen, chosen)
+        # Rates count all labelled findings, only the fit is of a sample.
+        one, two = labelled.where(half), labelled.where(~half)
+        if _both(one, two):
+            rated = with_rates(chosen.where(half), two).unionByName(with_rates(chosen.where(~half), one))
+        else:
+            rated = with_rates(chosen, labelled)
         # A bounded sample in one sorted partition, so that the forest is the same each time.
         ready = scratch.keep(rated.repartition(1).sortWithinPartitions("doc_id", "start", "candidate"), "training")
         forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(assembler.transform(ready))
-        scored = forest.transform(assembler.transform(with_rates(known, chosen)))
+        scored = forest.transform(assembler.transform(with_rates(known, labelled)))
         scored = scored.withColumn("score", vector_to_array("probability")[1])
         return scratch.result(scored.withColumn("is_secret", F.col("score") >= threshold).select(*out), "secrets")
 

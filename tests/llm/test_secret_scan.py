@@ -83,3 +83,23 @@ def test_without_labels_and_empty(spark):
     got = secret_scan.scan(docs(spark, ROWS), F.lit(None)).collect()
     assert len(got) == len(brute(ROWS)) and all(r.is_secret and r.score is None for r in got)
     assert secret_scan.scan(docs(spark, []), secret_scan.known_formats()).count() == 0
+
+
+def test_rates_count_findings_outside_the_sample(spark, monkeypatch):
+    rows, _ = corpus(150)
+    counted, plain = [], secret_scan.with_rates
+
+    def spy(some, labelled):
+        counted.append(labelled.count())
+        return plain(some, labelled)
+
+    monkeypatch.setattr(secret_scan, "with_rates", spy)
+    got = secret_scan.scan(docs(spark, rows), secret_scan.known_formats(), sample=30, trees=3).collect()
+    assert counted[-1] == sum(r.label is not None for r in got) > 30
+
+
+def test_rare_and_long_words_of_a_large_corpus_are_in_the_dictionary(spark):
+    n = F.col("id")
+    text = F.when(n < 25, F.lit("uncharacteristically seldom")).otherwise(F.lit("often"))
+    found = {r.word for r in secret_scan.dictionary(spark.range(30_000).select(text.alias("text"))).collect()}
+    assert found == {"uncharacteristically", "seldom", "often"}
