@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from terrace.sources.paths import delete
 from terrace.staging import new_folder
 
-# Rows that Spark hands to a Python function at a time. Its own default of ten thousand texts
-# takes tens of MB outside the heap, several times over.
-BATCH_ROWS = 512
+# Rows and bytes that Spark hands to a Python function at a time. Its own default of ten
+# thousand texts takes tens of MB outside the heap, several times over, and very long texts more.
+BATCH_ROWS, BATCH_BYTES = 4096, 4 << 20
 # Narrow rows of a file, and the tasks that write a small table.
 FILE_ROWS = 200_000
 LEAST_FILES = 8
@@ -20,6 +20,7 @@ LEAST_FILES = 8
 def bound_batches(spark: SparkSession) -> None:
     """Small batches of rows for the Python functions of this session."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 class Scratch:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import exact_dedup, language_id, mixing, order_minhash, packing, secret_scan, sharding, token_counts, vector_forest, warc
+from terrace.llm import exact_dedup, language_id, mixing, order_minhash, packing, phrases, secret_scan, sharding, token_counts, vector_forest, warc
 from terrace.staging import new_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -68,6 +68,10 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_classes(_table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_forest": op1_secret_forest,
     "op2_warc_round_trip": op2_warc_round_trip,
@@ -79,6 +83,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_rendezvous_shards": op9_rendezvous_shards,
     "op10_order_minhash": op10_order_minhash,
+    "op11_phrase_collocations": op11_phrase_collocations,
 }
 
 LLM_ORACLES: dict[str, str] = {
@@ -166,4 +171,47 @@ LLM_ORACLES: dict[str, str] = {
                grown_shard::INTEGER AS grown_shard
         FROM n
     """,
+    "op11_phrase_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), w AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+        ), starts AS (
+            SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w
+        ), spans AS (
+            SELECT lang, unnest(list_transform(range(0, least(4, len(words) - i + 1)),
+                       lambda k: array_to_string(words[i:i + k], ' '))) AS phrase FROM starts
+        ), f AS (
+            SELECT lang, phrase, count(*) AS f FROM spans GROUP BY ALL HAVING count(*) >= 30
+        ), totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang),
+        c AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS p FROM f WHERE phrase LIKE '% %'),
+        cuts AS (SELECT *, unnest(range(1, len(p))) AS k FROM c),
+        scored AS (
+            SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+                   (2000000::HUGEINT * c.a) // (x.f + y.f)::HUGEINT AS score
+            FROM cuts c
+            JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(p[1:k], ' ')
+            JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(p[k + 1:], ' ')
+        ), best AS (
+            SELECT * FROM scored
+            QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), inner_parts AS (
+            SELECT lang, a AS longer, m, unnest(range(1, len(p) - m + 2)) AS i, p
+            FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < len(p)
+        ), held AS (
+            SELECT lang, array_to_string(p[i:i + m - 1], ' ') AS phrase, max(longer) AS longer
+            FROM inner_parts GROUP BY ALL
+        ), kept AS (
+            SELECT b.* FROM best b LEFT JOIN held h ON h.lang = b.lang AND h.phrase = b.phrase
+            WHERE NOT coalesce(100::HUGEINT * h.longer >= 80::HUGEINT * b.a, false)
+        )
+        SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+               phrase, a, l, r, n, score::BIGINT AS score
+        FROM kept k JOIN totals t ON t.lang = k.lang
+        QUALIFY rank <= 2000
+    """,
 }
