@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrace.llm.scratch import Scratch
+
 # About how many rows share the smallest cell of the order.
 CELL_ROWS = 64
 
@@ -55,3 +57,24 @@ def with_running_sum(
 
 def _sum_before(value: str, window) -> Column:
     return F.coalesce(F.sum(value).over(window), F.lit(0).cast("long"))
+
+
+def with_range_sum(
+    df: DataFrame, order: list[Column], value: str, out: str, scratch: Scratch
+) -> DataFrame:
+    """Adds ``out``: the sum of ``value`` over all rows that come before in the global order.
+
+    Rows are sorted globally: dealt by ranges of ``order``, which must tell all rows apart, into
+    the partitions of a shuffle. Each is a block; sums are taken over the rows of a block and over
+    the blocks, of which there are as many as shuffle partitions.
+    """
+    dealt = df.repartitionByRange(*order).withColumn("_block", F.spark_partition_id())
+    rows = scratch.keep(dealt, "range")
+    before = (Window.unboundedPreceding, -1)
+    blocks = rows.groupBy("_block").agg(F.sum(value).alias("_sum")).select(
+        "_block", _sum_before("_sum", Window.orderBy("_block").rowsBetween(*before)).alias("_base")
+    )
+    within = Window.partitionBy("_block").orderBy(*order).rowsBetween(*before)
+    summed = rows.withColumn(out, _sum_before(value, within))
+    met = summed.join(F.broadcast(blocks), "_block")
+    return met.withColumn(out, F.col(out) + F.col("_base")).drop("_block", "_base")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import exact_dedup, language_id, mixing, order_minhash, packing, phrases, secret_scan, sharding, token_counts, vector_forest, warc
+from terrace.llm import exact_dedup, importance, language_id, mixing, order_minhash, packing, phrases, scaled_sketch, secret_scan, sharding, token_counts, vector_forest, warc
 from terrace.staging import new_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -72,6 +72,15 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return importance.resample_table(documents, benchmark)
+
+
+def op13_scaled_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scaled_sketch.neighbours(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_forest": op1_secret_forest,
     "op2_warc_round_trip": op2_warc_round_trip,
@@ -84,6 +93,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_rendezvous_shards": op9_rendezvous_shards,
     "op10_order_minhash": op10_order_minhash,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_scaled_fingerprints": op13_scaled_fingerprints,
 }
 
 LLM_ORACLES: dict[str, str] = {
@@ -214,4 +225,84 @@ LLM_ORACLES: dict[str, str] = {
         FROM kept k JOIN totals t ON t.lang = k.lang
         QUALIFY rank <= 2000
     """,
+    "op12_importance_resampling": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS uid, doc_id,
+                   regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+        ), b AS (
+            SELECT regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+        ), dw AS (SELECT uid, unnest(words) AS word FROM d), bw AS (SELECT unnest(words) AS word FROM b),
+        crc_table AS (
+            SELECT list(r ORDER BY b) AS table_of FROM (
+                SELECT b, list_reduce(list_prepend(b, range(8)), lambda r, i:
+                    CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END) AS r
+                FROM (SELECT unnest(range(256)) AS b))
+        ), bucket_of AS (
+            SELECT word, xor(list_reduce(list_prepend(4294967295,
+                       list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda x: ('0x' || x)::BIGINT)),
+                       lambda r, x: xor(r >> 8, table_of[1 + (xor(r, x) & 255)])), 4294967295) % 10000 AS bucket
+            FROM (SELECT word FROM dw UNION SELECT word FROM bw), crc_table
+        ), s AS (SELECT bucket, count(*) AS s FROM dw JOIN bucket_of USING (word) GROUP BY bucket),
+        t AS (SELECT bucket, count(*) AS t FROM bw JOIN bucket_of USING (word) GROUP BY bucket),
+        gain AS (
+            SELECT bucket, floor(1000.0::DOUBLE * ln(((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM dw) + 10000.0::DOUBLE))
+                       / ((coalesce(s, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM bw) + 10000.0::DOUBLE))))::BIGINT AS gain
+            FROM s FULL JOIN t USING (bucket)
+        ), w AS (
+            SELECT uid, sum(gain)::BIGINT AS weight FROM dw JOIN bucket_of USING (word) JOIN gain USING (bucket) GROUP BY uid
+        ), scored AS (
+            SELECT uid, doc_id, coalesce(len(words), 0)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+                   (coalesce(weight, 0) + floor(-1000.0::DOUBLE * ln(-ln((('0x' || substr(sha256('2024:'
+                       || coalesce(doc_id::VARCHAR, '\N')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE))))::BIGINT AS score
+            FROM d LEFT JOIN w USING (uid)
+        ), placed AS (
+            SELECT *, n_features >= 20 AS fit, row_number() OVER (PARTITION BY n_features >= 20
+                       ORDER BY score DESC, doc_id NULLS LAST, weight, n_features) AS place FROM scored
+        )
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN fit AND place <= (SELECT 10 * count(*) // 100 FROM placed WHERE fit) THEN place END AS rank
+        FROM placed
+    """,
+    "op13_scaled_fingerprints": r"""
+        WITH d AS (
+            SELECT row_number() OVER (ORDER BY doc_id NULLS LAST) AS uid, doc_id, coalesce(text, '') AS text,
+                   coalesce(lead(coalesce(text, '')) OVER w, first_value(coalesce(text, '')) OVER w) AS following,
+                   coalesce(lead(uid_) OVER w, first_value(uid_) OVER w) AS next_uid, uid_
+            FROM (SELECT *, row_number() OVER (ORDER BY doc_id NULLS LAST) AS uid_ FROM documents)
+            WINDOW w AS (ORDER BY uid_ ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+        ), e AS (
+            SELECT uid_ AS uid, next_uid, doc_id, text, length(text) AS n_chars,
+                   substr(text, 1, length(text) - length(text) // 4) || substr(following, 1, length(text) // 4) AS edited
+            FROM d
+        ), kinds AS (SELECT uid, 0 AS kind, text FROM e UNION ALL SELECT uid, 1, edited FROM e),
+        words AS (
+            SELECT uid, kind, text, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM kinds
+        ), hashes AS (
+            SELECT uid, kind, CASE
+                WHEN text = '' THEN []
+                WHEN len(w) = 0 THEN [md5(text)[1:16]]
+                WHEN len(w) < 5 THEN [md5(array_to_string(w, ' '))[1:16]]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: md5(array_to_string(w[i:i + 4], ' '))[1:16]) END AS h
+            FROM words
+        ), kept AS (
+            SELECT uid, kind, CASE WHEN len(list_filter(h, lambda x: x < '2')) > 0
+                THEN list_sort(list_distinct(list_filter(h, lambda x: x < '2')))
+                WHEN len(h) > 0 THEN [list_min(h)] ELSE [] END AS k FROM hashes
+        ), three AS (
+            SELECT e.*, a.k AS a, b.k AS b, c.k AS c FROM e
+            JOIN kept a ON a.uid = e.uid AND a.kind = 0
+            JOIN kept b ON b.uid = e.uid AND b.kind = 1
+            JOIN kept c ON c.uid = e.next_uid AND c.kind = 0
+        )
+        SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, array_to_string(a, '') AS fingerprint,
+               array_to_string(b, '') AS edited_fingerprint,
+               CASE WHEN least(len(a), len(b)) = 0 THEN (len(a) = len(b))::INT::DOUBLE
+                    ELSE len(list_intersect(a, b)) / least(len(a), len(b))::DOUBLE END AS near_edited,
+               CASE WHEN least(len(a), len(c)) = 0 THEN (len(a) = len(c))::INT::DOUBLE
+                    ELSE len(list_intersect(a, c)) / least(len(a), len(c))::DOUBLE END AS near_next
+        FROM three
+    """,
 }
