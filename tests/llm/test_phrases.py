@@ -1,0 +1,138 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from terrace.llm import phrases
+from terrace.llm.phrases import collocations, quicksort_counts, tokens
+from tests.llm.helpers import docs, table
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def pieces(text):
+    return [re.findall(r"[^\x20\x09]+", p) for p in re.split(r"[.,;:!?\x0A-\x0D]", lowered(text or ""))]
+
+
+def brute(rows, longest=4, least=30, covered=80, top=2000):
+    counts, totals = defaultdict(Counter), Counter()
+    for _, text, lang in rows:
+        lang = lang if lang is not None else "und"
+        totals[lang] += 0
+        for words in pieces(text):
+            totals[lang] += len(words)
+            for i in range(len(words)):
+                for n in range(1, min(longest, len(words) - i) + 1):
+                    counts[lang][tuple(words[i : i + n])] += 1
+    out = []
+    for lang, f in counts.items():
+        kept = []
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        for p, a in candidates.items():
+            cuts = [(2_000_000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            longer = [
+                b for q, b in candidates.items()
+                if len(q) > len(p) and any(q[i : i + len(p)] == p for i in range(len(q)))
+            ]
+            if not any(100 * b >= covered * a for b in longer):
+                kept.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, p, left, right) in enumerate(sorted(kept)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, totals[lang], -score))
+    return sorted(out, key=lambda r: tuple(map(str, r)))
+
+
+def corpus(seed=5, n=120):
+    rng = random.Random(seed)
+    common = ["a", "B", "c", "dé", "e\x00f", "ß", "ÀB", " x"]
+    rows = []
+    for i in range(n):
+        words = [rng.choice(common if rng.random() < 0.9 else [f"rare{rng.random()}"]) for _ in range(rng.randrange(40))]
+        joined = "".join(w + rng.choice([" ", "\t", "  ", ", ", ".\n", "\r", "\x0b"][: 7 if rng.random() < 0.4 else 3]) for w in words)
+        rows.append((i, joined, rng.choice(["en", "en", None, "de", "und", ""])))
+    return rows
+
+
+ODD = [
+    (1000, None, "en"), (1001, "", None), (1002, " \t.,\n", "de"), (1003, "a B a B " * 900, "en"),
+    (1003, "a B a B " * 900, "en"), (None, "c c c c c c c c c", "xx"), (1004, "ONE two. " * 40, "only"),
+]
+
+
+def frame(spark, rows):
+    return docs(spark, [(i, text, lang, None) for i, text, lang in rows])
+
+
+@pytest.mark.parametrize(("least", "limit"), [(30, None), (3, None), (5, 10_000), (4, 40)])
+def test_matches_brute_force(spark, least, limit):
+    """With routes of one word, and of up to four where leading words are frequent."""
+    rows = corpus() + ODD
+    df = frame(spark, rows).repartition(6).withColumn("words", F.lit(1)).withColumn("n", F.lit("x"))
+    got = collocations(df, least=least, route_limit=limit)
+    assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    assert table(got) == brute(rows, least=least)
+
+
+@pytest.mark.parametrize(("longest", "top"), [(2, 3), (5, 10)])
+def test_other_lengths_and_top(spark, longest, top):
+    rows = corpus(9, 60) + ODD
+    got = collocations(frame(spark, rows), longest=longest, least=4, top=top)
+    assert table(got) == brute(rows, longest=longest, least=4, top=top)
+
+
+def test_small_batches_and_slices_change_nothing(spark, monkeypatch):
+    rows = corpus(11, 80)
+    want = brute(rows, least=5)
+    monkeypatch.setattr(phrases, "HELD_WORDS", 50)
+    monkeypatch.setattr(phrases, "HELD_COUNTS", 5)
+    monkeypatch.setattr(phrases, "FILTER_BITS", 1 << 15)
+    assert table(collocations(frame(spark, rows), least=5)) == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="aB .,\n\t\x0b\r é\x1c ", max_size=60), st.integers(1, 20))
+def test_tokens_in_slices(text, size):
+    whole = phrases.SLICE_BYTES
+    try:
+        phrases.SLICE_BYTES = size
+        found = b" ".join(w for part in tokens(text) for w in part)
+    finally:
+        phrases.SLICE_BYTES = whole
+    got = [p.split(b" ") if p.strip(b" ") else [] for p in (x.strip(b" ") for x in found.split(b"\xff"))]
+    assert [[w.decode() for w in p if w] for p in got if p] == [p for p in pieces(text) if p]
+
+
+def test_counts_beyond_64_bits_are_exact(spark):
+    counts = spark.createDataFrame(
+        [("en", "a b", 9 * 10**17), ("en", "a", 9 * 10**17 + 3), ("en", "b", 9 * 10**17 + 4)], "lang string, phrase string, f long"
+    )
+    assert [r.score for r in phrases.score_cuts(counts).collect()] == [2_000_000 * 9 * 10**17 // (18 * 10**17 + 7)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(-1, 3), st.integers(-1, 2), st.integers(1, 4)), min_size=1, max_size=60), st.integers(1, 6))
+def test_quicksort_finds_all_prefixes(rows, least):
+    rows = [(a, b, c if b >= 0 else -1, n) for a, b, c, n in rows]
+    columns = [np.array([r[j] for r in rows], np.int32) for j in range(3)]
+    weights = np.array([r[3] for r in rows])
+    found = quicksort_counts(columns, weights, np.ones(len(rows), np.int64), least)
+    got = sorted((tuple(int(columns[j][p]) for j in range(depth)), n) for p, depth, n in found)
+    counted = Counter()
+    for *ids, n in rows:
+        for depth in range(1, 4):
+            if min(ids[:depth]) >= 0:
+                counted[tuple(ids[:depth])] += n
+    assert got == sorted((p, n) for p, n in counted.items() if n >= least)
+
+
+def test_empty_table(spark):
+    assert collocations(docs(spark, [])).count() == 0
