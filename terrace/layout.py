@@ -13,7 +13,7 @@ class Layout:
     fact_buckets: int = 64
     # Bronze files a run takes at a time; None takes all that are there.
     max_files_per_trigger: int | None = None
-    # Move taken bronze files to ``archive``, so that the folder to list stays small.
+    # Move taken bronze files to ``archive``, one by one, so that the folder to list stays small.
     archive_taken: bool = False
 
     def bronze(self, name: str) -> str:
@@ -32,7 +32,7 @@ class Layout:
         return f"{self.root}/cold/gold/{name}_snapshots"
 
     def admitted(self, name: str) -> str:
-        """Where bronze files go that passed their gate; ingestion takes them from there."""
+        """Lists of the bronze files that passed their gate; ingestion takes these."""
         return f"{self.root}/admitted/{name}"
 
     def archive(self, name: str) -> str:

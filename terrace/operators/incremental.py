@@ -1,21 +1,11 @@
-"""Watermarked change selection and keyed upsert on a key-bucketed Parquet table."""
+"""Watermarked change selection, and keyed upsert of one frame into another."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from terrace.functions.columns import WATERMARK_DEFAULT, instant
-from terrace.operators.dedup import latest_version
-from terrace.sources.paths import exists, first_child
-from terrace.staging import staged
-
-_BUCKET_PREFIX = "bucket_of_"
-# What a key costs in a broadcast table besides its own bytes, on the safe side.
-_KEY_OVERHEAD_BYTES = 64
 
 
 def watermark(target: DataFrame, column: str, default: str = WATERMARK_DEFAULT) -> DataFrame:
@@ -42,145 +32,3 @@ def changes_since(
 def merge_frames(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Target rows whose key did not change, plus the changes (unique by key)."""
     return target.join(changes.select(key), key, "left_anti").unionByName(changes)
-
-
-class KeyedTable:
-    """A Parquet table unique by ``key`` and partitioned by a hash bucket of it.
-
-    A key always falls in the same bucket, so replacing whole buckets is a complete upsert.
-    A run rewrites only the buckets that hold a key being replaced; new keys in other
-    buckets are appended as new files. One writer at a time; readers should not span a run.
-    """
-
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        key: str,
-        buckets: int,
-        cluster_by: Sequence[str] = (),
-        broadcast_bytes: int = 64 << 20,
-        schema: T.StructType | None = None,
-    ):
-        self.spark = spark
-        self.path = path
-        self.key = key
-        self.buckets = buckets
-        self.cluster_by = list(cluster_by)
-        self.broadcast_bytes = broadcast_bytes
-        # With a schema the table can be read before it holds rows, and without a footer scan.
-        self.schema = schema
-        # The column name carries the bucket count: opening a table with another one fails.
-        self.bucket_column = f"{_BUCKET_PREFIX}{buckets}"
-
-    def _layout(self) -> str | None:
-        """The bucket column the stored folders are named after."""
-        folder = first_child(self.spark, self.path, _BUCKET_PREFIX)
-        return folder.partition("=")[0] if folder else None
-
-    def exists(self) -> bool:
-        """Whether rows were ever written; an upsert of nothing does not make a table."""
-        return exists(self.spark, f"{self.path}/_SUCCESS") and self._layout() is not None
-
-    def _stored(self) -> DataFrame:
-        layout = self._layout()
-        if layout != self.bucket_column:
-            raise ValueError(f"{self.path} is laid out as {layout}, not {self.bucket_column}")
-        reader = self.spark.read
-        if self.schema is not None:
-            bucket = T.StructField(self.bucket_column, T.IntegerType())
-            reader = reader.schema(T.StructType([*self.schema.fields, bucket]))
-        return reader.parquet(self.path)
-
-    def read(self) -> DataFrame:
-        if self.schema is not None and not self.exists():
-            return self.spark.createDataFrame([], self.schema)
-        return self._stored().drop(self.bucket_column)
-
-    def _gathered(self, df: DataFrame) -> DataFrame:
-        """One shuffle that brings each bucket together and splits the large ones."""
-        return df.hint("rebalance", self.bucket_column)
-
-    def _write(self, df: DataFrame, mode: str, replace: str = "dynamic") -> None:
-        # Sorted files let later date filters skip row groups.
-        (
-            df.sortWithinPartitions(self.bucket_column, *self.cluster_by)
-            .write.partitionBy(self.bucket_column)
-            .option("partitionOverwriteMode", replace)
-            .mode(mode)
-            .parquet(self.path)
-        )
-
-    def upsert(self, changes: DataFrame, newest_first: Sequence[str] = ()) -> None:
-        """Insert new keys and replace known ones; never deletes. Safe to run again.
-
-        ``newest_first`` names the version columns when ``changes`` may repeat a key.
-        """
-        if newest_first:
-            changes = latest_version(changes, [self.key], newest_first)
-        with staged(changes, "changes") as incoming:
-            self.upsert_stored(incoming)
-
-    def upsert_stored(self, changes: DataFrame, note: Column | None = None) -> list:
-        """Upsert rows that are unique by key and cheap to read more than once.
-
-        Rows without key are refused, since a second run would not find them again. Returns
-        the distinct values of ``note`` over the rows being replaced, as they were
-        before. It must have few values (days, say): they come to the driver.
-        """
-        b = self.bucket_column
-        bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-        incoming = changes.withColumn(b, bucket)
-        # Key sizes by bucket: at most ``buckets`` rows reach the driver.
-        key_bytes = F.octet_length(F.coalesce(F.col(self.key).cast("string"), F.lit("")))
-        missing = F.count_if(F.col(self.key).isNull())
-        sizes = incoming.groupBy(b).agg(F.sum(key_bytes + _KEY_OVERHEAD_BYTES), missing).collect()
-        if any(r[2] for r in sizes):
-            raise ValueError(f"rows without {self.key} cannot be upserted")
-        arriving = {r[0]: r[1] for r in sizes}
-        if not self.exists():
-            self._write(self._gathered(incoming), "overwrite", replace="static")
-            return []
-        replaced, noted = self._stored_versions(incoming, sorted(arriving), note)
-        if replaced:
-            in_replaced = F.col(b).isin(sorted(replaced))
-            kept = self._stored().where(in_replaced)
-            size = sum(arriving[bucket] for bucket in replaced)
-            merged = self._merged(kept, incoming.where(in_replaced), size)
-            self._write(merged, "overwrite")
-        if untouched := arriving.keys() - replaced:
-            self._write(self._gathered(incoming.where(F.col(b).isin(sorted(untouched)))), "append")
-        return sorted(noted)
-
-    def compact(self) -> None:
-        """Gather every bucket's rows into few files again."""
-        self._write(self._gathered(self._stored()), "overwrite")
-
-    def _merged(self, kept: DataFrame, arriving: DataFrame, size: int) -> DataFrame:
-        """``kept`` without the arriving keys, plus ``arriving``.
-
-        Few keys (``size`` is their measured bytes) are broadcast: stored rows then go from
-        file to file without a shuffle, since each scan task already reads few buckets.
-        Many keys make it a shuffled anti-join, gathered by bucket before the write.
-        """
-        if size > self.broadcast_bytes:
-            return self._gathered(merge_frames(kept, arriving, self.key))
-        others = kept.join(F.broadcast(arriving.select(self.key)), self.key, "left_anti")
-        return others.unionByName(self._gathered(arriving))
-
-    def _stored_versions(
-        self, incoming: DataFrame, arriving: list[int], note: Column | None
-    ) -> tuple[set[int], list]:
-        """Buckets in which an incoming key is already stored, and the notes of those rows.
-
-        Reads the key (and the note's columns) of the arriving buckets, nothing else.
-        """
-        noted = F.lit(None) if note is None else note
-        hit = (
-            self._stored()
-            .where(F.col(self.bucket_column).isin(arriving))
-            .select(F.col(self.bucket_column).alias("bucket"), self.key, noted.alias("note"))
-            .join(incoming.select(self.key), self.key, "left_semi")
-        )
-        found = hit.agg(F.collect_set("bucket"), F.collect_set("note")).first()
-        return set(found[0]), found[1]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Mapping
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 from datetime import date
 from functools import partial
@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrace.functions.columns import with_stored_keys
 from terrace.layout import Layout
-from terrace.operators.snapshots import export, refresh_increments
-from terrace.plans.build import gold_readers
-from terrace.sources.versioned import is_published, publish, read_current
+from terrace.operators.snapshots import INCREMENT_PARTITION, export, refresh_increments
+from terrace.plans import changes
+from terrace.plans.build import fact_table, gold_readers
+from terrace.sources.paths import children
 from terrace.together import run_together
 
-_CHANGED = "changed_days"
-_CHANGED_SCHEMA = "fact string, day date"
+FACTS = ("fact_orders", "fact_telemetry")
 
 
 @dataclass(frozen=True)
@@ -87,40 +87,31 @@ def _sources(
 def run_backup(spark: SparkSession, layout: Layout, day: date) -> list[ExportResult]:
     """Facts as increments of ``day``, dimensions as snapshots dated ``day``. Repeating a day
     replaces it. Exported days that runs have changed since are brought in line, so that
-    every event is in the history once, in its newest version."""
+    every event is in the history once, in its newest version. Runs may go on meanwhile: what
+    they change stays in the log."""
+    logged = [e for fact in FACTS for e in changes.entries(spark, layout, fact)]
+    reached = {fact: fact_table(spark, layout, fact).commit_number() for fact in FACTS}
     results = export_tables(spark, _sources(spark, layout), day)
-    refresh_history(spark, layout, read_changed_days(spark, layout))
-    if is_published(spark, layout.state(_CHANGED)):
-        publish(spark.createDataFrame([], _CHANGED_SCHEMA), layout.state(_CHANGED))
+    for fact in FACTS:
+        own = [e for e in logged if e.fact == fact]
+        refresh_history(spark, layout, fact, changes.days_of(spark, own), day)
+    changes.consume(spark, logged, reached)
     return results
 
 
 def read_changed_days(spark: SparkSession, layout: Layout) -> dict[str, list[date]]:
     """Fact -> days that runs changed since the last backup: dates, never rows."""
-    out: dict[str, list[date]] = {}
-    if is_published(spark, layout.state(_CHANGED)):
-        for row in read_current(spark, layout.state(_CHANGED)).distinct().collect():
-            out.setdefault(row["fact"], []).append(row["day"])
-    return out
-
-
-def add_changed_days(
-    spark: SparkSession, layout: Layout, changed_days: Mapping[str, Collection[date]]
-) -> None:
-    """Remember the days a run changed until the next backup has refreshed them."""
-    known = read_changed_days(spark, layout)
-    both = {(fact, day) for days in (known, changed_days) for fact in days for day in days[fact]}
-    if both - {(fact, day) for fact in known for day in known[fact]}:
-        publish(spark.createDataFrame(sorted(both), _CHANGED_SCHEMA), layout.state(_CHANGED))
+    found = {f: changes.days_of(spark, changes.entries(spark, layout, f)) for f in FACTS}
+    return {fact: days for fact, days in found.items() if days}
 
 
 def refresh_history(
-    spark: SparkSession, layout: Layout, changed_days: Mapping[str, Collection[date]]
+    spark: SparkSession, layout: Layout, fact: str, days: Collection[date], last_day: date
 ) -> None:
-    """Bring exported days in line with the facts after corrections and late rows."""
-    sources = _sources(spark, layout) if any(changed_days.values()) else {}
-    for name, days in changed_days.items():
-        if not days:
-            continue
-        open_table, path = sources[name]
-        refresh_increments(open_table(), path, days)
+    """Bring exported days in line with the fact after corrections and late rows. Days that are
+    yet to be exported, after ``last_day`` and not in the history, will be so in their newest state."""
+    open_table, path = _sources(spark, layout)[fact]
+    exported = set(children(spark, path))
+    due = [d for d in days if d <= last_day or f"{INCREMENT_PARTITION}={d.isoformat()}" in exported]
+    if due:
+        refresh_increments(open_table(), path, due)

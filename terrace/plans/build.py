@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.layout import Layout
-from terrace.operators.incremental import KeyedTable, changes_since
+from terrace.operators.incremental import changes_since
 from terrace.operators.joins import flag_known, orphans, referential_filter
+from terrace.operators.keyed_table import KeyedTable
+from terrace.plans import changes as change_log
 from terrace.plans import models
 from terrace.plans.silver import clean
 from terrace.schemas import CORRUPT_COLUMN, DRIVERS, INGESTION_COLUMN, ORDERS, TELEMETRY, VEHICLES, Entity
@@ -157,7 +159,11 @@ def build_fact_telemetry(spark: SparkSession, layout: Layout, full: bool = False
                 late_days = _days(released)
                 accepted = accepted.unionByName(released)
         rows = models.fact_telemetry(models.telemetry_columns(accepted))
-        changed = fact.upsert_stored(rows, note=F.to_date(INGESTION_COLUMN))
+
+        def log(days: list[date], commit: int) -> None:
+            change_log.append(spark, layout, "fact_telemetry", {*days, *late_days}, commit)
+
+        changed = fact.upsert_stored(rows, note=INGESTION_COLUMN, before_commit=log)
         # A full merge starts a pending folder of its own; the old one goes with its progress.
         pending_name = progress.pending if progress else uuid.uuid4().hex
         unknown = judged.where(~F.col(_KNOWN)).drop(_KNOWN)
@@ -182,8 +188,8 @@ def _released(
     """Pending rows that count now that their vehicle has appeared.
 
     A row counts if it is its event's newest version: of the pending ones, not overtaken by
-    the fresh rows, and newer than what the fact holds. The fact is met by inner join, so
-    that the few rows in question can be broadcast and the fact is not shuffled.
+    the fresh rows, and newer than what the fact holds. The fact is asked for the few keys in
+    question through its index.
     """
     key = TELEMETRY.key
     events = referential_filter(pending, appeared, "vehicle_id").select(key).distinct()
@@ -192,7 +198,8 @@ def _released(
         fresh.select(key), key, "left_anti"
     )
     with staged(waiting.select(*TELEMETRY.raw_schema.names), "released") as candidates:
-        merged = fact.read().select(key, F.col(INGESTION_COLUMN).alias("merged_at"))
+        held = fact.lookup(candidates.select(key))
+        merged = held.select(key, F.col(INGESTION_COLUMN).alias("merged_at"))
         overtaken = (
             merged.join(candidates.select(key, INGESTION_COLUMN), key)
             .where(F.col("merged_at") >= F.col(INGESTION_COLUMN))
@@ -222,7 +229,11 @@ def build_fact_orders(spark: SparkSession, layout: Layout, full: bool = False) -
         newest = _newest(staged_orders)
         if newest is None:
             return []
-        changed = fact.upsert_stored(staged_orders, note=F.to_date(INGESTION_COLUMN))
+
+        def log(days: list[date], commit: int) -> None:
+            change_log.append(spark, layout, "fact_orders", days, commit)
+
+        changed = fact.upsert_stored(staged_orders, note=INGESTION_COLUMN, before_commit=log)
     write_progress(spark, progress_path, Progress(newest))
     return changed
 

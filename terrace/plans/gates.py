@@ -18,13 +18,15 @@ from terrace.operators.quality import (
 )
 from terrace.plans.models import GOLD_TESTS
 from terrace.schemas import CORRUPT_COLUMN, TELEMETRY
-from terrace.sources.json_batches import read_json_batches
-from terrace.sources.paths import files_below, make_folder, move
+from terrace.sources.json_batches import read_json_batches, with_corrupt_column
+from terrace.sources.paths import exists, files_below, make_folder
 
 JUDGED = ("latitude", "longitude", "cargo_temp_c")
 # Null where the text is a number or missing.
 UNREADABLE_TEMPERATURE = "unreadable_cargo_temp_c"
 
+_LIST_SCHEMA = "path string"
+
 TELEMETRY_EXPECTATIONS = (
     expect_not_null("latitude"),
     expect_not_null("longitude"),
@@ -54,44 +56,55 @@ def telemetry_gate(bronze: DataFrame, max_corrupt: int = 0) -> list[dict]:
 
 def gate_bronze(spark: SparkSession, layout: Layout, max_corrupt: int = 0) -> list[dict]:
     """Gate all landed files, admitted or not."""
-    found = _landed(spark, layout) + files_below(spark, layout.admitted(TELEMETRY.name))
-    return _judge(spark, layout, found, max_corrupt)
+    return _judge(spark, layout, _landed(spark, layout), max_corrupt)
+
+
+def admitted_files(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The names of all files ever admitted (``path``)."""
+    return spark.read.schema(_LIST_SCHEMA).parquet(_lists(spark, layout))
 
 
 def gate_and_admit(
     spark: SparkSession, layout: Layout, full: bool = False, max_corrupt: int = 0
 ) -> list[dict]:
-    """Judge the files that are not admitted yet, by name, and admit exactly these.
+    """Judge the landed files that are not admitted yet, by name, and admit exactly these: their
+    names are published in one write, and no file is moved.
 
-    Ingestion reads admitted files only, so what landed after the listing waits for the next
-    run, and a failing file stays in scope until it is gone. ``full`` judges admitted files
-    again as well. A run that dies half way has admitted files that had passed.
+    Ingestion takes the files of published lists only, so what landed after the listing waits for
+    the next run, and a failing file stays in scope until it is gone. ``full`` judges admitted files
+    that are still there again as well.
     """
-    new = _landed(spark, layout)
-    target = layout.admitted(TELEMETRY.name)
-    earlier = files_below(spark, target) if full else []
-    report = _judge(spark, layout, new + earlier, max_corrupt)
-    make_folder(spark, target)
-    for file in new:
-        move(spark, file, f"{target}/{_inner_name(layout, file)}")
+    landed = _landed(spark, layout)
+    names = spark.createDataFrame([(f,) for f in landed], _LIST_SCHEMA)
+    fresh = names.join(admitted_files(spark, layout), "path", "left_anti")
+    new = [row["path"] for row in fresh.collect()]
+    report = _judge(spark, layout, landed if full else new, max_corrupt)
+    if new:
+        # A list holds as many files as a run may take at a time.
+        at_most = layout.max_files_per_trigger or 0
+        listed = spark.createDataFrame([(f,) for f in sorted(new)], _LIST_SCHEMA).coalesce(1)
+        listed.write.mode("append").option("maxRecordsPerFile", at_most).parquet(_lists(spark, layout))
     return report
 
 
-def _landed(spark: SparkSession, layout: Layout) -> list[str]:
-    return files_below(spark, layout.bronze(TELEMETRY.name))
+def _lists(spark: SparkSession, layout: Layout) -> str:
+    path = layout.admitted(TELEMETRY.name)
+    make_folder(spark, path)
+    return path
 
 
-def _inner_name(layout: Layout, file: str) -> str:
-    """A file's name below the bronze folder."""
-    return file.split(f"/bronze/{TELEMETRY.name}/", 1)[1]
+def _landed(spark: SparkSession, layout: Layout) -> list[str]:
+    return files_below(spark, layout.bronze(TELEMETRY.name))
 
 
 def _judge(spark: SparkSession, layout: Layout, files: list[str], max_corrupt: int) -> list[dict]:
-    # With nothing to judge the folder itself is read, which must at least be there.
-    bronze = read_json_batches(
-        spark, files or layout.bronze(TELEMETRY.name), TELEMETRY.bronze_schema
-    )
-    return telemetry_gate(bronze, max_corrupt)
+    # With nothing to judge the folder itself must at least be there.
+    if not files:
+        if not exists(spark, layout.bronze(TELEMETRY.name)):
+            raise FileNotFoundError(f"no folder {layout.bronze(TELEMETRY.name)}")
+        full = with_corrupt_column(TELEMETRY.bronze_schema)
+        return telemetry_gate(spark.createDataFrame([], full), max_corrupt)
+    return telemetry_gate(read_json_batches(spark, files, TELEMETRY.bronze_schema), max_corrupt)
 
 
 def gold_tests(tables: Mapping[str, DataFrame]) -> DataFrame:

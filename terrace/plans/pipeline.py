@@ -9,17 +9,18 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from terrace.layout import Layout
 from terrace.operators.quality import require_passed
 from terrace.plans import build
-from terrace.plans.backup import add_changed_days
 from terrace.plans.gates import gate_and_admit, gold_tests
-from terrace.schemas import FEEDS, INGESTION_COLUMN, MASTERS, TELEMETRY
+from terrace.schemas import FEEDS, INGESTION_COLUMN, MASTERS, TELEMETRY, Entity
 from terrace.session import configure
 from terrace.sources.json_batches import land_batch, land_daily_snapshot
 from terrace.sources.versioned import is_published, read_current
-from terrace.streaming.ingest import DAY_COLUMN, read_quarantine, start_ingest
+from terrace.streaming.ingest import listed_files, read_quarantine, start_ingest
+from terrace.streaming.raw_zone import DAY_COLUMN
 from terrace.together import run_together
 
 
@@ -52,20 +53,26 @@ def _check_run_time(spark: SparkSession, layout: Layout, run_ts: datetime) -> No
 
 
 def ingest_feeds(spark: SparkSession, layout: Layout, run_ts: datetime | None = None) -> None:
-    started = [
-        start_ingest(
+    """Telemetry from the lists of files that its gate has admitted, the others as they land."""
+
+    def start(entity: Entity) -> StreamingQuery:
+        names = None
+        if entity is TELEMETRY:
+            lists, at_a_time = layout.admitted(entity.name), layout.max_files_per_trigger and 1
+            names = partial(listed_files, spark, lists, at_a_time)
+        return start_ingest(
             spark,
-            layout.admitted(entity.name) if entity is TELEMETRY else layout.bronze(entity.name),
+            layout.bronze(entity.name),
             layout.raw(entity.name),
             layout.state(f"ingest_{entity.name}"),
             entity,
             run_ts=run_ts,
             max_files_per_trigger=layout.max_files_per_trigger,
             archive=layout.archive(entity.name) if layout.archive_taken else None,
+            names=names,
         )
-        for entity in FEEDS
-    ]
-    for stream in started:
+
+    for stream in [start(entity) for entity in FEEDS]:
         stream.awaitTermination()
 
 
@@ -113,6 +120,5 @@ def run_pipeline(
     )
     for fact, days in (("fact_telemetry", telemetry_days), ("fact_orders", order_days)):
         report.changed_days[fact] = [day for day in days if day < run_ts.date()]
-    add_changed_days(spark, layout, report.changed_days)
     report.tests = require_passed(gold_tests(build.gold_tables(spark, layout)))
     return report

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ from terrace.schemas import CORRUPT_COLUMN
 from terrace.sources.guards import require_rows
 
 SOURCE_DAY_COLUMN = "_source_day"
-# File and place of a record, as "path#number".
+# The file that a record came from.
 SOURCE_PATH_COLUMN = "_source_path"
 # Daily master extracts carry their day in the path: <name>_YYYYMMDD
 SOURCE_DAY_PATTERN = r"_(\d{8})(?=[/.])"
@@ -24,55 +25,67 @@ def with_corrupt_column(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
 
 
-def files_as_text(reader, path: str | list[str]) -> DataFrame:
-    """One row per file below ``path``, of a batch or stream reader."""
-    return reader.text(path, wholetext=True, recursiveFileLookup=True)
-
-
-def records(files: DataFrame, schema: T.StructType) -> DataFrame:
-    """Every record of the files, plus the text of records that do not parse.
-
-    Decided per file: a file whose text is one array, on one line or over several, is parsed
-    as a whole; in any other each line is a record or an array of records. An array that
-    does not parse is read by its lines, so that what can be read is kept and the rest is
-    quarantined. A file must fit into a task's memory.
-    """
-    full = with_corrupt_column(schema)
-    lines = F.filter(F.split("value", r"\r?\n"), lambda line: F.trim(line) != "")
-    listed = files.select("value", "_metadata.file_path", lines.alias("lines"))
-    opens = F.size(F.filter("lines", _is_array)) == 1
-    whole = F.when(_is_array(F.get("lines", F.lit(0))) & opens, _array("value", schema))
-    none = F.lit(None).cast("string")
-
-    def marked(items: Column) -> Column:
-        return F.transform(items, lambda item: _with_corrupt(item, schema, none))
-
-    def of_line(line: Column) -> Column:
-        # A separator after a record belongs to the array around it; a bracket alone is no record.
-        one = F.from_json(F.regexp_replace(line, r",\s*$", ""), full, {"columnNameOfCorruptRecord": CORRUPT_COLUMN})
-        kept = F.array(_with_corrupt(one, schema, F.when(one[CORRUPT_COLUMN].isNotNull(), line)))
-        bad = F.array(_with_corrupt(F.lit(None).cast(schema), schema, line))
-        return F.when(_is_array(line), F.coalesce(marked(_array(line, schema)), bad)).otherwise(kept)
-
-    by_line = F.flatten(F.transform("lines", of_line))
-    items = F.coalesce(marked(whole), by_line)
-    each = listed.select(F.posexplode(items).alias("n", "r"), "file_path")
-    place = F.concat("file_path", F.lit("#"), F.col("n").cast("string"))
-    return each.select("r.*", place.alias(SOURCE_PATH_COLUMN))
-
-
 def _is_array(line: Column) -> Column:
     return F.ltrim(line).startswith("[")
 
 
-def _array(text: Column | str, schema: T.StructType) -> Column:
-    """The records of an array, null if it does not parse."""
-    return F.from_json(text, T.ArrayType(schema))
-
-
-def _with_corrupt(item: Column, schema: T.StructType, corrupt: Column) -> Column:
-    fields = [item[name].alias(name) for name in schema.names]
-    return F.struct(*fields, corrupt.alias(CORRUPT_COLUMN))
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The lines of all files that are not blank, read in splits of any file's size."""
+    text = spark.read.text(path, recursiveFileLookup=True)
+    named = text.select("value", F.col("_metadata.file_path").alias(SOURCE_PATH_COLUMN))
+    return named.where(F.trim("value") != "")
+
+
+def array_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Files that hold one array, on one line or over several: their first line opens an array
+    and no other line does. A pass over the lines that parses nothing; of a file its name comes
+    to the driver, as it did when the folder was listed."""
+    text = spark.read.text(path, recursiveFileLookup=True)
+    # Blocks of a file start where the one before ends, and a task reads lines in their order.
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = text.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.when(F.trim("value") != "", place).alias("place"),
+        _is_array(F.col("value")).alias("opens"),
+    )
+    opening = lines.groupBy("file").agg(F.count_if("opens").alias("n"), F.min_by("opens", "place").alias("first"))
+    return [row["file"] for row in opening.where("n = 1 and first").select("file").collect()]
+
+
+def _from_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Records of lines that each hold a record or an array of records. A separator after a
+    record belongs to the array around it."""
+    full = with_corrupt_column(schema)
+    options = {"columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    fields = [F.col("r")[c].alias(c) for c in full.names]
+    single = lines.where(~_is_array(F.col("value"))).select(
+        F.from_json(F.regexp_replace("value", r",\s*$", ""), full, options).alias("r"), SOURCE_PATH_COLUMN
+    )
+    arrays = lines.where(_is_array(F.col("value"))).select(
+        F.from_json("value", T.ArrayType(schema)).alias("items"), "value", SOURCE_PATH_COLUMN
+    )
+    bad = F.when(F.col("items").isNull(), F.col("value")).alias(CORRUPT_COLUMN)
+    each = arrays.select(F.explode_outer(F.coalesce("items", F.array(F.lit(None).cast(schema)))).alias("r"), bad, SOURCE_PATH_COLUMN, "items")
+    held = each.where("items is null or r is not null").select(
+        *[F.col("r")[c].alias(c) for c in schema.names], CORRUPT_COLUMN, SOURCE_PATH_COLUMN
+    )
+    return single.select(*fields, SOURCE_PATH_COLUMN).unionByName(held)
+
+
+def _from_arrays(spark: SparkSession, files: list[str], schema: T.StructType) -> DataFrame:
+    """Records of files that hold one array. One that does not parse is read by its lines, so
+    that what can be read is kept and the rest is quarantined."""
+    reader = spark.read.schema(with_corrupt_column(schema)).option("multiLine", True)
+    read = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN).json([unquote(f) for f in files])
+    rows = read.withColumn(SOURCE_PATH_COLUMN, F.col("_metadata.file_path"))
+    # The parser refuses to be asked for unparsed text alone, so a field is always read with it.
+    beside = F.substring(F.coalesce(F.col(schema.names[0]).cast("string"), F.lit("")), 1, 0)
+    rows = rows.withColumn(CORRUPT_COLUMN, F.concat(CORRUPT_COLUMN, beside))
+    whole = rows.where(F.col(CORRUPT_COLUMN).isNull())
+    text = rows.where(F.col(CORRUPT_COLUMN).isNotNull()).select(
+        F.explode(F.split(CORRUPT_COLUMN, r"\r?\n")).alias("value"), SOURCE_PATH_COLUMN
+    )
+    return whole.unionByName(_from_lines(text.where(F.trim("value") != ""), schema))
 
 
 def read_json_batches(
@@ -82,15 +95,28 @@ def read_json_batches(
     required: bool = True,
     with_path: bool = False,
 ) -> DataFrame:
-    """``records`` of every file below ``path``. A missing path raises unless ``required`` is
-    False, which gives an empty table. ``with_path`` adds each record's file and place."""
+    """Every record of the files below ``path``, plus the text of records that do not parse.
+
+    Decided per file, when this is called: a file that is one array goes to Spark's parser of
+    whole files; in any other each line is a record or an array of records, and a file of any size
+    is read in splits. A missing path raises unless ``required`` is False, which gives an empty
+    table. ``with_path`` adds each record's file.
+    """
     try:
-        found = records(files_as_text(spark.read, path), schema)
+        arrays = array_files(spark, path)
+        lines = _lines(spark, path)
     except AnalysisException as error:
         if required or error.getCondition() != "PATH_NOT_FOUND":
             raise
         full = with_corrupt_column(schema).add(SOURCE_PATH_COLUMN, T.StringType())
         found = spark.createDataFrame([], full)
+    else:
+        if arrays:
+            # A condition on the file's name: the others are not opened.
+            lines = lines.where(~F.col(SOURCE_PATH_COLUMN).isin(arrays))
+        found = _from_lines(lines, schema)
+        if arrays:
+            found = found.unionByName(_from_arrays(spark, arrays, schema))
     return found if with_path else found.drop(SOURCE_PATH_COLUMN)
 
 

@@ -22,7 +22,8 @@ from terrace.functions.columns import (
 from terrace.layout import Layout
 from terrace.operators import joins, quality, snapshots
 from terrace.operators.dedup import distinct_by_key, latest_version
-from terrace.operators.incremental import KeyedTable, changes_since, watermark
+from terrace.operators.incremental import changes_since, watermark
+from terrace.operators.keyed_table import KeyedTable
 from terrace.plans import metrics, models
 from terrace.plans.backup import export_tables
 from terrace.plans.build import build_fact_orders, build_fact_telemetry, build_master, fact_table

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-import os
+import random
 from pathlib import Path
 
 import pytest
@@ -8,9 +8,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from terrace.operators.incremental import KeyedTable, changes_since, merge_frames, watermark
+from terrace.operators.incremental import changes_since, merge_frames, watermark
+from terrace.operators.keyed_table import KeyedTable
 from terrace.staging import new_folder, staged, work_base
-from tests.helpers import plan, rows
+from tests.helpers import executed_plan, plan, rows
 
 SCHEMA = "k string, t int, v string"
 
@@ -107,28 +108,120 @@ def test_first_load_without_rows(spark, tmp_path):
     assert table.exists() and rows(table.read()) == [("a", 1, "x")]
 
 
-def test_many_keys_are_shuffled_few_are_broadcast(spark, tmp_path):
-    """Both ways of replacing rows give the same table."""
-    for name, limit in (("few", 1 << 20), ("many", 0)):
-        table = KeyedTable(spark, str(tmp_path / name), "k", 4, ["t"], broadcast_bytes=limit)
+def stored_files(table):
+    return {str(f) for f in Path(table.path, "rows").rglob("*.parquet")}
+
+
+def test_a_small_batch_rewrites_no_file(spark, tmp_path):
+    table = keyed(spark, tmp_path, buckets=3)
+    table.upsert(frame(spark, *[(f"k{i}", 1, "x") for i in range(60)]))
+    before = stored_files(table)
+    table.upsert(frame(spark, ("k0", 2, "y"), ("new", 2, "y")))
+    assert before < stored_files(table)
+    want = [(f"k{i}", 1, "x") for i in range(1, 60)] + [("k0", 2, "y"), ("new", 2, "y")]
+    assert rows(table.read()) == sorted(want)
+
+
+def test_reading_shuffles_only_buckets_with_replaced_rows(spark, tmp_path):
+    table = keyed(spark, tmp_path)
+    table.upsert(frame(spark, *[(f"k{i}", 1, "x") for i in range(60)]))
+    table.upsert(frame(spark, ("new", 2, "y")))
+    assert "Join" not in executed_plan(table.read())
+    table.upsert(frame(spark, ("k0", 2, "y")))
+    assert "Join" in executed_plan(table.read())
+
+
+def test_the_index_opens_only_files_that_may_hold_a_key(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 2, fold_share=9, max_deltas=99)
+    for n in range(6):
+        table.upsert(frame(spark, *[(f"k{n}-{i}", n, "x") for i in range(200)]))
+    assert len(stored_files(table)) == 12
+    keys = table._bucketed(frame(spark, ("k3-7", 9, "y"), ("absent", 9, "y")).select("k"))
+    live = table._live()
+    files = table._files_that_may_hold(keys, live)
+    assert len(files) == 1 and rows(table._open("rows", files, None).where("k = 'k3-7'").select("t")) == [(3,)]
+    assert rows(table.lookup(keys.select("k"))) == [("k3-7", 3, "x")]
+    every = table._bucketed(frame(spark, *[(f"k{n}-5", 9, "") for n in range(6)]).select("k"))
+    assert 6 <= len(table._files_that_may_hold(every, live)) <= 7
+    assert rows(table.lookup(frame(spark, ("absent", 0, "")).select("k"))) == []
+
+
+def test_without_the_index_the_result_is_the_same(spark, tmp_path):
+    for name, limit in (("few", 1000), ("many", 0)):
+        table = KeyedTable(spark, str(tmp_path / name), "k", 4, ["t"], index_keys=limit)
         table.upsert(frame(spark, *[(f"k{i}", 1, "x") for i in range(40)]))
-        kept, arriving = table._stored(), frame(spark, ("k3", 2, "y"))
-        text = plan(table._merged(kept, arriving.withColumn(table.bucket_column, F.lit(0)), 1))
-        physical = text[text.index("== Physical Plan ==") :]
-        assert ("BroadcastHashJoin" in physical) or name == "many"
         table.upsert(frame(spark, *[(f"k{i}", 2, "y") for i in range(30, 50)]))
         assert table.read().count() == 50
         assert table.read().where("t = 2").count() == 20
 
 
+@pytest.mark.parametrize("step", ["_write_index", "_commit"])
+def test_a_run_killed_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch, step):
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 2, fold_share=9)
+    table.upsert(frame(spark, ("a", 1, "x"), ("b", 1, "x")))
+    before, opened = rows(table.read()), table.read()
+
+    def die(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as broken:
+        broken.setattr(table, step, die)
+        with pytest.raises(KeyboardInterrupt):
+            table.upsert(frame(spark, ("b", 2, "y"), ("c", 2, "y")))
+    assert rows(table.read()) == before and table.commit_number() == 1
+    assert len({f.split("delta_version=")[1].split("/")[0] for f in stored_files(table)}) == 2
+    table.upsert(frame(spark, ("b", 3, "z")))
+    assert rows(table.read()) == [("a", 1, "x"), ("b", 3, "z")]
+    assert rows(opened) == before
+    # What the dead run left has gone.
+    assert len({f.split("delta_version=")[1].split("/")[0] for f in stored_files(table)}) == 2
+
+
+def test_a_fold_killed_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch):
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 2)
+    table.upsert(frame(spark, *[(f"k{i}", 1, "x") for i in range(10)]))
+    with monkeypatch.context() as broken:
+        broken.setattr(table, "_fold", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            table.upsert(frame(spark, *[(f"k{i}", 2, "y") for i in range(9)]))
+    # The upsert itself had been committed.
+    assert table.read().where("t = 2").count() == 9 and table.read().count() == 10
+
+
+def test_deltas_fold_when_they_pass_their_share_or_number(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 1, fold_share=0.5, max_deltas=2)
+    model = {f"k{i}": 0 for i in range(40)}
+    table.upsert(frame(spark, *[(k, t, "v") for k, t in model.items()]))
+    parts = []
+    for n in range(1, 8):
+        load = {f"k{n}": n, f"new{n}": n, f"k{n - 1}": n}
+        table.upsert(frame(spark, *[(k, t, "v") for k, t in load.items()]))
+        model |= load
+        assert rows(table.read()) == sorted((k, t, "v") for k, t in model.items())
+        parts.append(len(table._live()))
+    assert parts[:2] == [2, 3] and max(parts) <= 4 and 1 in parts or 2 in parts[2:]
+
+
+def test_folders_leave_only_after_their_time(spark, tmp_path):
+    for keep, left in ((3600, 3), (0, 1)):
+        table = KeyedTable(spark, str(tmp_path / str(keep)), "k", 1, fold_share=9, keep_seconds=keep)
+        table.upsert(frame(spark, ("a", 1, "x")))
+        table.upsert(frame(spark, ("a", 2, "x")))
+        table.compact()
+        table.compact() if keep == 0 else None
+        versions = {f.split("delta_version=")[1].split("/")[0] for f in stored_files(table)}
+        assert len(versions) == left
+        assert rows(table.read()) == [("a", 2, "x")]
+
+
 def test_compaction_keeps_the_rows(spark, tmp_path):
     table = keyed(spark, tmp_path, buckets=2)
     for n in range(4):
-        table.upsert(frame(spark, *[(f"k{n}-{i}", n, "x") for i in range(5)]))
-    before, files = rows(table.read()), len(list(Path(table.path).rglob("*.parquet")))
+        table.upsert(frame(spark, *[(f"k{n}-{i}", n, "x") for i in range(5)], ("all", n, "x")))
+    before = rows(table.read())
     table.compact()
     assert rows(table.read()) == before
-    assert len(list(Path(table.path).rglob("*.parquet"))) < files
+    assert len(table.read().inputFiles()) == 2 and "Join" not in executed_plan(table.read())
 
 
 def test_changes_may_read_the_target(spark, tmp_path):
@@ -138,22 +231,21 @@ def test_changes_may_read_the_target(spark, tmp_path):
     assert rows(table.read()) == [("a", 2, "x"), ("b", 2, "x")]
 
 
-def test_only_buckets_with_replaced_keys_are_rewritten(spark, tmp_path):
-    table = keyed(spark, tmp_path, buckets=16)
-    keys = [f"k{i}" for i in range(60)]
-    table.upsert(frame(spark, *[(k, 1, "x") for k in keys]))
+def test_notes_are_the_days_of_replaced_rows_and_come_before_the_commit(spark, tmp_path):
+    def at(*records):
+        return spark.createDataFrame(list(records), "k string, day string").select("k", F.to_date("day").alias("day"))
 
-    def files():
-        return {str(f) for f in Path(table.path).rglob("*.parquet")}
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 4)
+    seen = []
 
-    before = files()
-    table.upsert(frame(spark, ("k0", 2, "y")))
-    gone = before - files()
-    assert len({os.path.dirname(f) for f in gone}) == 1
-    before = files()
-    table.upsert(frame(spark, *[(f"new{i}", 3, "z") for i in range(20)]))
-    assert before <= files()
-    assert table.read().count() == 80
+    def look(days, commit):
+        seen.append(([str(d) for d in days], commit, table.commit_number()))
+
+    first = at(("a", "2024-01-01"), ("b", "2024-01-02"), ("c", None))
+    assert table.upsert_stored(first, note="day", before_commit=look) == []
+    again = table.upsert_stored(at(("b", "2024-02-01"), ("c", "2024-02-01")), note="day", before_commit=look)
+    assert [str(d) for d in again] == ["2024-01-02"]
+    assert seen == [([], 1, 0), (["2024-01-02"], 2, 1)]
 
 
 def test_bucket_count_is_fixed(spark, tmp_path):
@@ -162,13 +254,18 @@ def test_bucket_count_is_fixed(spark, tmp_path):
         keyed(spark, tmp_path, buckets=8).upsert(frame(spark, ("a", 2, "y")))
 
 
-def test_interrupted_first_write_leaves_nothing_behind(spark, tmp_path):
-    table = keyed(spark, tmp_path, buckets=1)
-    stray = Path(table.path) / "bucket_of_1=0"
-    stray.mkdir(parents=True)
-    frame(spark, ("dead", 1, "x")).write.mode("append").parquet(str(stray))
-    table.upsert(frame(spark, ("a", 1, "x")))
-    assert rows(table.read()) == [("a", 1, "x")]
+def test_random_loads_lookups_and_folds(spark, tmp_path):
+    """Against a dictionary, with parts folded early and often."""
+    rng, model = random.Random(4), {}
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 3, fold_share=0.7, max_deltas=1, keep_seconds=0)
+    for n in range(6):
+        load = {f"k{rng.randrange(30)}": n for _ in range(rng.choice([1, 4, 25]))}
+        table.upsert(frame(spark, *[(k, t, "v") for k, t in load.items()]))
+        model |= load
+        asked = [f"k{rng.randrange(30)}" for _ in range(5)]
+        keys = spark.createDataFrame([(k,) for k in set(asked)], "k string")
+        assert rows(table.lookup(keys)) == sorted((k, model[k], "v") for k in set(asked) if k in model)
+        assert rows(table.read()) == sorted((k, t, "v") for k, t in model.items())
 
 
 batches = st.lists(
