@@ -248,9 +248,10 @@ def neighbours(
     with Scratch(df.sparkSession) as scratch:
         dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
         numbered = dealt.select(F.spark_partition_id().alias("block"), "doc_id", "text")
-        done = scratch.keep(_within(numbered, one_in), "neighbours")
-        inner = done.where("edge is null").select(*_ROW.names)
-        return scratch.result(inner.unionByName(_across(done, one_in)), "fingerprints")
+        # The result is what the tasks wrote, beside the few rows of their ends: not copied together.
+        done = scratch.result(_within(numbered, one_in), "neighbours")
+        ends = scratch.result(_across(done, one_in), "neighbours-across")
+        return done.where("edge is null").select(*_ROW.names).unionByName(ends)
 
 
 def fingerprints(

@@ -132,16 +132,23 @@ LLM_ORACLES: dict[str, str] = {
         ), f AS (
             SELECT src, (budget - used) / open AS level FROM l
             WHERE (budget - used) / open <= e ORDER BY e, src LIMIT 1
-        ), t AS (SELECT src, source_size, least(cap, w * level) AS target FROM c, (SELECT level FROM f)),
+        ), t AS (SELECT src, w, source_size, least(cap, w * level) AS target FROM c, (SELECT level FROM f)),
         q AS (
-            SELECT d.*, source_size, target, floor(target)::BIGINT AS goal,
+            SELECT d.*, source_size, target, w, row_number() OVER () AS uid,
                    coalesce(sum(size) OVER (PARTITION BY src ORDER BY k, doc_id, size
                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
             FROM d JOIN t USING (src)
+        ), copies AS (
+            SELECT q.*, round, (round * source_size + start + size)::DOUBLE / w AS finish
+            FROM q, (SELECT unnest([0, 1]) AS round)
+        ), sent AS (
+            SELECT *, coalesce(sum(size) OVER (ORDER BY finish, src, round, start, size
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+            FROM copies
         )
         SELECT doc_id, size, source_size, target,
-               greatest(0, least(size, goal - start)) + greatest(0, least(size, goal - source_size - start)) AS taken
-        FROM q
+               sum(greatest(0, least(size, (SELECT floor(max(budget)) FROM l)::BIGINT - before)))::BIGINT AS taken
+        FROM sent GROUP BY uid, doc_id, size, source_size, target
     """,
     "op8_exact_dedup": r"""
         WITH n AS (
