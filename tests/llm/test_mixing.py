@@ -7,7 +7,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from terrace.llm.mixing import mix_table
+from terrace.llm.mixing import mix_table, mixed
 from terrace.llm.running import order_key, with_running_sum
 from tests.llm.helpers import docs, table
 
@@ -32,21 +32,28 @@ def brute(rows, weights=(3, 1, 2), share=1.5, epochs=2, seed=17):
             break
         target.update({s: epochs * total[s] for s in over})
         left -= over
-    out = []
+    queued, sent = [], defaultdict(int)
     for name in names:
         def place(r):
             inner = hashlib.md5((r[3] or "").encode()).hexdigest()
             key = f"{seed}|{chr(92) + 'N' if r[0] is None else r[0]}|{inner}"
             return hashlib.md5(key.encode()).hexdigest()
-        queue = sorted((r for r in sized if r[2] == name), key=place)
-        sent = {i: 0 for i in range(len(queue))}
-        room = int(target[name] + 1e-9)
-        for _ in range(epochs):
-            for i, r in enumerate(queue):
-                step = min(room, r[1])
-                sent[i] += step
-                room -= step
-        out += [(r[0], r[1], total[name], target[name], sent[i]) for i, r in enumerate(queue)]
+        queue, start = sorted((r for r in sized if r[2] == name), key=place), 0
+        for i, r in enumerate(queue):
+            for n in range(epochs):
+                finish = (n * total[name] + start + r[1]) / weight[name]
+                queued.append((finish, name is None, (name or "").encode(), n, i, r))
+            start += r[1]
+    left = int(budget)
+    for _, _, _, _, i, r in sorted((q for q in queued if q[5][1]), key=lambda q: q[:5]):
+        step = min(left, r[1])
+        sent[r[2], i] += step
+        left -= step
+    out = []
+    for q in queued:
+        if q[3] == 0:
+            name, r = q[5][2], q[5]
+            out.append((r[0], r[1], total[name], target[name], sent[name, q[4]]))
     return out
 
 
@@ -85,6 +92,45 @@ def test_one_source_takes_its_share_and_tiny_sources_two_rounds(spark):
     assert got[900] == 6 and got[901] == 2
 
 
+def test_each_source_comes_near_its_target(spark):
+    data = rows(3000, ["a"] * 5 + ["b", "c", None])
+    sums = defaultdict(int)
+    for r in mix_table(docs(spark, data)).collect():
+        sums[r.target] += r.taken
+    for target, taken in sums.items():
+        assert abs(target - taken) <= 23
+
+
+def test_mixed_comes_in_the_order_of_finish_times(spark):
+    """With weights 3 and 1, and more of the lighter source, three words of one come to one word
+    of the other from the beginning on, in the files' own order."""
+    data = [(i, "w", "en", "a" if i % 4 == 0 else "b") for i in range(4000)]
+    out = mixed(docs(spark, data), share=0.2)
+    files = sorted(out.inputFiles())
+    got = [r.source for f in files for r in spark.read.parquet(f).collect()]
+    assert len(got) == 800
+    for at in range(0, 800, 80):
+        assert abs(got[at : at + 80].count("a") - 60) <= 2
+
+
+def test_mixed_keeps_columns_of_any_name(spark):
+    df = docs(spark, rows(60, ["a", "b"]))
+    for name in ("_uid", "uid", "row", "size", "taken", "finish", "_source"):
+        df = df.withColumn(name, F.lit("own"))
+    out = mixed(df)
+    assert out.columns == df.columns and out.where("_uid = 'own' and finish = 'own'").count() == out.count()
+    want = {r[0]: r[4] for r in brute(rows(60, ["a", "b"]))}
+    got = defaultdict(int)
+    for r in out.collect():
+        got[r.doc_id] += len(r.text.split())
+    assert {k: v for k, v in want.items() if v} == dict(got)
+
+
+def test_many_sources(spark):
+    data = [(i, "w " * (i % 5), "en", f"host{i % 700}") for i in range(2100)]
+    same([tuple(r) for r in mix_table(docs(spark, data)).collect()], brute(data))
+
+
 def test_empty_and_wordless(spark):
     assert mix_table(docs(spark, [])).count() == 0
     assert table(mix_table(docs(spark, [(1, None, None, "s"), (2, " ", None, "s")]))) == [
