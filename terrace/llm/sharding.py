@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.running import order_key, with_running_sum
+from terrace.llm.running import order_key, with_range_sum
 from terrace.llm.scratch import Scratch
 
 # Fixed value: 52 bits of the digest make a double exactly.
@@ -55,20 +55,23 @@ def shard_documents(
     grown = {**weights, max(weights) + 1: sum(weights.values()) / len(weights)}
     text = F.coalesce(F.encode(df[text_col], "UTF-8"), F.lit(b""))
     key = df[id_col]
+    rows = df.select(
+        key.alias("doc_id"),
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        rendezvous(key, weights).alias("shard"),
+        rendezvous(key, grown).alias("grown_shard"),
+        order_key(key, F.md5(text)).alias("_key"),
+        F.lit(1).cast("long").alias("_one"),
+        # Tells repeated rows apart, so that a range can end among them.
+        F.monotonically_increasing_id().alias("_uid"),
+    )
     with Scratch(df.sparkSession) as scratch:
-        rows = scratch.keep(
-            df.select(
-                key.alias("doc_id"),
-                (F.octet_length(text) + 1).cast("long").alias("size"),
-                F.crc32(text).alias("text_crc32"),
-                F.lit("key").alias("law"),
-                rendezvous(key, weights).alias("shard"),
-                rendezvous(key, grown).alias("grown_shard"),
-                order_key(key, F.md5(text)).alias("_key"),
-            ),
-            "sharded",
-        )
-        ones = rows.withColumn("_one", F.lit(1).cast("long"))
-        numbered = with_running_sum(ones, "shard", "_key", ["doc_id"], "_one", "slot", rows.count())
-        out = numbered.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+        order = [F.col(c) for c in ("shard", "_key", "doc_id", "_uid")]
+        numbered = with_range_sum(scratch.keep(rows, "sharded"), order, "_one", "_before", scratch)
+        # The shards' places in the order: a row per shard.
+        firsts = numbered.groupBy("shard").agg(F.min("_before").alias("_first"))
+        slots = numbered.join(F.broadcast(firsts), "shard").withColumn("slot", F.col("_before") - F.col("_first"))
+        out = slots.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
         return scratch.result(out, "shards")
