@@ -55,6 +55,10 @@ FEW = 10_000
 FEATURES = ["length", "digits", "changes", "surprise", "coverage", "path_rate", "before_rate", "after_rate"]
 
 
+def _sum_of(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda total, n: total + n)
+
+
 def findings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
     """Per candidate: doc_id, path, start, candidate, before and after (neighbouring words)."""
     text = df[text_col]
@@ -63,11 +67,25 @@ def findings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
         F.regexp_extract_all(text, F.lit(UP_TO_RUN), F.lit(0)).alias("parts"),
     )
     rows = rows.withColumn("lengths", F.transform("parts", lambda p: F.char_length(p)))
-    total = F.aggregate("lengths", F.lit(0), lambda t, n: t + n)
+    total = _sum_of(F.col("lengths"))
     rows = rows.withColumn("rest", F.substring("text", total + 1, F.lit(BESIDE)))
+    # Sums over stretches of about as many lengths as there are stretches: a text with very many
+    # findings costs their number times its root, not its square.
+    stretch = F.ceil(F.sqrt(F.size("lengths"))).cast("int")
+    rows = rows.withColumn("stretch", F.greatest(stretch, F.lit(1)))
+    last = F.floor((F.size("lengths") - 1) / F.col("stretch")).cast("int")
+    sums = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda s: _sum_of(F.slice("lengths", s * F.col("stretch") + 1, F.col("stretch"))),
+    )
+    rows = rows.withColumn("sums", sums)
+    starts = F.transform(F.sequence(F.lit(0), last), lambda s: _sum_of(F.slice("sums", 1, s)))
+    rows = rows.withColumn("starts", starts)
 
     def found(part: Column, n: Column) -> Column:
-        end = F.aggregate(F.slice(F.col("lengths"), 1, n + 1), F.lit(0), lambda t, x: t + x)
+        s = F.floor(n / F.col("stretch")).cast("int")
+        first = s * F.col("stretch")
+        end = F.get("starts", s) + _sum_of(F.slice("lengths", first + 1, n - first + 1))
         following = F.coalesce(F.left(F.get("parts", n + 1), F.lit(BESIDE)), F.col("rest"))
         run = F.regexp_extract(part, rf"{RUN}$", 0)
         ahead = F.right(F.left(part, F.char_length(part) - F.char_length(run)), F.lit(BESIDE))
