@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import gzip
+import io
 import hashlib
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm.scratch import Scratch
+from terrace.llm.scratch import BATCH_BYTES, Scratch
 
 CRLF = "\r\n"
 RECORD_END = "\r\n\r\n"
@@ -149,21 +150,24 @@ def write_archives(
 
 
 def parse(data: bytes, path: str) -> Iterator[dict]:
-    """The records of one archive, by their declared lengths."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
+    """The records of one archive, by their declared lengths. A zipped one, of one member or of
+    many, is unzipped as records are taken, so one record is held at a time."""
+    raw = io.BytesIO(data)
+    stream = io.BufferedReader(gzip.GzipFile(fileobj=raw)) if data[:2] == b"\x1f\x8b" else raw
     at = 0
-    while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8", "replace").split(CRLF) if end > 0 else [""]
-        if not lines[0].startswith("WARC/1."):
+    while first := stream.readline():
+        lines = [first]
+        while (line := stream.readline()) and line != b"\r\n":
+            lines.append(line)
+        if not first.startswith(b"WARC/1.") or not line:
             raise ValueError(f"{path}: no record at byte {at}")
-        named = (line.partition(":") for line in lines[1:])
+        named = (x.decode("utf-8", "replace").partition(":") for x in lines[1:])
         headers = {name.strip().lower(): value.strip() for name, _, value in named}
-        start, length = end + 4, int(headers["content-length"])
-        if data[start + length : start + length + 4] != b"\r\n\r\n":
+        length = int(headers["content-length"])
+        block = stream.read(length)
+        if len(block) < length or stream.read(4) != b"\r\n\r\n":
             raise ValueError(f"{path}: the record at byte {at} doesn't end where it says")
-        at = start + length + 4
+        at += sum(map(len, lines)) + 2 + length + 4
         yield {
             "record_id": headers.get("warc-record-id"),
             "type": headers.get("warc-type"),
@@ -174,7 +178,7 @@ def parse(data: bytes, path: str) -> Iterator[dict]:
             "origin": headers.get("warc-segment-origin-id"),
             "segment": _number(headers.get("warc-segment-number")),
             "total": _number(headers.get("warc-segment-total-length")),
-            "block": data[start : start + length],
+            "block": block,
         }
 
 
@@ -194,7 +198,14 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for at in range(batch.num_rows):
                 path, data = (batch.column(n)[at].as_py() for n in ("path", "content"))
-                yield pa.RecordBatch.from_pylist(list(parse(data, path)), fields)
+                held, size = [], 0
+                for record in parse(data, path):
+                    held.append(record)
+                    size += len(record["block"])
+                    if size > BATCH_BYTES:
+                        yield pa.RecordBatch.from_pylist(held, fields)
+                        held, size = [], 0
+                yield pa.RecordBatch.from_pylist(held, fields)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
     return files.select("path", "content").mapInArrow(run, RECORD_SCHEMA)
