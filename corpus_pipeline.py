@@ -7,6 +7,7 @@ tables mean in each stage what they mean in its operator.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 import public_tokenizers
@@ -21,19 +22,26 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 TOKENIZER = "byte_bpe_50k.json"
 
-# Tables that stages have returned. The pipeline writes each of them before it calls the next
-# stage, which can therefore delete it.
-_returned: list[str] = []
+class _Returned(threading.local):
+    """Folders of the tables that the stages of one run have returned. The pipeline writes each
+    table before it calls the next stage, which can therefore delete it. Runs side by side are in
+    threads of their own, and so are their lists."""
+
+    def __init__(self):
+        self.folders: list[str] = []
+
+
+_returned = _Returned()
 
 
 def _drop_returned(spark: SparkSession) -> None:
-    while _returned:
-        delete(spark, _returned.pop())
+    while _returned.folders:
+        delete(spark, _returned.folders.pop())
 
 
 def _returning(result: DataFrame) -> DataFrame:
-    """Remember the folders of a table that an operator has written for its caller."""
-    _returned.extend({file.rsplit("/", 1)[0] for file in result.inputFiles()})
+    """Remember the folder of a table that an operator has written for its caller."""
+    _returned.folders.extend({file.rsplit("/", 1)[0] for file in result.inputFiles()})
     return result
 
 
