@@ -2,7 +2,8 @@
 
 A text's shingles are its runs of ``WIDTH`` words, lower-cased in A-Z, of ASCII letters and digits
 and all other characters beyond ASCII; a text with fewer words is one shingle, and a text without
-words is one shingle as it stands. A shingle's hash is the first 64 bits of its MD5 digest.
+words is one shingle as it stands. A shingle's hash is the first 40 bits of its MD5 digest: two
+sketches of fifty hashes share one by chance in one of fifty million comparisons.
 The sketch retains every hash below a fixed fraction of the range, so its size follows the text's,
 the sketch of a union is the union of the sketches, and the share of one sketch found in
 another estimates containment without bias however unequal the texts are. A text with no hash
@@ -37,7 +38,7 @@ from terrace.llm.scratch import Scratch
 WIDTH = 5
 # One in so many hashes is retained.
 ONE_IN = 8
-HASH_BYTES = 8
+HASH_BYTES = 5
 
 # ASCII letters and digits, lower-cased, and all bytes of other characters stay, the rest are spaces.
 _WORD_BYTES = bytes(
@@ -115,7 +116,7 @@ def likeness(one: frozenset[bytes], two: frozenset[bytes]) -> float:
 
 
 def written(kept: frozenset[bytes]) -> str:
-    """The fingerprint: the hashes in order, each as 16 hexadecimal digits."""
+    """The fingerprint: the hashes in order, each as 10 hexadecimal digits."""
     return b"".join(sorted(kept)).hex()
 
 

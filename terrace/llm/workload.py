@@ -290,9 +290,9 @@ LLM_ORACLES: dict[str, str] = {
         ), hashes AS (
             SELECT uid, kind, CASE
                 WHEN text = '' THEN []
-                WHEN len(w) = 0 THEN [md5(text)[1:16]]
-                WHEN len(w) < 5 THEN [md5(array_to_string(w, ' '))[1:16]]
-                ELSE list_transform(range(1, len(w) - 3), lambda i: md5(array_to_string(w[i:i + 4], ' '))[1:16]) END AS h
+                WHEN len(w) = 0 THEN [md5(text)[1:10]]
+                WHEN len(w) < 5 THEN [md5(array_to_string(w, ' '))[1:10]]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: md5(array_to_string(w[i:i + 4], ' '))[1:10]) END AS h
             FROM words
         ), kept AS (
             SELECT uid, kind, CASE WHEN len(list_filter(h, lambda x: x < '2')) > 0

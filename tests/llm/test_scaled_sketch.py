@@ -16,12 +16,12 @@ from tests.llm.test_importance import words_of
 def shingles(text):
     words = words_of(text) or ([text] if text else [])
     runs = [" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, min(1, len(words))))]
-    return {hashlib.md5(r.encode()).digest()[:8] for r in runs}
+    return {hashlib.md5(r.encode()).digest()[:5] for r in runs}
 
 
 def kept(text, one_in=8):
     found = shingles(text)
-    low = {h for h in found if int.from_bytes(h) < 2**64 / one_in}
+    low = {h for h in found if int.from_bytes(h) < 2**40 / one_in}
     return low or ({min(found)} if found else set())
 
 
