@@ -5,8 +5,8 @@ touches an old file. It writes, under a new version,
 
 - ``rows``: the arriving rows,
 - ``gone``: key and version of the stored rows that they replace,
-- ``index``: per file a bit table of its keys' hashes, by which a later upsert opens only files
-  that may hold one of its keys,
+- ``index``: for large versions, per file a bit table of its keys' hashes, by which a later upsert
+  opens only files that may hold one of its keys,
 
 and then publishes a manifest, the list of live (bucket, version) pairs. Publishing is the
 commit: a run that dies before it leaves the old state as it was, and its folders are removed
@@ -41,7 +41,8 @@ _BUCKET_PREFIX = "bucket_of_"
 _SUPERSEDED = "superseded_version"
 _ROWS, _GONE, _INDEX = "rows", "gone", "index"
 _MANIFEST_SCHEMA = (
-    "commit long, layout string, bucket int, version string, rows long, gone long, dropped_at double"
+    "commit long, layout string, bucket int, version string, rows long, gone long, indexed boolean, "
+    "dropped_at double"
 )
 
 # Bits of a file's table of keys: the least that gives a key sixteen, or the greatest.
@@ -57,16 +58,30 @@ class Part:
     version: str
     rows: int
     gone: int
+    # Whether its files have tables of keys; small versions are read instead.
+    indexed: bool
     # When a fold took its place, in seconds; None for a live part.
     dropped_at: float | None = None
 
 
+@dataclass(frozen=True)
+class Upserted:
+    """What an upsert did: the days of the rows it replaced, its version (None if nothing arrived),
+    and the numbers of the last commit before and after it."""
+
+    days: list
+    version: str | None
+    before: int
+    after: int
+
+
 class KeyedTable:
     """See the module. One writer at a time, any number of readers.
 
     ``fold_share`` is the share of a bucket's base that its deltas may reach, in rows arrived and
-    replaced, ``max_deltas`` their number. Up to ``index_keys`` arriving keys are looked up by
-    the index; with more, the key column of their buckets is read.
+    replaced, once these are ``fold_rows`` or more; ``max_deltas`` is the number of deltas. Versions
+    of ``index_rows`` rows or more are indexed. Up to ``index_keys`` arriving keys are looked
+    up by the index; with more, and in versions without, the key column of their buckets is read.
     """
 
     def __init__(
@@ -79,6 +94,8 @@ class KeyedTable:
         schema: T.StructType | None = None,
         fold_share: float = 0.5,
         max_deltas: int = 8,
+        fold_rows: int = 10_000,
+        index_rows: int = 100_000,
         index_keys: int = 1_000_000,
         keep_seconds: float = 3600,
     ):
@@ -91,6 +108,8 @@ class KeyedTable:
         self.schema = schema
         self.fold_share = fold_share
         self.max_deltas = max_deltas
+        self.fold_rows = fold_rows
+        self.index_rows = index_rows
         self.index_keys = index_keys
         self.keep_seconds = keep_seconds
         # The column name carries the bucket count: opening a table with another one fails.
@@ -110,7 +129,9 @@ class KeyedTable:
         for row in rows:
             if row["layout"] != self.bucket_column:
                 raise ValueError(f"{self.path} is laid out as {row['layout']}, not {self.bucket_column}")
-        parts = [Part(r["bucket"], r["version"], r["rows"], r["gone"], r["dropped_at"]) for r in rows]
+        parts = [
+            Part(r["bucket"], r["version"], r["rows"], r["gone"], r["indexed"], r["dropped_at"]) for r in rows
+        ]
         return max((r["commit"] for r in rows), default=0), parts
 
     def _live(self) -> list[Part]:
@@ -129,9 +150,10 @@ class KeyedTable:
         expired = time.time() - self.keep_seconds
         kept = [p for p in parts if p.dropped_at is None or p.dropped_at > expired]
         data = [
-            (number, self.bucket_column, p.bucket, p.version, p.rows, p.gone, p.dropped_at) for p in kept
+            (number, self.bucket_column, p.bucket, p.version, p.rows, p.gone, p.indexed, p.dropped_at)
+            for p in kept
         ]
-        publish(self.spark.createDataFrame(data, _MANIFEST_SCHEMA).coalesce(1), self._manifest)
+        publish(self.spark.createDataFrame(data, _MANIFEST_SCHEMA).coalesce(1), self._manifest, keep_seconds=0)
         named = {f"{VERSION_COLUMN}={p.version}" for p in kept}
         for kind in (_ROWS, _GONE, _INDEX):
             for folder in children(self.spark, f"{self.path}/{kind}"):
@@ -245,19 +267,18 @@ class KeyedTable:
         count, buckets = keys.agg(F.count(F.lit(1)), F.collect_set(self.bucket_column)).first()
         asked = set(buckets)
         inside = [p for p in live if p.bucket in asked]
-        if not inside:
-            files: list[str] | None = []
-        else:
-            files = self._files_that_may_hold(keys, inside) if count <= self.index_keys else None
-        if files == []:
-            empty = self._of_parts(_ROWS, live, self.schema).where(F.lit(False))
-            return empty if columns is None else empty.select(*columns, self.bucket_column, VERSION_COLUMN)
-        if files is None:
-            stored = self._of_parts(_ROWS, inside, self.schema)
-        else:
-            stored = self._open(_ROWS, files, self.schema)
+        by_index = [p for p in inside if p.indexed and count <= self.index_keys]
+        read_whole = [p for p in inside if p not in set(by_index)]
+        files = self._files_that_may_hold(keys, by_index) if by_index else []
+        found = [self._of_parts(_ROWS, read_whole, self.schema)] if read_whole else []
+        found += [self._open(_ROWS, files, self.schema)] if files else []
+        # Without a file that may hold a key: no rows, of the table's columns.
+        none = [] if found else [self._of_parts(_ROWS, live[:1], self.schema).where(F.lit(False))]
+        stored = reduce(DataFrame.unionByName, [*found, *none])
         if columns is not None:
             stored = stored.select(*columns, self.bucket_column, VERSION_COLUMN)
+        if not found:
+            return stored
         return self._current(stored.join(keys.select(self.key), self.key, "left_semi"), inside)
 
     # --- writing ----------------------------------------------------------------------
@@ -288,13 +309,15 @@ class KeyedTable:
         changes: DataFrame,
         note: str | None = None,
         before_commit: Callable[[list, int], None] | None = None,
-    ) -> list:
+        carry: Sequence[str] = (),
+    ) -> Upserted:
         """Upsert rows that are unique by key and cheap to read more than once.
 
-        Rows without key are refused, since a second run would not find them again. Returns the
-        distinct days of the column ``note`` over the rows being replaced, as they were before.
-        They come to the driver. ``before_commit`` is given them, and the commit's number, before
-        anything changes for readers.
+        Rows without key are refused, since a second run would not find them again. Days are those
+        of the column ``note`` over the rows being replaced, as they were before; distinct ones
+        come to the driver. ``before_commit`` is given them, and the commit's number, before
+        anything changes for readers. Columns to ``carry`` are kept of replaced rows, for
+        ``replaced``.
         """
         b = self.bucket_column
         incoming = self._bucketed(changes)
@@ -303,30 +326,38 @@ class KeyedTable:
         sizes = incoming.groupBy(b).agg(F.count(F.lit(1)), missing).collect()
         if any(r[2] for r in sizes):
             raise ValueError(f"rows without {self.key} cannot be upserted")
-        if not sizes:
-            return []
         number, parts = self._parts()
+        if not sizes:
+            return Upserted([], None, number, number)
         live = [p for p in parts if p.dropped_at is None]
         version = _new_version()
-        replaced, noted = self._write_gone(incoming, live, version, note) if live else ({}, [])
+        replaced, noted = self._write_gone(incoming, live, version, note, carry) if live else ({}, [])
         if before_commit is not None:
             before_commit(noted, number + 1)
         self._write(incoming, _ROWS, version)
-        self._write_index(version)
-        new = [Part(r[0], version, r[1], replaced.get(r[0], 0)) for r in sizes]
+        indexed = sum(r[1] for r in sizes) >= self.index_rows
+        if indexed:
+            self._write_index(version)
+        new = [Part(r[0], version, r[1], replaced.get(r[0], 0), indexed) for r in sizes]
         self._commit(number + 1, [*parts, *new])
-        self.fold()
-        return noted
+        after = number + 1 + (1 if self._fold_due(number + 1, [*parts, *new]) else 0)
+        return Upserted(noted, version, number, after)
+
+    def replaced(self, version: str) -> DataFrame | None:
+        """Key and carried columns of the rows that a version replaced; None if there were none."""
+        folder = self._folder(_GONE, version)
+        return self._open(_GONE, [folder], None) if _has_buckets(self.spark, folder) else None
 
     def _write_gone(
-        self, incoming: DataFrame, live: Sequence[Part], version: str, note: str | None
+        self, incoming: DataFrame, live: Sequence[Part], version: str, note: str | None, carry: Sequence[str]
     ) -> tuple[dict[int, int], list]:
         """(replaced rows by bucket, their days); their keys and versions are written."""
-        columns = [self.key] if note in (None, self.key) else [self.key, note]
+        columns = list(dict.fromkeys([self.key, *([note] if note else []), *carry]))
         stored = self._holding(incoming, live, columns)
         day = F.lit(None).cast("date") if note is None else F.to_date(note)
+        kept = [c for c in carry if c != self.key]
         rows = stored.select(
-            self.key, F.col(VERSION_COLUMN).alias(_SUPERSEDED), self.bucket_column, day.alias("day")
+            self.key, F.col(VERSION_COLUMN).alias(_SUPERSEDED), self.bucket_column, day.alias("day"), *kept
         )
         self._write(rows, _GONE, version)
         if not _has_buckets(self.spark, self._folder(_GONE, version)):
@@ -347,7 +378,7 @@ class KeyedTable:
             base = max(held, key=lambda p: (p.rows, p.version))
             deltas = [p for p in held if p is not base]
             moved = sum(p.rows for p in deltas) + sum(p.gone for p in held)
-            if deltas and moved > self.fold_share * base.rows:
+            if deltas and moved >= self.fold_rows and moved > self.fold_share * base.rows:
                 due[bucket] = held
             elif len(deltas) > self.max_deltas:
                 due[bucket] = deltas
@@ -355,7 +386,9 @@ class KeyedTable:
 
     def fold(self) -> int:
         """Fold the buckets that are due, and no others; returns their number."""
-        number, parts = self._parts()
+        return self._fold_due(*self._parts())
+
+    def _fold_due(self, number: int, parts: Sequence[Part]) -> int:
         due = self._due([p for p in parts if p.dropped_at is None])
         if due:
             self._fold(number, parts, due)
@@ -377,7 +410,6 @@ class KeyedTable:
         live_here = [p for p in parts if p.dropped_at is None and p.bucket in due]
         stored = self._of_parts(_ROWS, merged, self.schema)
         self._write(self._current(stored, live_here).drop(VERSION_COLUMN), _ROWS, version)
-        self._write_index(version)
         # What a folded delta replaces in a part that stays must remain known.
         kept_gone: dict[int, int] = {}
         gone = self._gone_of(merged)
@@ -390,9 +422,12 @@ class KeyedTable:
             if _has_buckets(self.spark, self._folder(_GONE, version)):
                 kept_gone = _counts(self._open(_GONE, [self._folder(_GONE, version)], None), self.bucket_column)
         rows = _counts(self._open(_ROWS, [self._folder(_ROWS, version)], self.schema), self.bucket_column)
+        indexed = sum(rows.values()) >= self.index_rows
+        if indexed:
+            self._write_index(version)
         now = time.time()
         dropped = [replace(p, dropped_at=now) if p in set(merged) else p for p in parts]
-        new = [Part(b, version, n, kept_gone.get(b, 0)) for b, n in rows.items()]
+        new = [Part(b, version, n, kept_gone.get(b, 0), indexed) for b, n in rows.items()]
         self._commit(number + 1, [*dropped, *new])
 
 

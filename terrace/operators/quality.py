@@ -94,7 +94,7 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return counted.where(F.col("n") > 1)
 
 
-def _result(table: str, column: str, test: str, failures: Column) -> Column:
+def test_result(table: str, column: str, test: str, failures: Column) -> Column:
     return F.struct(
         F.lit(table).alias("table"),
         F.lit(column).alias("column"),
@@ -116,15 +116,15 @@ def _key_and_null_tests(table: str, df: DataFrame, key: str, not_null: Sequence[
         *[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(not_null))],
     )
     rows = [
-        _result(table, key, "unique", F.col("dup")),
-        *[_result(table, c, "not_null", F.col(f"n{i}")) for i, c in enumerate(not_null)],
+        test_result(table, key, "unique", F.col("dup")),
+        *[test_result(table, c, "not_null", F.col(f"n{i}")) for i, c in enumerate(not_null)],
     ]
     return total.select(F.inline(F.array(*rows)))
 
 
 def _null_tests(table: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
     total = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)])
-    rows = [_result(table, c, "not_null", F.col(f"n{i}")) for i, c in enumerate(columns)]
+    rows = [test_result(table, c, "not_null", F.col(f"n{i}")) for i, c in enumerate(columns)]
     return total.select(F.inline(F.array(*rows)))
 
 
@@ -134,7 +134,7 @@ def _relationship_test(
     total = orphan_counts(df, parent, column, parent_column).agg(
         F.coalesce(F.sum("orphans"), F.lit(0)).alias("orphans")
     )
-    row = _result(table, column, "relationships", F.col("orphans"))
+    row = test_result(table, column, "relationships", F.col("orphans"))
     return total.select(F.inline(F.array(row)))
 
 

@@ -16,15 +16,10 @@ from terrace.operators.incremental import changes_since
 from terrace.operators.joins import flag_known, orphans, referential_filter
 from terrace.operators.keyed_table import KeyedTable
 from terrace.plans import changes as change_log
-from terrace.plans import models
-from terrace.plans.silver import clean
-from terrace.schemas import CORRUPT_COLUMN, DRIVERS, INGESTION_COLUMN, ORDERS, TELEMETRY, VEHICLES, Entity
-from terrace.sources.json_batches import (
-    SOURCE_DAY_COLUMN,
-    read_json_batches,
-    split_corrupt,
-    with_source_day,
-)
+from terrace.plans import fact_tests, models
+from terrace.plans.masters import build_master as build_master
+from terrace.plans.models import GOLD_TESTS
+from terrace.schemas import DRIVERS, INGESTION_COLUMN, ORDERS, TELEMETRY, VEHICLES
 from terrace.sources.paths import children, delete, exists
 from terrace.sources.versioned import is_published, publish, read_current, read_version
 from terrace.staging import staged
@@ -73,24 +68,6 @@ def _newest(df: DataFrame) -> datetime | None:
 # --- masters and dimensions -------------------------------------------------------
 
 
-def build_master(
-    spark: SparkSession, layout: Layout, entity: Entity, run_ts: datetime | None = None
-) -> bool:
-    """Rebuild one raw master from all daily extracts. Records that do not parse go to the
-    master's quarantine; extracts without a readable record change nothing."""
-    landed = read_json_batches(
-        spark, layout.bronze(entity.name), entity.bronze_schema, with_path=True
-    )
-    parsed, bad = split_corrupt(with_source_day(landed))
-    quarantine = layout.quarantine(entity.name)
-    if not bad.isEmpty() or is_published(spark, quarantine):
-        publish(bad.select(CORRUPT_COLUMN, SOURCE_DAY_COLUMN), quarantine)
-    if parsed.isEmpty():
-        return False
-    publish(clean(parsed, entity, run_ts), layout.raw(entity.name))
-    return True
-
-
 def build_dimensions(spark: SparkSession, layout: Layout) -> None:
     vehicles = read_current(spark, layout.raw(VEHICLES.name))
     drivers = read_current(spark, layout.raw(DRIVERS.name))
@@ -163,7 +140,11 @@ def build_fact_telemetry(spark: SparkSession, layout: Layout, full: bool = False
         def log(days: list[date], commit: int) -> None:
             change_log.append(spark, layout, "fact_telemetry", {*days, *late_days}, commit)
 
-        changed = fact.upsert_stored(rows, note=INGESTION_COLUMN, before_commit=log)
+        parents = list(GOLD_TESTS["fact_telemetry"].relationships or {})
+        done = fact.upsert_stored(rows, note=INGESTION_COLUMN, before_commit=log, carry=parents)
+        fact_tests.update(
+            spark, layout, "fact_telemetry", fact, GOLD_TESTS["fact_telemetry"], rows, None if full else done
+        )
         # A full merge starts a pending folder of its own; the old one goes with its progress.
         pending_name = progress.pending if progress else uuid.uuid4().hex
         unknown = judged.where(~F.col(_KNOWN)).drop(_KNOWN)
@@ -174,7 +155,7 @@ def build_fact_telemetry(spark: SparkSession, layout: Layout, full: bool = False
     for name in children(spark, pending_root):
         if name != pending_name:
             delete(spark, f"{pending_root}/{name}")
-    return sorted({*changed, *late_days})
+    return sorted({*done.days, *late_days})
 
 
 @contextmanager
@@ -233,9 +214,12 @@ def build_fact_orders(spark: SparkSession, layout: Layout, full: bool = False) -
         def log(days: list[date], commit: int) -> None:
             change_log.append(spark, layout, "fact_orders", days, commit)
 
-        changed = fact.upsert_stored(staged_orders, note=INGESTION_COLUMN, before_commit=log)
+        done = fact.upsert_stored(staged_orders, note=INGESTION_COLUMN, before_commit=log)
+        fact_tests.update(
+            spark, layout, "fact_orders", fact, GOLD_TESTS["fact_orders"], staged_orders, None if full else done
+        )
     write_progress(spark, progress_path, Progress(newest))
-    return changed
+    return done.days
 
 
 def gold_readers(spark: SparkSession, layout: Layout) -> dict[str, Callable[[], DataFrame]]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,13 @@ from terrace.operators.quality import (
     gate,
     run_tests,
 )
+from terrace.plans import fact_tests
+from terrace.plans.build import fact_table
 from terrace.plans.models import GOLD_TESTS
 from terrace.schemas import CORRUPT_COLUMN, TELEMETRY
 from terrace.sources.json_batches import read_json_batches, with_corrupt_column
 from terrace.sources.paths import exists, files_below, make_folder
+from terrace.sources.versioned import is_published
 
 JUDGED = ("latitude", "longitude", "cargo_temp_c")
 # Null where the text is a number or missing.
@@ -109,3 +113,18 @@ def _judge(spark: SparkSession, layout: Layout, files: list[str], max_corrupt: i
 
 def gold_tests(tables: Mapping[str, DataFrame]) -> DataFrame:
     return run_tests(tables, GOLD_TESTS)
+
+
+def gold_tests_by_change(spark: SparkSession, layout: Layout, dimensions: Mapping[str, DataFrame]) -> DataFrame:
+    """The same tests: dimensions as a whole, facts by what is known of their rows since the rows
+    last changed."""
+    tests = {name: declared for name, declared in GOLD_TESTS.items() if name in dimensions}
+    parts = [run_tests(dimensions, tests)]
+    for name, declared in GOLD_TESTS.items():
+        if name not in dimensions and is_published(spark, layout.state(f"{name}_tested")):
+            parts.append(fact_tests.results(spark, layout, name, declared, dict(dimensions)))
+        elif name not in dimensions:
+            # A fact that never held a row.
+            empty = {name: fact_table(spark, layout, name).read(), **dimensions}
+            parts.append(run_tests(empty, {name: declared}))
+    return reduce(DataFrame.unionByName, parts)

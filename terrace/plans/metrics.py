@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrace.functions import exact
 from terrace.functions.columns import ALERT_TEMPERATURE, normkey, round_scaled, stored_key
 
 
@@ -39,23 +40,21 @@ def fleet_metrics(
     per_vehicle = facts.groupBy(
         stored_key(facts, fact_vehicle_column or vehicle_column).alias("vehicle_id")
     ).agg(
-        F.count(time_column).alias("events"),
-        F.sum(F.col(temperature_column).cast("double")).alias("temp_sum"),
-        F.count(temperature_column).alias("temp_count"),
+        F.count(time_column).alias("events"), *exact.sum_parts(F.col(temperature_column), "temp")
     )
     fleet = vehicles.select(
         stored_key(vehicles, vehicle_column).alias("vehicle_id"),
         F.col(capacity_column).alias("capacity_kg"),
     )
-    mean = F.try_divide(F.sum("temp_sum"), F.sum("temp_count"))
-    metric = (
+    summed = (
         per_vehicle.join(fleet, "vehicle_id")
         .groupBy("vehicle_id", "capacity_kg")
-        .agg(
-            F.sum("events").alias("total_telemetry_events"),
-            round_scaled(mean).alias("avg_cargo_temperature"),
-        )
+        .agg(F.sum("events").alias("total_telemetry_events"), *exact.summed_parts("temp"))
     )
+    metric = summed.select(
+        "vehicle_id", "capacity_kg", "total_telemetry_events",
+        round_scaled(exact.mean("temp")).alias("avg_cargo_temperature"),
+    )
     return _ranked(metric, "total_telemetry_events", "vehicle_id", "capacity_kg")
 
 
@@ -69,10 +68,8 @@ def temperature_alerts(
     metric = (
         facts.where(F.col(temperature_column) > F.lit(limit))
         .groupBy(F.col(vehicle_column).alias("vehicle_id"))
-        .agg(
-            F.count(F.lit(1)).alias("total_alerts"),
-            round_scaled(F.avg(temperature_column)).alias("alert_avg_temperature"),
-        )
+        .agg(F.count(F.lit(1)).alias("total_alerts"), *exact.sum_parts(F.col(temperature_column), "temp"))
+        .select("vehicle_id", "total_alerts", round_scaled(exact.mean("temp")).alias("alert_avg_temperature"))
     )
     return _ranked(metric, "total_alerts", "vehicle_id")
 

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from terrace.layout import Layout
 from terrace.operators.quality import require_passed
 from terrace.plans import build
-from terrace.plans.gates import gate_and_admit, gold_tests
+from terrace.plans.gates import gate_and_admit, gold_tests, gold_tests_by_change
 from terrace.schemas import FEEDS, INGESTION_COLUMN, MASTERS, TELEMETRY, Entity
 from terrace.session import configure
 from terrace.sources.json_batches import land_batch, land_daily_snapshot
@@ -99,15 +99,15 @@ def run_pipeline(
     """Gate, clean, build, test. A failed gate or test raises and stops what comes after.
 
     ``run_ts`` (UTC) stamps every row of the run and must move forward from run to run.
-    ``full`` judges all landed files and merges all raw rows again, instead of the new ones;
-    the tables come out the same. More than ``max_corrupt`` telemetry records that do not parse
+    ``full`` judges all landed files, parses all extracts, merges all raw rows and tests whole facts
+    again, instead of what is new; the tables come out the same. More than ``max_corrupt`` telemetry records that do not parse
     fail the gate.
     """
     configure(spark)
     _check_run_time(spark, layout, run_ts)
     report = RunReport(run_ts)
     report.gate = gate_and_admit(spark, layout, full, max_corrupt)
-    masters = [partial(build.build_master, spark, layout, e, run_ts) for e in MASTERS]
+    masters = [partial(build.build_master, spark, layout, e, run_ts, full) for e in MASTERS]
     run_together(spark, [*masters, partial(ingest_feeds, spark, layout, run_ts)])
     report.quarantined = _quarantined(spark, layout, run_ts)
     _, telemetry_days, order_days = run_together(
@@ -120,5 +120,11 @@ def run_pipeline(
     )
     for fact, days in (("fact_telemetry", telemetry_days), ("fact_orders", order_days)):
         report.changed_days[fact] = [day for day in days if day < run_ts.date()]
-    report.tests = require_passed(gold_tests(build.gold_tables(spark, layout)))
+    if full:
+        tests = gold_tests(build.gold_tables(spark, layout))
+    else:
+        readers = build.gold_readers(spark, layout)
+        dimensions = {name: readers[name]() for name in ("dim_vehicles", "dim_drivers")}
+        tests = gold_tests_by_change(spark, layout, dimensions)
+    report.tests = require_passed(tests)
     return report

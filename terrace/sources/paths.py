@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import SparkSession
 
 
@@ -23,20 +25,16 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
-def first_child(spark: SparkSession, path: str, prefix: str) -> str | None:
-    """One name below ``path`` that starts with ``prefix``, without walking the others."""
-    fs, target = _locate(spark, path)
-    if not fs.exists(target):
-        return None
-    entries = fs.listStatusIterator(target)
-    while entries.hasNext():
-        name = entries.next().getPath().getName()
-        if name.startswith(prefix):
-            return name
-    return None
+@dataclass(frozen=True)
+class FileFacts:
+    """What tells one writing of a file from another."""
 
+    path: str
+    modified: int
+    length: int
 
-def files_below(spark: SparkSession, path: str) -> list[str]:
+
+def facts_below(spark: SparkSession, path: str) -> list[FileFacts]:
     """Data files at any depth, without the hidden ones (a run's new files, not a history)."""
     fs, target = _locate(spark, path)
     if not fs.exists(target):
@@ -44,11 +42,16 @@ def files_below(spark: SparkSession, path: str) -> list[str]:
     found, walk = [], fs.listFiles(target, True)
     root = fs.makeQualified(target).toString().rstrip("/")
     while walk.hasNext():
-        name = walk.next().getPath().toString()
+        status = walk.next()
+        name = status.getPath().toString()
         inner = name.removeprefix(root).strip("/")
         if not any(part.startswith(("_", ".")) for part in inner.split("/")):
-            found.append(name)
-    return sorted(found)
+            found.append(FileFacts(name, status.getModificationTime(), status.getLen()))
+    return sorted(found, key=lambda f: f.path)
+
+
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    return [f.path for f in facts_below(spark, path)]
 
 
 def make_folder(spark: SparkSession, path: str) -> None:

@@ -19,15 +19,21 @@ def versions(spark: SparkSession, path: str) -> list[str]:
     return [n for n in names if exists(spark, f"{path}/{n}/_SUCCESS")]
 
 
-def publish(df: DataFrame, path: str, keep: int = 2, protect: str | None = None) -> str:
-    """Write ``df`` as the newest version and expire what is older than the ``keep`` newest,
-    unfinished leftovers of dead runs included. A version named by ``protect`` stays."""
+def publish(
+    df: DataFrame, path: str, keep: int = 2, protect: str | None = None, keep_seconds: float = 3600
+) -> str:
+    """Write ``df`` as the newest version and expire what is older than the ``keep`` newest and
+    than ``keep_seconds``, for readers that have it open; unfinished leftovers of dead runs go
+    at once. A version named by ``protect`` stays."""
     spark = df.sparkSession
-    version = f"{_PREFIX}{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    now = time.time_ns()
+    version = f"{_PREFIX}{now:020d}_{uuid.uuid4().hex[:8]}"
     df.write.parquet(f"{path}/{version}")
-    oldest_kept = versions(spark, path)[-keep:][0]
+    complete = versions(spark, path)
+    expired = f"{_PREFIX}{now - int(keep_seconds * 1e9):020d}"
+    kept = {*complete[-keep:], *(v for v in complete if v > expired), protect}
     for name in children(spark, path):
-        if name.startswith(_PREFIX) and name < oldest_kept and name != protect:
+        if name.startswith(_PREFIX) and name < version and name not in kept:
             delete(spark, f"{path}/{name}")
     return version
 

@@ -82,7 +82,7 @@ class RawZone:
         expired = time.time() - self.keep_seconds
         kept = [b for b in batches if b.dropped_at is None or b.dropped_at > expired]
         data = [(b.name, b.stream, b.first_day, b.last_day, b.rows, b.dropped_at) for b in kept]
-        publish(self.spark.createDataFrame(data, _MANIFEST_SCHEMA).coalesce(1), self._manifest)
+        publish(self.spark.createDataFrame(data, _MANIFEST_SCHEMA).coalesce(1), self._manifest, keep_seconds=0)
         named = {f"{BATCH_COLUMN}={b.name}" for b in kept}
         for folder in children(self.spark, f"{self.path}/batches"):
             if folder not in named:

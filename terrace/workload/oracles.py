@@ -7,17 +7,27 @@ _FLEET_EVENTS = """
 """
 
 
-def _fleet(customers: str, status: str | None = None, reading: str = "value") -> str:
+def _mean(c: str) -> str:
+    """The mean of doubles, summed as whole multiples of 2^-20 and 2^-72."""
+    high = f"trunc({c} * 1048576)"
+    low = f"trunc(({c} * 1048576 - {high}) * 4503599627370496)"
+    return (
+        f"(CAST(sum(CAST({high} AS HUGEINT)) AS DOUBLE) / 1048576 + "
+        f"CAST(sum(CAST({low} AS HUGEINT)) AS DOUBLE) / 4722366482869645213696) / count({c})"
+    )
+
+
+def _fleet(customers: str, status: str | None = None) -> str:
     kept = "" if status is None else f"WHERE trim(upper(event_type)) = trim(upper('{status}'))"
     return f"""
         WITH readings AS (
-            SELECT trim(upper(vehicle)) AS vehicle_id, ts, {reading} AS reading
+            SELECT trim(upper(vehicle)) AS vehicle_id, ts, value AS reading
             FROM ({_FLEET_EVENTS}) {kept}
         ), fleet AS (
             SELECT trim(upper(c_name)) AS vehicle_id, c_acctbal AS capacity_kg FROM ({customers})
         )
         SELECT vehicle_id, capacity_kg, count(ts) AS total_telemetry_events,
-               round(avg(reading), 2) AS avg_cargo_temperature
+               round({_mean("reading")}, 2) AS avg_cargo_temperature
         FROM readings JOIN fleet USING (vehicle_id)
         GROUP BY ALL
         ORDER BY total_telemetry_events DESC, vehicle_id, capacity_kg
@@ -257,17 +267,12 @@ ORACLES: dict[str, str] = {
     "fleet_metrics": _fleet("SELECT * FROM customer"),
     "fleet_metrics_status": _fleet("SELECT * FROM customer", status=" Error "),
     "fleet_metrics_all_snapshots": _fleet(
-        "SELECT * FROM customer UNION ALL SELECT * FROM customer",
-        reading="CAST(round(value * 100) AS BIGINT)",
+        "SELECT * FROM customer UNION ALL SELECT * FROM customer"
     ),
-    "fleet_metrics_cold": _fleet(
-        "SELECT * FROM customer",
-        status="view",
-        reading="CAST(round(value * 100) AS BIGINT)",
-    ),
-    "temperature_alerts": """
+    "fleet_metrics_cold": _fleet("SELECT * FROM customer", status="view"),
+    "temperature_alerts": f"""
         SELECT user_id AS vehicle_id, CAST(count(*) AS BIGINT) AS total_alerts,
-               round(avg(value), 2) AS alert_avg_temperature
+               round({_mean("value")}, 2) AS alert_avg_temperature
         FROM events WHERE value > 12.0 GROUP BY user_id ORDER BY total_alerts DESC, vehicle_id
     """,
     "alert_records": """
@@ -387,7 +392,7 @@ ORACLES: dict[str, str] = {
     """,
     "watermark_first_run": "SELECT * FROM orders",
     "keyed_upsert": _KEYED_UPSERT,
-    "raw_append": "SELECT * FROM orders",
+    "raw_append": _ORDERS,
     "d1_increment": """
         SELECT * FROM events
         WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16'
@@ -417,4 +422,23 @@ ORACLES: dict[str, str] = {
                CAST(CAST(value AS FLOAT) AS DOUBLE) AS cargo_temp_c
         FROM events
     """,
+    "gate_then_ingest": f"""
+        SELECT * FROM ({_TELEMETRY}) WHERE "timestamp" < TIMESTAMP '1998-01-01'
+    """,
+    "master_quarantine": """
+        SELECT substr('{"vehicle_id":"V-' || s_suppkey || '","vehicle_type":"' || s_name || '"', 1, 30) AS _corrupt_record,
+               '20240102' AS _source_day
+        FROM supplier WHERE s_acctbal < 5000
+    """,
+    "history_after_corrections": f"""
+        SELECT order_id, CASE WHEN max(created_at) < TIMESTAMP '1998-01-01' THEN DATE '2024-01-01'
+                              ELSE DATE '2024-01-02' END AS ingestion_day
+        FROM ({_ORDERS}) GROUP BY order_id
+    """,
+    "models_as_views": f"""
+        SELECT vehicle_id, capacity_kg, CAST(count(*) AS BIGINT) AS n
+        FROM ({_stg_telemetry(f"SELECT vehicle_id FROM ({_VEHICLES})")}) JOIN ({_VEHICLES}) USING (vehicle_id)
+        WHERE event_timestamp < TIMESTAMP '1998-01-01'
+        GROUP BY ALL
+    """,
 }

@@ -25,17 +25,24 @@ from terrace.operators.dedup import distinct_by_key, latest_version
 from terrace.operators.incremental import changes_since, watermark
 from terrace.operators.keyed_table import KeyedTable
 from terrace.plans import metrics, models
-from terrace.plans.backup import export_tables
-from terrace.plans.build import build_fact_orders, build_fact_telemetry, build_master, fact_table
-from terrace.plans.gates import TELEMETRY_EXPECTATIONS, judged
+from terrace.plans.backup import export_tables, run_backup
+from terrace.plans.build import (
+    build_dimensions,
+    build_fact_orders,
+    build_fact_telemetry,
+    build_master,
+    fact_table,
+)
+from terrace.plans.gates import TELEMETRY_EXPECTATIONS, gate_and_admit, judged
 from terrace.plans.gates import gold_tests as run_gold_tests
-from terrace.plans.pipeline import land_batches, land_masters
+from terrace.plans.pipeline import ingest_feeds, land_batches, land_masters
 from terrace.plans.silver import (
     clean_drivers,
     clean_orders,
     clean_telemetry,
     clean_vehicles,
 )
+from terrace.plans.views import register_views
 from terrace.schemas import DRIVERS, ORDERS, TELEMETRY, VEHICLES, Entity
 from terrace.sources.json_batches import (
     land_batch,
@@ -81,11 +88,6 @@ def _fleet_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _in_hundredths(events: DataFrame) -> DataFrame:
-    """Whole hundredths: sums are exact, so means do not depend on how files are cut."""
-    return events.withColumn("value", F.round(F.col("value") * 100).cast("long"))
-
-
 _FLEET = {
     "vehicle_column": "c_name",
     "capacity_column": "c_acctbal",
@@ -118,16 +120,14 @@ def fleet_metrics_all_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     for day in (FIRST_DAY, SECOND_DAY):
         snapshots.export_snapshot(customers, root, day)
     fleet = snapshots.read_snapshots(spark, root, as_of=None)
-    return metrics.fleet_metrics(_in_hundredths(_fleet_events(spark, sf_dir)), fleet, **_FLEET)
+    return metrics.fleet_metrics(_fleet_events(spark, sf_dir), fleet, **_FLEET)
 
 
 @query
 def fleet_metrics_cold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cold history with stored keys, one dimension snapshot, a status pushed to the scan."""
     history, dims = new_folder(spark, "history"), new_folder(spark, "snapshots")
-    events = with_stored_keys(
-        _in_hundredths(_fleet_events(spark, sf_dir)), "vehicle", "event_type"
-    )
+    events = with_stored_keys(_fleet_events(spark, sf_dir), "vehicle", "event_type")
     snapshots.write_partitioned(
         events.withColumn("ingestion_day", F.to_date("ts")), history, "ingestion_day"
     )
@@ -499,7 +499,13 @@ def watermark_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def watermark_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changes_since(table(spark, sf_dir, "orders"), None, "o_orderdate")
+    """Without a target all rows are changes, and make it; a second run finds none."""
+    orders = table(spark, sf_dir, "orders")
+    target = KeyedTable(spark, new_folder(spark, "orders"), "o_orderkey", buckets=8)
+    for _ in range(2):
+        stored = target.read() if target.exists() else None
+        target.upsert(changes_since(orders, stored, "o_orderdate"))
+    return target.read()
 
 
 @query
@@ -519,11 +525,13 @@ def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def raw_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches accumulate in one raw table; repeated keys stay until staging."""
-    orders = table(spark, sf_dir, "orders")
-    path = new_folder(spark, "raw_orders")
-    for batch in (_before(orders, "o_orderdate"), _from(orders, "o_orderdate")):
-        batch.write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    layout = Layout(new_folder(spark, "raw"))
+    for load, run_ts in zip(
+        _two_loads(inputs.orders(spark, sf_dir), "created_at"), (FIRST_RUN, SECOND_RUN), strict=True
+    ):
+        land_batches(layout, {"orders": load}, run_ts)
+        _ingest(spark, layout, ORDERS, run_ts)
+    return comparable(read_raw(spark, layout.raw("orders"), ORDERS)).drop("ingestion_date")
 
 
 @query
@@ -633,7 +641,8 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_resend_suppression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events sent twice; the repeats fall inside the delay and are dropped."""
+    """The later events first, then all: repeats are dropped, and what arrives first arrives,
+    though it is weeks later than the delay."""
     layout = Layout(new_folder(spark, "resend"))
     events = table(spark, sf_dir, "events").select(
         F.concat(F.lit("EVT-"), "event_id").alias("event_id"),
@@ -645,8 +654,9 @@ def stream_resend_suppression(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("cargo_temp_c"),
         F.lit(None).cast("double").alias("speed_kmh"),
     )
-    for run_ts in (FIRST_RUN, SECOND_RUN):
-        land_batches(layout, {"telemetry": events}, run_ts)
+    late = F.substring("timestamp", 1, 10) >= "2024-01-15"
+    for load, run_ts in ((events.where(late), FIRST_RUN), (events, SECOND_RUN)):
+        land_batches(layout, {"telemetry": load}, run_ts)
         ingest_available(
             spark,
             layout.bronze("telemetry"),
@@ -654,9 +664,87 @@ def stream_resend_suppression(spark: SparkSession, sf_dir: str) -> DataFrame:
             layout.state("ingest_telemetry"),
             TELEMETRY,
             run_ts=run_ts,
-            suppression=ResendSuppression("timestamp", "60 days"),
+            suppression=ResendSuppression("timestamp", "1 hour"),
         )
     rows = read_raw(spark, layout.raw("telemetry"), TELEMETRY)
     return comparable(
         rows.select("event_id", "vehicle_id", "timestamp", "delivery_status", "cargo_temp_c")
     )
+
+
+# --- the fleet's lake ---------------------------------------------------------------------
+
+
+def _lake(spark: SparkSession, sf_dir: str, label: str) -> Layout:
+    """Masters, and the feeds' rows up to a day, from landing to gold."""
+    layout = Layout(new_folder(spark, label), fact_buckets=8)
+    masters = {"vehicles": inputs.vehicles(spark, sf_dir), "drivers": inputs.drivers(spark, sf_dir)}
+    land_masters(layout, masters, FIRST_RUN.date())
+    for entity in (VEHICLES, DRIVERS):
+        build_master(spark, layout, entity, FIRST_RUN)
+    build_dimensions(spark, layout)
+    _load_feeds(spark, sf_dir, layout, 0)
+    return layout
+
+
+def _load_feeds(spark: SparkSession, sf_dir: str, layout: Layout, n: int) -> None:
+    """The feeds' rows up to a day (0) or from it on (1)."""
+    run_ts = (FIRST_RUN, SECOND_RUN)[n]
+    telemetry = _two_loads(inputs.telemetry(spark, sf_dir), "timestamp")[n]
+    orders = _two_loads(inputs.orders(spark, sf_dir), "created_at")[n]
+    land_batches(layout, {"telemetry": telemetry, "orders": orders}, run_ts)
+    gate_and_admit(spark, layout)
+    ingest_feeds(spark, layout, run_ts)
+    build_fact_telemetry(spark, layout)
+    build_fact_orders(spark, layout)
+
+
+@query
+def gate_then_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that passes the gate and one that does not: only the first is ingested."""
+    layout = Layout(new_folder(spark, "gate"))
+    good, bad = _two_loads(inputs.telemetry(spark, sf_dir), "timestamp")
+    land_batches(layout, {"telemetry": good, "orders": inputs.orders(spark, sf_dir)}, FIRST_RUN)
+    gate_and_admit(spark, layout)
+    land_batches(layout, {"telemetry": bad.withColumn("cargo_temp_c", F.col("cargo_temp_c") * 40)}, SECOND_RUN)
+    try:
+        gate_and_admit(spark, layout)
+    except quality.QualityGateError:
+        ingest_feeds(spark, layout, SECOND_RUN)
+    return comparable(read_raw(spark, layout.raw("telemetry"), TELEMETRY)).drop("ingestion_date")
+
+
+@query
+def master_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extract of whole records, and one with records cut off: these are set aside."""
+    layout = Layout(new_folder(spark, "masters"))
+    vehicles = inputs.vehicles(spark, sf_dir)
+    land_masters(layout, {"vehicles": vehicles}, FIRST_DAY)
+    poor = vehicles.where(F.col("capacity_kg") < 5000)
+    cut = poor.select(F.substring(F.to_json(F.struct(*vehicles.columns)), 1, 30).alias("value"))
+    cut.write.text(f"{layout.bronze('vehicles')}/vehicles_20240102")
+    build_master(spark, layout, VEHICLES, SECOND_RUN)
+    return read_current(spark, layout.quarantine("vehicles"))
+
+
+@query
+def history_after_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cold orders after a backup, corrections and another backup: each order once, on the day
+    of its newest version."""
+    layout = _lake(spark, sf_dir, "history")
+    run_backup(spark, layout, FIRST_DAY)
+    _load_feeds(spark, sf_dir, layout, 1)
+    run_backup(spark, layout, SECOND_DAY)
+    return snapshots.read_history(spark, layout.history("orders")).select("order_id", "ingestion_day")
+
+
+@query
+def models_as_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over the views of staging and gold."""
+    register_views(spark, _lake(spark, sf_dir, "views"))
+    return spark.sql(
+        """
+        SELECT vehicle_id, capacity_kg, count(*) AS n
+        FROM stg_telemetry JOIN dim_vehicles USING (vehicle_id) GROUP BY vehicle_id, capacity_kg
+        """
+    )

@@ -63,7 +63,7 @@ def test_watermark_is_one_subquery_pushed_to_the_scan(spark, tmp_path):
 
 
 def keyed(spark, tmp_path, buckets=4):
-    return KeyedTable(spark, str(tmp_path / "fact"), "k", buckets, cluster_by=["t"])
+    return KeyedTable(spark, str(tmp_path / "fact"), "k", buckets, cluster_by=["t"], index_rows=1)
 
 
 def test_insert_replace_and_keep(spark, tmp_path):
@@ -132,7 +132,7 @@ def test_reading_shuffles_only_buckets_with_replaced_rows(spark, tmp_path):
 
 
 def test_the_index_opens_only_files_that_may_hold_a_key(spark, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 2, fold_share=9, max_deltas=99)
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 2, fold_share=9, max_deltas=99, index_rows=1)
     for n in range(6):
         table.upsert(frame(spark, *[(f"k{n}-{i}", n, "x") for i in range(200)]))
     assert len(stored_files(table)) == 12
@@ -148,7 +148,7 @@ def test_the_index_opens_only_files_that_may_hold_a_key(spark, tmp_path):
 
 def test_without_the_index_the_result_is_the_same(spark, tmp_path):
     for name, limit in (("few", 1000), ("many", 0)):
-        table = KeyedTable(spark, str(tmp_path / name), "k", 4, ["t"], index_keys=limit)
+        table = KeyedTable(spark, str(tmp_path / name), "k", 4, ["t"], index_keys=limit, index_rows=1)
         table.upsert(frame(spark, *[(f"k{i}", 1, "x") for i in range(40)]))
         table.upsert(frame(spark, *[(f"k{i}", 2, "y") for i in range(30, 50)]))
         assert table.read().count() == 50
@@ -157,7 +157,7 @@ def test_without_the_index_the_result_is_the_same(spark, tmp_path):
 
 @pytest.mark.parametrize("step", ["_write_index", "_commit"])
 def test_a_run_killed_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch, step):
-    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 2, fold_share=9)
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 2, fold_share=9, index_rows=1)
     table.upsert(frame(spark, ("a", 1, "x"), ("b", 1, "x")))
     before, opened = rows(table.read()), table.read()
 
@@ -178,7 +178,7 @@ def test_a_run_killed_before_its_commit_changes_nothing(spark, tmp_path, monkeyp
 
 
 def test_a_fold_killed_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch):
-    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 2)
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 2, fold_rows=1)
     table.upsert(frame(spark, *[(f"k{i}", 1, "x") for i in range(10)]))
     with monkeypatch.context() as broken:
         broken.setattr(table, "_fold", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
@@ -189,7 +189,7 @@ def test_a_fold_killed_before_its_commit_changes_nothing(spark, tmp_path, monkey
 
 
 def test_deltas_fold_when_they_pass_their_share_or_number(spark, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 1, fold_share=0.5, max_deltas=2)
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 1, fold_share=0.5, max_deltas=2, fold_rows=1)
     model = {f"k{i}": 0 for i in range(40)}
     table.upsert(frame(spark, *[(k, t, "v") for k, t in model.items()]))
     parts = []
@@ -242,9 +242,9 @@ def test_notes_are_the_days_of_replaced_rows_and_come_before_the_commit(spark, t
         seen.append(([str(d) for d in days], commit, table.commit_number()))
 
     first = at(("a", "2024-01-01"), ("b", "2024-01-02"), ("c", None))
-    assert table.upsert_stored(first, note="day", before_commit=look) == []
+    assert table.upsert_stored(first, note="day", before_commit=look).days == []
     again = table.upsert_stored(at(("b", "2024-02-01"), ("c", "2024-02-01")), note="day", before_commit=look)
-    assert [str(d) for d in again] == ["2024-01-02"]
+    assert [str(d) for d in again.days] == ["2024-01-02"]
     assert seen == [([], 1, 0), (["2024-01-02"], 2, 1)]
 
 
@@ -257,7 +257,7 @@ def test_bucket_count_is_fixed(spark, tmp_path):
 def test_random_loads_lookups_and_folds(spark, tmp_path):
     """Against a dictionary, with parts folded early and often."""
     rng, model = random.Random(4), {}
-    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 3, fold_share=0.7, max_deltas=1, keep_seconds=0)
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 3, fold_share=0.7, max_deltas=1, fold_rows=1, index_rows=5, keep_seconds=0)
     for n in range(6):
         load = {f"k{rng.randrange(30)}": n for _ in range(rng.choice([1, 4, 25]))}
         table.upsert(frame(spark, *[(k, t, "v") for k, t in load.items()]))

@@ -11,14 +11,16 @@ import pytest
 from terrace.layout import Layout
 from terrace.operators.quality import QualityGateError
 from terrace.operators.snapshots import read_history, read_snapshots
-from terrace.plans import build
+from terrace.plans import build, masters
 from terrace.plans.backup import BackupError, export_tables, read_changed_days, run_backup
-from terrace.plans.gates import gate_and_admit
+from terrace.plans.gates import admitted_files, gate_and_admit, gold_tests, gold_tests_by_change
 from terrace.plans.metrics import as_records, fleet_metrics, temperature_alerts
 from terrace.plans.pipeline import ingest_feeds, land_batches, land_masters, run_pipeline
 from terrace.plans.views import register_views
-from terrace.schemas import VEHICLES
+from terrace.schemas import DRIVERS, TELEMETRY, VEHICLES
 from terrace.sources.paths import delete
+from terrace.sources.versioned import read_current
+from terrace.streaming.ingest import read_raw
 from terrace.together import run_together
 from tests.helpers import (
     driver,
@@ -153,7 +155,33 @@ def test_gate_judges_what_is_ingested_whatever_its_file_time(spark, layout):
     land_file.write_text(json.dumps([event("E-10", "V-1")], indent=2))
     os.utime(land_file, (10**9, 10**9))
     run_pipeline(spark, layout, DAY2)
-    assert "E-10" in ids(spark, layout) and not land_file.exists()
+    assert "E-10" in ids(spark, layout) and land_file.exists()
+    admitted = [r["path"] for r in admitted_files(spark, layout).collect()]
+    assert len(admitted) == len(set(admitted)) and f"file:{land_file}" in admitted
+
+
+def test_admission_is_one_write_and_moves_nothing(spark, layout):
+    folder = Path(layout.bronze("telemetry"))
+    folder.mkdir(parents=True)
+    for n in range(300):
+        (folder / f"f{n}.json").write_text(json.dumps([event(f"E-{n}", "V-1")]))
+    before = sorted(folder.iterdir())
+    gate_and_admit(spark, layout)
+    assert sorted(folder.iterdir()) == before and admitted_files(spark, layout).count() == 300
+    assert len(list(Path(layout.admitted("telemetry")).glob("*.parquet"))) == 1
+    gate_and_admit(spark, layout)
+    assert admitted_files(spark, layout).count() == 300
+    (folder / "late.json").write_text(json.dumps([event("E-300", "V-1")]))
+    ingest_feeds_of_telemetry(spark, layout)
+    assert read_raw(spark, layout.raw("telemetry"), TELEMETRY).count() == 300
+    gate_and_admit(spark, layout)
+    ingest_feeds_of_telemetry(spark, layout)
+    assert read_raw(spark, layout.raw("telemetry"), TELEMETRY).count() == 301
+
+
+def ingest_feeds_of_telemetry(spark, layout):
+    Path(layout.bronze("orders")).mkdir(parents=True, exist_ok=True)
+    ingest_feeds(spark, layout, DAY1)
 
 
 def test_unreadable_master_keeps_the_old_one_and_shows(spark, layout):
@@ -168,6 +196,36 @@ def test_unreadable_master_keeps_the_old_one_and_shows(spark, layout):
     assert report.quarantined["vehicles"] == 1 and report.quarantined["telemetry"] == 0
 
 
+@pytest.mark.parametrize("seed", SEEDS)
+def test_masters_fold_unseen_extracts_only(spark, tmp_path, monkeypatch, seed):
+    """Against parsing all extracts: days come in and out of order, are landed again, and go."""
+    rng, parsed = random.Random(seed), []
+    layout, whole = Layout(str(tmp_path / "folded")), Layout(str(tmp_path / "whole"))
+    read = masters.read_json_batches
+
+    def watched(spark, files, *args, **options):
+        parsed.append(files)
+        return read(spark, files, *args, **options)
+
+    monkeypatch.setattr(masters, "read_json_batches", watched)
+    for n in range(7):
+        day = date(2024, 1, n + 1 if n not in (3, 5) else rng.randrange(1, 6))
+        fleet = [vehicle(f"V-{rng.randrange(6)}", str(rng.choice([900, 1500, 8000]))) for _ in range(4)]
+        extract = vehicles(spark, *fleet)
+        for lake in (layout, whole):
+            land_masters(lake, {"vehicles": extract}, day)
+            if n == 4:
+                delete(spark, f"{lake.bronze('vehicles')}/vehicles_20240102")
+            assert build.build_master(spark, lake, VEHICLES, DAY1, full=lake is whole)
+        folded, again = (rows(read_current(spark, lake.raw("vehicles"))) for lake in (layout, whole))
+        assert folded == again
+    parsed.clear()
+    land_masters(layout, {"vehicles": vehicles(spark, vehicle("V-7"))}, date(2024, 1, 20))
+    build.build_master(spark, layout, VEHICLES, DAY1)
+    days = {f.split("vehicles_")[1][:8] for f in parsed[0]}
+    assert "20240120" in days and len(days) == 2
+
+
 def test_failed_table_test_raises(spark, layout):
     land(
         spark,
@@ -224,16 +282,25 @@ def test_incremental_equals_full(spark, tmp_path, seed):
             event(f"E-{rng.randrange(8)}", f"V-{rng.randrange(5)}", temp=str(rng.randrange(20)))
             for _ in range(8)
         ]
-        dispatches = [order(f"O-{rng.randrange(5)}", weight=str(rng.randrange(9))) for _ in range(4)]
+        dispatches = [
+            order(f"O-{rng.randrange(5)}", weight=str(rng.randrange(9)), destination_lat=rng.choice(["1", "x"]))
+            for _ in range(4)
+        ]
         for layout in stores:
             extract = vehicles(spark, *[vehicle(v) for v in sorted(fleet)])
             land_masters(layout, {"vehicles": extract}, DAY1.date())
-            land(spark, layout, run_ts, events=events, dispatches=dispatches)
+            land(spark, layout, run_ts, crew=[driver("D-1")], events=events, dispatches=dispatches)
             build.build_master(spark, layout, VEHICLES, run_ts)
             gate_and_admit(spark, layout)
             ingest_feeds(spark, layout, run_ts)
+            build.build_master(spark, layout, DRIVERS, run_ts)
+            build.build_dimensions(spark, layout)
             build.build_fact_telemetry(spark, layout, full=layout is stores[1])
             build.build_fact_orders(spark, layout, full=layout is stores[1])
+        for store in stores:
+            tables = build.gold_tables(spark, store)
+            dims = {n: tables[n] for n in ("dim_vehicles", "dim_drivers")}
+            assert rows(gold_tests_by_change(spark, store, dims)) == rows(gold_tests(tables))
     for name in ("fact_telemetry", "fact_orders"):
         incremental, full = (rows(build.fact_table(spark, s, name).read()) for s in stores)
         assert incremental == full
@@ -297,6 +364,45 @@ def test_history_follows_corrections_and_late_rows(spark, layout):
     assert dims.count() == 2
 
 
+def test_a_run_that_dies_after_the_fact_loses_no_changed_day(spark, layout, monkeypatch):
+    first_load(spark, layout)
+    run_pipeline(spark, layout, DAY1)
+    run_backup(spark, layout, DAY1.date())
+    land(spark, layout, DAY2, fleet=[vehicle("V-9")], events=[event("E-1", "V-2")])
+    with monkeypatch.context() as patch:
+        patch.setattr(build, "write_progress", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_pipeline(spark, layout, DAY2)
+    run_pipeline(spark, layout, DAY2 + timedelta(minutes=1))
+    run_backup(spark, layout, DAY2.date())
+    history = read_history(spark, layout.history("telemetry")).select("event_id", "ingestion_day")
+    assert rows(history) == [("E-1", DAY2.date()), ("E-2", DAY1.date()), ("E-3", DAY1.date())]
+
+
+def test_a_run_that_overlaps_a_backup_loses_no_changed_day(spark, layout, monkeypatch):
+    """The run logs its days while the backup has read the log, and commits after the backup."""
+    first_load(spark, layout)
+    run_pipeline(spark, layout, DAY1)
+    run_backup(spark, layout, DAY1.date())
+    land(spark, layout, DAY2, fleet=[vehicle("V-2")], events=[event("E-1", "V-2")])
+    commit = build.KeyedTable._commit
+
+    def late(table, *args):
+        if table.path.endswith("fact_telemetry"):
+            run_backup(spark, layout, DAY1.date())
+            assert DAY1.date() in read_changed_days(spark, layout)["fact_telemetry"]
+        commit(table, *args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(build.KeyedTable, "_commit", late)
+        patch.setattr(build.KeyedTable, "fold", lambda *_: 0)
+        run_pipeline(spark, layout, DAY2)
+    run_backup(spark, layout, DAY2.date())
+    assert read_changed_days(spark, layout) == {}
+    history = read_history(spark, layout.history("telemetry")).select("event_id", "ingestion_day")
+    assert rows(history) == [("E-1", DAY2.date()), ("E-3", DAY1.date())]
+
+
 def test_facts_of_a_departed_vehicle_stay_and_fail_the_reference_test(spark, layout):
     first_load(spark, layout)
     run_pipeline(spark, layout, DAY1)

@@ -2,15 +2,18 @@ from __future__ import annotations
 
 import json
 from datetime import date, datetime
+from urllib.parse import unquote
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from terrace.schemas import TELEMETRY, VEHICLES
 from terrace.sources import jdbc
 from terrace.sources.guards import EmptyInputError, has_rows, require_rows
 from terrace.sources.json_batches import (
     SOURCE_DAY_COLUMN,
+    array_files,
     land_batch,
     land_daily_snapshot,
     read_json_batches,
@@ -64,6 +67,42 @@ def test_each_file_is_read_in_its_own_form(spark, tmp_path):
     assert bad.count() == 0
 
 
+def test_a_large_line_file_is_read_by_many_tasks(spark, tmp_path):
+    lines = "\n".join(json.dumps(vehicle(f"V-{n}")) for n in range(20_000))
+    write_text(tmp_path / "b" / "lines.json", lines)
+    write_array(tmp_path / "b" / "array.json", [vehicle("A-1")], indent=1)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        good, bad = read(spark, tmp_path / "b")
+        assert good.count() == 20_001 and bad.count() == 0
+        assert good.select(F.spark_partition_id()).distinct().count() >= 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_arrays_are_told_from_lines(spark, tmp_path):
+    folder = tmp_path / "b"
+    one = json.dumps(vehicle("V-1"))
+    write_text(folder / "flat.json", f"\n  [{one},{one}]\n")
+    write_text(folder / "a b%20c.json", f"[\n{one}\n]")
+    write_text(folder / "arrays.json", f"[{one}]\n[{one}]")
+    write_text(folder / "lines.json", f"{one}\n[{one}]\n")
+    write_text(folder / "blank.json", " \n\n")
+    found = sorted(unquote(f).rsplit("/", 1)[1] for f in array_files(spark, str(folder)))
+    assert found == ["a b%20c.json", "flat.json"]
+    good, bad = read(spark, folder)
+    assert good.count() == 7 and bad.count() == 0
+
+
+def test_a_cut_array_is_read_by_its_lines(spark, tmp_path):
+    lines = [json.dumps(vehicle(f"V-{n}")) for n in range(3)]
+    write_text(tmp_path / "b" / "cut.json", "[\n" + ",\n".join(lines) + ',\n{"vehicle_id": "V-3", "sta')
+    good, bad = read(spark, tmp_path / "b")
+    assert sorted(r["vehicle_id"] for r in good.collect()) == ["V-0", "V-1", "V-2"]
+    assert sorted(r["_corrupt_record"] for r in bad.collect()) == ["[", '{"vehicle_id": "V-3", "sta']
+    assert bad.count() == 2 and not bad.isEmpty()
+
+
 def test_records_that_do_not_parse_are_quarantined_alone(spark, tmp_path):
     write_array(tmp_path / "b" / "one.json", [vehicle("V-1")])
     write_text(tmp_path / "b" / "cut.json", '[{"vehicle_id":"V-2"},{"vehicle_id"')
@@ -132,9 +171,13 @@ def test_published_versions(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_current(spark, path)
     for n in range(4):
-        publish(spark.range(n + 1), path)
+        publish(spark.range(n + 1), path, keep_seconds=0)
     assert read_current(spark, path).count() == 4
     assert len(versions(spark, path)) == 2
+    # Versions that a reader may have open stay for their time.
+    for n in range(3):
+        publish(spark.range(n + 1), path)
+    assert len(versions(spark, path)) == 5
 
 
 def test_unfinished_version_is_not_read(spark, tmp_path):

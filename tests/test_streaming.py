@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from terrace.layout import Layout
 from terrace.schemas import TELEMETRY
 from terrace.sources.json_batches import land_batch
+from terrace.sources.paths import delete
 from terrace.streaming.ingest import (
     ResendSuppression,
     ingest_available,
@@ -16,6 +17,7 @@ from terrace.streaming.ingest import (
     read_raw,
     start_ingest,
 )
+from terrace.streaming.raw_zone import RawZone
 from tests.helpers import event, plan, rows, telemetry, write_array, write_text
 
 FIRST, SECOND = datetime(2024, 1, 1, 12), datetime(2024, 1, 2, 12)
@@ -129,13 +131,94 @@ def test_resends_are_kept_unless_suppressed(spark, layout):
     ]
 
 
+def test_late_first_arrivals_reach_raw_whatever_came_before(spark, layout):
+    """The delay is far shorter than the range of times, and loads come out of order."""
+    suppression = ResendSuppression("timestamp", "1 hour")
+    loads = [
+        [("E-9", "2024-01-09T10:00:00Z"), ("E-5", "2024-01-05T10:00:00Z")],
+        [("E-1", "2024-01-01T10:00:00Z"), ("E-9", "2024-01-09T10:59:00Z"), ("E-9", "2024-01-09T08:30:00Z")],
+        [("E-1", "2024-01-01T09:30:00Z"), ("E-5", "2024-01-05T11:00:01Z"), ("E-0", "2023-12-01T00:00:00Z")],
+    ]
+    for n, load in enumerate(loads):
+        land(spark, layout, datetime(2024, 2, 1, n), *[event(k, "V-1", ts=t) for k, t in load])
+        ingest(spark, layout, datetime(2024, 2, 1, n), suppression=suppression)
+    got = raw(spark, layout).select("event_id", F.date_format("timestamp", "MM-dd HH:mm:ss").alias("at"))
+    assert rows(got) == [
+        ("E-0", "12-01 00:00:00"),
+        ("E-1", "01-01 10:00:00"),
+        ("E-5", "01-05 10:00:00"),
+        ("E-5", "01-05 11:00:01"),
+        ("E-9", "01-09 08:30:00"),
+        ("E-9", "01-09 10:00:00"),
+    ]
+
+
+def test_resends_within_a_batch_and_rows_without_time(spark, layout):
+    suppression = ResendSuppression("timestamp", "1 hour")
+    times = ["10:00:00", "10:50:00", "11:40:00", "13:00:00", "13:00:00"]
+    hot = [event("E-1", "V-1", ts=f"2024-01-01T{t}Z") for t in times]
+    odd = [event("E-2", "V-1", ts="no time"), event("E-2", "V-1", ts=None)]
+    land(spark, layout, FIRST, *hot, *odd)
+    write_text(f"{layout.bronze('telemetry')}/cut.json", '{"event_id": "E-3"\n{"event_id": "E-3"')
+    ingest(spark, layout, FIRST, suppression=suppression)
+    # Each of the first three lies within an hour of the one before it.
+    got = rows(raw(spark, layout).select("event_id", F.date_format("timestamp", "HH:mm").alias("at")))
+    assert got == [("E-1", "10:00"), ("E-1", "13:00"), ("E-2", None), ("E-2", None)]
+    assert read_quarantine(spark, layout.raw("telemetry"), TELEMETRY).count() == 2
+
+
+def test_a_replayed_batch_adds_nothing(spark, layout):
+    """The stream forgets its last commit, as when it dies between the batch and the mark."""
+    for n in range(2):
+        land(spark, layout, datetime(2024, 1, 1, n), event(f"E-{n}", "V-1"))
+        ingest(spark, layout, datetime(2024, 1, 1, n))
+    before = raw(spark, layout).collect()
+    delete(spark, f"{layout.state('ingest_telemetry')}/commits/1")
+    ingest(spark, layout, datetime(2024, 1, 1, 5))
+    assert sorted(raw(spark, layout).collect()) == sorted(before) and len(before) == 2
+
+
+def test_a_batch_that_died_before_it_was_published_is_not_read(spark, layout, monkeypatch):
+    land(spark, layout, FIRST, event("E-1", "V-1"))
+    with monkeypatch.context() as broken:
+        broken.setattr(RawZone, "_publish", lambda *_: 1 / 0)
+        with pytest.raises(Exception, match="ZeroDivision"):
+            ingest(spark, layout, FIRST)
+    assert raw(spark, layout).count() == 0
+    ingest(spark, layout, FIRST)
+    assert raw(spark, layout).count() == 1
+
+
+def test_closed_batches_are_gathered(spark, layout):
+    zone = RawZone(spark, layout.raw("telemetry"), TELEMETRY, gather_at=3)
+    for n in range(5):
+        land(spark, layout, datetime(2024, 1, 1 + n, 1), event(f"E-{n}", "V-1"), event(f"F-{n}", None))
+        ingest(spark, layout, datetime(2024, 1, 1 + n, 1))
+    opened, before = raw(spark, layout), rows(raw(spark, layout))
+    assert len(zone.live()) == 5
+    assert zone.gather(date(2024, 1, 3)) == 0
+    # The newest batch stays, since it may be replayed.
+    assert zone.gather(date(2024, 2, 1)) == 4
+    assert len(zone.live()) == 2
+    assert rows(raw(spark, layout)) == before == rows(opened)
+    assert raw(spark, layout, datetime(2024, 1, 4)).count() == 2
+    assert zone.gather(date(2024, 2, 1)) == 0
+
+
+def test_reading_raw_lists_no_log(spark, layout):
+    land(spark, layout, FIRST, event("E-1", "V-1"))
+    ingest(spark, layout, FIRST)
+    assert not list(Path(layout.raw("telemetry")).rglob("_spark_metadata"))
+
+
 def test_taken_files_move_to_the_archive(spark, layout, tmp_path):
     archive = tmp_path / "archive"
     bronze = Path(layout.bronze("telemetry"))
     for hour in range(3):
         land(spark, layout, datetime(2024, 1, 1, hour), event(f"E-{hour}", "V-1"))
         ingest(spark, layout, datetime(2024, 1, 2, hour), archive=str(archive))
-    kept = {f.parent.name for f in bronze.rglob("*.json")}
+    # Files without a byte hold no record and are never taken.
+    kept = {f.parent.name for f in bronze.rglob("*.json") if f.stat().st_size}
     moved = {f.parent.name for f in archive.rglob("*.json")}
     assert moved and not moved & kept and len(moved | kept) == 3
     assert raw(spark, layout).count() == 3
