@@ -188,6 +188,9 @@ def _scored(
     rows: DataFrame, target: DataFrame, scratch: Scratch, ngrams: int, buckets: int, seed: int
 ) -> DataFrame:
     """(uid, doc_id, n_words, n_features, weight, score) of (uid, doc_id, text)."""
+    if ngrams > 1:
+        # Read twice by their numbers, which must be the same both times.
+        rows = scratch.keep(rows, "numbered")
     held = scratch.keep(
         rows.select("uid", "doc_id", _lines(F.col("text")).alias("line")).select("uid", "doc_id", _digest("line")),
         "lines",

@@ -5,13 +5,14 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from terrace.llm import phrases
-from terrace.llm.phrases import collocations, quicksort_counts, tokens
+from terrace.llm.phrases import collocations, quicksort_counts
 from tests.llm.helpers import docs, table
 
 
@@ -72,12 +73,12 @@ def frame(spark, rows):
     return docs(spark, [(i, text, lang, None) for i, text, lang in rows])
 
 
-@pytest.mark.parametrize(("least", "limit"), [(30, None), (3, None), (5, 10_000), (4, 40)])
-def test_matches_brute_force(spark, least, limit):
-    """With routes of one word, and of up to four where leading words are frequent."""
+@pytest.mark.parametrize(("least", "routes"), [(30, 4096), (3, 10**6), (5, 1), (4, 30)])
+def test_matches_brute_force(spark, least, routes):
+    """With routes of one word only, and of up to four where leading words are frequent."""
     rows = corpus() + ODD
     df = frame(spark, rows).repartition(6).withColumn("words", F.lit(1)).withColumn("n", F.lit("x"))
-    got = collocations(df, least=least, route_limit=limit)
+    got = collocations(df, least=least, routes=routes)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     assert table(got) == brute(rows, least=least)
 
@@ -89,26 +90,40 @@ def test_other_lengths_and_top(spark, longest, top):
     assert table(got) == brute(rows, longest=longest, least=4, top=top)
 
 
-def test_small_batches_and_slices_change_nothing(spark, monkeypatch):
-    rows = corpus(11, 80)
-    want = brute(rows, least=5)
-    monkeypatch.setattr(phrases, "HELD_WORDS", 50)
-    monkeypatch.setattr(phrases, "HELD_COUNTS", 5)
-    monkeypatch.setattr(phrases, "FILTER_BITS", 1 << 15)
-    assert table(collocations(frame(spark, rows), least=5)) == want
+def _pieces_of(part):
+    names, out = part.listed, [[]]
+    for i in part.ids.tolist():
+        out[-1].append(names[i]) if i >= 0 else out.append([])
+    return [p for p in out if p]
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="aB .,\n\t\x0b\r é\x1c ", max_size=60), st.integers(1, 20))
-def test_tokens_in_slices(text, size):
-    whole = phrases.SLICE_BYTES
+@given(st.lists(st.text(alphabet="aBX .,\n\t\x0b\r é\x1c\x00ÿ ", max_size=40), max_size=6), st.integers(0, 60))
+def test_parts_hold_the_pieces_of_their_texts(texts, size):
+    langs = ["en", "de"] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(langs[: len(texts)]), pa.array(texts, pa.string())], names=["lang", "text"])
+    whole = phrases.HELD_BYTES
     try:
-        phrases.SLICE_BYTES = size
-        found = b" ".join(w for part in tokens(text) for w in part)
+        phrases.HELD_BYTES = size
+        found = [(lang, _pieces_of(part)) for lang, part in phrases._parts(iter([batch]))]
     finally:
-        phrases.SLICE_BYTES = whole
-    got = [p.split(b" ") if p.strip(b" ") else [] for p in (x.strip(b" ") for x in found.split(b"\xff"))]
-    assert [[w.decode() for w in p if w] for p in got if p] == [p for p in pieces(text) if p]
+        phrases.HELD_BYTES = whole
+    got, want = Counter(), Counter()
+    for lang, held in found:
+        got.update((lang, *p) for p in held)
+    for lang, text in zip(langs, texts):
+        want.update((lang, *p) for p in pieces(text) if p)
+    assert got == want
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(-1, 5), min_size=3, max_size=3), min_size=1, max_size=40))
+def test_merged_rows_packed_or_not(rows):
+    rows = np.array(rows, np.int32)
+    want = Counter(map(tuple, rows.tolist()))
+    for values in (6, 1 << 40):
+        found, n = phrases._merged(rows, values)
+        assert dict(zip(map(tuple, found.tolist()), n.tolist())) == dict(want)
 
 
 def test_counts_beyond_64_bits_are_exact(spark):
@@ -119,12 +134,17 @@ def test_counts_beyond_64_bits_are_exact(spark):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 3), st.integers(-1, 3), st.integers(-1, 2), st.integers(1, 4)), min_size=1, max_size=60), st.integers(1, 6))
-def test_quicksort_finds_all_prefixes(rows, least):
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(-1, 3), st.integers(-1, 2), st.integers(1, 4)), min_size=1, max_size=60), st.integers(1, 6), st.sampled_from([0, 5, 2048]))
+def test_quicksort_finds_all_prefixes(rows, least, small):
     rows = [(a, b, c if b >= 0 else -1, n) for a, b, c, n in rows]
     columns = [np.array([r[j] for r in rows], np.int32) for j in range(3)]
     weights = np.array([r[3] for r in rows])
-    found = quicksort_counts(columns, weights, np.ones(len(rows), np.int64), least)
+    whole = phrases.SMALL
+    try:
+        phrases.SMALL = small
+        found = list(quicksort_counts(columns, weights, np.ones(len(rows), np.int64), least))
+    finally:
+        phrases.SMALL = whole
     got = sorted((tuple(int(columns[j][p]) for j in range(depth)), n) for p, depth, n in found)
     counted = Counter()
     for *ids, n in rows:
