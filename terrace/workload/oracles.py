@@ -437,8 +437,10 @@ ORACLES: dict[str, str] = {
     """,
     "models_as_views": f"""
         SELECT vehicle_id, capacity_kg, CAST(count(*) AS BIGINT) AS n
-        FROM ({_stg_telemetry(f"SELECT vehicle_id FROM ({_VEHICLES})")}) JOIN ({_VEHICLES}) USING (vehicle_id)
-        WHERE event_timestamp < TIMESTAMP '1998-01-01'
+        FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY {_TELEMETRY_TIES}) AS rn
+              FROM ({_TELEMETRY}) WHERE "timestamp" < TIMESTAMP '1998-01-01')
+        JOIN ({_VEHICLES}) USING (vehicle_id)
+        WHERE rn = 1
         GROUP BY ALL
     """,
 }
