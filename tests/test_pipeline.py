@@ -35,7 +35,7 @@ from tests.helpers import (
 )
 
 DAY1 = datetime(2024, 1, 1, 12)
-SEEDS = [int(n) for n in os.environ.get("TEST_SEEDS", "1,3").split(",")]
+SEEDS = [int(n) for n in os.environ.get("TEST_SEEDS", "1").split(",")]
 DAY2, DAY3 = DAY1 + timedelta(days=1), DAY1 + timedelta(days=2)
 
 
