@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.scratch import Scratch
+from terrace.llm.scratch import Scratch, bound_batches
 
 # Words of a shingle.
 WIDTH = 5
@@ -265,6 +265,7 @@ def fingerprints(
             found = [written(sketch(text, one_in)) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.string())], names=["id", "fingerprint"])
 
+    bound_batches(df.sparkSession)
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(df[id_col].alias("id"), df[text_col].alias("text"))
     return rows.mapInArrow(run, f"id {kind}, fingerprint string").withColumnRenamed("id", id_col)

@@ -17,18 +17,27 @@ FILE_ROWS = 200_000
 LEAST_FILES = 8
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Small batches of rows for the Python functions of this session."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+_BOUNDS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS,
+    "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES,
+}
+
+
+def bound_batches(spark: SparkSession) -> dict[str, str | None]:
+    """Small batches of rows for the Python functions of this session; returns what was set before."""
+    before = {key: spark.conf.get(key, None) for key in _BOUNDS}
+    for key, value in _BOUNDS.items():
+        spark.conf.set(key, value)
+    return before
 
 
 class Scratch:
     """Tables written once and read many times, so that a lost executor costs a re-read and
-    not a recomputation. On leaving the block all are deleted but those given to ``result``."""
+    not a recomputation. On leaving the block all are deleted but those given to ``result``, and
+    the session's batches are as they were."""
 
     def __init__(self, spark: SparkSession):
-        bound_batches(spark)
+        self._before = bound_batches(spark)
         self.spark = spark
         self._folders: list[str] = []
 
@@ -39,6 +48,11 @@ class Scratch:
         for folder in self._folders:
             delete(self.spark, folder)
         self._folders.clear()
+        for key, value in self._before.items():
+            if value is None:
+                self.spark.conf.unset(key)
+            else:
+                self.spark.conf.set(key, value)
 
     def folder(self, label: str) -> str:
         path = new_folder(self.spark, label)

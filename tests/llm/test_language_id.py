@@ -76,3 +76,38 @@ def test_nothing_to_learn_from_and_empty_table(spark):
     assert {r.lang_pred for r in language_id.predict(docs(spark, rows), model).collect()} == {"und"}
     assert language_id.predict(docs(spark, []), language_id.fit(docs(spark, []))).count() == 0
     assert language_id.identified(docs(spark, []), model).count() == 0
+
+
+def test_predictions_match_brute_force(spark, fitted):
+    """Sizes by a new compressor for every block, words by a pattern on the text."""
+    import math
+    import re
+
+    import zstandard
+
+    def blocks(text):
+        words = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text.lower())
+        data = (" " + " ".join(words) + " ").encode()
+        return [data[i : i + 4096] for i in range(0, len(data), 4096)]
+
+    def size(content, block):
+        words = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        one = zstandard.ZstdCompressor(level=6, dict_data=words, write_content_size=False, write_checksum=False, write_dict_id=False)
+        return len(one.compress(b" " * 64 + block))
+
+    picked = spark.read.parquet(SF).orderBy(F.char_length("text")).limit(40).union(
+        spark.read.parquet(SF).orderBy(F.char_length("text").desc()).limit(3)
+    )
+    rows = [(r.doc_id, r.text) for r in picked.collect()] + [(-1, None), (-2, ""), (-3, "12 !"), (-4, "ЖЖ abc")]
+    got = {r.doc_id: r for r in language_id.predict(docs(spark, rows), fitted).collect()}
+    for doc_id, text in rows:
+        r = got[doc_id]
+        if text is None or not any(c.isalpha() for c in text):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        totals = {lang: sum(size(content, b) for b in blocks(text)) for lang, content in fitted.dictionaries}
+        best = min(totals, key=lambda lang: (totals[lang], lang))
+        gaps = [t - totals[best] for lang, t in totals.items() if lang != best]
+        assert r.lang_pred == best
+        assert r.score == pytest.approx(1 / (1 + sum(math.exp(-g / 4) for g in gaps)))
+        assert r.rejected == (min(gaps) / totals[best] < 0.005)
