@@ -11,7 +11,7 @@ from terrace.staging import new_folder
 
 # Rows and bytes that Spark hands to a Python function at a time. Its own default of ten
 # thousand texts takes tens of MB outside the heap, several times over, and very long texts more.
-BATCH_ROWS, BATCH_BYTES = 4096, 4 << 20
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
 # Narrow rows of a file, and the tasks that write a small table.
 FILE_ROWS = 200_000
 LEAST_FILES = 8
