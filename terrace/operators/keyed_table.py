@@ -95,7 +95,7 @@ class KeyedTable:
         fold_share: float = 0.5,
         max_deltas: int = 8,
         fold_rows: int = 10_000,
-        index_rows: int = 100_000,
+        index_rows: int = 10_000_000,
         index_keys: int = 1_000_000,
         keep_seconds: float = 3600,
     ):
