@@ -16,10 +16,13 @@ by the next commit. Readers keep the manifest they opened the table with; folder
 A read is the rows of all live pairs without the gone ones; buckets in which nothing was
 replaced are scanned as they are. When the deltas of a bucket pass a share of its base, the
 bucket is folded into a new base; when they are merely many, they are folded into one delta.
+A load that is large enough to make all its buckets due is folded in as it is written: arriving
+and stored rows meet in one shuffle, and what would be replaced at once is never marked.
 """
 
 from __future__ import annotations
 
+import math
 import time
 import uuid
 from collections import defaultdict
@@ -27,7 +30,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +52,12 @@ _MANIFEST_SCHEMA = (
 _TABLE_BITS = tuple(1 << n for n in (15, 18, 21, 24, 27))
 _BITS_PER_KEY = 16
 
+# Rows of a bucket that are sorted by key and written in one piece, about.
+_SHARE_ROWS = 1 << 20
+# Parts of a bucket's keys that are counted, to see one in which few keys have very many rows.
+_FINE = 64
+_AGE, _SHARE, _RANK = "_age", "_share", "_rank"
+
 
 @dataclass(frozen=True)
 class Part:
@@ -239,9 +248,11 @@ class KeyedTable:
         wanted = F.count(F.lit(1)) * _BITS_PER_KEY
         bits = F.coalesce(*[F.when(wanted <= n, n) for n in _TABLE_BITS], F.lit(_TABLE_BITS[-1]))
         files = keys.groupBy(self.bucket_column, "file").agg(bits.cast("long").alias("bits"))
-        placed = keys.join(files, [self.bucket_column, "file"]).withColumn("bit", self._bit(F.col("bits")))
+        # A row per file: the keys stay where they are read.
+        placed = keys.join(F.broadcast(files), [self.bucket_column, "file"]).withColumn("bit", self._bit(F.col("bits")))
+        # The keys are sorted by these columns: the one that tells most of them apart stands first.
         tables = placed.groupBy(
-            self.bucket_column, "file", "bits", F.bitmap_bucket_number("bit").alias("chunk")
+            F.bitmap_bucket_number("bit").alias("chunk"), "bits", self.bucket_column, "file"
         ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("keys"))
         self._write(tables, _INDEX, version)
 
@@ -300,10 +311,82 @@ class KeyedTable:
         ``newest_first`` names the version columns when ``changes`` may repeat a key.
         """
         if newest_first:
+            if self._upsert_and_fold(changes, newest_first):
+                return
             changes = latest_version(changes, [self.key], newest_first)
         with staged(changes, "changes") as incoming:
             self.upsert_stored(incoming)
 
+    def _dealt(self, df: DataFrame, total: int) -> DataFrame:
+        """Rows of a bucket in shares by key, each whole in one task, of about ``_SHARE_ROWS``."""
+        shares = math.ceil(total / self.buckets / _SHARE_ROWS)
+        share = F.pmod(F.xxhash64(self.key, F.lit(2)), F.lit(max(shares, 1))).cast("int")
+        return df.withColumn(_SHARE, share).repartition(self.bucket_column, _SHARE)
+
+    def _aged(self, stored: DataFrame, parts: Sequence[Part]) -> DataFrame:
+        """A small number in place of the version: the later, the greater."""
+        versions = F.array(*[F.lit(v) for v in sorted({p.version for p in parts})])
+        age = F.array_position(versions, F.col(VERSION_COLUMN)).cast("int")
+        return stored.withColumn(_AGE, age).drop(VERSION_COLUMN)
+
+    def _newest(self, dealt: DataFrame) -> DataFrame:
+        """Of each key the rows of its last version, which an upsert or a fold left as the valid ones."""
+        window = Window.partitionBy(self.bucket_column, _SHARE, self.key).orderBy(F.desc(_AGE))
+        return dealt.withColumn(_RANK, F.rank().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
+
+    def _write_dealt(self, df: DataFrame, version: str) -> None:
+        ordered = df.drop(_AGE, _SHARE).sortWithinPartitions(self.bucket_column, *self.cluster_by)
+        ordered.write.partitionBy(self.bucket_column).parquet(self._folder(_ROWS, version))
+
+    def _upsert_and_fold(self, changes: DataFrame, newest_first: Sequence[str]) -> bool:
+        """Upsert into buckets that are empty or that the load makes due for folding, by one shuffle of
+        arriving and stored rows. False if there are others, or if few keys have very many of the rows, which
+        one task would get: then nothing was done."""
+        b = self.bucket_column
+        incoming = self._bucketed(changes)
+        fine = F.pmod(F.xxhash64(self.key, F.lit(2)), F.lit(_FINE)).alias("fine")
+        missing = F.count_if(F.col(self.key).isNull()).alias("missing")
+        counted = incoming.groupBy(b, fine).agg(F.count(F.lit(1)).alias("n"), missing)
+        # One row per bucket reaches the driver.
+        sizes = counted.groupBy(b).agg(F.sum("n"), F.max("n"), F.sum("missing")).collect()
+        if any(r[3] for r in sizes):
+            raise ValueError(f"rows without {self.key} cannot be upserted")
+        if not sizes:
+            return True
+        if any(r[2] > 4 * r[1] / _FINE + _SHARE_ROWS for r in sizes):
+            return False
+        number, parts = self._parts()
+        version = _new_version()
+        arriving = [Part(r[0], version, r[1], 0, False) for r in sizes]
+        asked = {p.bucket for p in arriving}
+        held = [p for p in parts if p.dropped_at is None and p.bucket in asked]
+        own: dict[int, list[Part]] = defaultdict(list)
+        for part in held:
+            own[part.bucket].append(part)
+        if not all(self._large(own[new.bucket], new.rows) for new in arriving):
+            return False
+        rows = incoming.withColumn(_AGE, F.lit(len(held) + 1))
+        if held:
+            stored = self._aged(self._of_parts(_ROWS, held, self.schema), held)
+            if dict(stored.dtypes) != dict(rows.dtypes):
+                return False
+            rows = rows.unionByName(stored)
+        dealt = self._dealt(rows, sum(p.rows for p in [*held, *arriving]))
+        others = [c for c in changes.columns if c != self.key and c not in newest_first]
+        order = [F.desc_nulls_last(c) for c in (*newest_first, *others)]
+        window = Window.partitionBy(b, _SHARE, self.key).orderBy(F.desc(_AGE), *order)
+        ranked = self._newest(dealt).withColumn(_RANK, F.row_number().over(window))
+        kept = ranked.where((F.col(_RANK) == 1) | (F.col(_AGE) <= len(held))).drop(_RANK)
+        self._write_dealt(kept.select(*changes.columns, b), version)
+        written = _counts(self._open(_ROWS, [self._folder(_ROWS, version)], self.schema), b)
+        indexed = sum(written.values()) >= self.index_rows
+        if indexed:
+            self._write_index(version)
+        now = time.time()
+        dropped = [replace(p, dropped_at=now) if p in set(held) else p for p in parts]
+        self._commit(number + 1, [*dropped, *[Part(k, version, n, 0, indexed) for k, n in written.items()]])
+        return True
+
     def upsert_stored(
         self,
         changes: DataFrame,
@@ -384,6 +467,14 @@ class KeyedTable:
                 due[bucket] = deltas
         return due
 
+    def _large(self, held: Sequence[Part], arriving: int) -> bool:
+        """Whether so many rows, beside the deltas, pass the share of the bucket's base."""
+        if not held:
+            return True
+        base = max(p.rows for p in held)
+        moved = sum(p.rows + p.gone for p in held) - base + arriving
+        return moved >= self.fold_rows and moved > self.fold_share * base
+
     def fold(self) -> int:
         """Fold the buckets that are due, and no others; returns their number."""
         return self._fold_due(*self._parts())
@@ -409,12 +500,17 @@ class KeyedTable:
         version = _new_version()
         live_here = [p for p in parts if p.dropped_at is None and p.bucket in due]
         stored = self._of_parts(_ROWS, merged, self.schema)
-        self._write(self._current(stored, live_here).drop(VERSION_COLUMN), _ROWS, version)
+        stays = {p.bucket for p in set(live_here) - set(merged)}
+        if stays:
+            self._write(self._current(stored, live_here).drop(VERSION_COLUMN), _ROWS, version)
+        else:
+            # Nothing but the folded parts replaces their rows, so a key's last version is the valid one.
+            dealt = self._dealt(self._aged(stored, merged), sum(p.rows for p in merged))
+            self._write_dealt(self._newest(dealt), version)
         # What a folded delta replaces in a part that stays must remain known.
         kept_gone: dict[int, int] = {}
-        gone = self._gone_of(merged)
-        stays = {p.bucket for p in live_here} & {p.bucket for p in set(live_here) - set(merged)}
-        if gone is not None and stays:
+        gone = self._gone_of(merged) if stays else None
+        if gone is not None:
             pairs = [(p.bucket, p.version) for p in merged]
             folded = self.spark.createDataFrame(pairs, f"{self.bucket_column} int, {_SUPERSEDED} string")
             left = gone.join(folded, [self.bucket_column, _SUPERSEDED], "left_anti").drop(VERSION_COLUMN)

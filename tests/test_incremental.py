@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from terrace.operators.incremental import changes_since, merge_frames, watermark
+from terrace.operators import keyed_table
 from terrace.operators.keyed_table import KeyedTable
 from terrace.staging import new_folder, staged, work_base
 from tests.helpers import executed_plan, plan, rows
@@ -202,6 +203,43 @@ def test_deltas_fold_when_they_pass_their_share_or_number(spark, tmp_path):
     assert parts[:2] == [2, 3] and max(parts) <= 4 and 1 in parts or 2 in parts[2:]
 
 
+def test_a_large_load_is_folded_as_it_is_written(spark, tmp_path):
+    """One commit a load, nothing marked as replaced, one part a bucket."""
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 2, fold_rows=1)
+    table.upsert(frame(spark, *[(f"k{i}", t, "x") for i in range(20) for t in (1, 2)]), ["t"])
+    load = [(f"k{i}", t, v) for i in range(10, 30) for t, v in ((5, "a"), (5, "b"), (None, "z"))]
+    want = [(f"k{i}", 2, "x") for i in range(10)] + [(f"k{i}", 5, "b") for i in range(10, 30)]
+    for number in (2, 3):
+        table.upsert(frame(spark, *load), ["t"])
+        assert rows(table.read()) == sorted(want) and "Join" not in executed_plan(table.read())
+        assert table.commit_number() == number and len(table._live()) == 2
+        assert not Path(table.path, "gone").exists()
+
+
+def test_a_load_of_few_keys_and_a_small_one_are_not_folded_as_written(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed_table, "_SHARE_ROWS", 8)
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 2, fold_rows=1)
+    table.upsert(frame(spark, *[(f"k{i}", 1, "x") for i in range(200)]), ["t"])
+    hot = frame(spark, *[("k7", t, "hot") for t in range(300)])
+    assert not table._upsert_and_fold(hot, ["t"])
+    table.upsert(hot, ["t"])
+    assert not table._upsert_and_fold(frame(spark, ("k8", 2, "y"), ("new", 2, "y")), ["t"])
+    table.upsert(frame(spark, ("k8", 2, "y"), ("new", 2, "y")), ["t"])
+    changed = {"k7": (299, "hot"), "k8": (2, "y"), "new": (2, "y")}
+    want = {f"k{i}": (1, "x") for i in range(200)} | changed
+    assert rows(table.read()) == sorted((k, *v) for k, v in want.items())
+
+
+def test_random_loads_folded_as_written_or_not(spark, tmp_path):
+    rng, model = random.Random(11), {}
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 2, max_deltas=1, fold_rows=1, keep_seconds=0)
+    for n in range(7):
+        load = [(f"k{rng.randrange(30)}", rng.randrange(9), "v") for _ in range(rng.choice([1, 3, 40]))]
+        table.upsert(frame(spark, *load), ["t"])
+        model |= {k: t for k, t, _ in sorted(load)}
+        assert rows(table.read()) == sorted((k, t, "v") for k, t in model.items())
+
+
 def test_folders_leave_only_after_their_time(spark, tmp_path):
     for keep, left in ((3600, 3), (0, 1)):
         table = KeyedTable(spark, str(tmp_path / str(keep)), "k", 1, fold_share=9, keep_seconds=keep)
