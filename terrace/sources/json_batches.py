@@ -19,6 +19,8 @@ SOURCE_DAY_COLUMN = "_source_day"
 SOURCE_PATH_COLUMN = "_source_path"
 # Daily master extracts carry their day in the path: <name>_YYYYMMDD
 SOURCE_DAY_PATTERN = r"_(\d{8})(?=[/.])"
+# What may stand between a separator and the end of its line.
+_BLANKS = " \t\n\x0b\f\r\x85\u2028\u2029"
 
 
 def with_corrupt_column(schema: T.StructType) -> T.StructType:
@@ -54,22 +56,31 @@ def array_files(spark: SparkSession, path: str | list[str]) -> list[str]:
 
 def _from_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """Records of lines that each hold a record or an array of records. A separator after a
-    record belongs to the array around it."""
+    record belongs to the array around it.
+
+    Every line is read and parsed once: no condition on a record's fields passes the generator, where
+    it would be one on the text and parse it again for each field."""
     full = with_corrupt_column(schema)
     options = {"columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    fields = [F.col("r")[c].alias(c) for c in full.names]
-    single = lines.where(~_is_array(F.col("value"))).select(
-        F.from_json(F.regexp_replace("value", r",\s*$", ""), full, options).alias("r"), SOURCE_PATH_COLUMN
-    )
-    arrays = lines.where(_is_array(F.col("value"))).select(
-        F.from_json("value", T.ArrayType(schema)).alias("items"), "value", SOURCE_PATH_COLUMN
+    # The pattern tries every comma of a line, so only lines that end with one meet it.
+    separated = F.rtrim("value", F.lit(_BLANKS)).endswith(",")
+    record = F.from_json(
+        F.when(separated, F.regexp_replace("value", r",\s*$", "")).otherwise(F.col("value")), full, options
     )
-    bad = F.when(F.col("items").isNull(), F.col("value")).alias(CORRUPT_COLUMN)
-    each = arrays.select(F.explode_outer(F.coalesce("items", F.array(F.lit(None).cast(schema)))).alias("r"), bad, SOURCE_PATH_COLUMN, "items")
-    held = each.where("items is null or r is not null").select(
-        *[F.col("r")[c].alias(c) for c in schema.names], CORRUPT_COLUMN, SOURCE_PATH_COLUMN
+    array = _is_array(F.col("value"))
+    parsed = lines.select(
+        F.when(~array, record).alias("one"),
+        F.when(array, F.from_json("value", T.ArrayType(schema))).alias("items"),
+        array.alias("array"), "value", SOURCE_PATH_COLUMN,
+    )
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    unparsed = F.array(F.struct(*missing, F.col("value").alias(CORRUPT_COLUMN)))
+    held = F.transform(
+        F.filter("items", lambda r: r.isNotNull()),
+        lambda r: F.struct(*[r[c].alias(c) for c in schema.names], F.lit(None).cast("string").alias(CORRUPT_COLUMN)),
     )
-    return single.select(*fields, SOURCE_PATH_COLUMN).unionByName(held)
+    records = F.when(~F.col("array"), F.array("one")).when(F.col("items").isNull(), unparsed).otherwise(held)
+    return parsed.select(F.inline(records), SOURCE_PATH_COLUMN).select(*full.names, SOURCE_PATH_COLUMN)
 
 
 def _from_arrays(spark: SparkSession, files: list[str], schema: T.StructType) -> DataFrame:

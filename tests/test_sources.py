@@ -21,7 +21,7 @@ from terrace.sources.json_batches import (
     with_source_day,
 )
 from terrace.sources.versioned import is_published, publish, read_current, versions
-from tests.helpers import event, rows, telemetry, vehicle, vehicles, write_array, write_text
+from tests.helpers import event, plan, rows, telemetry, vehicle, vehicles, write_array, write_text
 
 
 def read(spark, path, **options):
@@ -45,6 +45,26 @@ def test_arrays_lines_and_empty_files(spark, tmp_path):
     assert bad.count() == 0
 
 
+def test_lines_are_read_and_parsed_once(spark, tmp_path):
+    """Whatever is asked of a record's fields: no condition on them parses the text again."""
+    write_text(tmp_path / "b" / "lines.json", "\n".join(json.dumps(vehicle(v)) for v in ("V-1", "V-2")))
+    found = read_json_batches(spark, str(tmp_path / "b"), VEHICLES.bronze_schema)
+    asked = found.where("_corrupt_record is not null or (vehicle_id = 'V-2' and status is not null)")
+    physical = plan(asked).partition("== Physical Plan ==")[2]
+    assert physical.count("FileScan text") == 1
+    assert not [line for line in physical.splitlines() if "Filter" in line and "from_json" in line]
+    assert rows(asked.select("vehicle_id")) == [("V-2",)]
+
+
+def test_forms_and_separators_of_lines_in_one_file(spark, tmp_path):
+    one, two, three = (json.dumps(vehicle(v)) for v in ("V-1", "V-2", "V-3"))
+    texts = [one + ",", two + ", \t", f"[{three}, null]", "[]", "[oops", '{"vehicle_id": ', "null", one + ",,"]
+    write_text(tmp_path / "b" / "mixed.json", "\n".join(texts))
+    good, bad = read(spark, tmp_path / "b")
+    assert rows(good.where("vehicle_id is not null").select("vehicle_id")) == [("V-1",), ("V-1",), ("V-2",), ("V-3",)]
+    assert sorted(r[0] for r in bad.select("_corrupt_record").collect()) == ["[oops", "null", '{"vehicle_id": ']
+
+
 def test_only_an_empty_array(spark, tmp_path):
     write_text(tmp_path / "b" / "none.json", "[]")
     good, bad = read(spark, tmp_path / "b")
