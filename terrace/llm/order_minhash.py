@@ -8,11 +8,13 @@ same words stand in another order. Texts that share a sketch are candidates.
 
 A group of candidates is first compared with its least member, which settles large groups of
 copies in one pass. Of the other members, all pairs that are not in one component by then are
-compared: in small groups as rows of pairs, in larger ones block against block, where a pair
-whose words alone differ too much needs no alignment. Candidates are verified by a banded
-alignment of their whole word sequences: similarity is one minus the edit distance, in words,
-over the longer length. Classes are the components of verified pairs. Texts with equal words
-are one class from the start and are sketched into groups once.
+compared: in small groups as rows of pairs, in larger ones block against block. A pair whose
+words alone differ too much needs no alignment; that is told by the texts' bags, counts of words
+by hash that are much smaller than the words, and only texts that then still have a partner send
+their words. Candidates are verified by a banded alignment of their whole word sequences:
+similarity is one minus the edit distance, in words, over the longer length. Classes are the
+components of verified pairs. Texts with equal words are one class from the start and are sketched
+into groups once.
 
 Pairs of which one text has fewer than 60 words are candidates for certain: they share one of
 their rarest words, by a fixed order of words, among as many as may be edited and one more.
@@ -59,6 +61,8 @@ SHORT = 60
 SAMPLE_TEXTS = 10_000
 # Numbers that stand for a text's words when pairs of a block are sifted.
 BUCKETS = 256
+# Numbers of a text's bag, of four bits each, by which pairs are sifted before words move.
+BAG = 128
 
 _RANDOM = np.random.default_rng(20240131)
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -190,6 +194,30 @@ def sketch_texts(texts: Sequence[str | None], k: int, sketches: int) -> tuple[li
     return digests, words, keys
 
 
+def bag(words: np.ndarray) -> bytes:
+    """How many words have each hash modulo ``BAG``, 15 at most, two to a byte."""
+    counts = np.minimum(np.bincount(words % BAG, minlength=BAG), 15).astype(np.uint8)
+    return (counts[::2] | counts[1::2] << 4).tobytes()
+
+
+def unpacked(bags: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """A row of counts per bag."""
+    packed = np.frombuffer(b"".join(bags.to_pylist()), np.uint8).reshape(len(bags), BAG // 2)
+    return np.stack([packed & 15, packed >> 4], axis=2).reshape(len(bags), BAG).astype(np.int8)
+
+
+def may_be_similar(
+    left: np.ndarray, right: np.ndarray, sizes: np.ndarray, other_sizes: np.ndarray, threshold: float
+) -> np.ndarray:
+    """Whether sizes in words and bags allow pairs to be similar. One edit takes one word at most
+    from a text and adds one at most, and counts that stop at 15 only differ less."""
+    limit = ((1 - threshold) * np.maximum(sizes, other_sizes) + 1e-9).astype(np.int64)
+    differ = left - right
+    fewer = np.maximum(differ, 0).sum(axis=-1, dtype=np.int64)
+    more = fewer - differ.sum(axis=-1, dtype=np.int64)
+    return (np.abs(sizes - other_sizes) <= limit) & (fewer <= limit) & (more <= limit)
+
+
 def edit_distance_within(left: Sequence[int], right: Sequence[int], limit: int) -> int | None:
     """The edit distance if it is at most ``limit``, by alignment within a band of that many
     diagonals either side; the differences down the band are held in the bits of integers
@@ -299,10 +327,10 @@ def _word_ranks(rows: DataFrame, threshold: float) -> dict[int, int]:
 
 
 def _sketched(rows: DataFrame, k: int, sketches: int, threshold: float) -> DataFrame:
-    """Adds digest, words and keys; drops the text."""
+    """Adds digest, words, their number, bag and keys; drops the text."""
     ranks, long = _word_ranks(rows, threshold), 4 * shortest_long(threshold)
     fields = [f for f in rows.schema if f.name != "text"]
-    added = "digest binary, words binary, keys array<bigint>"
+    added = "digest binary, words binary, size int, bag binary, keys array<bigint>"
     schema = T.StructType([*fields, *T._parse_datatype_string(added)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,9 +342,12 @@ def _sketched(rows: DataFrame, k: int, sketches: int, threshold: float) -> DataF
                     if data is not None and len(data) < long:
                         rare = rare_word_keys(np.frombuffer(data, np.uint32), ranks, threshold)
                         keys[i] = np.concatenate([keys[i], np.array(rare, np.int64)])
+                sizes = [None if data is None else len(data) // 4 for data in words]
+                bags = [None if data is None else bag(np.frombuffer(data, np.uint32)) for data in words]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(f.name) for f in fields), pa.array(digests, pa.binary()),
-                     pa.array(words, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                     pa.array(words, pa.binary()), pa.array(sizes, pa.int32()), pa.array(bags, pa.binary()),
+                     pa.array(keys, pa.list_(pa.int64()))],
                     names=schema.fieldNames(),
                 )
 
@@ -325,43 +356,91 @@ def _sketched(rows: DataFrame, k: int, sketches: int, threshold: float) -> DataF
 
 def _groups(texts: DataFrame) -> DataFrame:
     """(key, uid, centre, members): the texts of every key that several have, with the least of them."""
-    keys = texts.select("uid", F.explode("keys").alias("key"))
+    # Dealt by key once, for the counts and for the rows that they are joined to.
+    keys = texts.select("uid", F.explode("keys").alias("key")).repartition("key")
     shared = keys.groupBy("key").agg(F.min("uid").alias("centre"), F.count(F.lit(1)).alias("members"))
     return keys.join(shared.where("members > 1"), "key")
 
 
 def _open(groups: DataFrame, roots: DataFrame, words: DataFrame) -> DataFrame:
-    """(key, uid, root, size, n, bytes) of the groups whose members, without the centre, are not
+    """(key, uid, root, size, n, words) of the groups whose members, without the centre, are not
     all in one component yet."""
     rest = groups.where("members > 2 AND uid <> centre").select("key", "uid")
-    sizes = words.select("uid", F.octet_length("words").alias("size"))
-    known = sizes.join(roots.withColumnRenamed("node", "uid"), "uid", "left")
+    known = words.select("uid", "size").join(roots.withColumnRenamed("node", "uid"), "uid", "left")
     met = rest.join(known.withColumn("root", F.coalesce("root", "uid")), "uid")
     apart = met.groupBy("key").agg(
         F.min("root").alias("one"), F.max("root").alias("other"), F.count(F.lit(1)).alias("n"),
-        F.sum("size").alias("bytes"),
+        F.sum("size").alias("words"),
     )
     return met.join(apart.where("one <> other").drop("one", "other"), "key")
 
 
+def _sift(pairs: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) of the pairs (a, b, size, bag, size_b, bag_b) that may be similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, others = (batch.column(c).to_numpy().astype(np.int64) for c in ("size", "size_b"))
+            left, right = (unpacked(batch.column(c)) for c in ("bag", "bag_b"))
+            may = may_be_similar(left, right, sizes, others, threshold)
+            yield batch.select(["a", "b"]).filter(pa.array(may, pa.bool_()))
+
+    return pairs.mapInArrow(run, "a long, b long")
+
+
+def _sifted(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose sizes and bags allow them to be similar."""
+    left = words.select(F.col("uid").alias("a"), "size", "bag")
+    right = words.select(F.col("uid").alias("b"), F.col("size").alias("size_b"), F.col("bag").alias("bag_b"))
+    return _sift(pairs.join(right, "b").join(left, "a"), threshold)
+
+
 def _pairs_apart(members: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): all pairs of a group that are in two components and near enough in length."""
-    right = members.select("key", F.col("uid").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"))
+    """(a, b): all pairs of a group that are in two components and may be similar."""
+    right = members.select(
+        "key", F.col("uid").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"),
+        F.col("bag").alias("bag_b"),
+    )
     longer, shorter = F.greatest("size", "size_b"), F.least("size", "size_b")
     near = longer - shorter <= longer * (1 - threshold) + 1e-6
     met = members.join(right, "key").where((F.col("uid") < F.col("b")) & (F.col("root") != F.col("root_b")) & near)
-    return met.select(F.col("uid").alias("a"), "b").distinct()
+    return _sift(met.withColumnRenamed("uid", "a"), threshold).distinct()
 
 
 def _in_blocks(members: DataFrame) -> DataFrame:
-    """(key, i, j, block, uid, root): every member once for each pair of blocks that its own is in."""
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES))
+    """(key, i, j, block, uid, root, size, bag): every member once for each pair of blocks that its
+    own is in."""
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(4 * F.col("words") / BLOCK_BYTES))
     own = F.pmod(F.xxhash64("uid"), blocks).cast("int")
-    dealt = members.select("key", "uid", "root", own.alias("block"), blocks.cast("int").alias("blocks"))
+    dealt = members.select(
+        "key", "uid", "root", "size", "bag", own.alias("block"), blocks.cast("int").alias("blocks")
+    )
     every = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return every.select(
-        "key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "uid", "root"
-    )
+        "key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "uid", "root",
+        "size", "bag",
+    )
+
+
+def _with_partner(threshold: float):
+    """The rows of one block with another, or with itself, that may be similar to one of another
+    component."""
+
+    def run(table: pa.Table) -> pa.Table:
+        i, j = (table.column(c)[0].as_py() for c in ("i", "j"))
+        block, root = table.column("block").to_numpy(), table.column("root").to_numpy()
+        sizes, bags = table.column("size").to_numpy().astype(np.int64), unpacked(table.column("bag"))
+        kept = np.zeros(len(sizes), bool)
+        for x in range(len(sizes)):
+            others = x + 1 + np.flatnonzero(root[x + 1 :] != root[x])
+            if i != j:
+                others = others[block[others] != block[x]]
+            others = others[may_be_similar(bags[others], bags[x], sizes[others], sizes[x], threshold)]
+            kept[others] = True
+            kept[x] |= len(others) > 0
+        return table.select(["key", "i", "j", "block", "uid", "root"]).filter(pa.array(kept, pa.bool_()))
+
+    return run
 
 
 def _block_links(threshold: float, sketches: int):
@@ -408,22 +487,32 @@ def _block_links(threshold: float, sketches: int):
 def _similar_pairs(
     texts: DataFrame, words: DataFrame, scratch: Scratch, sketches: int, threshold: float, n: int
 ) -> DataFrame:
-    """(a, b): similar pairs of ``texts`` (uid, keys), whose ``words`` (uid, words, keys) has among
-    others. Their components are those of all similar pairs that share a key."""
+    """(a, b): similar pairs of ``texts`` (uid, keys), whose ``words`` (uid, words, size, bag, keys) has
+    among others. Their components are those of all similar pairs that share a key."""
     groups = scratch.keep(_groups(texts), "groups")
     pairs = groups.where("uid <> centre").select(F.col("centre").alias("a"), F.col("uid").alias("b")).distinct()
-    pairs = scratch.keep(pairs, "candidates", n)
-    found = scratch.keep(_verified(pairs, words, threshold), "similar")
+    pairs = scratch.keep(_sifted(scratch.keep(pairs, "pairs", n), words, threshold), "candidates", n)
+    found = scratch.keep(_verified(pairs, _of(pairs, words, scratch, n), threshold), "similar")
     rest = scratch.keep(_open(groups, components(found, scratch), words), "open-groups")
     if rest.isEmpty():
         return found
-    small = scratch.keep(_pairs_apart(rest.where(F.col("n") <= SMALL), threshold), "candidates")
-    more = scratch.keep(_verified(small, words, threshold), "similar")
-    large = _in_blocks(rest.where(F.col("n") > SMALL)).join(words.select("uid", "words", "keys"), "uid")
+    rest = rest.join(words.select("uid", "bag"), "uid")
+    small = scratch.keep(_pairs_apart(rest.where(F.col("n") <= SMALL), threshold), "candidates", n)
+    more = scratch.keep(_verified(small, _of(small, words, scratch, n), threshold), "similar")
+    large = _in_blocks(rest.where(F.col("n") > SMALL)).groupBy("key", "i", "j")
+    large = large.applyInArrow(_with_partner(threshold), "key long, i int, j int, block int, uid long, root long")
+    large = scratch.keep(large, "blocks", n).join(words.select("uid", "words", "keys"), "uid")
     linked = large.groupBy("key", "i", "j").applyInArrow(_block_links(threshold, sketches), "a long, b long")
     return found.unionByName(more).unionByName(scratch.keep(linked, "similar"))
 
 
+def _of(pairs: DataFrame, words: DataFrame, scratch: Scratch, n: int) -> DataFrame:
+    """(uid, words) of the texts in ``pairs``. Their ids are written first, so that Spark knows how
+    few they are before it moves words."""
+    ids = pairs.select(F.col("a").alias("uid")).union(pairs.select("b")).distinct()
+    return words.select("uid", "words").join(scratch.keep(ids, "ids", n), "uid", "left_semi")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     left = texts.select(F.col("uid").alias("a"), F.col("words").alias("left"))
     right = texts.select(F.col("uid").alias("b"), F.col("words").alias("right"))
@@ -449,7 +538,8 @@ def _classes(
     n = done.count()
     words = done.where("digest IS NOT NULL")
     one = scratch.keep(words.groupBy("digest").agg(F.min("uid").alias("rep")), "distinct", n)
-    reps = words.select("uid", "keys").join(one.select(F.col("rep").alias("uid")), "uid", "left_semi")
+    copies = words.select("uid", "digest").join(one, "digest").where("uid <> rep").select("uid")
+    reps = words.select("uid", "keys").join(scratch.keep(copies, "copies", n), "uid", "left_anti")
     edges = _similar_pairs(reps, words, scratch, sketches, threshold, n)
     roots = components(edges, scratch).withColumnRenamed("node", "rep")
     of_digest = one.join(roots, "rep", "left").select("digest", F.coalesce("root", "rep").alias("root"))
@@ -465,7 +555,7 @@ def _classes(
         "uid", "doc_id", F.col("first.doc_id").alias("class_id"), "class_size",
         (F.col("first.uid") == F.col("uid")).alias("kept"),
     )
-    return done.drop("digest", "words", "keys", "doc_id"), met, n
+    return done.drop("digest", "words", "size", "bag", "keys", "doc_id"), met, n
 
 
 def near_classes(

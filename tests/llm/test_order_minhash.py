@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -40,6 +41,17 @@ def test_similarity_test_matches_full_alignment(a, edits):
     assert omh.similar(np.array(a, np.uint32), np.array(b, np.uint32), 0.8) == want
 
 
+@settings(max_examples=500, deadline=None)
+@given(sequences, st.lists(st.tuples(st.integers(0, 39), st.integers(0, 400), st.integers(0, 2)), max_size=9))
+def test_bags_let_all_similar_pairs_pass(a, edits):
+    b = list(a)
+    for place, word, kind in edits:
+        b[place : place + (kind > 0)] = [word] if kind < 2 else []
+    left, right = (omh.unpacked(pa.array([omh.bag(np.array(x, np.uint32))])) for x in (a, b))
+    may = omh.may_be_similar(left, right, np.array([len(a)]), np.array([len(b)]), 0.8)
+    assert may[0] or distance(a, b) > omh.allowed_edits(max(len(a), len(b)), 0.8)
+
+
 def words(rng, n):
     return ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
 
@@ -186,6 +198,46 @@ def test_short_texts_match_brute_force(spark):
     assert all(got[i] == want[i] for i in range(len(rows)))
 
 
+def test_unlike_candidates_send_no_words(spark, monkeypatch):
+    """Each two texts have a third of their words in common, rare ones among them."""
+    rng = random.Random(9)
+    rows = []
+    for _ in range(40):
+        both = words(rng, 10)
+        rows += [both + words(rng, 20), both + words(rng, 20)]
+    rows += [rows[0][:29], rows[5][1:]]
+    rows = [(i, " ".join(r)) for i, r in enumerate(rows)]
+    sent, verified = [], omh._verified
+
+    def count(pairs, texts, threshold):
+        sent.append((pairs.count(), texts.count()))
+        return verified(pairs, texts, threshold)
+
+    monkeypatch.setattr(omh, "_verified", count)
+    got = classes(docs(spark, rows).repartition(3))
+    assert {i: c for i, c in got.items() if c != i} == {80: 0, 81: 5}
+    assert max(pairs for pairs, _ in sent) == 2 and max(texts for _, texts in sent) == 4
+
+
+def test_members_of_large_groups_without_partner_send_no_words(spark, monkeypatch):
+    """Sixty texts share a passage and little else; two are alike."""
+    rng = random.Random(10)
+    template, own = words(rng, 100), words(rng, 100)
+    rows = [template + words(rng, 100) for _ in range(60)] + [template + own, template + edited(rng, own, 0.1)]
+    members, keep = set(), omh.Scratch.keep
+
+    def count(self, df, label, rows=None):
+        out = keep(self, df, label, rows)
+        if label == "blocks":
+            members.update(r.uid for r in out.select("uid").distinct().collect())
+        return out
+
+    monkeypatch.setattr(omh.Scratch, "keep", count)
+    got = classes(docs(spark, [(i, " ".join(r)) for i, r in enumerate(rows)]).repartition(3))
+    assert got[61] == 60 and len(set(got.values())) == 61
+    assert 2 <= len(members) < 10
+
+
 ODD = [
     (1, None), (2, ""), (3, " \n"), (4, "!!!"), (5, "!!! "), (6, "One two, three."), (7, "one TWO three"),
     (8, "a"), (9, "a " * 30_000), (10, "a " * 30_000 + "b"), (11, "same text here again now"),
