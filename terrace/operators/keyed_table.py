@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.operators.dedup import latest_version
+from terrace.session import TABLE_CODEC
 from terrace.sources.paths import children, delete, exists
 from terrace.sources.versioned import is_published, publish, read_current
 from terrace.staging import staged
@@ -302,6 +303,7 @@ class KeyedTable:
             df.hint("rebalance", self.bucket_column)
             .sortWithinPartitions(self.bucket_column, *order)
             .write.partitionBy(self.bucket_column)
+            .option("compression", TABLE_CODEC)
             .parquet(self._folder(kind, version))
         )
 
@@ -334,9 +336,14 @@ class KeyedTable:
         window = Window.partitionBy(self.bucket_column, _SHARE, self.key).orderBy(F.desc(_AGE))
         return dealt.withColumn(_RANK, F.rank().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
 
+    def _counted(self, version: str) -> dict[int, int]:
+        """Rows of a written version by bucket."""
+        return _counts(self._open(_ROWS, [self._folder(_ROWS, version)], self.schema), self.bucket_column)
+
     def _write_dealt(self, df: DataFrame, version: str) -> None:
         ordered = df.drop(_AGE, _SHARE).sortWithinPartitions(self.bucket_column, *self.cluster_by)
-        ordered.write.partitionBy(self.bucket_column).parquet(self._folder(_ROWS, version))
+        writer = ordered.write.partitionBy(self.bucket_column).option("compression", TABLE_CODEC)
+        writer.parquet(self._folder(_ROWS, version))
 
     def _upsert_and_fold(self, changes: DataFrame, newest_first: Sequence[str]) -> bool:
         """Upsert into buckets that are empty or that the load makes due for folding, by one shuffle of
@@ -360,9 +367,7 @@ class KeyedTable:
         arriving = [Part(r[0], version, r[1], 0, False) for r in sizes]
         asked = {p.bucket for p in arriving}
         held = [p for p in parts if p.dropped_at is None and p.bucket in asked]
-        own: dict[int, list[Part]] = defaultdict(list)
-        for part in held:
-            own[part.bucket].append(part)
+        own = _by_bucket(held)
         if not all(self._large(own[new.bucket], new.rows) for new in arriving):
             return False
         rows = incoming.withColumn(_AGE, F.lit(len(held) + 1))
@@ -378,7 +383,7 @@ class KeyedTable:
         ranked = self._newest(dealt).withColumn(_RANK, F.row_number().over(window))
         kept = ranked.where((F.col(_RANK) == 1) | (F.col(_AGE) <= len(held))).drop(_RANK)
         self._write_dealt(kept.select(*changes.columns, b), version)
-        written = _counts(self._open(_ROWS, [self._folder(_ROWS, version)], self.schema), b)
+        written = self._counted(version)
         indexed = sum(written.values()) >= self.index_rows
         if indexed:
             self._write_index(version)
@@ -417,15 +422,44 @@ class KeyedTable:
         replaced, noted = self._write_gone(incoming, live, version, note, carry) if live else ({}, [])
         if before_commit is not None:
             before_commit(noted, number + 1)
-        self._write(incoming, _ROWS, version)
-        indexed = sum(r[1] for r in sizes) >= self.index_rows
+        arriving = [Part(r[0], version, r[1], 0, False) for r in sizes]
+        folded = self._with_stored(incoming, arriving, live)
+        if folded is not None:
+            # What is folded in stands in the place of the stored rows: nothing is marked.
+            self._write_dealt(self._newest(folded), version)
+            written, replaced = self._counted(version), {}
+            dropped = {p for p in live if p.bucket in written}
+        else:
+            self._write(incoming, _ROWS, version)
+            written, dropped = {p.bucket: p.rows for p in arriving}, set()
+        indexed = sum(written.values()) >= self.index_rows
         if indexed:
             self._write_index(version)
-        new = [Part(r[0], version, r[1], replaced.get(r[0], 0), indexed) for r in sizes]
-        self._commit(number + 1, [*parts, *new])
-        after = number + 1 + (1 if self._fold_due(number + 1, [*parts, *new]) else 0)
+        new = [Part(b, version, n, replaced.get(b, 0), indexed) for b, n in written.items()]
+        now = time.time()
+        kept = [replace(p, dropped_at=now) if p in dropped else p for p in parts]
+        self._commit(number + 1, [*kept, *new])
+        after = number + 1 + (1 if self._fold_due(number + 1, [*kept, *new]) else 0)
         return Upserted(noted, version, number, after)
 
+    def _with_stored(
+        self, incoming: DataFrame, arriving: Sequence[Part], live: Sequence[Part]
+    ) -> DataFrame | None:
+        """A large load together with the stored rows of its buckets, dealt for a fold, if it makes
+        all of them due; else None."""
+        asked = {p.bucket for p in arriving}
+        held = [p for p in live if p.bucket in asked]
+        if not held or sum(p.rows for p in arriving) < _SHARE_ROWS:
+            return None
+        own = _by_bucket(held)
+        if not all(self._large(own[new.bucket], new.rows) for new in arriving):
+            return None
+        stored = self._aged(self._of_parts(_ROWS, held, self.schema), held)
+        rows = incoming.withColumn(_AGE, F.lit(len(held) + 1))
+        if dict(stored.dtypes) != dict(rows.dtypes):
+            return None
+        return self._dealt(rows.unionByName(stored), sum(p.rows for p in [*held, *arriving]))
+
     def replaced(self, version: str) -> DataFrame | None:
         """Key and carried columns of the rows that a version replaced; None if there were none."""
         folder = self._folder(_GONE, version)
@@ -517,7 +551,7 @@ class KeyedTable:
             self._write(left, _GONE, version)
             if _has_buckets(self.spark, self._folder(_GONE, version)):
                 kept_gone = _counts(self._open(_GONE, [self._folder(_GONE, version)], None), self.bucket_column)
-        rows = _counts(self._open(_ROWS, [self._folder(_ROWS, version)], self.schema), self.bucket_column)
+        rows = self._counted(version)
         indexed = sum(rows.values()) >= self.index_rows
         if indexed:
             self._write_index(version)
@@ -527,6 +561,13 @@ class KeyedTable:
         self._commit(number + 1, [*dropped, *new])
 
 
+def _by_bucket(parts: Iterable[Part]) -> dict[int, list[Part]]:
+    grouped: dict[int, list[Part]] = defaultdict(list)
+    for part in parts:
+        grouped[part.bucket].append(part)
+    return grouped
+
+
 def _counts(df: DataFrame, column: str) -> dict[int, int]:
     return {r[0]: r[1] for r in df.groupBy(column).agg(F.count(F.lit(1))).collect()}
 

@@ -12,11 +12,20 @@ from pyspark.sql import functions as F
 
 from terrace.functions.columns import within_day
 from terrace.schemas import INGESTION_COLUMN
+from terrace.session import TABLE_CODEC
 from terrace.sources.paths import children, delete
 
 INCREMENT_PARTITION = "ingestion_day"
 SNAPSHOT_PARTITION = "snapshot_date"
 
+# Rows that make a file of a history large enough, on average.
+_FILE_ROWS = 1 << 18
+
+
+def _replace_partitions(df: DataFrame, path: str, partition: str) -> None:
+    writer = df.write.partitionBy(partition).option("partitionOverwriteMode", "dynamic")
+    writer.option("compression", TABLE_CODEC).mode("overwrite").parquet(path)
+
 
 def write_partitioned(df: DataFrame, path: str, partition: str) -> None:
     """Replace the partitions present in ``df`` and leave all others alone.
@@ -24,30 +33,31 @@ def write_partitioned(df: DataFrame, path: str, partition: str) -> None:
     Rebalancing by the partition column cuts a large day into even files and keeps small
     days to one; a day is never forced through one task.
     """
-    (
-        df.hint("rebalance", partition)
-        .write.partitionBy(partition)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(path)
-    )
+    _replace_partitions(df.hint("rebalance", partition), path, partition)
+
 
+def _held(df: DataFrame, partition: str) -> tuple[set, bool]:
+    """(partition values with rows, whether the tasks that read ``df`` would write files that are
+    large enough). Then a shuffle would move all rows and gain nothing."""
+    tasks = df.groupBy(F.spark_partition_id().alias("task"), partition).agg(F.count(F.lit(1)).alias("n"))
+    found = tasks.groupBy(partition).agg(F.sum("n"), F.count(F.lit(1))).collect()
+    rows, files = sum(r[1] for r in found), sum(r[2] for r in found)
+    return {r[0] for r in found}, rows >= files * _FILE_ROWS
 
-def _write_day(df: DataFrame, path: str, partition: str, day: date) -> int:
+
+def _write_day(df: DataFrame, path: str, partition: str, day: date, stored: bool) -> int:
     """Write one day's rows; an empty day has no partition. Returns the day's stored rows."""
     spark, folder = df.sparkSession, f"{path}/{partition}={day.isoformat()}"
-    if df.isEmpty():
+    dated = df.withColumn(partition, F.lit(day.isoformat()))
+    if stored:
+        held, large = _held(dated, partition)
+    else:
+        held, large = not df.isEmpty(), False
+    if not held:
         delete(spark, folder)
         return 0
-    dated = df.withColumn(partition, F.lit(day.isoformat()))
-    (
-        # One partition value only, so the rows are spread evenly instead of by value.
-        dated.hint("rebalance")
-        .write.partitionBy(partition)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(path)
-    )
+    # One partition value only, so the rows are spread evenly instead of by value.
+    _replace_partitions(dated if large else dated.hint("rebalance"), path, partition)
     # Counted from the files' footers.
     return spark.read.schema(df.schema).parquet(folder).count()
 
@@ -58,9 +68,11 @@ def export_increment(
     day: date,
     column: str = INGESTION_COLUMN,
     partition: str = INCREMENT_PARTITION,
+    stored: bool = False,
 ) -> int:
-    """Rows of one day by a half-open time range."""
-    return _write_day(df.where(within_day(df, column, day)), path, partition, day)
+    """Rows of one day by a half-open time range. ``stored`` says that ``df`` reads files, so that
+    its rows are cheap to count: where they lie in large pieces they are not shuffled."""
+    return _write_day(df.where(within_day(df, column, day)), path, partition, day, stored)
 
 
 def refresh_increments(
@@ -80,24 +92,26 @@ def refresh_increments(
     # Ranges, which reach the scan, where a function of the column would not.
     wanted = reduce(or_, [within_day(df, column, day) for day in sorted(days)])
     dated = df.where(wanted).withColumn(partition, F.to_date(column))
-    write_partitioned(dated, path, partition)
-    held = {row[0] for row in dated.select(partition).distinct().collect()}
+    held, large = _held(dated, partition)
+    _replace_partitions(dated if large else dated.hint("rebalance", partition), path, partition)
     for day in set(days) - held:
         delete(spark, f"{path}/{partition}={day.isoformat()}")
 
 
 def export_snapshot(
-    df: DataFrame, path: str, day: date, partition: str = SNAPSHOT_PARTITION
+    df: DataFrame, path: str, day: date, partition: str = SNAPSHOT_PARTITION, stored: bool = False
 ) -> int:
     """The whole table as it stands, stamped with the day."""
-    return _write_day(df, path, partition, day)
+    return _write_day(df, path, partition, day, stored)
 
 
-def export(df: DataFrame, path: str, day: date, column: str = INGESTION_COLUMN) -> int:
+def export(
+    df: DataFrame, path: str, day: date, column: str = INGESTION_COLUMN, stored: bool = False
+) -> int:
     """An increment for tables that know when rows arrived, else a snapshot."""
     if column in df.columns:
-        return export_increment(df, path, day, column)
-    return export_snapshot(df, path, day)
+        return export_increment(df, path, day, column, stored=stored)
+    return export_snapshot(df, path, day, stored=stored)
 
 
 def read_history(

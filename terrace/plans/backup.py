@@ -14,6 +14,7 @@ from terrace.layout import Layout
 from terrace.operators.snapshots import INCREMENT_PARTITION, export, refresh_increments
 from terrace.plans import changes
 from terrace.plans.build import fact_table, gold_readers
+from terrace.session import drops_shuffles
 from terrace.sources.paths import children
 from terrace.together import run_together
 
@@ -37,18 +38,22 @@ class BackupError(RuntimeError):
         self.results = results
 
 
+@drops_shuffles
 def export_tables(
-    spark: SparkSession, tables: dict[str, tuple[Callable[[], DataFrame], str]], day: date
+    spark: SparkSession,
+    tables: dict[str, tuple[Callable[[], DataFrame], str]],
+    day: date,
+    stored: bool = False,
 ) -> list[ExportResult]:
     """Export each table; one that fails does not stop the others, but the call then raises.
 
     ``tables`` maps a name to (open the table, target path). A table without rows for the
-    day is reported as skipped.
+    day is reported as skipped. ``stored`` as for :func:`export_increment`.
     """
 
     def export_one(name: str, open_table: Callable[[], DataFrame], path: str) -> ExportResult:
         try:
-            rows = export(open_table(), path, day)
+            rows = export(open_table(), path, day, stored=stored)
             return ExportResult(name, path, day, rows, "exported" if rows else "skipped")
         except Exception as error:  # noqa: BLE001 - isolated here, raised below
             return ExportResult(name, path, day, 0, "failed", str(error))
@@ -84,6 +89,7 @@ def _sources(
     }
 
 
+@drops_shuffles
 def run_backup(spark: SparkSession, layout: Layout, day: date) -> list[ExportResult]:
     """Facts as increments of ``day``, dimensions as snapshots dated ``day``. Repeating a day
     replaces it. Exported days that runs have changed since are brought in line, so that
@@ -91,7 +97,7 @@ def run_backup(spark: SparkSession, layout: Layout, day: date) -> list[ExportRes
     they change stays in the log."""
     logged = [e for fact in FACTS for e in changes.entries(spark, layout, fact)]
     reached = {fact: fact_table(spark, layout, fact).commit_number() for fact in FACTS}
-    results = export_tables(spark, _sources(spark, layout), day)
+    results = export_tables(spark, _sources(spark, layout), day, stored=True)
     for fact in FACTS:
         own = [e for e in logged if e.fact == fact]
         refresh_history(spark, layout, fact, changes.days_of(spark, own), day)
@@ -105,6 +111,7 @@ def read_changed_days(spark: SparkSession, layout: Layout) -> dict[str, list[dat
     return {fact: days for fact, days in found.items() if days}
 
 
+@drops_shuffles
 def refresh_history(
     spark: SparkSession, layout: Layout, fact: str, days: Collection[date], last_day: date
 ) -> None:

@@ -20,6 +20,7 @@ from terrace.plans import fact_tests, models
 from terrace.plans.masters import build_master as build_master
 from terrace.plans.models import GOLD_TESTS
 from terrace.schemas import DRIVERS, INGESTION_COLUMN, ORDERS, TELEMETRY, VEHICLES
+from terrace.session import drops_shuffles
 from terrace.sources.paths import children, delete, exists
 from terrace.sources.versioned import is_published, publish, read_current, read_version
 from terrace.staging import staged
@@ -68,6 +69,7 @@ def _newest(df: DataFrame) -> datetime | None:
 # --- masters and dimensions -------------------------------------------------------
 
 
+@drops_shuffles
 def build_dimensions(spark: SparkSession, layout: Layout) -> None:
     vehicles = read_current(spark, layout.raw(VEHICLES.name))
     drivers = read_current(spark, layout.raw(DRIVERS.name))
@@ -95,6 +97,7 @@ def fact_table(spark: SparkSession, layout: Layout, name: str) -> KeyedTable:
     )
 
 
+@drops_shuffles
 def build_fact_telemetry(spark: SparkSession, layout: Layout, full: bool = False) -> list[date]:
     """Fold raw telemetry into the fact.
 
@@ -190,6 +193,7 @@ def _released(
             yield late.select(*TELEMETRY.raw_schema.names)
 
 
+@drops_shuffles
 def build_fact_orders(spark: SparkSession, layout: Layout, full: bool = False) -> list[date]:
     """Fold raw orders newer than the fact's watermark into the fact.
 

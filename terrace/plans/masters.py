@@ -21,6 +21,7 @@ from terrace.layout import Layout
 from terrace.operators.dedup import latest_version
 from terrace.plans.silver import clean, with_types
 from terrace.schemas import CORRUPT_COLUMN, Entity
+from terrace.session import drops_shuffles
 from terrace.sources.json_batches import (
     SOURCE_DAY_COLUMN,
     SOURCE_DAY_PATTERN,
@@ -73,6 +74,7 @@ def _parse(
     return typed, bad.select(CORRUPT_COLUMN, SOURCE_DAY_COLUMN)
 
 
+@drops_shuffles
 def build_master(
     spark: SparkSession,
     layout: Layout,

@@ -144,8 +144,14 @@ def with_source_day(df: DataFrame) -> DataFrame:
 
 
 def _land(df: DataFrame, path: str, mode: str, label: str, max_records_per_file: int) -> str:
+    """Rows that pass one file are landed gzipped, which readers tell by the files' names. A file
+    is then read by one task; it holds ``max_records_per_file`` records at most."""
     require_rows(df, label)
-    df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file).json(path)
+    writer = df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+    # A bounded look: each task stops at the limit.
+    if df.limit(max_records_per_file + 1).count() > max_records_per_file:
+        writer = writer.option("compression", "gzip")
+    writer.json(path)
     return path
 
 

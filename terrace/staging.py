@@ -14,6 +14,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from terrace.session import TABLE_CODEC
 from terrace.sources.paths import delete
 
 _local_base: str | None = None
@@ -41,7 +42,7 @@ def staged(df: DataFrame, label: str, partition_by: str | None = None) -> Iterat
     """Write ``df`` once, hand back the written table, and drop it on leaving the block."""
     spark = df.sparkSession
     path = new_folder(spark, label)
-    writer = df.write
+    writer = df.write.option("compression", TABLE_CODEC)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     try:

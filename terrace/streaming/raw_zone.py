@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.schemas import CORRUPT_COLUMN, INGESTION_COLUMN, Entity
+from terrace.session import TABLE_CODEC
 from terrace.sources.paths import children, delete
 from terrace.sources.versioned import is_published, publish, read_current
 
@@ -101,7 +102,8 @@ class RawZone:
 
     def _write(self, rows: DataFrame, name: str) -> None:
         writer = rows.write.partitionBy(QUALITY_COLUMN, DAY_COLUMN).mode("overwrite")
-        writer.option("partitionOverwriteMode", "static").parquet(self._folder(name))
+        writer = writer.option("partitionOverwriteMode", "static").option("compression", TABLE_CODEC)
+        writer.parquet(self._folder(name))
 
     def _measured(self, name: str, stream: str) -> Batch:
         written = self._open([name])

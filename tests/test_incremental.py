@@ -240,6 +240,27 @@ def test_random_loads_folded_as_written_or_not(spark, tmp_path):
         assert rows(table.read()) == sorted((k, t, "v") for k, t in model.items())
 
 
+def test_a_large_stored_load_is_folded_as_it_is_written(spark, tmp_path, monkeypatch):
+    """One commit a load and no marked rows; what it replaced is known all the same."""
+    monkeypatch.setattr(keyed_table, "_SHARE_ROWS", 8)
+    table = KeyedTable(spark, str(tmp_path / "fact"), "k", 2, ["t"], fold_rows=1)
+    rng, model = random.Random(5), {}
+    for number in range(1, 5):
+        load = {f"k{i}": (number, str(rng.randrange(3))) for i in rng.sample(range(60), 50)}
+        lost = {k: model[k] for k in load if k in model}
+        days = spark.createDataFrame([(k, *r) for k, r in load.items()], SCHEMA)
+        days = days.withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), F.col("t")))
+        done = table.upsert_stored(days, note="day", carry=["v"])
+        assert (done.before, done.after, table.commit_number()) == (number - 1, number, number)
+        assert sorted({d.day - 1 for d in done.days}) == sorted({t for t, _ in lost.values()})
+        replaced = table.replaced(done.version)
+        found = [] if replaced is None else rows(replaced.select("k", "v"))
+        assert found == sorted((k, v) for k, (_, v) in lost.items())
+        model |= load
+        assert rows(table.read().drop("day")) == sorted((k, *r) for k, r in model.items())
+        assert "Join" not in executed_plan(table.read()) and len(table._live()) == 2
+
+
 def test_folders_leave_only_after_their_time(spark, tmp_path):
     for keep, left in ((3600, 3), (0, 1)):
         table = KeyedTable(spark, str(tmp_path / str(keep)), "k", 1, fold_share=9, keep_seconds=keep)

@@ -4,11 +4,13 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from terrace.operators import snapshots
 from terrace.operators.snapshots import (
     export,
     export_increment,
     read_history,
     read_snapshots,
+    refresh_increments,
     write_partitioned,
 )
 from tests.helpers import plan, rows
@@ -92,3 +94,24 @@ def test_large_partition_is_written_by_several_tasks(spark, tmp_path):
         spark.conf.set(key, before)
     assert len(list((tmp_path / "t" / "p=hot").glob("*.parquet"))) > 2
     assert spark.read.parquet(str(tmp_path / "t")).count() == 100_000
+
+
+def test_stored_days_in_large_pieces_are_written_where_they_are_read(spark, tmp_path, monkeypatch):
+    """Four files of 100 rows, half of them of each day: with 50 rows a file and day enough,
+    each is written by the task that read it; with 51 they are gathered."""
+    at = F.when(F.col("id") % 2 == 0, "2024-01-15 10:00:00").otherwise("2024-01-16 10:00:00")
+    table = spark.range(0, 400, 1, 4).select("id", at.cast("timestamp").alias("ingestion_date"))
+    for enough, files in ((50, 4), (51, 1)):
+        monkeypatch.setattr(snapshots, "_FILE_ROWS", enough)
+        path = str(tmp_path / str(enough))
+        assert export(table, path, DAY, stored=True) == 200
+        assert len(list((tmp_path / str(enough) / "ingestion_day=2024-01-15").glob("*.parquet"))) == files
+        refresh_increments(table, path, [DAY, NEXT])
+        for day in ("2024-01-15", "2024-01-16"):
+            assert len(list((tmp_path / str(enough) / f"ingestion_day={day}").glob("*.parquet"))) == files
+        history = read_history(spark, path)
+        assert rows(history.select("id", "ingestion_date")) == rows(table)
+        assert history.where(F.to_date("ingestion_date") != F.col("ingestion_day")).count() == 0
+        refresh_increments(table.where("id % 2 = 0"), path, [DAY, NEXT])
+        assert read_history(spark, path).count() == 200 == read_history(spark, path, DAY, DAY).count()
+        assert export(table.where("id < 0"), path, DAY, stored=True) == 0

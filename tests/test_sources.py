@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from datetime import date, datetime
+from pathlib import Path
 from urllib.parse import unquote
 
 import pytest
@@ -178,6 +179,19 @@ def test_batches_are_immutable(spark, tmp_path):
     assert rows(landed.select(*TELEMETRY.columns)) == rows(batch)
 
 
+def test_landings_of_more_than_a_file_are_gzipped(spark, tmp_path):
+    batch = telemetry(spark, *[event(f"E-{i}", f"V-{i % 3}", speed_kmh=None) for i in range(50)])
+    for limit, kept, suffix in ((49, 2, ".json.gz"), (50, 1, ".json")):
+        prefix, at = str(tmp_path / str(limit) / "telemetry"), datetime(2024, 1, 1, 10, 5)
+        folder = land_batch(batch.coalesce(1), prefix, at, max_records_per_file=limit)
+        names = [f.name for f in Path(folder).glob("part-*")]
+        assert len(names) == kept and all(n.endswith(suffix) for n in names)
+        found = read_json_batches(spark, prefix, TELEMETRY.bronze_schema, with_path=True)
+        good, bad = split_corrupt(found)
+        assert rows(good.select(*TELEMETRY.columns)) == rows(batch) and bad.count() == 0
+        assert good.select("_source_path").distinct().count() == kept
+
+
 def test_empty_landing_is_refused(spark, tmp_path):
     with pytest.raises(EmptyInputError):
         land_batch(telemetry(spark), str(tmp_path / "t"), datetime(2024, 1, 1))
